@@ -2,21 +2,55 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelwright.llm import simhash
+from panelwright.llm import decontam, simhash, token_output, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A public vocabulary file: in the folder that PANELWRIGHT_TOKENIZERS names, or as installed."""
+    folder = os.environ.get("PANELWRIGHT_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_output.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
+    return token_output.read_tokens(spark, folder)
+
+
+def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.write_archives(table(spark, sf_dir, "pages"))
+    records = warc.resolved(warc.read_archives(spark, folder, payloads=False))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", decontam.items_digest("items").alias("items_sha256"), "contaminated")
+
+
 def queries() -> dict:
-    return {"op1_simhash": op1_simhash}
+    return {
+        "op1_simhash": op1_simhash,
+        "op2_token_output": op2_token_output,
+        "op3_warc_revisits": op3_warc_revisits,
+        "op5_decontamination": op5_decontamination,
+    }
 
 
 def oracle_sql() -> dict:
