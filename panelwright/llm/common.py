@@ -33,11 +33,22 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:
-    """df written once as Parquet to the shared folder and read back, so that a lost executor costs no earlier work."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df written once as Parquet to the shared folder and read back, so that a lost executor costs no earlier work.
+
+    The shuffle files of the write go as soon as it is done; nothing else reads them.
+    """
+    spark = df.sparkSession
+    path, before = new_folder(spark, name), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_staged(df: DataFrame) -> None:
