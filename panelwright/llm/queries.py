@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import decontam, simhash, token_output, warc
+from panelwright.llm import decontam, quality, repeats, simhash, token_output, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,17 +39,33 @@ def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", decontam.items_digest("items").alias("items_sha256"), "contaminated")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         "op1_simhash": op1_simhash,
         "op2_token_output": op2_token_output,
         "op3_warc_revisits": op3_warc_revisits,
+        "op4_toxicity": op4_toxicity,
         "op5_decontamination": op5_decontamination,
+        "op6_quality": op6_quality,
+        "op10_repeats": op10_repeats,
     }
 
 
