@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelwright.llm.common import staged
 
@@ -156,6 +157,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
             yield b.append_column("log_ratio", pa.array(np.array([shared.value.score(t.as_py()) for t in b.column(at)], np.float64)))
 
     same = docs.toDF(*cols).withColumn(f"c{at}", F.col(f"c{at}").cast("string"))
-    scored = same.mapInArrow(run, same.schema.add("log_ratio", "double"))
+    scored = same.mapInArrow(run, T.StructType([*same.schema.fields, T.StructField("log_ratio", T.DoubleType())]))
     key = F.col("log_ratio") + gumbel(f"c{docs.columns.index(id_col)}", seed)
     return scored.where(key >= least).select(*cols).toDF(*docs.columns)

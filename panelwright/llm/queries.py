@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import decontam, quality, repeats, simhash, token_output, toxicity, warc
+from panelwright.llm import decontam, mixing, quality, repeats, rules, secret_scan, simhash, token_output, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,26 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.schedule(table(spark, sf_dir, "documents"))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rules.quality_rules(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.learn(docs))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -65,7 +85,11 @@ def queries() -> dict:
         "op4_toxicity": op4_toxicity,
         "op5_decontamination": op5_decontamination,
         "op6_quality": op6_quality,
+        "op7_mixing": op7_mixing,
+        "op8_quality_rules": op8_quality_rules,
+        "op9_secrets": op9_secrets,
         "op10_repeats": op10_repeats,
+        "pipeline": pipeline,
     }
 
 
