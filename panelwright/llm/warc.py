@@ -131,7 +131,8 @@ def parse(data: bytes):
 def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
     """(record_id, page_id, url, record_type, payload_digest, refers_to_record, payload_bytes[, payload]) as archived.
 
-    A response's payload is checked against its digest. A revisit has no payload here; `resolved` joins it.
+    A response's payload is checked against its digest. A revisit has no payload here; `resolved` joins it. Without
+    payloads the archives are read once, at this call, and the headers staged.
     """
     kind = "record_id string, page_id long, url string, record_type string, payload_digest string, refers_to_record string, payload_bytes long" + ", payload binary" * payloads
     if not folder:
@@ -153,7 +154,8 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> Da
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("content")
-    return files.repartition(max(1, spark.sparkContext.defaultParallelism * 4)).mapInArrow(run, kind)
+    records = files.mapInArrow(run, kind)
+    return records if payloads else staged(records, "records")
 
 
 def resolved(records: DataFrame) -> DataFrame:
