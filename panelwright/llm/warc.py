@@ -69,10 +69,11 @@ def write_archives(pages: DataFrame, folder: str | None = None, id_col: str = "p
     folder = folder or new_folder(spark, "warc")
     date = date or datetime.datetime.now(datetime.UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"), F.sha1(payload.cast("binary")).alias("sha"))
-    who = staged(roles(pages, id_col, payload_col, least_bytes), "roles").select(F.col("page_id").alias("p"), F.col("sha").alias("s"), "first_id")
-    rows = rows.join(who, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("sha") == F.col("s")))
-    rows = rows.withColumn("number", F.row_number().over(Window.partitionBy("page_id", "sha").orderBy("url")))
+    key = F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("key")  # never null: one shuffle serves join and window
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"), F.sha1(payload.cast("binary")).alias("sha")).select("*", key)
+    who = staged(roles(pages, id_col, payload_col, least_bytes).select(key, "sha", "first_id"), "roles")
+    rows = rows.join(who, ["key", "sha"])
+    rows = rows.withColumn("number", F.row_number().over(Window.partitionBy("key", "sha").orderBy("url")))
     rows = rows.select("page_id", "url", "payload", "sha", "first_id", "number")
 
     def run(it):
