@@ -99,7 +99,7 @@ def encode_block(ids: np.ndarray, vocab: int) -> bytes:
 
     def shift(lane, lo, rg):
         """Emits words until each range is wide again; lo and rg are changed in place."""
-        at = np.flatnonzero((((lo ^ (lo + rg)) >> _48) == 0) | (rg < _32))
+        at = np.flatnonzero(rg < _32)
         while len(at):
             lo1, rg1 = lo[at], rg[at]
             rg1 = np.where(((lo1 ^ (lo1 + rg1)) >> _48) == 0, rg1, (U(0) - lo1) & _LOW32)
@@ -107,7 +107,7 @@ def encode_block(ids: np.ndarray, vocab: int) -> bytes:
             out_word.append((lo1 >> _48).astype("<u2"))
             lo1, rg1 = lo1 << _16, rg1 << _16
             lo[at], rg[at] = lo1, rg1
-            at = at[(((lo1 ^ (lo1 + rg1)) >> _48) == 0) | (rg1 < _32)]
+            at = at[rg1 < _32]
 
     for t in range(steps):
         k = active(t)
@@ -165,7 +165,7 @@ def decode_block(data: bytes) -> np.ndarray:
     grid = np.zeros((steps, lanes), np.uint32)
 
     def shift(lo, rg, co, pos):
-        i = np.flatnonzero((((lo ^ (lo + rg)) >> _48) == 0) | (rg < _32))
+        i = np.flatnonzero(rg < _32)
         while len(i):
             lo1, rg1 = lo[i], rg[i]
             rg1 = np.where(((lo1 ^ (lo1 + rg1)) >> _48) == 0, rg1, (U(0) - lo1) & _LOW32)
@@ -173,7 +173,7 @@ def decode_block(data: bytes) -> np.ndarray:
             pos[i] += 1
             lo1, rg1 = lo1 << _16, rg1 << _16
             lo[i], rg[i] = lo1, rg1
-            i = i[(((lo1 ^ (lo1 + rg1)) >> _48) == 0) | (rg1 < _32)]
+            i = i[rg1 < _32]
 
     for t in range(steps):
         k = active(t)

@@ -8,6 +8,7 @@ a temporary name and renamed, so a repeated task does no harm.
 from __future__ import annotations
 
 import functools
+import re
 import struct
 import zlib
 
@@ -25,23 +26,22 @@ MAGIC = b"PWT1"
 #: A file is closed once it holds so many ids.
 FILE_IDS = 4 << 20
 #: Pieces of text whose ids a task remembers, at most.
-REMEMBERED = 600_000
+REMEMBERED = 900_000
 END_ID = 2
 
 
-@functools.lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
-    """One a Python worker, so that later tasks find what earlier ones learnt."""
-    return Encoder(path)
+_L = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+#: A word, signs, a line end, a word: the pre-tokenizer cuts such a piece between these.
+_PARTS = re.compile(rf"([{_L}]+)([.,;:!?#$%&*|()-]+)(\n?)([{_L}]*)")
+_BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 class Encoder:
     """Ids of whole texts by the tokenizers library, with a bounded memory for pieces that come again.
 
     A byte-level pre-tokenizer of this kind always cuts before a single space that stands between two non-blank
-    characters, so the piece from such a space to the next one always has the same ids. Texts with the vocabulary's
-    special strings, or with other runs of blanks than single spaces, take the library's way as a whole where that rule
-    doesn't hold.
+    characters, so the piece from such a space to the next one always has the same ids. A space that stands otherwise
+    doesn't end a piece, and texts with the vocabulary's special strings go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -51,49 +51,62 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.vocab = self.tokenizer.get_vocab_size()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.known) + len(pieces) > REMEMBERED:
-            self.known.clear()
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        self.known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(pieces, found, strict=True))
+        self.after: dict[str, bytes] = {}  # ids of " " + key
+        self.plain: dict[str, bytes] = {}  # ids of key
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[str], first: list[str]) -> None:
+        """Ids of pieces after a space and of first pieces, which aren't known."""
+        cut = {p: m.groups() for p in pieces if (m := _PARTS.fullmatch(p))}
+        words = {c[0] for c in cut.values()}.union(p for p in pieces if p not in cut)
+        words = [w for w in words if w not in self.after]
+        parts = [x for x in {x for c in cut.values() for x in c[1:] if x}.union(first) if x not in self.plain]
+        found = self._library([" " + w for w in words] + parts)
+        self.after.update(zip(words, found, strict=False))
+        self.plain.update(zip(parts, found[len(words) :], strict=True))
+        a, b = self.after, self.plain
+        a.update({p: a[w] + b[s] + (b[n] if n else b"") + (b[x] if x else b"") for p, (w, s, n, x) in cut.items()})
+
+    def _pieces(self, text: str) -> list[str]:
+        pieces = text.split(" ")
+        if "  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " " or _BLANKS.search(text):
+            joined = [pieces[0]]
+            for p in pieces[1:]:
+                if not p or p[0].isspace() or not joined[-1] or joined[-1][-1].isspace():
+                    joined[-1] += " " + p
+                else:
+                    joined.append(p)
+            return joined
+        return pieces
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        split, whole = [], []
-        for i, t in enumerate(texts):
-            if any(s in t for s in self.special):
-                whole.append(i)
-                split.append(None)
-                continue
-            pieces = t.split(" ")
-            blank = [j for j, p in enumerate(pieces) if j and (not p or p[0].isspace())] if "  " in t or t[-1:] == " " or not t.isascii() or " \n" in t or " \t" in t or " \r" in t or " \x0b" in t or " \x0c" in t or any(f" {c}" in t for c in "\x1c\x1d\x1e\x1f") else []
-            if blank:  # a piece stays joined to the one before it where its space isn't followed by a non-blank character
-                joined = [pieces[0]]
-                for p in pieces[1:]:
-                    if not p or p[0].isspace() or not joined[-1] or joined[-1][-1].isspace():
-                        joined[-1] += " " + p
-                    else:
-                        joined.append(p)
-                pieces = joined
-            split.append([pieces[0], *(" " + p for p in pieces[1:])])
-        known = self.known
-        out = []
-        for i in range(0, len(split), 64):
-            some = split[i : i + 64]
-            new = list({p for s in some if s for p in s if p not in known})
-            if new:
-                self._learn(new)
-                if any(p not in known for s in some if s for p in s):
-                    self._learn(list({p for s in some if s for p in s if p not in known}))
-            out += [b"".join([known[p] for p in s]) if s else b"" for s in some]
-        if whole:
-            for i, e in zip(whole, self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False), strict=True):
-                out[i] = np.array(e.ids, "<u4").tobytes()
+        whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
+        split = [self._pieces(t) for t in texts]
+        for i in whole:
+            split[i] = [""]
+        first = [s.pop(0) for s in split]
+        after, plain = self.after, self.plain
+        new = [p for p in set().union(*split) if p not in after]
+        self._learn(new, [p for p in set(first) if p not in plain])
+        get = after.__getitem__
+        out = [plain[f] + b"".join(map(get, s)) for f, s in zip(first, split, strict=True)]
+        for store in (after, plain):  # what came in beyond the bound leaves again
+            while len(store) > REMEMBERED:
+                store.popitem()
+        for i, raw in zip(whole, self._library([texts[i] for i in whole]), strict=True):
+            out[i] = raw
         return out
 
 
+@functools.lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One a Python worker, so that later tasks find what earlier ones learnt."""
+    return Encoder(path)
+
+
 def file_bytes(doc_ids: list[int | None], counts: list[int], ids: np.ndarray, vocab: int) -> bytes:
     valid = np.array([d is not None for d in doc_ids], np.uint8)
     index = np.array([d or 0 for d in doc_ids], "<i8").tobytes() + valid.tobytes() + np.array(counts, "<u4").tobytes()
@@ -193,7 +206,6 @@ def read_tokens(spark: SparkSession, folder: str, tokens: bool = False) -> DataF
                     yield pa.record_batch(columns, names=["name", "doc_id", "before", "n_tokens", "ids_crc32"] + ["ids"] * tokens)
 
         files = spark.read.format("binaryFile").option("pathGlobFilter", "*.ptk").load(folder).select("path", "content")
-        files = files.repartition(max(1, spark.sparkContext.defaultParallelism * 4))
         found = files.mapInArrow(run, kind)
         found = staged(found, "tokens-read")
     sizes = found.groupBy("name").agg(F.sum("n_tokens").alias("total"))
