@@ -55,7 +55,8 @@ def add(name: str, sql: str | None = None):
                 text = text.replace(f"{{{k}}}", f"panel_{k}")
             ctes = ", ".join(f"panel_{k} AS MATERIALIZED {v}" for k, v in used)
             if ctes:
-                text = f"WITH {ctes}, {text[5:]}" if text.startswith("WITH ") else f"WITH {ctes} {text}"
+                head = next((h for h in ("WITH RECURSIVE ", "WITH ") if text.startswith(h)), "")
+                text = f"{head}{ctes}, {text[len(head):]}" if head else f"WITH {ctes} {text}"
             _SQL[name] = text
         return f
 
