@@ -21,10 +21,12 @@ from pyspark.sql import types as T
 from panelwright.llm.common import staged
 
 BUCKETS = 1 << 14
-#: Labelled good documents that the target model is counted on, at most.
+#: Labelled good documents that are used, at most: four fifths for the target model, the rest to see what unseen ones reach.
 SAMPLE = 20_000
 #: Words whose hash a task remembers, at most.
 REMEMBERED = 500_000
+#: Counts that a bucket's ratio is drawn towards 1 by.
+PRIOR = 10.0
 #: k counts the documents above this quantile of the labelled good ones, less SLACK.
 LOW, SLACK = 0.001, 2.0
 _TOKEN = re.compile(rb"[0-9a-z\x80-\xff]+|[^\s0-9a-z\x80-\xff]+")
@@ -63,8 +65,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Counts both models over docs. Without labelled good documents all ratios are 0."""
     spark = docs.sparkSession
     good = staged(labelled(labels, label, 1, sample, id_col), "good")  # at most `sample` ids
+    taught = F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(5)) > 0  # the rest shows what unseen good texts reach
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    flagged = texts.join(F.broadcast(good.withColumn("good", F.lit(True))), "id", "left").select("text", "good")
+    flagged = texts.join(F.broadcast(good.where(taught).withColumn("good", F.lit(True))), "id", "left").select("text", "good")
 
     def count(it):
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
@@ -83,10 +86,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         raw[r.bucket], target[r.bucket] = r.raw, r.target
     if not target.sum():
         return Ratio(np.zeros(BUCKETS), 0.0)
-    ratios = np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
+    # PRIOR counts of equal shares in both models: a bucket seen a few times tells little, one seen often what it shows
+    ratios = np.log((target * (raw.sum() / target.sum()) + PRIOR) / (raw + PRIOR))
     model = Ratio(ratios, -np.inf)
-    known = scores(texts.join(F.broadcast(good), "id", "left_semi"), model, "id", "text")
-    model.low = float(known.agg(F.percentile("log_ratio", F.lit(LOW))).first()[0]) - SLACK
+    known = scores(texts.join(F.broadcast(good.where(~taught)), "id", "left_semi"), model, "id", "text")
+    low = known.agg(F.percentile("log_ratio", F.lit(LOW))).first()[0]
+    model.low = -np.inf if low is None else float(low) - SLACK
     return model
 
 
