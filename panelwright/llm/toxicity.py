@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 #: Labelled documents that the model is fitted on, at most, and rounds of fitting.
 SAMPLE, ROUNDS = 4_000, 150
 #: Documents of the sample that a word must be in to get a weight.
-LEAST_DOCS = 4
-RIDGE = 3e-4
+LEAST_DOCS = 6
+#: Shrinkage of weights; a toxic document counts as so many clean ones, as there are fewer of them.
+RIDGE, TOXIC_WEIGHT = 1e-4, 4.0
 PREFIXES = (4, 5, 6, 7, 8)
 #: Words whose weight a task remembers, at most.
 REMEMBERED = 400_000
@@ -108,9 +109,9 @@ def learn(rows: list[tuple[str | None, int]], rounds: int = ROUNDS) -> NoisyOr:
     m, v = np.zeros(len(number) + 1), np.zeros(len(number) + 1)
     for t in range(1, rounds + 1):  # Adam on the mean log-likelihood
         z = b + np.bincount(sent, w[word], n)
-        p = 1 / (1 + np.exp(-z))
+        p = np.exp(-np.logaddexp(0, -z))
         none = np.bincount(doc, np.logaddexp(0, z), len(y))  # minus the log of the chance of no toxic sentence
-        push = np.where(y == 1, 1 / np.maximum(np.expm1(none), 1e-9), -1.0)
+        push = np.where(y == 1, TOXIC_WEIGHT / np.maximum(np.expm1(none), 1e-9), -1.0)
         g = p * push[doc]
         grad = np.append(np.bincount(word, g[sent], len(w)) / len(y) - RIDGE * w, g.sum() / len(y))
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
@@ -144,7 +145,7 @@ def offending(docs: DataFrame, model: NoisyOr, id_col: str = "doc_id", text_col:
             rows = []
             for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 text = t.as_py()
-                p = 1 / (1 + np.exp(-shared.value.logits(text)))
+                p = np.exp(-np.logaddexp(0, -shared.value.logits(text)))
                 if (p >= least).any():
                     s = sentences(text)
                     rows += [(i, int(k), float(p[k]), b" ".join(s[k]).decode("utf-8", "replace")) for k in np.flatnonzero(p >= least)]
