@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import decontam, mixing, quality, repeats, rules, secret_scan, simhash, token_output, toxicity, warc
+from panelwright.llm import decontam, mixing, quality, repeats, rules, secret_scan, simhash, sql, token_output, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,4 +94,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {}
+    """The others need a hash, a tokenizer, fitted models or byte strings that DuckDB's SQL has not."""
+    return {"op3_warc_revisits": sql.OP3, "op5_decontamination": sql.OP5}
