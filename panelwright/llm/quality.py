@@ -24,11 +24,11 @@ BUCKETS = 1 << 14
 #: Labelled good documents that are used, at most: four fifths for the target model, the rest to see what unseen ones reach.
 SAMPLE = 20_000
 #: Words whose hash a task remembers, at most.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 #: Counts that a bucket's ratio is drawn towards 1 by.
 PRIOR = 10.0
-#: k counts the documents above this quantile of the labelled good ones, less SLACK.
-LOW, SLACK = 0.001, 2.0
+#: k counts the documents above this quantile of unseen good ones, less SLACK, or SPREAD of its distance from their median.
+LOW, SLACK, SPREAD = 0.001, 2.0, 0.5
 _TOKEN = re.compile(rb"[0-9a-z\x80-\xff]+|[^\s0-9a-z\x80-\xff]+")
 _hash: dict[bytes, int] = {}
 U = np.uint64
@@ -90,8 +90,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ratios = np.log((target * (raw.sum() / target.sum()) + PRIOR) / (raw + PRIOR))
     model = Ratio(ratios, -np.inf)
     known = scores(texts.join(F.broadcast(good.where(~taught)), "id", "left_semi"), model, "id", "text")
-    low = known.agg(F.percentile("log_ratio", F.lit(LOW))).first()[0]
-    model.low = -np.inf if low is None else float(low) - SLACK
+    low, middle = known.agg(F.percentile("log_ratio", F.lit(LOW)), F.percentile("log_ratio", F.lit(0.5))).first()  # a bounded sample
+    model.low = -np.inf if low is None else low - max(SLACK, SPREAD * (middle - low))
     return model
 
 
