@@ -34,7 +34,7 @@ class Model:
         self.t1 = np.full(vocab + 1, 0xFFFFFFFC, np.uint32)
         self.t2 = np.full(1 << T2_BITS, 0xFFFFFFFC, np.uint32)
         self.freq = np.ones(vocab, np.uint32)
-        self.cum = np.zeros(vocab + 1, np.uint64)
+        self.cum = np.zeros(vocab + 1, np.uint32)
         self.n = np.tile(np.array([2, 2, 4], np.int64), (32, 1))
         self.a = np.full(lanes, vocab, np.uint32)  # the last id
         self.b = np.full(lanes, vocab, np.uint32)  # the one before
@@ -43,11 +43,11 @@ class Model:
 
     def predict(self, k: int) -> None:
         if self.step % EVERY == 0:
-            for ids in self.waiting:
-                self.freq += np.bincount(ids, minlength=len(self.freq)).astype(np.uint32) * np.uint32(GAIN)
+            if self.waiting:
+                self.freq += np.bincount(np.concatenate(self.waiting), minlength=len(self.freq)).astype(np.uint32) * np.uint32(GAIN)
             self.waiting = []
             np.cumsum(self.freq, out=self.cum[1:])
-            self.total = self.cum[-1]
+            self.total = self.cum[-1].astype(np.uint64)
         self.step += 1
         a = self.a[:k]
         self.i2 = ((a * np.uint32(0x9E3779B1)) ^ (self.b[:k] * np.uint32(0x85EBCA6B))) >> np.uint32(32 - T2_BITS)
@@ -56,11 +56,19 @@ class Model:
         self.c1, self.c2 = self.e1 & np.uint32(3), self.e2 & np.uint32(3)
         self.ctx = self.c2 * np.uint32(4) + self.c1 + np.uint32(16) * (self.p1 == self.p2)
         share = (self.n * (65536 - 3)) // self.n.sum(axis=1, keepdims=True) + 1
-        self.s2, self.s1 = share[:, 0].astype(np.uint64)[self.ctx], share[:, 1].astype(np.uint64)[self.ctx]
+        start = np.cumsum(share[:, :2], axis=1)
+        self.start = np.concatenate([np.zeros((32, 1), np.int64), start], axis=1).astype(np.uint64).reshape(-1)
+        self.width = np.concatenate([share[:, :2], 65536 - start[:, 1:]], axis=1).astype(np.uint64).reshape(-1)
+        self.at = self.ctx * np.uint32(3)
+
+    def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and width of each id among the order-0 frequencies."""
+        start = self.cum[ids]
+        return start.astype(np.uint64), (self.cum[ids + np.uint32(1)] - start).astype(np.uint64)
 
     def update(self, ids: np.ndarray, kind: np.ndarray) -> None:
         k = len(ids)
-        self.n += np.bincount(self.ctx * np.uint32(3) + kind, minlength=96).reshape(32, 3)
+        self.n += np.bincount(self.at + kind, minlength=96).reshape(32, 3)
         if self.n.max() > 1 << 16:
             self.n = (self.n >> 1) + 1
         for table, at, entry, conf, hit in ((self.t1, self.a[:k], self.e1, self.c1, self.p1 == ids), (self.t2, self.i2, self.e2, self.c2, self.p2 == ids)):
@@ -114,23 +122,20 @@ def encode_block(ids: np.ndarray, vocab: int) -> bytes:
         x = grid[t, :k]
         m.predict(k)
         lo, rg = low[:k], rng[:k]
-        hit2 = m.p2 == x
-        hit1 = (m.p1 == x) & ~hit2
-        kind = np.where(hit2, 0, np.where(hit1, 1, 2)).astype(np.uint32)
-        r = rg >> _16
-        both = m.s2 + m.s1
-        start = np.where(hit2, U(0), np.where(hit1, m.s2, both))
-        width = np.where(hit2, m.s2, np.where(hit1, m.s1, U(65536) - both))
-        lo += start * r
-        np.multiply(width, r, out=rg)
+        miss2 = m.p2 != x
+        kind = miss2.astype(np.uint32) + (miss2 & (m.p1 != x))
+        r, at = rg >> _16, m.at + kind
+        lo += m.start[at] * r
+        np.multiply(m.width[at], r, out=rg)
         shift(names[:k], lo, rg)
         miss = np.flatnonzero(kind == 2)
         if len(miss):
             y = x[miss]
             lo1, rg1 = lo[miss], rg[miss]
             r = rg1 // m.total
-            lo1 += m.cum[y] * r
-            rg1 = (m.cum[y + np.uint32(1)] - m.cum[y]) * r
+            start, width = m.interval(y)
+            lo1 += start * r
+            rg1 = width * r
             shift(names[miss], lo1, rg1)
             low[miss], rng[miss] = lo1, rg1
         m.update(x, kind)
@@ -142,14 +147,15 @@ def encode_block(ids: np.ndarray, vocab: int) -> bytes:
     sizes = np.bincount(lane, minlength=lanes).astype("<u4").tobytes()
     body = zlib.compress(sizes, 1)
     body = struct.pack("<I", len(body)) + body + word.tobytes()
-    return HEAD.pack(MAGIC, n, vocab, zlib.crc32(ids.tobytes()), zlib.crc32(body), len(body)) + body
+    crc = zlib.crc32(ids.tobytes())
+    return HEAD.pack(MAGIC, n, vocab, crc, zlib.crc32(body, zlib.crc32(struct.pack("<III", n, vocab, crc))), len(body)) + body
 
 
 def decode_block(data: bytes) -> np.ndarray:
     """The ids of one block; ValueError if they aren't those that were written."""
     magic, n, vocab, crc, crc_body, length = HEAD.unpack_from(data)
     body = data[HEAD.size : HEAD.size + length]
-    if magic != MAGIC or len(body) != length or zlib.crc32(body) != crc_body:
+    if magic != MAGIC or len(body) != length or zlib.crc32(body, zlib.crc32(struct.pack("<III", n, vocab, crc))) != crc_body:
         raise ValueError("damaged block")
     lanes, steps = _shape(n)
     (packed,) = struct.unpack_from("<I", body)
@@ -181,12 +187,10 @@ def decode_block(data: bytes) -> np.ndarray:
         lo, rg, co, pos = low[:k], rng[:k], code[:k], at[:k]
         r = rg >> _16
         v = np.minimum((co - lo) // r, U(65535))
-        both = m.s2 + m.s1
-        kind = (v >= m.s2).astype(np.uint32) + (v >= both)
-        start = np.where(kind == 0, U(0), np.where(kind == 1, m.s2, both))
-        width = np.where(kind == 0, m.s2, np.where(kind == 1, m.s1, U(65536) - both))
-        lo += start * r
-        np.multiply(width, r, out=rg)
+        kind = (v >= m.start[m.at + np.uint32(1)]).astype(np.uint32) + (v >= m.start[m.at + np.uint32(2)])
+        where = m.at + kind
+        lo += m.start[where] * r
+        np.multiply(m.width[where], r, out=rg)
         shift(lo, rg, co, pos)
         x = np.where(kind == 0, m.p2, m.p1)
         miss = np.flatnonzero(kind == 2)
@@ -194,9 +198,10 @@ def decode_block(data: bytes) -> np.ndarray:
             lo1, rg1, co1, pos1 = lo[miss], rg[miss], co[miss], pos[miss]
             r = rg1 // m.total
             v = np.minimum((co1 - lo1) // r, m.total - U(1))
-            y = np.searchsorted(m.cum, v, side="right") - 1
-            lo1 += m.cum[y] * r
-            rg1 = (m.cum[y + 1] - m.cum[y]) * r
+            y = (np.searchsorted(m.cum, v.astype(np.uint32), side="right") - 1).astype(np.uint32)
+            start, width = m.interval(y)
+            lo1 += start * r
+            rg1 = width * r
             shift(lo1, rg1, co1, pos1)
             low[miss], rng[miss], code[miss], at[miss] = lo1, rg1, co1, pos1
             x[miss] = y

@@ -7,6 +7,7 @@ a temporary name and renamed, so a repeated task does no harm.
 
 from __future__ import annotations
 
+import array
 import functools
 import re
 import struct
@@ -33,9 +34,15 @@ END_ID = 2
 _L = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 #: A word, signs, a line end, a word: the pre-tokenizer cuts such a piece between these.
 _PARTS = re.compile(rf"([{_L}]+)([.,;:!?#$%&*|()-]+)(\n?)([{_L}]*)")
+_WORD = re.compile(rf" ?[{_L}]+|[.,;:!?#$%&*|()-]+|\n")
 _BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
+#: How byte-level vocabularies write bytes: printable ones as themselves, the others from code point 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_SIGNS = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, with a bounded memory for pieces that come again.
 
@@ -49,6 +56,7 @@ class Encoder:
 
         env_threads()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.vocab = self.tokenizer.get_vocab_size()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.after: dict[str, bytes] = {}  # ids of " " + key
@@ -57,13 +65,20 @@ class Encoder:
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _new(self, texts: list[str]) -> list[bytes]:
+        """As _library; what the pre-tokenizer would leave in one piece goes to the library's model at once."""
+        whole = [t for t in texts if not _WORD.fullmatch(t)]
+        found = dict(zip(whole, self._library(whole), strict=True))
+        model = self.model.tokenize
+        return [found[t] if t in found else array.array("I", [k.id for k in model(t.encode().decode("latin-1").translate(_BYTE_SIGNS))]).tobytes() for t in texts]
+
     def _learn(self, pieces: list[str], first: list[str]) -> None:
         """Ids of pieces after a space and of first pieces, which aren't known."""
         cut = {p: m.groups() for p in pieces if (m := _PARTS.fullmatch(p))}
         words = {c[0] for c in cut.values()}.union(p for p in pieces if p not in cut)
         words = [w for w in words if w not in self.after]
         parts = [x for x in {x for c in cut.values() for x in c[1:] if x}.union(first) if x not in self.plain]
-        found = self._library([" " + w for w in words] + parts)
+        found = self._new([" " + w for w in words] + parts)
         self.after.update(zip(words, found, strict=False))
         self.plain.update(zip(parts, found[len(words) :], strict=True))
         a, b = self.after, self.plain
