@@ -90,7 +90,8 @@ def hamming_links(fps: DataFrame, most: int = 3) -> DataFrame:
     """
     if not 0 <= most <= 3:
         raise ValueError("two halves cover up to three differing bits")
-    rows = variants(fps)
+    # dealt out first: a row becomes 66, and the few small files of fingerprints would make few, large tasks of them
+    rows = variants(fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp"))
     large = staged(rows.groupBy("key").count().where(F.col("count") > SMALL_BUCKET), "buckets")
     w = Window.partitionBy("key").orderBy("fp")
     later = F.collect_list("fp").over(w.rowsBetween(1, SMALL_BUCKET - 1))
