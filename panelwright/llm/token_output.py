@@ -27,7 +27,7 @@ MAGIC = b"PWT1"
 #: A file is closed once it holds so many ids.
 FILE_IDS = 4 << 20
 #: Pieces of text whose ids a task remembers, at most.
-REMEMBERED = 900_000
+REMEMBERED = 350_000
 END_ID = 2
 
 
