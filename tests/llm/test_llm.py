@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -303,6 +304,24 @@ def test_secrets(spark, awkward, empty):
     assert secret_scan.scan(empty, secret_scan.learn(empty)).count() == 0
 
 
+
+def test_learnt_formats_find_bare_credentials(spark):
+    r = random.Random(2)
+    made = lambda n: ["".join(r.choice(string.ascii_letters + string.digits) for _ in range(24)) for _ in range(n)]
+    labelled, bare = made(80), made(60)
+    plain = ["".join(r.choice(("under", "stand", "ing", "over", "heit", "keit")) for _ in range(5)) for _ in range(150)]
+    cards = ["".join(r.choice(string.digits) for _ in range(16)) for _ in range(150)]
+    rows = [(i, f"{prose(i)} token = '{c}' {prose(i + 1)}") for i, c in enumerate(labelled)] + [(100, f"{prose(5)} {labelled[0]} {prose(6)}")]
+    rows += [(1000 + i, f"{prose(i)} {c} {prose(i + 1)}") for i, c in enumerate(bare)]
+    rows += [(2000 + i, f"{prose(i)} {a} {b} {prose(i + 1)}") for i, (a, b) in enumerate(zip(plain, cards, strict=True))]
+    docs = table(spark, rows)
+    texts = dict(rows)
+    got = {x.doc_id: x.spans for x in secret_scan.scan(docs, secret_scan.learn(docs)).collect()}
+    want = {1000 + i: f"format:{texts[1000 + i].index(c)}:{texts[1000 + i].index(c) + len(c)}" for i, c in enumerate(bare)}
+    assert sum(got[i] == s for i, s in want.items()) >= 57 and got[100].startswith("format:")
+    assert not any(got[i] for i in got if i >= 2000)
+
+
 def brute_repeats(rows, n):
     seen = collections.Counter(b[i : i + n] for b in rows for i in range(len(b) - n + 1))
     out = []
