@@ -102,6 +102,11 @@ def _(spark, d):
     return out(C.daily(sparse(spark, d))).where("sku_id % 10 = 0")
 
 
+@add("c16_daily_grid_whole")
+def _(spark, d):
+    return out(C.daily(sparse(spark, d)))
+
+
 @add("c17_hourly_grid", "WITH s AS (SELECT wh_id, sku, unnest(generate_series(min(ts_hour), max(ts_hour), INTERVAL 1 HOUR)) ts_hour FROM {ph} GROUP BY 1,2) SELECT wh_id, sku, strftime(ts_hour, '%Y-%m-%d %H') h, coalesce(cnt,0) cnt, R(coalesce(amt,0)) amt FROM s LEFT JOIN {ph} USING (wh_id, sku, ts_hour)")
 def _(spark, d):
     g = C.every_hour(hourly(spark, d), ["wh_id", "sku"], "ts_hour", ["cnt", "amt"])

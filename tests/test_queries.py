@@ -1,5 +1,6 @@
 """Every query with SQL against DuckDB on the small tables; the others run and give rows."""
 
+import datetime
 import math
 import os
 
@@ -41,3 +42,18 @@ def test_same_as_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_runs(spark, name):
     assert QUERIES[name](spark, DATA).count() > 0
+
+
+def test_daily_grid_has_every_series_and_day(spark, tmp_path):
+    for name, key in (("lineitem", "l_partkey"), ("part", "p_partkey")):
+        spark.read.parquet(f"{DATA}/{name}.parquet").where(f"{key} < 12").write.parquet(f"{tmp_path}/{name}.parquet")
+    lines = duckdb.sql(f"SELECT l_partkey, CAST(l_shipdate AS DATE), sum(l_quantity) FROM '{DATA}/lineitem.parquet' WHERE l_partkey < 12 AND CAST(l_shipdate AS DATE) < DATE '2001-06-21' GROUP BY ALL").fetchall()
+    want = {}
+    for sku in {r[0] for r in lines}:
+        sold = {day: float(x) for k, day, x in lines if k == sku}
+        day, x = max(sold), None
+        while day >= min(sold):
+            want[sku, day] = x = sold.get(day, x)
+            day -= datetime.timedelta(1)
+    got = {(r.sku_id, r.dt): r.x for r in QUERIES["c16_daily_grid_whole"](spark, str(tmp_path)).collect()}
+    assert len({sku for sku, _ in want}) == 12 and got == pytest.approx(want)
