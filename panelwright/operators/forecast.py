@@ -128,6 +128,37 @@ def ridge(df: DataFrame, features: list[str], spec: PanelSpec = SERIES, lam: flo
     return ok.groupBy(*keys).agg(*sums).mapInPandas(solve, f"{kinds}, intercept double, coef array<double>")
 
 
+def recursive_linear(df: DataFrame, origin: str, pool: tuple[str, ...], spec: PanelSpec = SERIES, history: int = 180, lags: int = 14, steps: int = 20, most: int = 7, gap: int = 31) -> DataFrame:
+    """(keys, date, model, pred): `steps` days from `origin` on, for every series of df; never negative.
+
+    A linear model a pool, fitted on the lags of the daily grid of the `history` days before origin, is applied one day at
+    a time over the missing days up to origin, and its last value stays. Series that it can't score (more than `most`
+    missing days, under `lags` days of grid, no model) get fitted smoothing; series silent for over `gap` days nulls.
+    """
+    from panelwright.operators.cleaning import daily
+    from panelwright.operators.rolling import lags as lagged
+
+    keys, day = list(spec.keys), F.to_date(F.lit(origin))
+    past = df.where((F.col(spec.date) < day) & (F.col(spec.date) >= F.date_sub(day, history)))
+    grid = daily(past, spec)
+    names = [f"lag_{i}" for i in range(1, lags + 1)]
+    models = ridge(lagged(grid, list(range(1, lags + 1)), spec), names, PanelSpec(pool, spec.date, spec.target), lam=1e-6)
+    tails = _tails(grid, lags, spec).join(past.groupBy(*keys).agg(F.datediff(day, F.max(spec.date)).alias("missing")), keys)
+    rows = df.select(*keys).distinct().join(tails, keys, "left").join(F.broadcast(models), list(pool), "left").join(ses_fitted(grid, spec).select(*keys, F.col("pred").alias("ses")), keys, "left")
+
+    def step(tail, _):
+        y = F.aggregate(F.zip_with(F.reverse(tail), "coef", lambda x, c: x * c), F.col("intercept"), lambda s, v: s + v)
+        return F.concat(F.slice(tail, 2, lags - 1), F.array(y))
+
+    fold = F.element_at(F.aggregate(F.sequence(F.lit(1), "missing"), F.col("tail"), step), -1)
+    rows = rows.withColumn("linear", F.when((F.size("tail") == lags) & (F.col("missing") <= most), fold))
+    rows = rows.withColumn("smooth", F.when(F.col("missing") <= gap, F.col("ses")))
+    model = F.when(F.col("linear").isNotNull(), "linear").when(F.col("smooth").isNotNull(), "ses")
+    value = F.coalesce("linear", "smooth")
+    ahead = F.explode(F.sequence(day, F.date_add(day, steps - 1))).alias(spec.date)
+    return rows.select(*keys, ahead, model.alias("model"), F.when(value < 0, 0.0).otherwise(value).alias("pred"))
+
+
 def first_available(forecasts: DataFrame, models: list[str], keys: list[str], model: str = "model", value: str = "pred") -> DataFrame:
     """(keys, value): of several models' forecasts in one long table the first model's that has one. One shuffle for any number of models."""
     best = forecasts.groupBy(*keys).agg(*[F.max(F.when(F.col(model) == m, F.col(value))).alias(f"__{i}") for i, m in enumerate(models)])

@@ -11,7 +11,7 @@ from panelwright.operators import forecast as G
 from panelwright.operators import rolling as R
 from panelwright.operators.spec import SERIES
 from panelwright.plans.registry import add
-from panelwright.sources.panels import dense, sparse
+from panelwright.sources.panels import FORECAST_DATE, dense, sparse
 
 K, KEYS = ["bu_id", "wh_id", "sku_id"], "bu_id, wh_id, sku_id"
 W = "PARTITION BY bu_id, wh_id, sku_id ORDER BY dt"
@@ -95,6 +95,11 @@ def _(spark, d):
     return rows.select(*K, F.explode(F.sequence(F.date_add("last", 1), F.date_add("last", 7))).alias("dt"), "pred")
 
 
+@add("g10_g12_recursive_linear")
+def _(spark, d):
+    return G.recursive_linear(sparse(spark, d), FORECAST_DATE, ("bu_id", "wh_id"))
+
+
 @add("j11_z15_priority_ensemble", f"WITH f AS (SELECT {KEYS}, avg({X}) FILTER (dt>=DATE '2001-05-25') a, avg({X}) FILTER (dt>=DATE '2001-05-01') b, avg({X}) c FROM {{pb}} GROUP BY ALL) SELECT {KEYS}, R(coalesce(a,b,c)) pred FROM f")
 def _(spark, d):
     pb = sparse(spark, d)

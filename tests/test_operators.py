@@ -119,6 +119,27 @@ def test_holt_winters_keeps_season_and_floor(spark):
     assert got.where("k = 'b' and value = 2").count() == 20 and got.where("value < 0").count() == 0
 
 
+def test_recursive_linear_by_hand(spark):
+    r, day = np.random.default_rng(4), datetime.date(2001, 6, 1)
+    series = {k: r.gamma(3, 5, 60).round(2).tolist() for k in "abcd"}
+    last = {"a": 1, "b": 5, "c": 20, "d": 40}
+    rows = [("p", k, day - datetime.timedelta(last[k] + 59 - i), x) for k, xs in series.items() for i, x in enumerate(xs) if i not in (20, 21)]
+    rows += [("p", "short", day - datetime.timedelta(2), 4.0), ("p", "short", day - datetime.timedelta(1), 4.0), ("p", "a", day, 1e6), ("p", "old", day - datetime.timedelta(300), 3.0)]
+    spec = PanelSpec(("q", "k"), "dt", "x")
+    found = G.recursive_linear(spark.createDataFrame(rows, ["q", "k", "dt", "x"]), "2001-06-01", ("q",), spec).orderBy("dt").collect()
+    got = {k: [x for x in found if x.k == k] for k in (*series, "short", "old")}
+    grid = {k: [xs[22] if i in (20, 21) else x for i, x in enumerate(xs)] for k, xs in series.items()}
+    fit = [(xs[i - 14 : i][::-1], xs[i]) for xs in grid.values() for i in range(14, 60)]
+    beta = np.linalg.lstsq(np.array([[1, *f] for f, _ in fit]), np.array([y for _, y in fit]), rcond=None)[0]
+    for k in "ab":
+        xs = list(grid[k])
+        for _ in range(last[k]):
+            xs.append(float(beta @ [1, *xs[-14:][::-1]]))
+        assert [x.pred for x in got[k]] == pytest.approx([max(xs[-1], 0)] * 20, rel=1e-4) and got[k][0].model == "linear" and got[k][0].dt == day
+    assert {(x.model, x.pred) for x in got["short"]} == {("ses", 4.0)} and {x.model for x in got["c"]} == {"ses"}
+    assert len(got["d"]) == len(got["old"]) == 20 and {x.pred for x in got["d"] + got["old"]} == {None}
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], ["p", "v", "s"])
     files.write_partitions(df, f"{tmp_path}/t", "orc", ["p"])
