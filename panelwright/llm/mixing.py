@@ -1,78 +1,87 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-A source's documents, in an order drawn by hash, are cut into blocks. Of weight w, its block i is released at slot
-floor(i / w) and due by slot ceil((i + 1) / w); at each slot the released block with the earliest deadline comes next. So
-at any slot each source has had its share to less than one block. Weights are whole shares of a cycle of slots, after
-which the order repeats; so only one cycle is worked out, and every block's slot follows by arithmetic. When a source has
-no block left, the others share the slots by their weights from there on; no document is dropped or repeated.
+A source's documents, in an order drawn by hash, are cut into blocks. Of share w = its weight over all weights, its block i
+is released at slot floor(i / w) and due by slot ceil((i + 1) / w); at each slot the released block with the earliest
+deadline comes next. So at any slot each source has had its share to less than one block. Weights are exact fractions, a
+float being taken as it is written (0.1 is a tenth). With whole numbers a of sum A in their place, all windows fall
+together again after A slots, so one cycle of A slots is worked out and later slots follow by arithmetic. When a source
+has no block left, the others share the slots by their weights from there on; no document is dropped or repeated.
+
+The plan is made from one row a source in one task, which writes a row a block of one cycle (never more than there are
+blocks); from these Spark derives all blocks' slots and joins them to the documents by source and block.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from collections.abc import Iterator
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.llm.common import staged
 
-#: Documents in a block, slots in a cycle, parts that a source's order is cut into, sources at most.
-BLOCK, CYCLE, PARTS, MOST_SOURCES = 16, 1000, 4096, 10_000
-
-
-def shares(weights: dict[str, float], cycle: int = CYCLE) -> dict[str, int]:
-    """Whole shares of a cycle, each at least 1, by largest remainders."""
-    cycle = max(cycle, 4 * len(weights))
-    total = sum(weights.values())
-    exact = {s: w / total * cycle for s, w in weights.items()}
-    out = {s: max(1, int(x)) for s, x in exact.items()}
-    for s in sorted(out, key=lambda s: (exact[s] - out[s], s), reverse=sum(out.values()) < cycle):
-        if sum(out.values()) == cycle:
-            break
-        step = 1 if sum(out.values()) < cycle else -1
-        out[s] += step if out[s] + step >= 1 else 0
-    while (over := sum(out.values()) - cycle) > 0:  # many tiny weights were raised to 1: the largest give
-        big = max(out, key=lambda s: (out[s], s))
-        out[big] -= min(over, out[big] - 1)
-    return out
-
-
-def pattern(share: dict[str, int]) -> dict[str, list[int]]:
-    """The slots of each source in one cycle, by earliest deadline among released blocks."""
-    cycle = sum(share.values())
-    slots: dict[str, list[int]] = {s: [] for s in share}
-    release = [(0, s) for s in sorted(share)]
-    heapq.heapify(release)
-    ready: list[tuple[int, str]] = []
-    for t in range(cycle):
-        while release and release[0][0] <= t:
-            _, s = heapq.heappop(release)
-            heapq.heappush(ready, (-(-(len(slots[s]) + 1) * cycle // share[s]), s))
-        _, s = heapq.heappop(ready)  # with whole shares of the cycle there is always one, and it is in time
-        slots[s].append(t)
-        if len(slots[s]) < share[s]:
-            heapq.heappush(release, (len(slots[s]) * cycle // share[s], s))
-    return slots
+#: Documents in a block, documents that a part of a source's order has on average.
+BLOCK, PART_ROWS = 16, 1_000
+_PLAN = pa.schema([("source", pa.string()), ("first_block", pa.int64()), ("end_block", pa.int64()), ("step", pa.int64()), ("first_slot", pa.int64()), ("cycle", pa.int64())])
 
 
-def phases(blocks: dict[str, int], weights: dict[str, float], cycle: int = CYCLE) -> list[tuple]:
-    """(source, first block, blocks, first slot, cycle, slots of one cycle) of each source in each phase.
-
-    A phase ends with the slot at which the first source runs out.
+def whole_weights(weights: dict) -> dict:
+    """The weights as whole numbers without a common divisor, in the same proportion."""
+    exact = {s: Fraction(str(w)) if isinstance(w, float) else Fraction(w) for s, w in weights.items()}
+    if any(w <= 0 for w in exact.values()):
+        raise ValueError("weights are positive")
+    scale = math.lcm(*(w.denominator for w in exact.values()))
+    whole = {s: int(w * scale) for s, w in exact.items()}
+    divisor = math.gcd(*whole.values())
+    return {s: w // divisor for s, w in whole.items()}
+
+
+def earliest_deadlines(weights: dict) -> Iterator[object]:
+    """The source of each slot of one cycle, for whole weights. Of equal deadlines the first source by name comes first."""
+    cycle = sum(weights.values())
+    done = dict.fromkeys(weights, 0)
+    names = sorted(weights)
+    release = [(0, k) for k in range(len(names))]
+    ready: list[tuple[int, int]] = []
+    for t in range(cycle):
+        while release and release[0][0] <= t:
+            _, k = heapq.heappop(release)
+            heapq.heappush(ready, (-(-(done[names[k]] + 1) * cycle // weights[names[k]]), k))
+        _, k = heapq.heappop(ready)  # shares sum to 1, so there is always one, and it is in time
+        s = names[k]
+        done[s] += 1
+        heapq.heappush(release, (done[s] * cycle // weights[s], k))
+        yield s
+
+
+def plan(blocks: dict[str, int], weights: dict[str, int]) -> Iterator[tuple]:
+    """(source, first block, end block, step, first slot, cycle): blocks first, first + step, ... before the end have slots
+    first, first + cycle, ... A row a block of a cycle, for each phase; a phase ends as the first source runs out.
     """
-    left, base, out = {s: n for s, n in blocks.items() if n > 0}, 0, []
+    left, gone, base = {s: n for s, n in blocks.items() if n > 0}, dict.fromkeys(blocks, 0), 0
     while left:
-        share = shares({s: weights[s] for s in left}, cycle)
-        slots, size = pattern(share), sum(share.values())
-        at = lambda s, i: i // share[s] * size + slots[s][i % share[s]]  # noqa: B023, E731
-        last = min(at(s, n - 1) for s, n in left.items())
+        a = whole_weights({s: weights[s] for s in left})
+        cycle, slots = sum(a.values()), {s: [] for s in left}
+        last = None
+        for t, s in enumerate(earliest_deadlines(a)):
+            slots[s].append(t)
+            if len(slots[s]) == left[s]:  # it runs out in the first cycle
+                last = t
+                break
+        if last is None:
+            last = min((n - 1) // a[s] * cycle + slots[s][(n - 1) % a[s]] for s, n in left.items())
+        full, rest = divmod(last + 1, cycle)
         for s in sorted(left):
-            n = (last + 1) // size * share[s] + sum(t < (last + 1) % size for t in slots[s])
-            if n:
-                out.append((s, blocks[s] - left[s], n, base, size, slots[s]))
-                left[s] -= n
-        left, base = {s: n for s, n in left.items() if n > 0}, base + last + 1
-    return out
+            n = full * a[s] + sum(t < rest for t in slots[s]) if full else len(slots[s])
+            for k, t in enumerate(slots[s][:n]):
+                yield s, gone[s] + k, gone[s] + n, a[s], base + t, cycle
+            gone[s] += n
+            left[s] -= n
+        left, base = {s: n for s, n in left.items() if n}, base + last + 1
 
 
 def _key(source_col: str):
@@ -80,54 +89,63 @@ def _key(source_col: str):
     return F.when(F.col(source_col).isNull(), "n").otherwise(F.concat(F.lit("s"), F.col(source_col).cast("string")))
 
 
-def _parted(docs: DataFrame, id_col: str, source_col: str, seed: int) -> DataFrame:
-    h = F.xxhash64(F.lit(seed), F.col(id_col))
-    return docs.withColumns({"__source": _key(source_col), "__h": h, "__part": F.shiftrightunsigned(h, 52).cast("int") % PARTS})
+def _slots(counts: DataFrame, weights: dict, block: int) -> DataFrame:
+    """(source, block, slot) of every block, from (source, n): the documents of each source."""
+    named = {"n" if s is None else f"s{s}": str(Fraction(str(w)) if isinstance(w, float) else Fraction(w)) for s, w in weights.items()}
+
+    def run(batches):
+        blocks = {s: -(-n // block) for b in batches for s, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)}
+        rows = []
+        for row in plan(blocks, {s: Fraction(named.get(s, "1")) for s in blocks}):
+            rows.append(row)
+            if len(rows) == 50_000:
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PLAN, strict=True)], schema=_PLAN)
+                rows = []
+        if rows:
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PLAN, strict=True)], schema=_PLAN)
+
+    kind = "source string, first_block long, end_block long, step long, first_slot long, cycle long"
+    made = staged(counts.coalesce(1).mapInArrow(run, kind), "plan")
+    every = made.select("source", "first_slot", "cycle", F.posexplode(F.expr("sequence(first_block, end_block - 1, step)")).alias("i", "block"))
+    return every.select("source", "block", (F.col("first_slot") + F.col("i") * F.col("cycle")).alias("slot"))
 
 
-def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = BLOCK, seed: int = 1, cycle: int = CYCLE, ties: str | None = None) -> DataFrame:
-    """docs with __block, __slot and __position: the place of each document in the mixed order.
+def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = BLOCK, seed: int = 1) -> DataFrame:
+    """(row, block, slot, position): each row of docs, as a struct of its columns, and its place in the mixed order.
 
-    weights by source name (None: the null source); absent sources, or all without weights, get 1. Positions are unique
-    and ascending by slot, but leave gaps after a source's short last block. Repeated rows are ordered among themselves
-    arbitrarily but take places of their own; null ids are ordered like any other. At most MOST_SOURCES sources.
+    weights by source name (None: the null source), as numbers, fractions or floats; absent sources, or all without
+    weights, get 1. Positions are unique and ascending by slot, but leave gaps after a source's short last block. Null ids
+    are ordered like any other; rows with equal ids are ordered by their other columns, so the order is the same each
+    time, and repeated rows take places of their own. Column names may be any. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    light = _parted(docs.select(F.col(id_col), F.col(source_col)), id_col, source_col, seed)
-    parts = staged(light.groupBy("__source", "__part").agg(F.count("*").alias("n")), "parts")
-    counts = parts.groupBy("__source").agg(F.sum("n").alias("n")).limit(MOST_SOURCES + 1).collect()  # one row a source
-    if len(counts) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    named = {"n" if s is None else f"s{s}": w for s, w in (weights or {}).items()}
-    if any(w <= 0 for w in named.values()):
+    if any(w <= 0 for w in (weights or {}).values()):
         raise ValueError("weights are positive")
-    plan = phases({r[0]: -(-r.n // block) for r in counts}, {r[0]: named.get(r[0], 1.0) for r in counts}, cycle)
-    kind = "__source string, first_block long, blocks long, first_slot long, cycle long, slots array<long>"
-    plan = spark.createDataFrame(plan, kind)
-    blocks = plan.select("*", F.explode(F.sequence(F.col("first_block"), F.col("first_block") + F.col("blocks") - 1)).alias("block"))
-    k = "(block - first_block)"
-    slot = F.expr(f"first_slot + {k} div size(slots) * cycle + slots[cast({k} % size(slots) as int)]")
-    blocks = blocks.select("__source", "block", slot.alias("slot"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("__source").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    parts = parts.select("__source", "__part", before.alias("before"), "n")  # at most PARTS rows a source
-    touched = parts.select("*", F.explode(F.expr(f"sequence(before div {block}, (before + n - 1) div {block})")).alias("block"))
-    slots = touched.join(blocks, ["__source", "block"]).groupBy("__source", "__part", "before").agg(F.array_sort(F.collect_list(F.struct("block", "slot"))).alias("slots"))
-    slots = staged(slots, "slots").select(F.col("__source").alias("__s"), F.col("__part").alias("__p"), F.col("before").alias("__before"), F.col("slots").alias("__slots"))
-    order = Window.partitionBy("__source", "__part").orderBy("__h", id_col, *[ties] * bool(ties))
-    rows = _parted(docs, id_col, source_col, seed).withColumn("__place", F.row_number().over(order))
-    rows = rows.join(slots, (F.col("__source") == F.col("__s")) & (F.col("__part") == F.col("__p")))
-    rows = rows.withColumn("__place", F.col("__before") + F.col("__place") - 1).withColumn("__block", F.expr(f"__place div {block}"))
-    rows = rows.withColumn("__slot", F.expr(f"__slots[cast(__block - __before div {block} as int)].slot"))
-    rows = rows.withColumn("__position", F.expr(f"__slot * {block} + __place % {block}"))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], "__block", "__slot", "__position")
-
-
-def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = BLOCK, seed: int = 1, cycle: int = CYCLE) -> DataFrame:
-    """(id_col, source_col, block, slot, position): one row per row of docs; other columns aren't read."""
-    out = mixed(docs.select(id_col, source_col), weights, id_col, source_col, block, seed, cycle)
-    return out.withColumnsRenamed({"__block": "block", "__slot": "slot", "__position": "position"})
-
-
-def interleaved(docs: DataFrame, weights: dict[str | None, float] | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = BLOCK, seed: int = 1, cycle: int = CYCLE) -> DataFrame:
-    """docs, all rows and columns, sorted into the mixed order: written files hold it, in the order of their names."""
-    return mixed(docs, weights, id_col, source_col, block, seed, cycle).orderBy("__position").drop("__block", "__slot", "__position")
+    n = len(docs.columns)
+    own, source = (f"c{docs.columns.index(c)}" for c in (id_col, source_col))
+    rows = docs.toDF(*[f"c{i}" for i in range(n)])
+    rows = rows.select(F.struct(*rows.columns).alias("row"), _key(source).alias("source"), F.col(own).alias("id"), F.xxhash64(F.lit(seed), F.col(own)).alias("h"))
+    counts = staged(rows.groupBy("source").agg(F.count("*").alias("n")), "counts")
+    most = counts.agg(F.max("n")).first()[0] or 0
+    bits = max(0, math.ceil(math.log2(max(1, most / PART_ROWS))))
+    rows = rows.withColumn("part", F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long"))
+    parts = staged(rows.groupBy("source", "part").agg(F.count("*").alias("n")), "parts")  # at most a row a PART_ROWS / 2 rows and source
+    upto = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("source", "part", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("source", "part").orderBy("h", "id", F.xxhash64("row"), "row"))
+    rows = rows.withColumn("place", place).join(parts, ["source", "part"]).withColumn("place", F.col("before") + F.col("place") - 1)
+    rows = rows.select("row", "source", "place", F.expr(f"place div {block}").alias("block"))
+    rows = rows.join(_slots(counts, weights or {}, block), ["source", "block"])
+    return rows.select("row", "block", "slot", F.expr(f"slot * {block} + place % {block}").alias("position"))
+
+
+def schedule(docs: DataFrame, weights: dict[str | None, float] | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = BLOCK, seed: int = 1) -> DataFrame:
+    """(id_col, source_col, block, slot, position): one row per row of docs, ordered as `mixed` says; other columns aren't
+    read, so rows with equal ids and sources are interchangeable here."""
+    out = mixed(docs.select(id_col, source_col), weights, id_col, source_col, block, seed)
+    return out.select(F.col("row.c0").alias(id_col), F.col("row.c1").alias(source_col), "block", "slot", "position")
+
+
+def interleaved(docs: DataFrame, weights: dict[str | None, float] | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = BLOCK, seed: int = 1) -> DataFrame:
+    """docs, all rows and columns (of any names), sorted into the mixed order: written files hold it, in the order of their
+    names. Nulls, repeats and empty tables as `mixed` says."""
+    return mixed(docs, weights, id_col, source_col, block, seed).orderBy("position").select("row.*").toDF(*docs.columns)

@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 from panelwright.llm import decontam, mixing, quality, repeats, rules, secret_scan, simhash, sql, token_output, toxicity, warc
 
 
+#: Target weights of the sources, in production: the first four are wanted more. A source that isn't listed weighs 1.
+WEIGHTS = {"src0": 3, "src1": 2.5, "src2": 2, "src3": 1.5}
+#: Bytes of a batch of rows that goes to a Python worker: texts are of any length, so a bound by rows isn't enough.
+BATCH_BYTES = 8 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -54,7 +61,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.schedule(table(spark, sf_dir, "documents"))
+    return mixing.schedule(table(spark, sf_dir, "documents"), WEIGHTS)
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

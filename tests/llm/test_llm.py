@@ -4,13 +4,16 @@ import base64
 import collections
 import hashlib
 import itertools
+import math
 import random
 import re
 import string
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from panelwright.llm import coder, decontam, mixing, quality, queries, repeats, rules, secret_scan, simhash, token_output, toxicity, warc
 
@@ -70,13 +73,45 @@ def test_fingerprints_and_components(spark, awkward, empty):
     assert len(ids) == len(set(ids)) and 1 in ids and not {2, 7, 4, 6} & set(ids) and None in ids
 
 
-def test_fingerprint_by_hand():
+def plain_fingerprint(text, shingle=3):
+    """Bit by bit, with another regular expression and another hash call."""
     import xxhash
 
-    text = "A b\tC  d"
-    h = [xxhash.xxh64_intdigest(s, seed=42) for s in (b"a b c", b"b c d")]
-    assert simhash.fingerprint(text) == h[0] & h[1]
-    assert simhash.fingerprint("A b") == xxhash.xxh64_intdigest(b"a b", seed=42)
+    w = re.findall("[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    parts = [" ".join(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))] if w else []
+    h = [xxhash.xxh64_intdigest(p.encode(), seed=42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_fingerprints_of_many_shingles():
+    r = random.Random(9)
+    texts = [" ".join(r.choice(("Ab", "b", "É", "x\u00a0y", "c\x1cd", "漢")) for _ in range(n)) for n in (1, 2, 3, 4, 5, 6, 7, 20, 333)] + [prose(1), LONG, "a\tb\x0bc\rd\x0c e\nf"]
+    assert [simhash.fingerprint(t) for t in texts] == [plain_fingerprint(t) for t in texts]
+    assert simhash.fingerprint(texts[6], 5) == plain_fingerprint(texts[6], 5)
+
+
+def test_near_duplicates_of_texts_against_all_pairs(spark):
+    r = random.Random(4)
+    rows = []
+    for i in range(120):
+        words = plain(1000 + i % 12, 150).split()
+        for _ in range(r.randrange(3)):
+            words[r.randrange(len(words))] = "changed"
+        rows.append((i * 3, " ".join(words)))
+    rows += [(1, ""), (2, None), (4, rows[5][1])]
+    fps = {i: plain_fingerprint(t) for i, t in rows}
+    want = {i: i for i in fps}
+    while True:
+        new = {i: min(want[j] for j in fps if (fps[i] ^ fps[j]).bit_count() <= 3) for i in fps}
+        if new == want:
+            break
+        want = new
+    got = simhash.near_duplicates(table(spark, rows)).collect()
+    assert {x.doc_id: (x.fingerprint, x.component_id) for x in got} == {i: (f"{fps[i]:016x}", want[i]) for i in fps}
+    assert 12 < len(set(want.values())) < 110
+    clash = table(spark, rows).withColumnsRenamed({"lang": "__id", "fp": "kept", "key": "row", "source": "c0"})
+    kept = simhash.one_of_each(clash)
+    assert kept.columns == clash.columns and {x.doc_id for x in kept.collect()} == set(want.values())
 
 
 @pytest.mark.parametrize("spread", [3, 40])
@@ -106,6 +141,8 @@ def test_coder_round_trip_and_damage():
     for n, v in [(0, 5), (1, 2), (63, 10), (64, 10), (65, 70_000), (5000, 300), (70_000, 50_257)]:
         ids = np.minimum(v - 1, r.zipf(1.4, n) - 1).astype(np.uint32)
         assert np.array_equal(coder.decode(coder.encode(ids, v)), ids)
+    ids = np.tile(np.arange(300, dtype=np.uint32), 2000)  # the last id tells the next: far under the 8.2 bits of order 0
+    assert np.array_equal(coder.decode(raw := coder.encode(ids, 50_257)), ids) and 8 * len(raw) / len(ids) < 3
     raw = bytearray(coder.encode(np.arange(500, dtype=np.uint32), 1000))
     for at in (0, 10, 40, len(raw) - 3):
         bad = bytearray(raw)
@@ -116,18 +153,31 @@ def test_coder_round_trip_and_damage():
         coder.encode(np.array([7]), 7)
 
 
-def test_encoder_equals_library():
+def test_encoder_equals_library(monkeypatch):
     from tokenizers import Tokenizer
 
     path = queries.tokenizer_path()
     r = random.Random(3)
     texts = [prose(i) for i in range(20)] + ["".join(r.choice(" \n\t  ab'.1é\x1c\x85​#$") for _ in range(r.randrange(30))) for _ in range(3000)] + ["", "a<|endoftext|>b"]
+    texts += ["".join(r.choice((" ab", "a", " ", "\n", "é", "\n ", " 12", "7", ".", " ,!", "_", "-", "'s", "漢", "²")) for _ in range(r.randrange(9))) for _ in range(3000)]
     t, e = Tokenizer.from_file(path), token_output.Encoder(path)
     want = [np.array(x.ids, "<u4").tobytes() for x in t.encode_batch(texts, add_special_tokens=False)]
-    assert e.encode(texts) == want == e.encode(texts)
-    old, token_output.REMEMBERED = token_output.REMEMBERED, 10
-    assert token_output.Encoder(path).encode(texts) == want
-    token_output.REMEMBERED = old
+    assert [e.encode(x) for x in texts] == want == [e.encode(x) for x in texts]
+    monkeypatch.setattr(token_output, "REMEMBERED", 10)
+    e = token_output.Encoder(path)
+    assert [e.encode(x) for x in texts] == want
+
+
+def test_other_tokenizers_get_whole_texts(tmp_path):
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    t = Tokenizer.from_file(queries.tokenizer_path())
+    assert token_output.plain_byte_level(t)
+    for pre in (pre_tokenizers.ByteLevel(add_prefix_space=True), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False), pre_tokenizers.Whitespace()):
+        t.pre_tokenizer = pre
+        t.save(str(tmp_path / "t.json"))
+        e = token_output.Encoder(str(tmp_path / "t.json"))
+        assert not e.in_pieces and e.encode("a b  c1.") == np.array(t.encode("a b  c1.", add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def test_token_files(spark, awkward, empty):
@@ -238,25 +288,65 @@ def test_kth_largest(spark, k):
     assert quality.kth_largest(spark.createDataFrame([(float(v),) for v in x], "v double"), "v", k, bins=8, few=5) == sorted(x, reverse=True)[k - 1]
 
 
-@pytest.mark.parametrize("weights", [{"a": 1}, {"a": 5, "b": 3, "c": 0.2}, {chr(97 + i): 1 for i in range(20)}, {"a": 1e-9, "b": 1, "c": 1}])
-def test_pfair_deviation_is_under_one_block(weights):
-    share = mixing.shares(weights)
-    slots, cycle, seen = mixing.pattern(share), sum(share.values()), collections.Counter()
-    at = {t: s for s, ts in slots.items() for t in ts}
-    assert sorted(at) == list(range(cycle)) and all(len(slots[s]) == share[s] for s in share)
-    for t in range(cycle):
-        seen[at[t]] += 1
-        assert all(abs(seen[s] - share[s] * (t + 1) / cycle) < 1 for s in share)
+@pytest.mark.parametrize("weights", [{"a": 1}, {"a": 1, "b": 1, "c": 1}, {chr(97 + i): 1 for i in range(7)}, {"a": 0.0004, "b": 0.6, "c": 0.3996}, {"a": 5, "b": 3.25, "c": 0.2, "d": 1.111}])
+def test_pfair_deviation_from_the_target_weights_is_under_one_block(weights):
+    slots = 100_000
+    exact = {s: Fraction(str(w)) for s, w in weights.items()}
+    total, at = sum(exact.values()), np.full(slots, -1)
+    names = sorted(weights)
+    for s, first, end, step, slot, cycle in mixing.plan(dict.fromkeys(weights, slots), exact):
+        mine = slot + cycle * np.arange(-(-(end - first) // step))
+        mine = mine[mine < slots]
+        assert (at[mine] == -1).all()
+        at[mine] = names.index(s)
+    if len(weights) == 1:
+        assert (at == 0).all()
+    for k, s in enumerate(names):
+        done = np.cumsum(at == k)
+        share = exact[s] / total
+        assert max(abs(int(d) - share * (t + 1)) for t, d in enumerate(done.tolist()) if t % 97 == 0 or t < 3000) < 1
+        assert np.abs(done - float(share) * np.arange(1, slots + 1)).max() < 1
+
+
+def brute_schedule(sizes, weights, block):
+    """Slots of all blocks, by looking at every source at every slot."""
+    left, out, t = {s: -(-n // block) for s, n in sizes.items() if n}, {}, 0
+    done, start, number = {}, 0, {s: 0 for s in sizes}
+    while left:
+        total = sum(Fraction(str(weights.get(s, 1))) for s in left)
+        share = {s: Fraction(str(weights.get(s, 1))) / total for s in left}
+        done = done or dict.fromkeys(left, 0)
+        open_ = [s for s in left if math.floor(done[s] / share[s]) <= t - start]
+        s = min(open_, key=lambda s: (math.ceil((done[s] + 1) / share[s]), s))  # noqa: B023
+        out[s, number[s]] = t
+        done[s] += 1
+        number[s] += 1
+        left[s] -= 1
+        t += 1
+        if not left[s]:
+            del left[s]
+            done, start = {}, t
+    return out
 
 
 def test_mixing(spark, awkward, empty):
+    names = [*(("s0",) * 50), *(("s1",) * 90), *(("s2",) * 33), *((None,) * 21), *(("s3",) * 2)]
+    docs = table(spark, [(i, "x", "de", s) for i, s in enumerate(names)])
+    weights = {"s0": 2.5, "s1": 1, None: 0.3, "s2": 0.75}
+    got = mixing.schedule(docs, weights, block=4).collect()
+    want = brute_schedule(collections.Counter("n" if s is None else f"s{s}" for s in names), {"ss0": 2.5, "ss1": 1, "n": 0.3, "ss2": 0.75}, 4)
+    assert {("n" if r.source is None else f"s{r.source}", r.block): r.slot for r in got} == want
+    assert len(got) == len(names) == len({r.position for r in got}) and all(r.position // 4 == r.slot for r in got)
     got = mixing.schedule(awkward, {"s0": 3, None: 2}, block=4).collect()
     assert len(got) == awkward.count() and len({r.position for r in got}) == len(got)
     blocks = collections.Counter((r.source, r.block) for r in got)
     assert max(blocks.values()) <= 4 and len({r.slot for r in got}) == len(blocks) == 1 + max(r.slot for r in got)
-    out = mixing.interleaved(awkward, block=4)
-    assert out.columns == awkward.columns and collections.Counter(map(tuple, out.collect())) == collections.Counter(map(tuple, awkward.collect()))
-    assert mixing.schedule(empty).count() == 0
+    clash = awkward.withColumnsRenamed({"lang": "row", "n_chars": "slot", "fp": "position", "key": "__s", "slots": "block"}).withColumn("place", F.lit(1))
+    out = mixing.interleaved(clash, block=4)
+    assert out.columns == clash.columns and collections.Counter(map(tuple, out.collect())) == collections.Counter(map(tuple, clash.collect()))
+    tied = table(spark, [(1, f"t{i}") for i in range(40)])
+    assert [r.text for r in mixing.interleaved(tied, block=4).collect()] == [r.text for r in mixing.interleaved(tied.repartition(7, "text"), block=4).collect()]
+    assert mixing.schedule(empty).count() == 0 == mixing.interleaved(empty).count()
     with pytest.raises(ValueError):
         mixing.schedule(awkward, {"s0": 0})
 
@@ -370,6 +460,6 @@ def test_pipeline(spark, tmp_path):
     assert 101 not in ids[0] and 102 in ids[0] and len(ids[0]) > 55
     assert ids[1] == ids[0] - ({100} if 3 in ids[0] else set()) and ids[2] == ids[3] == ids[4] == ids[1] - {102}
     last = sorted(docs.collect(), key=lambda r: r.start)
-    order = [r.doc_id for r in mixing.schedule(spark.read.parquet(f"{tmp_path}/stage2")).orderBy("position").collect()]
+    order = [r.doc_id for r in mixing.schedule(spark.read.parquet(f"{tmp_path}/stage2"), queries.WEIGHTS).orderBy("position").collect()]
     assert [r.doc_id for r in last] == order
     assert sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect())) == sorted(map(tuple, last))
