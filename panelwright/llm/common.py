@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from urllib.parse import urlparse
@@ -13,12 +14,15 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that the driver and all executors see: spark.checkpoint.dir. Where that is unset, a local session, as in
+    tests, gets one of its own; a cluster has none that we could know of."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         folder = known.get() if known.isDefined() else ""
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="panelwright-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -82,8 +86,12 @@ def batches(rows: list, schema: pa.Schema) -> pa.RecordBatch:
     return pa.record_batch([pa.array(list(c), type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+#: Edges that a task puts together at once; more give more stars, which the rounds join.
+FOREST = 500_000
+
+
 def _forest(batches_):
-    """Union-find over one partition's edges: the same connections with at most one edge a node."""
+    """Union-find over at most FOREST of a partition's edges at once: the same connections with at most one edge a node."""
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -91,39 +99,46 @@ def _forest(batches_):
             parent[x] = x = parent.setdefault(p, p)
         return x
 
+    def stars():
+        out = [(x, r) for x in list(parent) if (r := root(x)) != x]
+        for i in range(0, len(out), 50_000):
+            yield batches(out[i : i + 50_000], pa.schema([("u", pa.int64()), ("v", pa.int64())]))
+        parent.clear()
+
     for b in batches_:
         for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             x, y = root(x), root(y)
             if x != y:
                 parent[max(x, y)] = min(x, y)
-    out = [(x, r) for x in list(parent) if (r := root(x)) != x]
-    for i in range(0, len(out), 50_000):
-        yield batches(out[i : i + 50_000], pa.schema([("u", pa.int64()), ("v", pa.int64())]))
+        if len(parent) > FOREST:
+            yield from stars()
+    yield from stars()
 
 
-def connected_components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
+def connected_components(links: DataFrame) -> DataFrame:
     """(node, root) for each node of the undirected links (two long columns); root is the smallest node reachable.
 
-    Alternating large-star and small-star rounds (Kiveris et al., 2014); the edges of a round are a staged table, so the
-    lineage stays short. Self-links and repeated links do no harm; null ends are left out; no links give no rows. A node
-    with very many links is only ever reduced by a partial minimum and joined back, which adaptive skew joins split.
+    Alternating large-star and small-star rounds (Kiveris et al., 2014) until nothing changes; the edges of a round are a
+    staged table, so the lineage stays short. Self-links and repeated links do no harm; null ends are left out; no links
+    give no rows. A node with very many links is only ever reduced by a partial minimum and joined back to it: the minima
+    are staged before the join, so that both its sides are plain shuffles, which adaptive skew joins split, or broadcast.
     """
-    spark = links.sparkSession
     a, b = links.columns[:2]
-    edges = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u is not null and v is not null and u != v")
+    # links often come from Python workers; written first, they don't share a task with those of the forest
+    edges = staged(links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u is not null and v is not null and u != v"), "links")
     edges = staged(edges.mapInArrow(_forest, "u long, v long"), "edges")
     seen = None
-    for _ in range(most_rounds):
+    while True:
         both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = staged(large, "edges")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m")), "least")
+        large = staged(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "edges")
+        drop_staged(least)
+        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least)
         small = staged(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(), "edges")
         now = small.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        drop_staged(large)
-        drop_staged(edges)
+        for old in (least, large, edges):
+            drop_staged(old)
         edges = small
         if now == seen:
             break

@@ -130,13 +130,16 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Of rows with the same id the smallest row stays. Documents without an id stay, unless they are exact copies of each other.
     """
-    found = near_duplicates(docs.select(id_col, text_col), id_col, text_col, most, shingle)
-    keep = staged(found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__id")), "kept")
-    nameless = docs.where(F.col(id_col).isNull()).distinct()
-    named = docs.join(keep.distinct(), F.col(id_col) == F.col("__id"), "left_semi")
-    if not keep.groupBy("__id").count().where("count > 1").isEmpty():
-        again = keep.groupBy("__id").count().where("count > 1").select("__id")
-        twice = named.join(again, F.col(id_col) == F.col("__id"), "left_semi")
-        least = twice.groupBy(id_col).agg(F.min(F.struct(*[F.col(c) for c in docs.columns])).alias("__row"))
-        named = named.join(again, F.col(id_col) == F.col("__id"), "left_anti").union(least.select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns]))
-    return named.union(nameless)
+    n = len(docs.columns)
+    rows = docs.toDF(*[f"c{i}" for i in range(n)])  # the columns' own names may be any
+    own, text = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
+    found = near_duplicates(rows.select(own, text), own, text, most, shingle)
+    keep = staged(found.where(F.col(own) == F.col("component_id")).groupBy(F.col(own).alias("kept")).count(), "kept")
+    nameless = rows.where(F.col(own).isNull()).distinct()
+    named = rows.join(keep.select("kept"), F.col(own).cast("long") == F.col("kept"), "left_semi")
+    again = keep.where("count > 1").select("kept")
+    if not again.isEmpty():
+        twice = named.join(again, F.col(own).cast("long") == F.col("kept"), "left_semi")
+        least = twice.groupBy(own).agg(F.min(F.struct(*[F.col(c) for c in rows.columns])).alias("row")).select("row.*")
+        named = named.join(again, F.col(own).cast("long") == F.col("kept"), "left_anti").union(least)
+    return named.union(nameless).toDF(*docs.columns)
