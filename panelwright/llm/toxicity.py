@@ -9,15 +9,19 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Labelled documents that the model is fitted on, at most, and rounds of fitting.
-SAMPLE, ROUNDS = 4_000, 150
+from panelwright.llm.common import staged
+
+#: Labelled documents that the model is fitted on, at most, their bytes in all, and rounds of fitting.
+SAMPLE, SAMPLE_BYTES, ROUNDS = 4_000, 24 << 20, 150
 #: Documents of the sample that a word must be in to get a weight.
 LEAST_DOCS = 6
-#: Shrinkage of weights; a toxic document counts as so many clean ones, as there are fewer of them.
-RIDGE, TOXIC_WEIGHT = 1e-4, 4.0
+#: Settings that cross-validation inside the sample chooses from: shrinkage of weights, and how many clean documents a
+#: toxic one counts as, for there are fewer of them; its folds, and the rounds of its fits.
+SETTINGS = [(ridge, weight) for ridge in (1e-3, 1e-4) for weight in (1.0, 3.0, 9.0)]
+FOLDS, TRIAL_ROUNDS = 3, 60
 PREFIXES = (4, 5, 6, 7, 8)
 #: Words whose weight a task remembers, at most.
 REMEMBERED = 400_000
@@ -76,48 +80,111 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", sample: int = SAMPLE, rounds: int = ROUNDS) -> NoisyOr:
-    """The model from at most `sample` labelled rows, none of them held out; ids labelled both ways count as toxic."""
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, rounds: int = ROUNDS) -> NoisyOr:
+    """The model from at most `sample` labelled rows of at most `sample_bytes` in all, none of them held out.
+
+    The rows are the same ones each time, by a hash of the id. Ids labelled both ways count as toxic; null labels and ids
+    teach nothing; of documents with equal ids the least text counts. Settings are chosen by `choose` among these rows.
+    Without labels of both kinds the model is a constant.
+    """
     y = labels.where(F.col(label).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(label).alias("y"))
-    y = y.orderBy(F.xxhash64("id"), "id").limit(sample)  # bounded, so it may be broadcast and the texts collected
+    y = staged(y.orderBy(F.xxhash64("id"), "id").limit(sample), "labelled")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = texts.join(F.broadcast(y), "id").groupBy("id", "y").agg(F.min("text").alias("text")).orderBy("id").collect()
-    return learn([(r.text, int(r.y)) for r in rows], rounds)
+    sized = texts.join(F.broadcast(y), "id").groupBy("id").agg(F.max(F.octet_length("text")).alias("size"), F.xxhash64("id").alias("h"))
+    ids, total = [], 0
+    for r in sorted(sized.collect(), key=lambda r: (r.h, r.id)):  # at most `sample` pairs of numbers
+        total += r.size or 0
+        if total > sample_bytes:
+            break
+        ids.append((r.id,))
+    if not ids:
+        return learn([])
+    chosen = docs.sparkSession.createDataFrame(ids, "id long")
+    rows = texts.join(F.broadcast(chosen), "id").join(F.broadcast(y), "id").groupBy("id", "y").agg(F.min("text").alias("text")).orderBy("id").collect()
+    rows = [(r.text, int(r.y)) for r in rows]
+    return learn(rows, *choose(docs.sparkSession, rows), rounds)
+
+
+class Design:
+    """The sample's features, by sentence and document, and fits to any part of its documents."""
+
+    def __init__(self, rows: list[tuple[str | None, int]]):
+        seen: dict[bytes, int] = {}
+        parsed = [sentences(t) or [[]] for t, _ in rows]
+        for s in parsed:
+            for w in {f for w in {w for x in s for w in x} for f in features(w)}:
+                seen[w] = seen.get(w, 0) + 1
+        self.number = {w: i for i, w in enumerate(sorted(w for w, c in seen.items() if c >= LEAST_DOCS))}
+        word, sent, doc, n = [], [], [], 0
+        for d, s in enumerate(parsed):
+            for x in s:
+                ids = [self.number[f] for w in set(x) for f in features(w) if f in self.number]
+                word.extend(ids)
+                sent.extend([n] * len(ids))
+                doc.append(d)
+                n += 1
+        self.word, self.sent, self.doc, self.n = np.array(word, np.int64), np.array(sent, np.int64), np.array(doc, np.int64), n
+        self.y = np.array([y for _, y in rows], np.float64)
+
+    def logits(self, w: np.ndarray, b: float) -> np.ndarray:
+        return b + np.bincount(self.sent, w[self.word], self.n)
+
+    def fitted(self, use: np.ndarray, ridge: float, weight: float, rounds: int) -> tuple[np.ndarray, float]:
+        """Feature weights and bias from the documents of which use is 1: Adam on the mean log-likelihood."""
+        w, b = np.zeros(len(self.number)), -5.0
+        m, v = np.zeros(len(self.number) + 1), np.zeros(len(self.number) + 1)
+        for t in range(1, rounds + 1):
+            z = self.logits(w, b)
+            p = np.exp(-np.logaddexp(0, -z))
+            none = np.bincount(self.doc, np.logaddexp(0, z), len(self.y))  # minus the log of the chance of no toxic sentence
+            push = use * np.where(self.y == 1, weight / np.maximum(np.expm1(none), 1e-9), -1.0)
+            g = p * push[self.doc]
+            grad = np.append(np.bincount(self.word, g[self.sent], len(w)) / use.sum() - ridge * w, g.sum() / use.sum())
+            m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
+            step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+            w, b = w + step[:-1], b + step[-1]
+        return w, b
+
+    def toxic(self, w: np.ndarray, b: float) -> np.ndarray:
+        """Each document's noisy-or."""
+        return -np.expm1(-np.bincount(self.doc, np.logaddexp(0, self.logits(w, b)), len(self.y)))
+
+
+def trial(rows: list[tuple[str | None, int]], ridge: float, weight: float) -> float:
+    """F1 of documents that the fit didn't see, over all folds."""
+    design = Design(rows)
+    fold = np.arange(len(rows)) % FOLDS
+    said = np.zeros(len(rows))
+    for k in range(FOLDS):
+        use = (fold != k).astype(np.float64)
+        said = np.where(fold == k, design.toxic(*design.fitted(use, ridge, weight, TRIAL_ROUNDS)) >= 0.5, said)
+    return float(2 * (said * design.y).sum() / max(1.0, said.sum() + design.y.sum()))
+
+
+def choose(spark: SparkSession, rows: list[tuple[str | None, int]]) -> tuple[float, float]:
+    """The setting with the best F1 in cross-validation over the sample alone, one task a setting; of equal ones the first."""
+    if len({y for _, y in rows}) < 2:
+        return SETTINGS[0]
+    shared = spark.sparkContext.broadcast(rows)
+
+    def run(it):
+        for b in it:
+            for k in b.column(0).to_pylist():
+                yield pa.record_batch([pa.array([k], pa.int64()), pa.array([trial(shared.value, *SETTINGS[k])])], names=["k", "f1"])
+
+    found = spark.range(0, len(SETTINGS), 1, len(SETTINGS)).mapInArrow(run, "k long, f1 double").collect()
+    return SETTINGS[max(found, key=lambda r: (round(r.f1, 4), -r.k)).k]
 
 
-def learn(rows: list[tuple[str | None, int]], rounds: int = ROUNDS) -> NoisyOr:
+def learn(rows: list[tuple[str | None, int]], ridge: float = SETTINGS[0][0], weight: float = SETTINGS[0][1], rounds: int = ROUNDS) -> NoisyOr:
+    """The model of (text, label) rows. Null and empty texts are sentences without words; labels of one kind, or no rows,
+    give a constant."""
     if len({y for _, y in rows}) < 2:
         share = sum(y for _, y in rows) / len(rows) if rows else 0.0
         return NoisyOr({}, 6.0 if share > 0.5 else -6.0)
-    seen: dict[bytes, int] = {}
-    parsed = [(sentences(t) or [[]], y) for t, y in rows]
-    for s, _ in parsed:
-        for w in {f for w in {w for x in s for w in x} for f in features(w)}:
-            seen[w] = seen.get(w, 0) + 1
-    number = {w: i for i, w in enumerate(sorted(w for w, c in seen.items() if c >= LEAST_DOCS))}
-    word, sent, doc, n = [], [], [], 0
-    for d, (s, _) in enumerate(parsed):
-        for x in s:
-            ids = [number[f] for w in set(x) for f in features(w) if f in number]
-            word.extend(ids)
-            sent.extend([n] * len(ids))
-            doc.append(d)
-            n += 1
-    word, sent, doc = np.array(word, np.int64), np.array(sent, np.int64), np.array(doc, np.int64)
-    y = np.array([y for _, y in parsed], np.float64)
-    w, b = np.zeros(len(number)), -5.0
-    m, v = np.zeros(len(number) + 1), np.zeros(len(number) + 1)
-    for t in range(1, rounds + 1):  # Adam on the mean log-likelihood
-        z = b + np.bincount(sent, w[word], n)
-        p = np.exp(-np.logaddexp(0, -z))
-        none = np.bincount(doc, np.logaddexp(0, z), len(y))  # minus the log of the chance of no toxic sentence
-        push = np.where(y == 1, TOXIC_WEIGHT / np.maximum(np.expm1(none), 1e-9), -1.0)
-        g = p * push[doc]
-        grad = np.append(np.bincount(word, g[sent], len(w)) / len(y) - RIDGE * w, g.sum() / len(y))
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
-        step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-        w, b = w + step[:-1], b + step[-1]
-    return NoisyOr({k: float(w[i]) for k, i in number.items() if abs(w[i]) > 1e-3}, float(b))
+    design = Design(rows)
+    w, b = design.fitted(np.ones(len(rows)), ridge, weight, rounds)
+    return NoisyOr({k: float(w[i]) for k, i in design.number.items() if abs(w[i]) > 1e-3}, float(b))
 
 
 def score(docs: DataFrame, model: NoisyOr, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
