@@ -1,26 +1,35 @@
 """Quality rules: statistics of each text, and robust multivariate outliers among them, in DataFrame functions alone.
 
 The statistics stay in the row: a text's repeated word windows are found by sorting its own windows' hashes, so nothing
-is shuffled for them. Outliers are judged per language and source by minimum-covariance-determinant estimates: from a
-robust start, mean and covariance of the three quarters of a group nearest to the last estimate are taken again and
-again (concentration steps). Every step is one aggregation into moments and one into a histogram of distances; the
-histograms, not the rows, tell where three quarters lie.
+is shuffled for them. Outliers are judged per language and source by minimum-covariance-determinant estimates. From three
+starts (medians and quartiles; all rows; the rows inside the middle of every statistic), mean and covariance of the three
+quarters of a group nearest to the last estimate are taken again (concentration steps); for each group the start with the
+least determinant goes on until no group's determinant falls any more. Every step is one aggregation into histograms
+of distances, which tell where three quarters lie, and one into moments, for all groups and starts at once. An estimate
+counts as PRIOR rows of the estimate over all rows and as many as the group has of its own, so small groups lean on the
+whole by degrees. How far is too far follows from the distances' own distribution.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.llm.common import staged
 
 BLANK = r"[\x20\x09-\x0D]+"
-#: Rows that a group needs for an estimate of its own; smaller ones share their language's, then everyone's.
-LEAST_GROUP = 60
-STEPS, SHARE = 4, 0.75
-#: Squared robust distance beyond which a text is rejected. Texts aren't normally distributed even after the transforms,
-#: so this is far out: no clean text of the labelled ones reaches it, and junk lies beyond 600.
-CUTOFF = 350.0
+#: Share of a group that its estimate rests on, concentration steps of every start, further ones of the best start at most,
+#: and the fall of a log-determinant that counts.
+SHARE, FIRST_STEPS, MOST_STEPS, FALL = 0.75, 2, 6, 0.01
+#: Rows that the estimate over all rows counts as, beside a group's own.
+PRIOR = 60.0
+#: A text is rejected beyond the upper quartile of the logarithms of all squared distances by so many interquartile ranges:
+#: Tukey's fence.
+FENCE = 1.5
+#: Estimates up to this many rows are broadcast; more are joined by shuffle.
+BROADCAST_ROWS = 50_000
 #: 0.75-quantile of chi-squared with five degrees of freedom: makes the estimates consistent.
 CHI2_75 = 6.6257
 #: Least standard deviation of each statistic, so that one that is nearly constant in a group doesn't condemn a trace.
@@ -67,101 +76,141 @@ def transformed(stats: DataFrame) -> DataFrame:
     return stats.withColumns(dict(zip(XS, x, strict=True)))
 
 
+def _near(df: DataFrame, est: DataFrame, on: list[str], small: bool, how: str = "inner") -> DataFrame:
+    """df joined with a few numbers a group: not by a shuffle of df while these are few, whatever df's hot groups."""
+    return df.join(F.broadcast(est) if small else est, on, how)
+
+
 def _whitening(est: DataFrame) -> DataFrame:
-    """est (g, means m*, covariances c*_*) with k*_*, the inverse of the covariance's Cholesky factor, in place of c*_*.
+    """est (g, s, n, means m*, covariances c*_*) with k*_*, the inverse of the covariance's Cholesky factor, and logdet.
 
     Worked out on the few rows of the estimates, column by column, so that the rows of texts only need a weighted sum.
     """
-    low: dict[tuple[int, int], str] = {}
     for j in range(D):
-        new = {}
+        cells = []
         for i in range(j, D):
-            inner = F.col(f"c{i}_{j}") - sum((F.col(low[i, k]) * F.col(low[j, k]) for k in range(j)), F.lit(0.0))
-            new[f"l{i}_{j}"] = F.sqrt(F.greatest(inner, F.lit(1e-9))) if i == j else inner
-        est = est.withColumns(new)
-        est = est.withColumns({f"l{i}_{j}": F.col(f"l{i}_{j}") / F.col(f"l{j}_{j}") for i in range(j + 1, D)}) if j + 1 < D else est
-        low |= {(i, j): f"l{i}_{j}" for i in range(j, D)}
+            inner = f"c{i}_{j}" + "".join(f" - l{i}_{k} * l{j}_{k}" for k in range(j))
+            cells.append(f"sqrt(greatest({inner}, 1e-9)) AS l{j}_{j}" if i == j else f"({inner}) / sqrt(greatest(c{j}_{j}{''.join(f' - l{j}_{k} * l{j}_{k}' for k in range(j))}, 1e-9)) AS l{i}_{j}")
+        est = est.selectExpr("*", *cells)
     for i in range(D):
-        new = {f"k{i}_{i}": 1 / F.col(low[i, i])}
-        for j in range(i):
-            new[f"k{i}_{j}"] = -sum((F.col(low[i, k]) * F.col(f"k{k}_{j}") for k in range(j + 1, i)), F.col(low[i, j]) * F.col(f"k{j}_{j}")) / F.col(low[i, i])
-        est = est.withColumns(new)
-    return est.select("g", *[f"m{i}" for i in range(D)], *[f"k{i}_{j}" for i in range(D) for j in range(i + 1)])
+        inverse = [f"1 / l{i}_{i} AS k{i}_{i}"] + [f"-({' + '.join(f'l{i}_{k} * k{k}_{j}' for k in range(j, i))}) / l{i}_{i} AS k{i}_{j}" for j in range(i)]
+        est = est.selectExpr("*", *inverse)
+    logdet = "2 * (" + " + ".join(f"ln(l{i}_{i})" for i in range(D)) + ") AS logdet"
+    return est.selectExpr("g", "s", "n", *_MEANS, *_COVS, *[f"k{i}_{j}" for i in range(D) for j in range(i + 1)], logdet)
+
+
+_MEANS = [f"m{i}" for i in range(D)]
+_COVS = [f"c{i}_{j}" for i in range(D) for j in range(i + 1)]
 
 
 def _distance(df: DataFrame) -> DataFrame:
     """df (with XS, and per row its group's m* and k*_*) with d, the squared Mahalanobis distance."""
-    zs = [sum((F.col(f"k{i}_{j}") * (F.col(f"x{j}") - F.col(f"m{j}")) for j in range(1, i + 1)), F.col(f"k{i}_0") * (F.col("x0") - F.col("m0"))) for i in range(D)]
-    df = df.withColumns({f"z{i}": z for i, z in enumerate(zs)})
-    d = sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(1, D)), F.col("z0") * F.col("z0"))
-    return df.withColumn("d", d)
+    zs = [" + ".join(f"k{i}_{j} * (x{j} - m{j})" for j in range(i + 1)) + f" AS z{i}" for i in range(D)]
+    return df.selectExpr("*", *zs).selectExpr("*", " + ".join(f"z{i} * z{i}" for i in range(D)) + " AS d")
 
 
-def _moments(df: DataFrame) -> DataFrame:
-    """Mean and covariance (with the floors added) of each group g."""
-    sums = [F.avg(f"x{i}").alias(f"m{i}") for i in range(D)] + [F.avg(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"q{i}_{j}") for i in range(D) for j in range(i + 1)]
-    m = df.groupBy("g").agg(*sums)
-    cov = [(F.col(f"q{i}_{j}") - F.col(f"m{i}") * F.col(f"m{j}") + F.lit(FLOORS[f"x{i}"] ** 2 if i == j else 0.0)).alias(f"c{i}_{j}") for i in range(D) for j in range(i + 1)]
-    return m.select("g", *[f"m{i}" for i in range(D)], *cov)
+def _moments(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Count, mean and covariance (with the floors added) by keys."""
+    pairs = [(i, j) for i in range(D) for j in range(i + 1)]
+    sums = [f"avg(x{i}) AS m{i}" for i in range(D)] + [f"avg(x{i} * x{j}) AS q{i}_{j}" for i, j in pairs]
+    m = df.groupBy(*keys).agg(F.count("*").cast("double").alias("n"), *map(F.expr, sums))
+    return m.selectExpr(*keys, "n", *_MEANS, *[f"q{i}_{j} - m{i} * m{j} + {FLOORS[f'x{i}'] ** 2 if i == j else 0.0}D AS c{i}_{j}" for i, j in pairs])
+
+
+def _leaning(est: DataFrame, prior: DataFrame | None) -> DataFrame:
+    """est (g, s, n, m*, c*) drawn towards the one row of prior, which counts as PRIOR rows."""
+    if prior is None:
+        return est
+    one = prior.selectExpr(*[f"{c} AS p_{c}" for c in [*_MEANS, *_COVS]])
+    both = est.crossJoin(F.broadcast(one))  # one row
+    return both.selectExpr("g", "s", "n", *[f"(n * {c} + {PRIOR} * p_{c}) / (n + {PRIOR}) AS {c}" for c in [*_MEANS, *_COVS]])
 
 
 def _bin(col: str):
     return F.floor(F.log(F.col(col) + 1e-6) * 32).cast("int")
 
 
-def _nearest(df: DataFrame, col: str) -> DataFrame:
-    """(g, cut, q): the bin of col within which SHARE of the group lies, and that bin's upper edge."""
-    bins = df.groupBy("g", _bin(col).alias("bin")).agg(F.count("*").alias("n"))  # about 1,500 bins a group at most
-    run = bins.withColumn("upto", F.sum("n").over(Window.partitionBy("g").orderBy("bin"))).withColumn("all", F.sum("n").over(Window.partitionBy("g")))
-    cut = run.where(F.col("upto") >= SHARE * F.col("all")).groupBy("g").agg(F.min("bin").alias("cut"))
-    return cut.withColumn("q", F.exp((F.col("cut") + 1) / 32.0) - 1e-6)
+def _upper(bin_col):
+    return F.exp((bin_col + 1) / 32.0) - 1e-6
 
 
-def _grouped(stats: DataFrame, group: tuple[str, ...]) -> DataFrame:
-    """stats with g: the group whose estimate judges the row; null where even all rows are too few."""
-    first = F.coalesce(F.col(f"k_{group[0]}"), F.lit("\x00")) if group else F.lit("")
-    own = F.concat_ws("\x01", *[F.coalesce(F.col(f"k_{k}"), F.lit("\x00")) for k in group]) if group else F.lit("")
-    named = stats.select("*", F.concat(F.lit("g"), own).alias("g2"), F.concat(F.lit("f"), first).alias("g1"))
-    n2 = named.where(~F.col("base_failed")).groupBy("g2", "g1").agg(F.count("*").alias("n2"))
-    small = n2.where(F.col("n2") < LEAST_GROUP)
-    n1 = small.groupBy("g1").agg(F.sum("n2").alias("n1"))
-    lone = n1.where(F.col("n1") < LEAST_GROUP).agg(F.sum("n1").alias("n0"))
-    where = n2.join(n1, "g1", "left").crossJoin(lone)  # one row
-    g = F.when(F.col("n2") >= LEAST_GROUP, F.col("g2")).when(F.col("n1") >= LEAST_GROUP, F.col("g1")).when(F.col("n0") >= LEAST_GROUP, F.lit("all"))
-    where = where.select(F.col("g2"), g.alias("g"))
-    return named.join(staged(where, "groups"), "g2", "left").drop("g1", "g2")
-
-
-def outliers(stats: DataFrame, group: tuple[str, ...] = ("lang", "source"), steps: int = STEPS, cutoff: float = CUTOFF) -> DataFrame:
+def _cuts(df: DataFrame, keys: list[str], shares: dict[str, float]) -> DataFrame:
+    """(keys, the bin of d at or below which each share of the rows lies, by name)."""
+    bins = df.groupBy(*keys, _bin("d").alias("bin")).agg(F.count("*").alias("n"))  # about 1,500 bins a group at most
+    run = bins.withColumn("upto", F.sum("n").over(Window.partitionBy(*keys).orderBy("bin"))).withColumn("all", F.sum("n").over(Window.partitionBy(*keys)))
+    return run.groupBy(*keys).agg(*[F.min(F.when(F.col("upto") >= share * F.col("all"), F.col("bin"))).alias(name) for name, share in shares.items()])
+
+
+def _starts(rows: DataFrame, small: bool) -> DataFrame:
+    """(g, s, n, m*, c*): three first estimates of each group."""
+    middle = rows.groupBy("g").agg(F.count("*").cast("double").alias("n"), *[F.percentile_approx(f"x{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 2000).alias(f"p{i}") for i in range(D)])
+    middle = staged(middle, "middle")
+    wide = [f"(p{i}[2] - p{i}[0]) / 1.349D + {FLOORS[f'x{i}']}D" for i in range(D)]
+    first = middle.selectExpr("g", "0 AS s", "n", *[f"p{i}[1] AS m{i}" for i in range(D)], *[(f"pow({wide[i]}, 2)" if i == j else "0.0D") + f" AS c{i}_{j}" for i in range(D) for j in range(i + 1)])
+    kept = ["g", "s", "n", *_MEANS, *_COVS]
+    second = _moments(rows, ("g",)).withColumn("s", F.lit(1)).select(kept)
+    near = _near(rows, middle.drop("n"), ["g"], small)
+    near = near.where(" AND ".join(f"abs(x{i} - p{i}[1]) <= 2 * ({wide[i]})" for i in range(D)))
+    third = _moments(near, ("g",)).withColumn("s", F.lit(2)).select(kept)
+    return first.select(kept).union(second).union(third)
+
+
+def _step(rows: DataFrame, est: DataFrame, prior: DataFrame | None, small: bool) -> DataFrame:
+    """The estimates (g, s) from the SHARE of each group's rows nearest to est."""
+    near = _distance(_near(rows, est.drop("n", "logdet", *_COVS), ["g"], small)).select("g", "s", *XS, "d")
+    cut = staged(_cuts(near, ["g", "s"], {"cut": SHARE}), "cut")
+    core = _near(near, cut, ["g", "s"], small).where(_bin("d") <= F.col("cut"))
+    return staged(_whitening(_leaning(_moments(core, ("g", "s")), prior)), "estimate")
+
+
+def mcd(rows: DataFrame, prior: DataFrame | None = None) -> DataFrame:
+    """(g, n, m*, c*_*, k*_*, logdet, q): each group's estimate of least determinant, from rows (g, XS), one row a group.
+
+    q is the distance within which SHARE of the group's rows lie. A group of one row has an estimate, too.
+    """
+    small = rows.select("g").distinct().count() <= BROADCAST_ROWS
+    est = staged(_whitening(_leaning(_starts(rows, small), prior)), "estimate")
+    for _ in range(FIRST_STEPS):
+        est = _step(rows, est, prior, small)
+    best = est.groupBy("g").agg(F.min_by(F.struct(*[c for c in est.columns if c != "g"]), F.struct("logdet", "s")).alias("e")).select("g", "e.*")
+    est = staged(best, "best")
+    for _ in range(MOST_STEPS):
+        new = _step(rows, est, prior, small)
+        fell = new.join(est.select("g", F.col("logdet").alias("old")), "g").agg(F.max(F.col("old") - F.col("logdet"))).first()[0]
+        est = new
+        if fell is None or fell < FALL:
+            break
+    q = _cuts(_distance(_near(rows, est, ["g"], small)), ["g"], {"cut": SHARE}).select("g", _upper(F.col("cut")).alias("q"))
+    return staged(est.drop("s").join(q, "g"), "estimate")
+
+
+def outliers(stats: DataFrame, group: tuple[str, ...] = ("lang", "source"), fence: float = FENCE) -> DataFrame:
     """stats (from `statistics`, with the group's columns kept) with distance2 and kept.
 
-    Rows that fail the base rules teach nothing and aren't kept. A null language or source is a group of its own. Groups
-    under LEAST_GROUP share an estimate; where there is none, distance2 is null and the base rules decide.
+    Rows that fail the base rules teach nothing and aren't kept. A null language or source is a group of its own. Where
+    no row passes the base rules, distance2 is null.
     """
     stats = staged(stats, "statistics")  # else the optimizer copies the texts' expressions into each use of a statistic
-    all_rows = staged(_grouped(transformed(stats), group), "grouped")
-    rows = all_rows.where(~F.col("base_failed") & F.col("g").isNotNull()).select("g", *XS)
-    middle = rows.groupBy("g").agg(*[F.percentile_approx(f"x{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 2000).alias(f"p{i}") for i in range(D)])
-    middle = staged(middle, "middle")
-    far = F.lit(0.0)
-    for i in range(D):
-        z = (F.col(f"x{i}") - F.col(f"p{i}")[1]) / ((F.col(f"p{i}")[2] - F.col(f"p{i}")[0]) / 1.349 + F.lit(FLOORS[f"x{i}"]))
-        far = far + z * z
-    near = rows.join(middle, "g").withColumn("d", far).select("g", *XS, "d")
-    for _ in range(steps):
-        cut = _nearest(near, "d").drop("q")
-        est = staged(_whitening(_moments(near.join(cut, "g").where(_bin("d") <= F.col("cut")))), "estimate")
-        near = _distance(rows.join(est, "g")).select("g", *XS, "d")
-    scale = _nearest(near, "d").select("g", (F.col("q") / CHI2_75).alias("scale"))
-    judged = _distance(all_rows.join(staged(est.join(scale, "g"), "estimate"), "g", "left"))
-    judged = judged.withColumn("distance2", F.col("d") / F.greatest(F.col("scale"), F.lit(0.2)))
+    own = F.concat_ws("\x01", *[F.coalesce(F.col(f"k_{k}"), F.lit("\x00")) for k in group]) if group else F.lit("")
+    all_rows = staged(transformed(stats).withColumn("g", own), "grouped")
+    rows = all_rows.where(~F.col("base_failed")).select("g", *XS)
+    whole = mcd(rows.withColumn("g", F.lit("all")))
+    est = mcd(rows, whole)
+    scale = (F.col("n") * F.col("q") + PRIOR * F.col("p_q")) / (F.col("n") + PRIOR) / CHI2_75
+    est = staged(est.crossJoin(F.broadcast(whole.select(F.col("q").alias("p_q")))).withColumn("scale", scale), "estimate")  # one row
+    judged = _distance(_near(all_rows, est, ["g"], est.count() <= BROADCAST_ROWS, "left")).withColumn("d", F.col("d") / F.greatest("scale", F.lit(0.2)))
+    judged = staged(judged.select(*stats.columns, F.col("d").alias("distance2")), "judged")
+    passed = judged.where(~F.col("base_failed") & F.col("distance2").isNotNull()).select(F.lit(1).alias("g"), F.col("distance2").alias("d"))
+    low, high = _cuts(passed, ["g"], {"low": 0.25, "high": 0.75}).select("low", "high").first() or (0, 0)
+    cutoff = math.exp((high + 1 + fence * (high - low)) / 32.0)
     verdict = ~F.col("base_failed") & F.coalesce(F.col("distance2") <= cutoff, F.lit(True))
-    return judged.withColumn("kept", verdict).select(*stats.columns, "distance2", "kept")
+    return judged.withColumn("kept", verdict)
 
 
-def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group: tuple[str, ...] = ("lang", "source"), cutoff: float = CUTOFF) -> DataFrame:
+def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group: tuple[str, ...] = ("lang", "source"), fence: float = FENCE) -> DataFrame:
     """(id_col, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance2), one row per
-    row of docs. Repeated rows come back repeated; other columns aren't read; an empty table gives no rows."""
-    found = outliers(statistics(docs, id_col, text_col, group), group, cutoff=cutoff)
+    row of docs. Null and empty texts have no words and so fail the base rules; null ids come back; repeated rows come back
+    repeated; other columns aren't read; an empty table gives no rows."""
+    found = outliers(statistics(docs, id_col, text_col, group), group, fence)
     cols = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance2"]
     return found.select(F.col("id").alias(id_col), *cols)
