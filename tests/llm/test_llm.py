@@ -236,6 +236,40 @@ def test_toxicity_held_out_and_sentences(spark, awkward, empty):
     assert toxicity.score(empty, toxicity.fit(empty, labels(spark))).count() == 0
 
 
+def toxic_rows(n, seed=5):
+    r, rows = random.Random(seed), []
+    for i in range(n):
+        s = [" ".join(r.choice(WORDS) for _ in range(8)) for _ in range(6)]
+        if i % 4 == 0:
+            s[r.randrange(6)] += " " + r.choice(["grumpf", "blargh"])
+        rows.append((i, ". ".join(s), int(i % 4 == 0)))
+    return rows
+
+
+def test_toxicity_never_sees_held_out_labels(spark, monkeypatch):
+    rows = toxic_rows(300)
+    docs = table(spark, [(i, t) for i, t, _ in rows])
+    y = [(i, k) for i, _, k in rows]
+    out = [i for i, _ in y if zlib.crc32(str(i).encode()) % 5 == 0]
+    other = [(i, 1 - k if i in set(out) else k) for i, k in y]
+    chosen, found = [], []
+    real = toxicity.choose
+    monkeypatch.setattr(toxicity, "choose", lambda *a: chosen.append(real(*a)) or chosen[-1])
+    for some in (y, other):
+        model = toxicity.fit(docs, spark.createDataFrame(some, "doc_id long, toxic int"), rounds=40)
+        found.append((model.weights, model.bias))
+    assert len(out) > 30 and found[0] == found[1] and chosen[0] == chosen[1] in toxicity.SETTINGS
+    few = toxicity.fit(docs, spark.createDataFrame(y, "doc_id long, toxic int"), rounds=2, sample_bytes=2_000)
+    assert not set(few.weights) - set(found[0][0]) or few.bias
+
+
+def test_noisy_or_by_hand():
+    model = toxicity.NoisyOr({b"bad": 2.0, b"^badd": 1.0}, -1.0)
+    p = [1 / (1 + math.exp(-z)) for z in (-1.0, 1.0, 0.0)]  # sentences: plain; bad (once, however often); badder by its beginning
+    assert math.isclose(model.score("Some words. Bad bad! Badder"), 1 - (1 - p[0]) * (1 - p[1]) * (1 - p[2]))
+    assert math.isclose(model.score(""), p[0]) and math.isclose(model.score(None), p[0])
+
+
 def brute_windows(text, items, window):
     low = lambda s: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in s or "")
     find = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+").findall
@@ -282,6 +316,42 @@ def test_quality(spark, awkward, empty):
     assert quality.classify(docs, y.limit(0)).count() == 200
 
 
+def test_quality_against_plain_counting(spark):
+    size = quality.BUCKETS
+    rows = [(i, plain(i, 20 + i % 7) if i % 3 else "$$ ## | !! " * (3 + i % 5)) for i in range(120)] + [(500, None), (501, ""), (7, plain(7, 27))]
+    y = {i: int(i % 3 > 0) for i in range(90)}
+    docs, labelled = table(spark, rows), spark.createDataFrame(list(y.items()), "doc_id long, quality int")
+    noise = {r.doc_id: (r.h, r.g) for r in docs.select("doc_id", F.xxhash64(F.lit("part"), "doc_id").alias("h"), quality.gumbel("doc_id", 1).alias("g")).collect()}
+
+    def buckets(text):
+        t = [x.encode() for x in re.findall("[0-9a-z\x80-\U0010ffff]+|[^\\s0-9a-z\x80-\U0010ffff]+", (text or "").lower())]
+        h, m = [zlib.crc32(x) for x in t], 1 << 64
+        ones = [(x * 0x9E3779B97F4A7C15 % m >> 40) % size for x in h]
+        return ones + [((a * 0x9E3779B97F4A7C15 + b * 0xC2B2AE3D27D4EB4F) % m >> 40) % size for a, b in zip(h, h[1:], strict=False)]
+
+    raw, target = collections.Counter(), collections.Counter()
+    good = {i for i, q in y.items() if q}
+    for i, t in rows:
+        raw.update(buckets(t))
+        if i in good and noise[i][0] % 5 > 0:
+            target.update(buckets(t))
+    many = raw.total() / target.total()
+    ratio = [math.log((target[b] * many + quality.PRIOR) / (raw[b] + quality.PRIOR)) for b in range(size)]
+    score = [(i, sum(ratio[b] for b in buckets(t))) for i, t in rows]
+    unseen = sorted(s for i, s in score if i in good and noise[i][0] % 5 == 0)
+    low, middle = np.quantile(unseen, [quality.LOW, 0.5])
+    k = sum(s >= low - max(quality.SLACK, quality.SPREAD * (middle - low)) for _, s in score)
+    keys = sorted((s + noise[i][1] for i, s in score), reverse=True)
+    want = collections.Counter((i, s + noise[i][1] >= keys[k - 1] - 1e-9) for i, s in score)
+    got = quality.classify(docs, labelled).collect()
+    assert collections.Counter((r.doc_id, r.kept) for r in got) == want and 0 < k < len(rows)
+    assert sorted(round(r.log_ratio, 6) for r in got) == sorted(round(x, 6) for _, x in score)
+    clash = docs.withColumnsRenamed({"lang": "log_ratio", "fp": "key", "key": "c0"})
+    kept = quality.keep_good(clash, labelled)
+    assert kept.columns == clash.columns
+    assert collections.Counter(r.doc_id for r in kept.collect()) == collections.Counter(i for (i, k), n in want.items() if k for _ in range(n))
+
+
 @pytest.mark.parametrize("k", [1, 7, 500, 999, 1000])
 def test_kth_largest(spark, k):
     x = [random.Random(i).choice([0.5, i / 7, -i]) for i in range(1000)]
@@ -373,6 +443,30 @@ def test_quality_rules(spark, awkward, empty):
     assert rules.quality_rules(empty).count() == 0
 
 
+def test_covariance_determinants_against_many_random_starts(spark):
+    r = np.random.default_rng(3)
+    good = r.multivariate_normal([5, 1.6, 0.2, 0.5, 1], np.diag([0.6, 0.02, 0.1, 0.2, 0.3]) + 0.01, 160)
+    bad = r.multivariate_normal([7, 1.0, 3, 3, 4], np.diag([0.1] * 5), 40)
+    x = np.vstack([good, bad])
+    rows = spark.createDataFrame([("a", *map(float, v)) for v in x] + [("b", *map(float, v)) for v in good[:3]], "g string, " + ", ".join(f"{c} double" for c in rules.XS))
+    est = {e.g: e for e in rules.mcd(rows).collect()}
+    floors, best = np.diag([rules.FLOORS[c] ** 2 for c in rules.XS]), np.inf
+    for _ in range(60):
+        core = x[r.choice(len(x), 6, replace=False)]
+        for _ in range(30):
+            m, c = core.mean(0), np.cov(core.T, bias=True) + floors
+            d = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+            core = x[np.argsort(d)[: int(0.75 * len(x))]]
+        best = min(best, np.linalg.slogdet(np.cov(core.T, bias=True) + floors)[1])
+    e = est["a"]
+    c = np.array([[e[f"c{max(i, j)}_{min(i, j)}"] for j in range(5)] for i in range(5)])
+    assert abs(e.logdet - np.linalg.slogdet(c)[1]) < 1e-6 and e.logdet < best + 0.15
+    assert np.abs(np.array([e[f"m{i}"] for i in range(5)]) - good.mean(0)).max() < 0.4  # not drawn to the bad ones
+    assert est["b"].n <= 3
+    one = rules.mcd(rows.where("g = 'b'").limit(1), rules.mcd(rows.where("g = 'a'").withColumn("g", F.lit("all"))))
+    assert one.count() == 1 and abs(one.first().m0 - e.m0) < 0.3  # a lone row leans on the whole
+
+
 def test_secrets(spark, awkward, empty):
     r = random.Random(1)
     hexes = ["".join(r.choice("0123456789abcdef") for _ in range(40)) for _ in range(60)]
@@ -382,7 +476,7 @@ def test_secrets(spark, awkward, empty):
     assert secret_scan.base_spans("token=token:abcdefgh") == []
     docs = table(spark, [(i, f"{prose(i)} token = '{h}' {prose(i + 1)}") for i, h in enumerate(hexes)] + [(100, "see " + hexes[1].upper().translate({ord(c): c.lower() for c in "AB"}) + " " + prose(7))])
     f = secret_scan.learn(docs)
-    assert f.usable and f.is_secret(hexes[2]) and not f.is_secret("internationalisation") and not f.is_secret("https_example_org_page")
+    assert f.usable and f.is_secret(hexes[2]) and not f.is_secret("internationalisation") and not f.is_secret("lorem12")
     got = {x.doc_id: x for x in secret_scan.scan(docs, f).collect()}
     assert got[0].n_assign == got[0].n_hex == 1 and got[0].n_access == 0
     s = secret_scan.joined(secret_scan.base_spans(docs.where("doc_id = 0").first().text))
@@ -395,21 +489,77 @@ def test_secrets(spark, awkward, empty):
 
 
 
+FORMATS = {
+    "ghx": lambda r: "ghx_" + "".join(r.choice(string.ascii_letters + string.digits) for _ in range(30)),
+    "sk": lambda r: "sk-live-" + "".join(r.choice(string.ascii_lowercase + string.digits) for _ in range(20)),
+    "guid": lambda r: "-".join("".join(r.choice("0123456789ABCDEF") for _ in range(n)) for n in (8, 4, 4, 12)),
+    "short": lambda r: "".join(r.choice(string.ascii_uppercase) for _ in range(3)) + "".join(r.choice(string.digits) for _ in range(7)),
+    "dotted": lambda r: ".".join("".join(r.choice(string.ascii_letters) for _ in range(n)) for n in (12, 16)),
+}
+
+
+def test_automata_tell_formats_by_length_and_order():
+    r = random.Random(8)
+    a = secret_scan.Automaton([f(r) for f in FORMATS.values() for _ in range(200)])
+    assert 60 < len(a.next) < 2000
+    for name, f in FORMATS.items():
+        fit = [a.logp(f(r)) / (len(f(r)) + 1) for _ in range(100)]
+        longer = [a.logp(s + s[-3:]) / (len(s) + 4) for s in (f(r) for _ in range(100))]
+        turned = [a.logp(s[::-1]) / (len(s) + 1) for s in (f(r) for _ in range(100))]
+        assert np.median(fit) > np.median(longer) + 0.1 and (name == "dotted" or np.median(fit) > np.median(turned) + 0.2), name
+    loops = secret_scan.Automaton(["".join(r.choice("0123456789") for _ in range(6 + int(r.expovariate(0.1)))) for _ in range(1500)])
+    assert len(loops.next) < 60  # any length: states fall together
+
+
 def test_learnt_formats_find_bare_credentials(spark):
     r = random.Random(2)
-    made = lambda n: ["".join(r.choice(string.ascii_letters + string.digits) for _ in range(24)) for _ in range(n)]
-    labelled, bare = made(80), made(60)
-    plain = ["".join(r.choice(("under", "stand", "ing", "over", "heit", "keit")) for _ in range(5)) for _ in range(150)]
-    cards = ["".join(r.choice(string.digits) for _ in range(16)) for _ in range(150)]
-    rows = [(i, f"{prose(i)} token = '{c}' {prose(i + 1)}") for i, c in enumerate(labelled)] + [(100, f"{prose(5)} {labelled[0]} {prose(6)}")]
-    rows += [(1000 + i, f"{prose(i)} {c} {prose(i + 1)}") for i, c in enumerate(bare)]
-    rows += [(2000 + i, f"{prose(i)} {a} {b} {prose(i + 1)}") for i, (a, b) in enumerate(zip(plain, cards, strict=True))]
-    docs = table(spark, rows)
-    texts = dict(rows)
-    got = {x.doc_id: x.spans for x in secret_scan.scan(docs, secret_scan.learn(docs)).collect()}
-    want = {1000 + i: f"format:{texts[1000 + i].index(c)}:{texts[1000 + i].index(c) + len(c)}" for i, c in enumerate(bare)}
-    assert sum(got[i] == s for i, s in want.items()) >= 57 and got[100].startswith("format:")
-    assert not any(got[i] for i in got if i >= 2000)
+    rows, bare = [], {}
+    for k, f in enumerate(FORMATS.values()):
+        rows += [(10_000 * k + i, f"{prose(i, 30)} token = '{f(r)}' {prose(i + 1, 30)}") for i in range(300)]
+        bare |= {10_000 * k + 1000 + i: f(r) for i in range(60)}
+    rows += [(i, f"{prose(i, 30)} {c} {prose(i + 1, 30)}") for i, c in bare.items()]
+    known = rows[0][1].split("'")[1]
+    rows += [(70_000, f"see {known} again"), (70_001, "tokenx " + known + ",")]
+    words = ("under", "stand", "ing", "over", "heit", "keit", "wort")
+    miss = {80_000 + i: " ".join(("".join(r.choice(words) for _ in range(5)), "".join(r.choice(string.digits) for _ in range(16)), f"{r.randrange(1990, 2030)}-{r.randrange(1, 13):02d}-{r.randrange(1, 29):02d}", f"www.{r.choice(words)}{r.choice(words)}.org", f"{r.choice(words)}/{r.choice(words)}/{r.choice(words)}", r.choice(words).upper() + r.choice(words))) for i in range(300)}
+    rows += [(i, f"{prose(i, 10)} {c} {prose(i + 1, 10)}") for i, c in miss.items()]
+    docs, texts = table(spark, rows), dict(rows)
+    got = {x.doc_id: x.spans.split(",") for x in secret_scan.scan(docs, secret_scan.learn(docs)).collect()}
+    for k, name in enumerate(FORMATS):
+        mine = [i for i in bare if i // 10_000 == k]
+        found = [f"format:{texts[i].index(bare[i])}:{texts[i].index(bare[i]) + len(bare[i])}" in got[i] for i in mine]
+        assert sum(found) >= 0.9 * len(mine), (name, sum(found))
+    assert any(x.startswith("format:4:") for x in got[70_000])
+    flagged = [i for i in miss if got[i] != [""]]
+    assert len(flagged) <= 3, [(miss[i], got[i]) for i in flagged[:5]]
+
+
+def test_base_spans_against_a_plain_reading():
+    """Every start is tried in turn, without the search that the module uses."""
+    r = random.Random(11)
+    parts = ["token", "Secret", "api_key", "APIKEY", "passwd", "password", "\"", "'", " ", "=", ":", "abc", "A1/_.", "AKIA", "QWERTYUIOPASDFGH", "0123456789abcdef", "deadbeef", "\u212a", "ſecret", "\n", "-", "é"]
+
+    def read(text, find, least):
+        out, at = [], 0
+        while at < len(text):
+            m = find(text, at)
+            if m is None:
+                at += 1
+            else:
+                if least(m):
+                    out.append((at, m.end()))
+                at = max(m.end(), at + 1)
+        return out
+
+    kinds = (
+        ("assign", re.compile("(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"']? *[:=] *[\"']?([A-Za-z0-9+/_.=-]+)").match, lambda m: len(m[1]) >= 6),
+        ("access", re.compile("AKIA[A-Z0-9]+").match, lambda m: len(m[0]) >= 20),
+        ("hex", re.compile("[0-9a-f]+").match, lambda m: len(m[0]) >= 24),
+    )
+    for _ in range(3000):
+        text = "".join(r.choice(parts) for _ in range(r.randrange(14)))
+        want = sorted((s, k, e) for k, (_, find, least) in enumerate(kinds) for s, e in read(text, find, least))
+        assert [(s, secret_scan.KINDS.index(k), e) for s, e, k in secret_scan.base_spans(text)] == want, text
 
 
 def brute_repeats(rows, n):
