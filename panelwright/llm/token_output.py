@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import array
 import functools
+import json
 import re
 import struct
 import zlib
@@ -26,16 +27,14 @@ HEAD = struct.Struct("<4sIQII")
 MAGIC = b"PWT1"
 #: A file is closed once it holds so many ids.
 FILE_IDS = 4 << 20
-#: Pieces of text whose ids a task remembers, at most.
-REMEMBERED = 350_000
+#: Newer pieces of text whose ids a task remembers, at most; older ones are as many.
+REMEMBERED = 400_000
 END_ID = 2
 
 
-_L = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
-#: A word, signs, a line end, a word: the pre-tokenizer cuts such a piece between these.
-_PARTS = re.compile(rf"([{_L}]+)([.,;:!?#$%&*|()-]+)(\n?)([{_L}]*)")
-_WORD = re.compile(rf" ?[{_L}]+|[.,;:!?#$%&*|()-]+|\n")
-_BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: What a byte-level pre-tokenizer surely takes as one piece, of texts in Latin letters without apostrophes: letters, digits
+#: or signs, with a space before them or not, and a line end that stands alone.
+_PIECES = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+| ?[0-9]+| ?[!-&(-/:-@\[-`{-~]+|\n").findall
 
 
 #: How byte-level vocabularies write bytes: printable ones as themselves, the others from code point 256 on.
@@ -43,12 +42,41 @@ _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_SIGNS = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
+class Pieces(dict):
+    """Ids of pieces, from the library's model: REMEMBERED of the newest, and as many that came before these."""
+
+    def __init__(self, model):
+        super().__init__()
+        model._resize_cache(0)  # its memory of 10,000 words only costs time beside this one
+        self.model, self.old = model, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.old.get(piece)
+        if found is None:
+            signs = piece.replace(" ", _BYTE_SIGNS[32]) if piece.isascii() and piece != "\n" else piece.encode().decode("latin-1").translate(_BYTE_SIGNS)
+            found = array.array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
+        if len(self) >= REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = found
+        return found
+
+
+def plain_byte_level(tokenizer) -> bool:
+    """Whether the tokenizer is a byte-level BPE without any step of its own: then pieces have the same ids everywhere."""
+    kind = json.loads(tokenizer.to_str())
+    pre, model = kind["pre_tokenizer"] or {}, kind["model"]
+    own = [model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")]
+    own += [kind["normalizer"], kind["truncation"], kind["padding"], pre.get("add_prefix_space", True), not pre.get("use_regex", True)]
+    return pre.get("type") == "ByteLevel" and model.get("type") == "BPE" and not any(own)
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, with a bounded memory for pieces that come again.
 
-    A byte-level pre-tokenizer of this kind always cuts before a single space that stands between two non-blank
-    characters, so the piece from such a space to the next one always has the same ids. A space that stands otherwise
-    doesn't end a piece, and texts with the vocabulary's special strings go to the library whole.
+    A text that consists of pieces which the pre-tokenizer surely cuts out goes to the library's model piece by piece;
+    any other text, texts with the vocabulary's added tokens, and all texts if the tokenizer is of another kind go to the
+    library whole.
     """
 
     def __init__(self, path: str):
@@ -56,64 +84,18 @@ class Encoder:
 
         env_threads()
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
         self.vocab = self.tokenizer.get_vocab_size()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.after: dict[str, bytes] = {}  # ids of " " + key
-        self.plain: dict[str, bytes] = {}  # ids of key
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _new(self, texts: list[str]) -> list[bytes]:
-        """As _library; what the pre-tokenizer would leave in one piece goes to the library's model at once."""
-        whole = [t for t in texts if not _WORD.fullmatch(t)]
-        found = dict(zip(whole, self._library(whole), strict=True))
-        model = self.model.tokenize
-        return [found[t] if t in found else array.array("I", [k.id for k in model(t.encode().decode("latin-1").translate(_BYTE_SIGNS))]).tobytes() for t in texts]
-
-    def _learn(self, pieces: list[str], first: list[str]) -> None:
-        """Ids of pieces after a space and of first pieces, which aren't known."""
-        cut = {p: m.groups() for p in pieces if (m := _PARTS.fullmatch(p))}
-        words = {c[0] for c in cut.values()}.union(p for p in pieces if p not in cut)
-        words = [w for w in words if w not in self.after]
-        parts = [x for x in {x for c in cut.values() for x in c[1:] if x}.union(first) if x not in self.plain]
-        found = self._new([" " + w for w in words] + parts)
-        self.after.update(zip(words, found, strict=False))
-        self.plain.update(zip(parts, found[len(words) :], strict=True))
-        a, b = self.after, self.plain
-        a.update({p: a[w] + b[s] + (b[n] if n else b"") + (b[x] if x else b"") for p, (w, s, n, x) in cut.items()})
-
-    def _pieces(self, text: str) -> list[str]:
-        pieces = text.split(" ")
-        if "  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " " or _BLANKS.search(text):
-            joined = [pieces[0]]
-            for p in pieces[1:]:
-                if not p or p[0].isspace() or not joined[-1] or joined[-1][-1].isspace():
-                    joined[-1] += " " + p
-                else:
-                    joined.append(p)
-            return joined
-        return pieces
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
-        split = [self._pieces(t) for t in texts]
-        for i in whole:
-            split[i] = [""]
-        first = [s.pop(0) for s in split]
-        after, plain = self.after, self.plain
-        new = [p for p in set().union(*split) if p not in after]
-        self._learn(new, [p for p in set(first) if p not in plain])
-        get = after.__getitem__
-        out = [plain[f] + b"".join(map(get, s)) for f, s in zip(first, split, strict=True)]
-        for store in (after, plain):  # what came in beyond the bound leaves again
-            while len(store) > REMEMBERED:
-                store.popitem()
-        for i, raw in zip(whole, self._library([texts[i] for i in whole]), strict=True):
-            out[i] = raw
-        return out
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.in_pieces = plain_byte_level(self.tokenizer)
+        self.pieces = Pieces(self.tokenizer.model)
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text as little-endian unsigned 32-bit integers."""
+        if self.in_pieces and "\n\n" not in text:
+            pieces = _PIECES(text)
+            if sum(map(len, pieces)) == len(text) and not any(a in text for a in self.added):
+                return b"".join(map(self.pieces.__getitem__, pieces))
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
 
 @functools.lru_cache(maxsize=1)
@@ -179,7 +161,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, id_
         for b in it:
             for i in range(0, b.num_rows, 256):
                 ids, texts = b.column(0)[i : i + 256].to_pylist(), b.column(1)[i : i + 256].to_pylist()
-                for d, raw in zip(ids, enc.encode(texts), strict=True):
+                for d, raw in zip(ids, map(enc.encode, texts), strict=True):
                     doc_ids.append(d)
                     counts.append(len(raw) // 4 + 1)
                     parts_ += [raw, end]
