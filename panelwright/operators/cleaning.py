@@ -24,11 +24,22 @@ def price_repaired(df: DataFrame, price: str = "price", promo_price: str = "seq_
 
 
 def temperature_repaired(df: DataFrame, spec: PanelSpec = SERIES, col: str = "avg_t", group: tuple[str, ...] = ("bu_id", "wh_id"), month: str = "month") -> DataFrame:
-    """Beyond ±100: null; nulls: the group's mean of the month, then the group's next value, its last one, 0."""
+    """Beyond ±100: null; nulls: the group's mean of the month, then the group's next value, its last one, 0.
+
+    Within a day values are ordered by the rest of the key. Means and neighbours are worked out on one row a group and
+    month, and a group and day, and joined back: no task holds a group's rows.
+    """
+    rest = F.struct(*[k for k in spec.keys if k not in group])
     x = F.when(F.abs(col) <= 100, F.col(col))
-    df = df.withColumn(col, x)
-    df = df.withColumn(col, F.coalesce(F.col(col), F.avg(col).over(Window.partitionBy(*group, month))))
-    return filled(df, [col], spec, constant=0.0, keys=group)
+    mean = df.groupBy(*group, month).agg(F.avg(x).alias("__m"))
+    rows = df.join(mean, [*group, month], "left").withColumn(col, F.coalesce(x, F.col("__m")))
+    value = F.when(F.col(col).isNotNull(), rest)
+    day = rows.groupBy(*group, spec.date).agg(F.min_by(col, value).alias("__a"), F.max_by(col, value).alias("__b"))
+    w = Window.partitionBy(*group).orderBy(spec.date)
+    ahead = F.first("__a", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    back = F.last("__b", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    near = day.select(*group, spec.date, F.coalesce(ahead, back, F.lit(0.0)).alias("__n"))
+    return rows.join(near, [*group, spec.date], "left").withColumn(col, F.coalesce(col, "__n")).select(*df.columns)
 
 
 def future_price_from_train(df: DataFrame, spec: PanelSpec = SERIES, col: str = "price", flag: str = "is_train") -> DataFrame:
@@ -105,7 +116,10 @@ def coverage_capped(df: DataFrame, spec: PanelSpec = SERIES, levels: tuple[int,
     """
     x, w = F.col(spec.target), Window.partitionBy(*spec.keys).orderBy(spec.target, spec.date)
     ranked = df.select(*spec.keys, x.alias("x"), (F.row_number().over(w) - 1).alias("i"), F.count("*").over(spec.whole()).alias("n"))
-    want = ranked.select("*", F.explode(F.sequence(F.lit(levels[0]), F.lit(levels[1]))).alias("q"))
+    # only the levels that may fall on the row's place
+    step = 100.0 / F.greatest(F.col("n") - 1, F.lit(1))
+    first, last = F.greatest(F.lit(levels[0]), F.floor((F.col("i") - 1) * step).cast("int")), F.least(F.lit(levels[1]), F.ceil((F.col("i") + 1) * step).cast("int"))
+    want = ranked.where(first <= last).select("*", F.explode(F.sequence(first, last)).alias("q"))
     picked = want.where(F.col("i") == F.bround((F.col("n") - 1) * F.col("q") / 100.0).cast("int")).select(*spec.keys, "q", F.col("x").alias("b"))
     values = df.groupBy(*spec.keys, x.alias("x")).agg(F.count("*").alias("m"))
     near = (F.abs(F.col("x") - F.col("b")) <= 2) | F.col("x").between(F.col("b") * 0.5, F.col("b") * 1.4)

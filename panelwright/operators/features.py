@@ -12,14 +12,18 @@ from panelwright.operators.spec import SERIES, PanelSpec
 def seasonal_index(df: DataFrame, dims: list[str], cols: list[str], spec: PanelSpec = SERIES, train: Column | None = None) -> DataFrame:
     """Adds idx_<dim>_<col>: mean of the target by (dim, col) over its mean by dim, both over training rows.
 
-    Dims must include the group that a statistic is confined to. Means are averages over a window, so rows stay rows.
+    One aggregate by all dims and cols feeds every index; the indices, a few rows each, are joined back, so no row moves by
+    a dimension. Dims must include the group that a statistic is confined to. Null dims or cols get no index.
     """
     x = F.when(train, F.col(spec.target)) if train is not None else F.col(spec.target)
-    out = {}
+    base = df.groupBy(*dims, *cols).agg(F.sum(x).alias("__s"), F.count(x).alias("__n"))
+    out = df
     for d in dims:
+        whole = base.groupBy(d).agg((F.sum("__s") / F.sum("__n")).alias("__w"))
         for c in cols:
-            out[f"idx_{d}_{c}"] = F.avg(x).over(Window.partitionBy(d, c)) / F.avg(x).over(Window.partitionBy(d))
-    return df.withColumns(out)
+            part = base.groupBy(d, c).agg((F.sum("__s") / F.sum("__n")).alias("__m")).join(whole, d)
+            out = out.join(part.select(d, c, (F.col("__m") / F.col("__w")).alias(f"idx_{d}_{c}")), [d, c], "left")
+    return out.select(*df.columns, *[f"idx_{d}_{c}" for d in dims for c in cols])
 
 
 def daily_total_index(df: DataFrame, dim: list[str], col: str, spec: PanelSpec = SERIES) -> DataFrame:
@@ -168,10 +172,37 @@ def reference_price(df: DataFrame, spec: PanelSpec = SERIES, amount: str = "arra
     return df.withColumn("__net", net).withColumn("ref_price", F.min("__net").over(Window.partitionBy(*k, "__b"))).drop("__p", "__m", "__b", "__net")
 
 
+def ranked(df: DataFrame, order: list[str], name: str, within: tuple[str, ...] = (), parts: int = 64) -> DataFrame:
+    """Adds name: the row's place from 1 by `order` (and within groups), without one task ever holding all rows.
+
+    The rows with the `parts` least hashes split the order into ranges; each range is numbered by itself, and the ranges'
+    counts, a few rows, say where it starts. Rows equal in all of `order` are numbered arbitrarily. Nulls come first.
+    """
+    some = df.select(*order).orderBy(F.xxhash64(*order)).limit(parts).collect()  # a bounded sample of keys
+    if not some:
+        return df.withColumn(name, F.lit(None).cast("long"))
+    key = F.struct(*order)
+    splits = F.array(*[F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order, r, strict=True)]) for r in some])
+    rows = df.withColumn("__range", F.size(F.filter(splits, lambda s: s <= key)))
+    counts = rows.groupBy(*within, "__range").agg(F.count("*").alias("__n"))
+    upto = Window.partitionBy(*within).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*within, "__range", F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias("__before"))  # `parts` + 1 rows a group
+    rows = rows.withColumn(name, F.row_number().over(Window.partitionBy(*within, "__range").orderBy(*order)))
+    out = rows.join(before, [*within, "__range"]).withColumn(name, F.col(name) + F.col("__before"))
+    return out.select(*df.columns, name)
+
+
 def label_encoded(df: DataFrame, col: str, name: str) -> DataFrame:
-    """Adds the value's rank in alphabetical order, from 0. Ranks are given to the distinct values, not to the rows."""
+    """Adds the value's rank in alphabetical order, from 0; nulls have none. Ranks are given to the distinct values."""
     values = df.select(col).where(F.col(col).isNotNull()).distinct()
-    ranks = values.withColumn(name, F.row_number().over(Window.orderBy(col)) - 1)
+    ranks = ranked(values, [col], name).withColumn(name, F.col(name) - 1)
+    return df.join(ranks, col, "left")
+
+
+def frequency_encoded(df: DataFrame, col: str, name: str) -> DataFrame:
+    """Adds the value's rank by how many rows it has, most first, from 0; of equal counts the first by name. Nulls have none."""
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg((-F.count("*")).alias("__c"))
+    ranks = ranked(counts, ["__c", col], name).select(col, (F.col(name) - 1).alias(name))
     return df.join(ranks, col, "left")
 
 
@@ -206,8 +237,56 @@ def routed(df: DataFrame, spec: PanelSpec = SERIES, checking: int = 14) -> DataF
 
 def equal_buckets(df: DataFrame, by: str, size: int, keys: list[str], within: list[str] | None = None) -> DataFrame:
     """Adds bucket: groups of `size` in the order of `by`, ties by key. df has a row a series."""
-    w = Window.partitionBy(*(within or [])).orderBy(by, *keys)
-    return df.withColumn("bucket", F.floor((F.row_number().over(w) - 1) / size) + 1)
+    out = ranked(df, [by, *keys], "__place", tuple(within or ()))
+    return out.withColumn("bucket", F.floor((F.col("__place") - 1) / size) + 1).drop("__place")
+
+
+def index_with_fallback(rows: DataFrame, tables: list[tuple[DataFrame, list[str]]], default: float = 1.0, name: str = "idx") -> DataFrame:
+    """Adds name: the index of the first table (keys and idx) that has one for the row, else the default."""
+    out = rows
+    for i, (table, on) in enumerate(tables):
+        out = out.join(table.select(*on, F.col("idx").alias(f"__i{i}")), on, "left")
+    return out.select(*rows.columns, F.coalesce(*[F.col(f"__i{i}") for i in range(len(tables))], F.lit(default)).alias(name))
+
+
+def calendar_flags(df: DataFrame, calendar: DataFrame, date: str = "dt") -> DataFrame:
+    """Adds is_holiday, is_workday, holiday_or_eve and next_is_workday from a calendar of special days (day, kind): kind
+    'holiday' is free, kind 'swap' a weekend day that is worked. The calendar has a few rows a year."""
+    day = calendar.select(F.col("day").cast("date").alias("__day"), F.col("kind").alias("__kind")).distinct()
+    out = df
+    for i in (0, 1):
+        near = day.groupBy(F.date_sub("__day", i).alias(date)).agg(*[F.max(F.when(F.col("__kind") == k, 1).otherwise(0)).alias(f"__{k}{i}") for k in ("holiday", "swap")])
+        out = out.join(near, date, "left").fillna(0, [f"__holiday{i}", f"__swap{i}"])
+    work = lambda i: ((F.weekday(F.date_add(date, i)) < 5) & (F.col(f"__holiday{i}") == 0)) | (F.col(f"__swap{i}") == 1)
+    flags = {"is_holiday": F.col("__holiday0") == 1, "is_workday": work(0), "holiday_or_eve": (F.col("__holiday0") == 1) | (F.col("__holiday1") == 1), "next_is_workday": work(1)}
+    return out.select(*df.columns, *[c.cast("int").alias(n) for n, c in flags.items()])
+
+
+def elastic_volumes(df: DataFrame, statistics: dict[str, tuple[str, str]], price: str = "w_price", ed: str = "ed") -> DataFrame:
+    """Adds each named column: the volume that a (price, volume) pair of statistics and the elasticity foretell, at least 0."""
+    return df.withColumns({n: F.greatest(F.lit(0.0), F.col(q) * (1 - (F.col(price) - F.col(p)) / F.col(p) * F.col(ed))) for n, (p, q) in statistics.items()})
+
+
+def nearest_price(df: DataFrame, spec: PanelSpec = SERIES, ref: str = "ref_price", price: str = "price", interval: int = 3) -> DataFrame:
+    """(keys, ref, chunk, date, nearest): rows of a series with the same reference price are cut into near-equal chunks of
+    about `interval`; of each the price nearest to the reference, the first one of equals."""
+    from panelwright.operators.rolling import near_equal_chunks
+
+    by = PanelSpec((*spec.keys, ref), spec.date, spec.target)
+    rows = near_equal_chunks(df, interval, by)
+    best = F.min_by(F.struct(spec.date, price), F.struct(F.round(F.abs(F.col(price) - F.col(ref)), 6), F.col(spec.date)))
+    return rows.groupBy(*spec.keys, ref, "chunk").agg(best.alias("__b")).select(*spec.keys, ref, "chunk", f"__b.{spec.date}", F.col(f"__b.{price}").alias("nearest"))
+
+
+def promotion_history_mean(df: DataFrame, promo: str, spec: PanelSpec = SERIES, train: str = "is_train") -> DataFrame:
+    """Adds history_mean: of the series' rows of the same promotion state up to the row before, weights .7, .2 and .1; where
+    the state has no training row, the mean over all rows with equal weights."""
+    from panelwright.operators.rolling import history_mean
+
+    by = PanelSpec((*spec.keys, promo), spec.date, spec.target)
+    out = history_mean(history_mean(df, weights=(0.7, 0.2, 0.1), spec=by, name="__own"), spec=spec, name="__all")
+    known = F.max(F.col(train) == 1).over(by.whole())
+    return out.withColumn("history_mean", F.when(known, F.col("__own")).otherwise(F.col("__all"))).drop("__own", "__all")
 
 
 def sales_drop_cases(df: DataFrame, spec: PanelSpec = SERIES, pred: str = "pred_t0") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.operators.rolling import last_rows
@@ -73,9 +73,16 @@ def recent_mean(df: DataFrame, n: int, spec: PanelSpec = SERIES, name: str = "pr
 
 
 def two_means(df: DataFrame, spec: PanelSpec = SERIES, short: int = 7, long: int = 14) -> DataFrame:
-    """(keys, pred): mean of the last-7 and last-14 means, to one place."""
-    a, b = recent_mean(df, short, spec, "a"), recent_mean(df, long, spec, "b")
-    return a.join(b, list(spec.keys)).select(*spec.keys, ((F.col("a") + F.col("b")) / 2).alias("pred"))
+    """(keys, pred): mean of the last-7 and last-14 means, from one pass over the last rows."""
+    w = Window.partitionBy(*spec.keys).orderBy(F.desc(spec.date))
+    rows = df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= max(short, long))
+    mean = lambda n: F.avg(F.when(F.col("__rn") <= n, F.col(spec.target)))
+    return rows.groupBy(*spec.keys).agg(((mean(short) + mean(long)) / 2).alias("pred"))
+
+
+def priority_means(df: DataFrame, conditions: list[Column], spec: PanelSpec = SERIES) -> DataFrame:
+    """(keys, pred): the mean over the rows of the first condition that has any, from one aggregate."""
+    return df.groupBy(*spec.keys).agg(F.coalesce(*[F.avg(F.when(c, F.col(spec.target))) for c in conditions]).alias("pred"))
 
 
 def long_tail_rule(df: DataFrame, perishable: Column, spec: PanelSpec = SERIES) -> DataFrame:

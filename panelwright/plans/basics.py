@@ -87,7 +87,8 @@ def _(spark, d):
 @add("p19_infinite_to_mean", f"SELECT {KEYS}, dt, R(coalesce(x, avg(x) OVER (PARTITION BY bu_id))) x FROM (SELECT *, CASE WHEN seq_num>0 THEN arranged_cnt/seq_num END x FROM {{pa}})")
 def _(spark, d):
     x = S.finite_or_null(F.when(F.col("seq_num") > 0, F.col("arranged_cnt") / F.col("seq_num")).otherwise(float("inf")))
-    return dense(spark, d).withColumn("x", x).select(*K, "dt", F.coalesce("x", F.avg("x").over(Window.partitionBy("bu_id"))).alias("x"))
+    df = dense(spark, d).withColumn("x", x)
+    return df.join(df.groupBy("bu_id").agg(F.avg("x").alias("m")), "bu_id").select(*K, "dt", F.coalesce("x", "m").alias("x"))
 
 
 @add("p21_recode", "SELECT o_orderkey, L(CASE o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 3 END) code FROM orders")

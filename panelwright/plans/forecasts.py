@@ -101,11 +101,16 @@ def _(spark, d):
 
 
 @add("j11_z15_priority_ensemble", f"WITH f AS (SELECT {KEYS}, avg({X}) FILTER (dt>=DATE '2001-05-25') a, avg({X}) FILTER (dt>=DATE '2001-05-01') b, avg({X}) c FROM {{pb}} GROUP BY ALL) SELECT {KEYS}, R(coalesce(a,b,c)) pred FROM f")
+def _(spark, d):
+    return G.priority_means(sparse(spark, d), [F.col("dt") >= "2001-05-25", F.col("dt") >= "2001-05-01", F.lit(True)])
+
+
+@add("j11_u4_tagged_priority", f"SELECT {KEYS}, R(coalesce(avg({X}) FILTER (dt>=DATE '2001-05-25'), avg({X})*2)) pred FROM {{pb}} GROUP BY ALL")
 def _(spark, d):
     pb = sparse(spark, d)
-    mean = lambda df: df.groupBy(*K).agg(F.avg(X).alias("pred"))
-    long = G.union_tagged({"week": mean(pb.where("dt >= '2001-05-25'")), "month": mean(pb.where("dt >= '2001-05-01'")), "all": mean(pb)}, "model")
-    return G.first_available(long, ["week", "month", "all"], K)
+    recent = pb.where("dt >= '2001-05-25'").groupBy(*K).agg(F.avg(X).alias("pred"))
+    doubled = pb.groupBy(*K).agg((F.avg(X) * 2).alias("pred"))
+    return G.first_available(G.union_tagged({"recent": recent, "doubled": doubled}, "model"), ["recent", "doubled"], K)
 
 
 @add("g13_totals_and_vectors")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,11 +37,39 @@ def write_control_a(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("sep", "\u0001").option("quote", "").option("emptyValue", "").csv(path)
 
 
-def write_and_read(df: DataFrame, fmt: str, by: list[str]) -> DataFrame:
-    """df by way of a partitioned table in the shared folder."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}"
+def _new_path(spark) -> str:
+    """A fresh path in the folder that all executors share; a local session may use the machine's own temporary folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = f"file://{tempfile.gettempdir()}"
     path = f"{folder.rstrip('/')}/sink-{uuid.uuid4().hex}"
-    write_partitions(df, path, fmt, by)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
+def write_and_read(df: DataFrame, fmt: str, by: list[str], n_files: int | None = None) -> DataFrame:
+    """df by way of a table in the shared folder, partitioned by columns, or in n_files files whose names are then in `file`."""
+    spark = df.sparkSession
+    path = _new_path(spark)
+    if n_files:
+        df.repartition(n_files).write.format(fmt).save(path)
+    else:
+        write_partitions(df, path, fmt, by)
     reader = spark.read.schema(df.schema)
-    return (reader.option("header", True) if fmt == "csv" else reader).format(fmt).load(path).select(*df.columns)
+    back = (reader.option("header", True) if fmt == "csv" else reader).format(fmt).load(path)
+    return back.select(*df.columns, *[F.col("_metadata.file_name").alias("file")] * bool(n_files))
+
+
+def write_text(lines: DataFrame, path: str) -> None:
+    """One text column as lines; nulls are empty lines."""
+    lines.write.mode("overwrite").text(path)
+
+
+def text_round_trip(lines: DataFrame) -> DataFrame:
+    """(value) by way of text files in the shared folder."""
+    path = _new_path(lines.sparkSession)
+    write_text(lines, path)
+    return lines.sparkSession.read.text(path)
