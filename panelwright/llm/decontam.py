@@ -1,9 +1,10 @@
 """Benchmark decontamination: occurrences of benchmark word windows in documents.
 
-The benchmark's windows become a set that every task gets by broadcast; its size is checked first, and a benchmark beyond
-the limit is taken in blocks of at most that size, each scanned over all documents. A task turns a document's words into
-the numbers of known benchmark words; only runs of known words as long as a window are looked up, and the look-up
-compares all words, so a hit is exact.
+The benchmark's windows become a set that every task gets by broadcast: their hashes in order, and the words' numbers by
+which a hit is verified, about 24 bytes a window and the distinct words once. Its text's size is checked first; a benchmark
+beyond the limit is taken in blocks of at most that size, one after the other, each scanned over all documents. A task
+turns a document's words into the numbers of known benchmark words; only runs of known words as long as a window are looked
+up, and all words are compared, so a hit is exact.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from panelwright.llm.common import staged
 
-#: Bytes of benchmark text broadcast at once, at most.
+#: Bytes of benchmark text whose windows are broadcast at once, at most: a set of some 100 MB.
 BLOCK_BYTES = 16 << 20
 WINDOW = 13
 #: Bytes that are word characters, lower-cased; all others become blanks.
@@ -29,21 +30,37 @@ def folded(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD)
 
 
+def _hashes(ids: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    """Of the n numbers from each start on."""
+    h = np.zeros(len(starts), np.uint64)
+    for k in range(n):
+        h = (h ^ ids[starts + k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h
+
+
 class WindowSet:
     """All windows of some benchmark items, by their length."""
 
     def __init__(self, items: list[tuple[object, str | None]], window: int = WINDOW):
         self.number: dict[bytes, int] = {}
-        self.by_length: dict[int, dict[bytes, list[str]]] = {}
+        self.names: list[str] = []
+        found: dict[int, list[tuple[int, np.ndarray]]] = {}
         for item, text in items:
             words = folded(text).split()
-            if not words:
-                continue
-            ids = np.array([self.number.setdefault(w, len(self.number) + 1) for w in words], np.int32)
-            n = min(window, len(ids))
-            known = self.by_length.setdefault(n, {})
-            for i in range(len(ids) - n + 1):
-                known.setdefault(ids[i : i + n].tobytes(), []).append("" if item is None else str(item))
+            if words:
+                ids = np.array([self.number.setdefault(w, len(self.number) + 1) for w in words], np.int32)
+                found.setdefault(min(window, len(ids)), []).append((len(self.names), ids))
+                self.names.append("" if item is None else str(item))
+        self.by_length = {}
+        for n, some in found.items():
+            ids = np.concatenate([x for _, x in some])
+            first = np.cumsum([0] + [len(x) for _, x in some[:-1]])
+            starts = np.concatenate([f + np.arange(len(x) - n + 1) for f, (_, x) in zip(first, some, strict=True)])
+            owner = np.repeat([k for k, _ in some], [len(x) - n + 1 for _, x in some])
+            h = _hashes(ids, starts, n)
+            order = np.argsort(h, kind="stable")
+            self.by_length[n] = (h[order], starts[order].astype(np.int32), owner[order].astype(np.int32), ids)
 
     def scan(self, words: list[bytes]) -> tuple[np.ndarray | None, set[str]]:
         """Which words are hit (None: none), and the items with an occurring window."""
@@ -52,26 +69,34 @@ class WindowSet:
         gaps = np.concatenate([[-1], np.flatnonzero(ids == 0), [len(ids)]])
         runs = np.diff(gaps) - 1
         hit, items = None, set()
-        for n, known in self.by_length.items():
-            for g in np.flatnonzero(runs >= n):
-                raw, first = ids[gaps[g] + 1 : gaps[g + 1]].tobytes(), int(gaps[g]) + 1
-                for i in range(int(runs[g]) - n + 1):
-                    found = known.get(raw[4 * i : 4 * (i + n)])
-                    if found:
+        for n, (known, where, owner, theirs) in self.by_length.items():
+            long = np.flatnonzero(runs >= n)
+            if not len(long):
+                continue
+            starts = np.concatenate([np.arange(gaps[g] + 1, gaps[g + 1] - n + 1) for g in long])
+            h = _hashes(ids, starts, n)
+            low, high = np.searchsorted(known, h, "left"), np.searchsorted(known, h, "right")
+            for i in np.flatnonzero(low < high):
+                s = starts[i]
+                mine = ids[s : s + n]
+                for j in range(low[i], high[i]):
+                    if np.array_equal(theirs[where[j] : where[j] + n], mine):
                         hit = np.zeros(len(ids), bool) if hit is None else hit
-                        hit[first + i : first + i + n] = True
-                        items.update(found)
+                        hit[s : s + n] = True
+                        items.add(self.names[owner[j]])
         return hit, items
 
 
-def window_sets(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> list:
-    """Broadcast window sets that hold all items, each of about block_bytes of text at most (or one larger item)."""
+def window_sets(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES):
+    """Broadcast window sets that hold all items, each of about block_bytes of text at most (or one larger item), one at a
+    time: a set is built when it is asked for."""
     spark = benchmark.sparkSession
     items = benchmark.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-2 * size // block_bytes))
+    n = 1 if size <= block_bytes else -(-2 * size // block_bytes)
     block = F.pmod(F.xxhash64("id", "text"), F.lit(n))
-    return [spark.sparkContext.broadcast(WindowSet([tuple(r) for r in items.where(block == k).collect()], window)) for k in range(n)]
+    for k in range(n):
+        yield spark.sparkContext.broadcast(WindowSet([tuple(r) for r in items.where(block == k).collect()], window)), k == n - 1
 
 
 def _intervals(hit: np.ndarray | None) -> list[int]:
@@ -79,7 +104,7 @@ def _intervals(hit: np.ndarray | None) -> list[int]:
     return [] if hit is None else np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))).tolist()
 
 
-def _scan(batches, sets):
+def _scan(batches, one):
     """Adds (n_words, spans, items) to batches whose first three columns aren't these."""
     for b in batches:
         n_words, spans, items = [], [], []
@@ -87,11 +112,8 @@ def _scan(batches, sets):
         for text, s, it in zip(b.column(at_text), b.column(at_spans).to_pylist(), b.column(at_items).to_pylist(), strict=True):
             words = folded(text.as_py()).split()
             it = set(it)
-            hit = None
-            for one in sets:
-                h, found = one.value.scan(words)
-                it |= found
-                hit = h if hit is None else hit if h is None else hit | h
+            hit, found = one.value.scan(words)
+            it |= found
             if s:
                 hit = np.zeros(len(words), bool) if hit is None else hit
                 for start, end in zip(s[::2], s[1::2], strict=True):
@@ -106,15 +128,14 @@ def _scan(batches, sets):
         yield pa.record_batch(columns, names=names)
 
 
-def _hits(docs: DataFrame, benchmark: DataFrame, text_col: str, window: int, block_bytes: int, per_pass: int = 4) -> DataFrame:
+def _hits(docs: DataFrame, benchmark: DataFrame, text_col: str, window: int, block_bytes: int) -> DataFrame:
     """docs' columns as c0, c1 ... with __text, __n_words, __spans (word numbers), __items."""
-    sets = window_sets(benchmark, window=window, block_bytes=block_bytes)
     out = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)], F.col(f"`{text_col}`").cast("string").alias("__text"), F.lit(0).cast("long").alias("__n_words"), F.expr("cast(array() as array<bigint>)").alias("__spans"), F.expr("cast(array() as array<string>)").alias("__items"))
-    for k in range(0, len(sets), per_pass):
-        some = sets[k : k + per_pass]
-        out = out.mapInArrow(lambda it, some=some: _scan(it, some), out.schema)
-        if k + per_pass < len(sets):
+    for one, last in window_sets(benchmark, window=window, block_bytes=block_bytes):
+        out = out.mapInArrow(lambda it, one=one: _scan(it, one), out.schema)
+        if not last:
             out = staged(out, "hits")
+            one.unpersist()
     return out
 
 

@@ -288,7 +288,7 @@ def brute_windows(text, items, window):
 def test_decontamination(spark, awkward, empty, block):
     items = [(1, " ".join(prose(2).split()[10:40]).upper()), (10, "HÉLLO wörld"), (2, "héllo, endoftext"), (3, None), (4, "..."), (None, "x"), (5, prose(104))]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    docs = awkward.where("doc_id is null or doc_id != 5")
+    docs = awkward.where("doc_id is null or doc_id != 5").union(table(spark, [(77, LONG[:12_000] + " " + prose(104) + " " + LONG[:12_000])]))
     got = {(r.doc_id, r.n_words): r for r in decontam.contamination(docs, bench, block_bytes=block).collect()}
     for r in docs.collect():
         n, hit, found = brute_windows(r.text, items, 13)
