@@ -149,6 +149,21 @@ def _(spark, d):
     return ahead.withColumn("dt", day).groupBy(*K).agg(F.sum("value").alias("total_fc"), S.to_json_series("dt", F.round("value", 3)).alias("daily_fc"))
 
 
+@add("z9_linear_baseline")
+def _(spark, d):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    pb = sparse(spark, d)
+    tail = N.long_tail(pb.withColumn(X, F.col(X) / 20)).where("is_long_tail = 1").select(*K)
+    lags = [f"lag_{i}" for i in range(1, 15)]
+    rows = R.lags(pb.join(tail, K, "left_anti"), list(range(1, 15))).dropna(subset=lags)
+    rows = VectorAssembler(inputCols=lags, outputCol="f").transform(rows)
+    model = LinearRegression(featuresCol="f", labelCol=X, solver="normal").fit(rows.where(trained()))
+    main = model.transform(rows.where(~trained())).groupBy(*K).agg(F.avg(F.greatest("prediction", F.lit(0.0))).alias("pred"))
+    return G.with_fallback(main, G.long_tail_rule(pb, F.col("cat2") < "Brand#3"), K)
+
+
 @add("z10_trees_with_fallback")
 def _(spark, d):
     pb = C.threshold_damped(sparse(spark, d).where("dt >= '1999-01-01'").withColumn("day_no", S.day_number("dt")))
