@@ -108,8 +108,9 @@ def scores(docs: DataFrame, model: Ratio, id_col: str = "doc_id", text_col: str
     return out.select(F.col("id").alias(id_col), "log_ratio", (F.col("log_ratio") + gumbel("id", seed)).alias("key"))
 
 
-def gumbel(id_col: str, seed: int):
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col)), 11).cast("double") + 0.5) / float(1 << 53)
+def gumbel(id_col, seed: int):
+    """Gumbel noise that depends on the id (a column or its name) and the seed alone."""
+    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), id_col), 11).cast("double") + 0.5) / float(1 << 53)
     return -F.log(-F.log(u))
 
 
@@ -148,20 +149,27 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "quality", seed: int = 1) -> DataFrame:
-    """docs without the documents that `classify` rejects, all columns kept."""
+    """docs, all columns of any names, without the documents that `classify` rejects.
+
+    Each text is scored once: only texts go to Python, and only ids, two hashes of the text and scores are staged; rows are
+    kept by a join on these, so that no copy of the texts outlives it. Null and empty texts have ratio 0; repeated rows
+    share their fate; an empty table gives no rows.
+    """
     model = fit(docs, labels, id_col, text_col, label)
-    found = staged(scores(docs, model, id_col, text_col, seed), "scores")
-    k = found.where(F.col("log_ratio") >= model.low).count()
-    least = kth_largest(found, "key", k) if k else float("inf")
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    cols = [f"c{i}" for i in range(len(docs.columns))]
-    at = docs.columns.index(text_col)
-
-    def run(it):
-        for b in it:
-            yield b.append_column("log_ratio", pa.array(np.array([shared.value.score(t.as_py()) for t in b.column(at)], np.float64)))
 
-    same = docs.toDF(*cols).withColumn(f"c{at}", F.col(f"c{at}").cast("string"))
-    scored = same.mapInArrow(run, T.StructType([*same.schema.fields, T.StructField("log_ratio", T.DoubleType())]))
-    key = F.col("log_ratio") + gumbel(f"c{docs.columns.index(id_col)}", seed)
-    return scored.where(key >= least).select(*cols).toDF(*docs.columns)
+    @F.arrow_udf(T.DoubleType())
+    def log_ratio(texts: pa.Array) -> pa.Array:
+        return pa.array(np.array([shared.value.score(t.as_py()) for t in texts], np.float64))
+
+    n = len(docs.columns)
+    rows = docs.toDF(*[f"c{i}" for i in range(n)])
+    text = F.col(f"c{docs.columns.index(text_col)}").cast("string")
+    same = [F.col(f"c{docs.columns.index(id_col)}").cast("long"), F.xxhash64(F.lit(1), text), F.xxhash64(F.lit(2), text)]
+    scored = rows.select(*[c.alias(f"k{i}") for i, c in enumerate(same)], log_ratio(text).alias("log_ratio"))
+    scored = staged(scored.withColumn("key", F.col("log_ratio") + gumbel("k0", seed)), "scores")
+    k = scored.where(F.col("log_ratio") >= model.low).count()
+    least = kth_largest(scored.select("key"), "key", k) if k else float("inf")
+    kept = scored.where(F.col("key") >= least).select("k0", "k1", "k2").distinct()
+    match = [c.eqNullSafe(F.col(f"k{i}")) for i, c in enumerate(same)]
+    return rows.join(kept, match[0] & match[1] & match[2], "left_semi").toDF(*docs.columns)
