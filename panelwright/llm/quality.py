@@ -62,7 +62,11 @@ class Ratio:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "quality", sample: int = SAMPLE) -> Ratio:
-    """Counts both models over docs. Without labelled good documents all ratios are 0."""
+    """Counts both models over docs. Without labelled good documents, or without documents, all ratios are 0.
+
+    Null and empty texts count nothing; repeated rows count each time; null labels and ids, and ids that docs lack, teach
+    nothing; other columns aren't read.
+    """
     spark = docs.sparkSession
     good = staged(labelled(labels, label, 1, sample, id_col), "good")  # at most `sample` ids
     taught = F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(5)) > 0  # the rest shows what unseen good texts reach

@@ -41,7 +41,9 @@ D = len(XS)
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, *keep): one row per row of docs.
 
-    Null texts have no words.
+    Null and empty texts have no words, and so no symbols, lines or windows; a text of any length stays in its row. Null ids
+    come back, repeated rows come back repeated, and columns other than `keep` aren't read, whatever their names. An empty
+    table gives no rows.
     """
     t = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *[F.col(k).cast("string").alias(f"k_{k}") for k in keep])
     rest = [f"k_{k}" for k in keep]

@@ -50,7 +50,8 @@ def record(kind: str, fields: list[tuple[str, str]], http: bytes, payload: bytes
 def roles(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", least_bytes: int = 0) -> DataFrame:
     """(page_id, sha, first_id) for each distinct pair of id and payload digest: first_id has the payload's response.
 
-    Only headers are shuffled. Payloads under least_bytes, and payloads of which no record has an id, get no first_id.
+    Only headers are shuffled. Payloads under least_bytes, and payloads of which no record has an id, get no first_id. Null
+    payloads are empty ones; repeated rows give one row; other columns aren't read; no rows give no rows.
     """
     raw = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
     heads = staged(pages.select(F.col(id_col).cast("long").alias("page_id"), F.sha1(raw).alias("sha"), F.octet_length(raw).cast("long").alias("size")).groupBy("page_id", "sha", "size").count(), "heads")
@@ -132,7 +133,8 @@ def parse(data: bytes):
 def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
     """(record_id, page_id, url, record_type, payload_digest, refers_to_record, payload_bytes[, payload]) as archived.
 
-    A response's payload is checked against its digest. A revisit has no payload here; `resolved` joins it. Without
+    A response's payload is checked against its digest. A revisit has no payload here; `resolved` joins it. Records without
+    a page id or a target have nulls there; an empty payload has 0 bytes; no folder ('') gives no rows. Without
     payloads the archives are read once, at this call, and the headers staged.
     """
     kind = "record_id string, page_id long, url string, record_type string, payload_digest string, refers_to_record string, payload_bytes long" + ", payload binary" * payloads
