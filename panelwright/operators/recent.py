@@ -25,6 +25,11 @@ def last_apply(df: DataFrame, width: int, function: Callable[[Column], Column],
     return _tails(df, width, spec).select(*spec.keys, function(F.col("tail")).alias(name))
 
 
+def bound(value: Column, function: Callable[[Column], Column]) -> Column:
+    """function(value) with value worked out once, however often the function names it."""
+    return F.element_at(F.transform(F.array(value), function), 1)
+
+
 def mean_of(values: Column) -> Column:
     """The mean of an array; 0 if it is empty."""
     return F.when(F.size(values) > 0, F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values)).otherwise(0.0)
@@ -39,16 +44,14 @@ def between_ago(values: Column, first: int, last: int = 0) -> Column:
 
 def without_first(values: Column, value: Column) -> Column:
     """The array without the first place that holds value."""
-    i = F.array_position(values, value).cast("int")
-    return F.when(i > 0, F.concat(F.slice(values, F.lit(1), i - 1), F.slice(values, i + 1, F.size(values)))).otherwise(values)
+    return bound(F.array_position(values, value).cast("int"), lambda i: F.when(i > 0, F.concat(F.slice(values, F.lit(1), i - 1), F.slice(values, i + 1, F.size(values)))).otherwise(values))
 
 
 def trimmed_recent(values: Column) -> Column:
     """Weighted means of the last 3 and 7 values and the three weeks before, after one greatest and one least are dropped."""
-    once = without_first(values, F.array_max(values))
-    twice = without_first(once, F.array_min(once))
     parts = ((0.3, 3, 0), (0.3, 7, 0), (0.2, 14, 7), (0.1, 21, 14), (0.1, 28, 21))
-    return sum((w * mean_of(between_ago(twice, a, b)) for w, a, b in parts), F.lit(0.0))
+    weighted = lambda t: sum((w * bound(between_ago(t, a, b), mean_of) for w, a, b in parts), F.lit(0.0))
+    return bound(values, lambda v: bound(without_first(v, F.array_max(v)), lambda o: bound(without_first(o, F.array_min(o)), weighted)))
 
 
 def latest_recent(values: Column) -> Column:
