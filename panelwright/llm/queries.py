@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import decontam, mixing, quality, repeats, rules, secret_scan, simhash, sql, token_output, toxicity, warc
+from panelwright.llm import decontam, minhash, mixing, periodic, quality, repeats, rules, secret_scan, simhash, spelling, sql, token_output, toxicity, warc
 
 
 #: Target weights of the sources, in production: the first four are wanted more. A source that isn't listed weighs 1.
@@ -84,6 +84,29 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapse(table(spark, sf_dir, "documents"), prepare=periodic.planted).withColumn("best", periodic.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         "op1_simhash": op1_simhash,
@@ -96,6 +119,9 @@ def queries() -> dict:
         "op8_quality_rules": op8_quality_rules,
         "op9_secrets": op9_secrets,
         "op10_repeats": op10_repeats,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_periodic_runs": op12_periodic_runs,
+        "op13_minhash": op13_minhash,
         "pipeline": pipeline,
     }
 
