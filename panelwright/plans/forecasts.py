@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelwright.functions import scalars as S
+from panelwright.operators import boosting
 from panelwright.operators import cleaning as C
 from panelwright.operators import features as N
 from panelwright.operators import forecast as G
 from panelwright.operators import rolling as R
 from panelwright.operators.spec import SERIES
 from panelwright.plans.registry import add
+from panelwright.sources import files
 from panelwright.sources.panels import FORECAST_DATE, dense, sparse
 
 K, KEYS = ["bu_id", "wh_id", "sku_id"], "bu_id, wh_id, sku_id"
@@ -64,18 +66,12 @@ def _(spark, d):
 
 @add("g8_boosted_trees_by_cohort")
 def _(spark, d):
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
-
     cols = ["price", "day_abbr", "month", "lag_1", "lag_7"]
-    rows = R.lags(dense(spark, d), [1, 7]).dropna(subset=["lag_1", "lag_7"])
-    rows = VectorAssembler(inputCols=cols, outputCol="f").transform(rows.withColumn("cohort", (F.col("lag_7") > 25).cast("int")))
-    parts = []
-    for c in (0, 1):
-        some = rows.where(F.col("cohort") == c)
-        model = GBTRegressor(featuresCol="f", labelCol=X, maxDepth=4, maxIter=5, seed=42).fit(some.where("is_train = 1"))
-        parts.append(model.transform(some.where("is_train = 0")).select(*K, "dt", "cohort", F.greatest("prediction", F.lit(0.0)).alias("pred")))
-    return parts[0].union(parts[1])
+    rows = R.lags(dense(spark, d), [1, 7]).dropna(subset=["lag_1", "lag_7"]).withColumn("cohort", (F.col("lag_7") > 25).cast("int"))
+    rows = files.write_and_read(rows.select(*K, "dt", "is_train", X, "cohort", *cols), "parquet", [])
+    marked = F.pmod(F.xxhash64(*K, "dt"), F.lit(20)) == 0
+    model = boosting.fit(rows.where("is_train = 1"), cols, X, "cohort", marked, rounds=5, depth=4, loss="asymmetric")
+    return boosting.predict(rows.where("is_train = 0"), model).select(*K, "dt", "cohort", F.greatest("pred", F.lit(0.0)).alias("pred"))
 
 
 @add("g9_g15_a17_pooled_autoregression", f"WITH d AS (SELECT {KEYS}, cat1, dt, {X}-lag({X}) OVER ({W}) d FROM {{pa}}), l AS (SELECT cat1, d, lag(d,1) OVER ({W}) l1, lag(d,2) OVER ({W}) l2, lag(d,3) OVER ({W}) l3 FROM d) SELECT cat1, sum(d*d) r0, sum(d*l1) r1, sum(d*l2) r2, sum(d*l3) r3 FROM l GROUP BY cat1")

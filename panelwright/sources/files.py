@@ -40,6 +40,9 @@ def write_control_a(df: DataFrame, path: str) -> None:
 def _new_path(spark) -> str:
     """A fresh path in the folder that all executors share; a local session may use the machine's own temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        known = spark.sparkContext._jsc.sc().getCheckpointDir()
+        folder = known.get() if known.isDefined() else None
     if not folder:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
@@ -63,6 +66,14 @@ def write_and_read(df: DataFrame, fmt: str, by: list[str], n_files: int | None =
     return back.select(*df.columns, *[F.col("_metadata.file_name").alias("file")] * bool(n_files))
 
 
+def drop_written(df: DataFrame) -> None:
+    """Deletes the files of a table of write_and_read that no later step reads."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def write_text(lines: DataFrame, path: str) -> None:
     """One text column as lines; nulls are empty lines."""
     lines.write.mode("overwrite").text(path)
