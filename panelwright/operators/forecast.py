@@ -104,35 +104,49 @@ def pooled_ar(df: DataFrame, bucket: str, spec: PanelSpec = SERIES) -> DataFrame
     return r.select("*", *[F.when(F.abs(det) > 0, p / det).alias(f"phi{i}") for i, p in ((1, p1), (2, p2), (3, p3))])
 
 
-def ridge(df: DataFrame, features: list[str], spec: PanelSpec = SERIES, lam: float = 1.0) -> DataFrame:
-    """(keys, intercept, coef): a standardised ridge regression a series.
+def ridge(df: DataFrame, features: list[str], spec: PanelSpec = SERIES, lam: float = 1.0, least: int = 1) -> DataFrame:
+    """(keys, intercept, coef): a standardised ridge regression a series, of series with `least` rows or more.
 
-    All sums come from one distributed aggregate; only the small solve, over one row a series, is in Python.
+    All sums come from one distributed aggregate, and the system of each series is solved in its row: no Python worker.
+    Rows with a null feature or target are left out; constant features have the coefficient 0.
     """
-    import numpy as np
-
-    z = [*features, spec.target]
-    ok = df.dropna(subset=z)
-    sums = [F.count("*").cast("double").alias("n")] + [F.sum(F.col(a).cast("double")).alias(f"s{i}") for i, a in enumerate(z)]
-    sums += [F.sum(F.col(a).cast("double") * F.col(b)).alias(f"q{i}_{j}") for i, a in enumerate(z) for j, b in enumerate(z) if j <= i]
-    d, keys = len(features), list(spec.keys)
-
-    def solve(it):
-        for pdf in it:
-            icept, coefs = [], []
-            for r in pdf.to_dict("records"):
-                n, m = r["n"], np.array([r[f"s{i}"] for i in range(d + 1)]) / r["n"]
-                q = np.array([[r[f"q{max(i, j)}_{min(i, j)}"] for j in range(d + 1)] for i in range(d + 1)]) / n - np.outer(m, m)
-                sd = np.sqrt(np.maximum(np.diag(q)[:d], 0))
-                sd[sd < 1e-9] = 1.0
-                g = q[:d, :d] / np.outer(sd, sd) * n + lam * np.eye(d)
-                beta = np.linalg.solve(g, q[:d, d] / sd * n) / sd
-                coefs.append(beta.tolist())
-                icept.append(float(m[d] - beta @ m[:d]))
-            yield pdf[keys].assign(intercept=icept, coef=coefs)
-
-    kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
-    return ok.groupBy(*keys).agg(*sums).mapInPandas(solve, f"{kinds}, intercept double, coef array<double>")
+    from panelwright.operators.smoothing import solved
+
+    z, d = [*features, spec.target], len(features)
+    ok = df.dropna(subset=z).select(*spec.keys, *[F.col(a).cast("double").alias(f"z{i}") for i, a in enumerate(z)])
+    # sums of differences from a value of the series, not of the values: squares of large values would leave few digits
+    ok = ok.withColumns({f"o{i}": F.first(f"z{i}").over(spec.whole()) for i in range(d + 1)}).withColumns({f"z{i}": F.col(f"z{i}") - F.col(f"o{i}") for i in range(d + 1)})
+    sums = [F.count("*").cast("double").alias("n")] + [F.first(f"o{i}").alias(f"o{i}") for i in range(d + 1)] + [F.sum(f"z{i}").alias(f"s{i}") for i in range(d + 1)]
+    sums += [F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"q{i}_{j}") for i in range(d + 1) for j in range(i + 1)]
+    rows = ok.groupBy(*spec.keys).agg(*sums).where(F.col("n") >= least)
+    about = lambda i, j: F.col(f"q{max(i, j)}_{min(i, j)}") - F.col(f"s{i}") * F.col(f"s{j}") / F.col("n")
+    rows = rows.withColumns({f"v{i}_{j}": about(i, j) for i in range(d + 1) for j in range(i + 1)})
+    rows = rows.withColumns({f"sd{i}": F.when(F.col(f"v{i}_{i}") / F.col("n") < 1e-18, 1.0).otherwise(F.sqrt(F.col(f"v{i}_{i}") / F.col("n"))) for i in range(d)})
+    cell = lambda i, j: F.col(f"v{max(i, j)}_{min(i, j)}") / F.col(f"sd{i}") / F.col(f"sd{j}") + (lam if i == j else 0.0)
+    matrix = F.array(*[F.array(*[cell(i, j) for j in range(d)], F.col(f"v{d}_{i}") / F.col(f"sd{i}")) for i in range(d)])
+    rows = rows.withColumn("beta", solved(matrix, d))
+    rows = rows.withColumn("coef", F.zip_with("beta", F.array(*[f"sd{i}" for i in range(d)]), lambda b, sd: b / sd))
+    means = F.array(*[F.col(f"o{i}") + F.col(f"s{i}") / F.col("n") for i in range(d)])
+    lower = F.aggregate(F.zip_with("coef", means, lambda c, m: c * m), F.lit(0.0), lambda a, x: a + x)
+    return rows.select(*spec.keys, (F.col(f"o{d}") + F.col(f"s{d}") / F.col("n") - lower).alias("intercept"), "coef")
+
+
+def ridge_forecast(df: DataFrame, features: list[str], train: Column, spec: PanelSpec = SERIES, lam: float = 1.0, least: int = 60) -> DataFrame:
+    """(keys, date, pred): the rows that aren't training rows, scored by their series' ridge regression, at least 0.
+
+    Null where the series has under `least` complete training rows or the row lacks a feature.
+    """
+    keys, known = list(spec.keys), F.coalesce(train, F.lit(False))
+    models = ridge(df.where(known), features, spec, lam, least)
+    ahead = df.where(~known).select(*keys, spec.date, F.array(*[F.col(f).cast("double") for f in features]).alias("__x"))
+    value = F.aggregate(F.zip_with("__x", "coef", lambda x, c: x * c), F.col("intercept"), lambda s, v: s + v)
+    return ahead.join(models, keys, "left").select(*keys, spec.date, F.when(value < 0, 0.0).otherwise(value).alias("pred"))
+
+
+def blended(parts: list[tuple[Column, float]]) -> Column:
+    """The weighted sum of forecasts; where some are null, of those there are, with their weights scaled up."""
+    have = sum((F.when(c.isNotNull(), w).otherwise(0.0) for c, w in parts), F.lit(0.0))
+    return F.when(have > 0, sum((F.coalesce(c, F.lit(0.0)) * w for c, w in parts), F.lit(0.0)) / have)
 
 
 def recursive_linear(df: DataFrame, origin: str, pool: tuple[str, ...], spec: PanelSpec = SERIES, history: int = 180, lags: int = 14, steps: int = 20, most: int = 7, gap: int = 31) -> DataFrame:
