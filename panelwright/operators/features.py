@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.operators.rolling import last_rows
+from panelwright.operators.intervals import interval_join
 from panelwright.operators.spec import SERIES, PanelSpec
 
 
@@ -43,7 +44,8 @@ def festival_index(df: DataFrame, dim: list[str], spec: PanelSpec = SERIES, fest
     named = day.where(F.col(festival) != none)
     runs = named.groupBy(*dim, F.col(festival).alias("f"), F.year(spec.date).alias("y")).agg(F.min(spec.date).alias("a"), F.max(spec.date).alias("b"))
     plain = day.where(F.col(festival) == none).select(*dim, F.col(spec.date).alias("d"), "t")
-    near = runs.join(plain, dim).where(F.col("d").between(F.date_sub("a", flank), F.date_add("b", flank)))
+    runs = runs.withColumns({"a": F.date_sub("a", flank), "b": F.date_add("b", flank)})
+    near = interval_join(plain, runs, dim, "d", "a", "b")
     yearly = near.groupBy(*dim, "f", "y").agg(F.avg("t").alias("m"))
     base = yearly.groupBy(*dim, "f").agg((F.avg("m") if average_years else F.sum("m")).alias("base"))
     top = named.groupBy(*dim, F.col(festival).alias("f")).agg(F.avg("t").alias("top"))

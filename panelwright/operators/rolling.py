@@ -65,6 +65,36 @@ def ewm(df: DataFrame, spans: list[int], spec: PanelSpec = SERIES, col: str | No
     return df.withColumns(out)
 
 
+def ewm_exact(df: DataFrame, span: int, spec: PanelSpec = SERIES, col: str | None = None, name: str | None = None, block: int | None = None) -> DataFrame:
+    """Adds ewm_<span> with all weights, for series of any length: alpha = 2 / (span + 1), weights normalised over the
+    values there are.
+
+    A series is cut into blocks of rows; inside a block the weighted sum is a running sum of values over powers of the
+    decay, and blocks are carried on from their totals, of which a series has one a block. Nulls aren't among the values:
+    they take the mean as it stands. Dates should not repeat in a series.
+    """
+    import math
+
+    x, keys, name = F.col(col or spec.target).cast("double"), list(spec.keys), name or f"ewm_{span}"
+    r = 1 - 2 / (span + 1)
+    if r <= 0:
+        return df.withColumn(name, F.last(x, ignorenulls=True).over(spec.rows(Window.unboundedPreceding, 0)))
+    block = block or max(2, min(1024, int(300 / -math.log(r))))  # no power of the decay in a block leaves what doubles hold
+    k = F.count(x).over(spec.rows(Window.unboundedPreceding, 0)) - 1
+    rows = df.withColumn("__k", k).withColumns({"__block": F.floor(F.greatest("__k", F.lit(0)) / block), "__at": F.greatest("__k", F.lit(0)) % block})
+    local = F.sum(x * F.pow(F.lit(1 / r), F.col("__at"))).over(spec.rows(Window.unboundedPreceding, 0, "__block")) * F.pow(F.lit(r), F.col("__at"))
+    rows = rows.withColumn("__local", F.coalesce(local, F.lit(0.0)))
+    totals = rows.groupBy(*keys, "__block").agg(F.max_by("__local", "__at").alias("t"))
+    start = F.struct(F.lit(0.0).alias("carry"), F.array().cast("array<double>").alias("all"))
+    fold = lambda a, e: F.struct((a["carry"] * (r**block) + e["t"]).alias("carry"), F.concat(a["all"], F.array(a["carry"])).alias("all"))
+    carries = totals.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__block", "t"))).alias("e"))
+    carries = carries.select(*keys, F.posexplode(F.aggregate("e", start, fold, lambda a: a["all"])).alias("__block", "__carry"))
+    rows = rows.join(carries, [*keys, "__block"])
+    weights = (1 - F.pow(F.lit(r), F.col("__k") + 1)) / (1 - r)
+    value = (F.col("__local") + F.pow(F.lit(r), F.col("__at") + 1) * F.col("__carry")) / weights
+    return rows.withColumn(name, F.when(F.col("__k") >= 0, value)).select(*df.columns, name)
+
+
 def centered_mean(df: DataFrame, width: int, spec: PanelSpec = SERIES, col: str | None = None, name: str | None = None) -> DataFrame:
     """Mean of `width` rows around the current one, the longer half before it; null unless all are there."""
     x = col or spec.target

@@ -11,6 +11,9 @@ from panelwright.operators import forecast as G
 from panelwright.operators import recent as Q
 from panelwright.operators import rolling as R
 from panelwright.operators import smoothing as M
+from panelwright.operators.elasticity import curve_elasticity, price_curves
+from panelwright.operators.intervals import interval_join
+from panelwright.operators.quantiles import exact_quantiles
 from panelwright.operators.spec import SERIES
 from panelwright.plans.registry import add
 from panelwright.sources import files
@@ -118,3 +121,38 @@ def _(spark, d):
     marked = F.pmod(F.xxhash64(*K, "dt"), F.lit(20)) == 0
     model = boosting.fit(rows.where("is_train = 1"), ["price", "day_abbr", "lag_1", "lag_7"], X, "band", marked, rounds=3, depth=3, loss="asymmetric", patience=2)
     return model.losses.withColumnRenamed("cohort", "band")
+
+
+_P = "PARTITION BY bu_id, wh_id, sku_id"
+
+
+@add("e4_curve_elasticity", f"""WITH t AS (SELECT *, w_price/1000 wp FROM {{pa}}),
+ a AS (SELECT {KEYS}, dt, count(*) OVER ({_P}) n, count(*) OVER w c, avg(wp) OVER w p, avg({X}) OVER w q FROM t WHERE is_train=1 AND csu_redu_num=0 WINDOW w AS ({W} ROWS 29 PRECEDING)),
+ b AS (SELECT *, p*p*q gmv FROM a WHERE n>=15 AND c>=7), c AS (SELECT *, max(p) OVER ({_P}) top, min(p) OVER ({_P}) low, quantile_cont(gmv,0.25) OVER ({_P}) g1, quantile_cont(gmv,0.75) OVER ({_P}) g3 FROM b),
+ e AS (SELECT *, (row_number() OVER ({_P} ORDER BY round(p,9), dt)-1)//5 g FROM c WHERE round(top,3)<>round(low,3) AND gmv BETWEEN g1-(g3-g1)-g3*1e-12 AND g3+(g3-g1)+g3*1e-12),
+ f AS (SELECT {KEYS}, g, avg(p) p, avg(q) q FROM e GROUP BY ALL), h AS (SELECT *, avg(p) OVER ({_P}) m, stddev_pop(p) OVER ({_P}) s FROM f), u AS (SELECT *, (p-m)/s u FROM h WHERE s>0),
+ z AS (SELECT {KEYS}, any_value(m) m, any_value(s) s, count(*)::DOUBLE s0, sum(u) s1, sum(u*u) s2, sum(u*u*u) s3, sum(u*u*u*u) s4, sum(q) t0, sum(u*q) t1, sum(u*u*q) t2 FROM u GROUP BY ALL),
+ d AS (SELECT *, s4*(s2*s0-s1*s1)-s3*(s3*s0-s1*s2)+s2*(s3*s1-s2*s2) det FROM z),
+ k AS (SELECT {KEYS}, m, s, (t2*(s2*s0-s1*s1)-s3*(t1*s0-s1*t0)+s2*(t1*s1-s2*t0))/det c2, (s4*(t1*s0-t0*s1)-t2*(s3*s0-s1*s2)+s2*(s3*t0-t1*s2))/det c1 FROM d WHERE det>1e-6*s0*s0*s0),
+ r AS (SELECT {KEYS}, dt, cat2, coalesce(-(2*c2*(wp-m)/s+c1)/s, 0) ed FROM t LEFT JOIN k USING ({KEYS})),
+ v AS (SELECT *, quantile_cont(ed,0.25) OVER (PARTITION BY cat2) a, quantile_cont(ed,0.75) OVER (PARTITION BY cat2) b FROM r), x AS (SELECT *, least(greatest(ed, a-1.5*(b-a)), b+1.5*(b-a)) y FROM v)
+ SELECT {KEYS}, dt, R(CASE WHEN y>0 THEN y ELSE coalesce(avg(y) FILTER (y>0) OVER (PARTITION BY cat2), 1) END) sec_ed FROM x""")
+def _(spark, d):
+    df = files.write_and_read(dense(spark, d).withColumn("w_price", F.col("w_price") / 1000), "parquet", [])
+    curves = price_curves(df.where("is_train = 1 and csu_redu_num = 0"))
+    return curve_elasticity(df, curves).select(*K, "dt", "sec_ed")
+
+
+@add("a9_quantiles_by_narrowing", f"SELECT cat1, R(quantile_cont({X}, 0.25)) q1, R(quantile_cont({X}, 0.5)) q2, R(quantile_cont({X}, 0.96)) q96, R(quantile_cont(price, 0.25)) p1 FROM {{pb}} GROUP BY cat1")
+def _(spark, d):
+    pb = sparse(spark, d)
+    volume = exact_quantiles(pb, ["cat1"], X, {"q1": 0.25, "q2": 0.5, "q96": 0.96})
+    return volume.join(exact_quantiles(pb, ["cat1"], "price", {"p1": 0.25}), "cat1")
+
+
+@add("j16_rows_near_promotions", f"SELECT p.wh_id, p.sku_id, p.dt, L(count(*)) near FROM {{pa}} p JOIN {{pa}} q ON p.wh_id=q.wh_id AND p.sku_id=q.sku_id AND p.dt BETWEEN q.dt-3 AND q.dt+3 WHERE q.seq_num>0 AND p.seq_num=0 GROUP BY ALL")
+def _(spark, d):
+    df = dense(spark, d)
+    around = df.where("seq_num > 0").select("wh_id", "sku_id", F.date_sub("dt", 3).alias("first"), F.date_add("dt", 3).alias("last"))
+    near = interval_join(df.where("seq_num = 0").select("wh_id", "sku_id", "dt"), around, ["wh_id", "sku_id"], "dt", "first", "last", bin_days=7)
+    return near.groupBy("wh_id", "sku_id", "dt").agg(F.count("*").alias("near"))

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelwright.operators import backtest, forecast, smoothing
+from panelwright.operators import backtest, elasticity, forecast, intervals, quantiles, rolling, smoothing
 from panelwright.operators.spec import PanelSpec
 
 SPEC = PanelSpec(("sku",), "dt", "x")
@@ -136,3 +136,72 @@ def test_rolling_origins_see_no_later_row(spark):
     assert set(best) == {"a", "b"}
     with pytest.raises(ValueError):
         backtest.backtest(panel(spark, all_), origins, {}, 7, 15, SPEC)
+
+
+def test_exact_quantiles_of_hot_groups(spark):
+    r = random.Random(8)
+    rows = [("hot", r.gauss(0, 1)) for _ in range(20_000)] + [("ties", float(r.randrange(3))) for _ in range(5000)] + [("one", 4.0), ("none", None), (None, 1.0), (None, 2.0), ("two", 1.0), ("two", 5.0)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    shares = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.961, "e": 1.0}
+    got = {q.k: q for q in quantiles.exact_quantiles(df, ["k"], "v", shares, parts=16).collect()}
+    assert set(got) == {"hot", "ties", "one", None, "two"}
+    for k, q in got.items():
+        want = np.quantile([v for g, v in rows if g == k and v is not None], list(shares.values()))
+        assert [q[n] for n in shares] == pytest.approx(want, abs=1e-12)
+    assert quantiles.exact_quantiles(df.limit(0), ["k"], "v", shares).count() == 0
+
+
+def test_interval_join_finds_each_match_once(spark):
+    r = random.Random(4)
+    day = lambda i: None if i is None else DAY + datetime.timedelta(i)
+    points = [(r.choice("ab"), r.choice([None, *range(90)])) for _ in range(200)]
+    spans = [(r.choice("ab"), a, a + r.choice([-3, 0, 1, 20, 70])) for a in (r.randrange(90) for _ in range(60))] + [("a", 5, None), (None, 1, 9)]
+    got = intervals.interval_join(spark.createDataFrame([(k, day(d), i) for i, (k, d) in enumerate(points)], "k string, d date, i int"), spark.createDataFrame([(k, day(a), day(b), j) for j, (k, a, b) in enumerate(spans)], "k string, a date, b date, j int"), ["k"], "d", "a", "b", bin_days=8)
+    want = sorted((i, j) for i, (k, d) in enumerate(points) for j, (g, a, b) in enumerate(spans) if k == g and None not in (d, a, b) and a <= d <= b)
+    assert sorted((q.i, q.j) for q in got.collect()) == want and len(want) > 300
+
+
+def test_exponential_means_of_a_long_series_keep_all_weights(spark):
+    import pandas as pd
+
+    r = random.Random(6)
+    long = [r.choice([0.0, r.gauss(50, 20)]) for _ in range(30_000)]
+    gaps = [None, 1.0, None, 4.0, 2.0, None]
+    first = datetime.date(1900, 1, 1)
+    rows = [(k, first + datetime.timedelta(i), x) for k, values in (("long", long), ("gaps", gaps)) for i, x in enumerate(values)]
+    df = spark.createDataFrame(rows, "sku string, dt date, x double")
+    for span, block in ((1, None), (3, None), (7, 50), (2000, None)):
+        got = {(q.sku, (q.dt - first).days): q[f"ewm_{span}"] for q in rolling.ewm_exact(df, span, SPEC, block=block).collect()}
+        want = pd.Series(long).ewm(span=span).mean()
+        assert [got["long", i] for i in range(len(long))] == pytest.approx(want.tolist(), rel=1e-9, abs=1e-9)
+        want = pd.Series(gaps).ewm(span=span, ignore_na=True).mean().tolist()
+        assert got["gaps", 0] is None and [got["gaps", i] for i in range(1, 6)] == pytest.approx(want[1:])
+
+
+def test_price_curves_against_polyfit(spark):
+    r, rows, want = random.Random(12), [], {}
+    for sku, n in (("a", 120), ("b", 60), ("few", 10), ("flat", 50)):
+        p = [5.0 if sku == "flat" else 5 + 3 * r.random() for _ in range(n)]
+        q = [40 - 6 * v + 0.3 * v * v + r.gauss(0, 0.5) for v in p]
+        rows += [(sku, "c", DAY + datetime.timedelta(i), q[i], p[i]) for i in range(n)]
+        if n < 15 or sku == "flat":
+            continue
+        mean = [(np.mean(p[max(0, i - 29) : i + 1]), np.mean(q[max(0, i - 29) : i + 1])) for i in range(6, n)]
+        gmv = [a * a * b for a, b in mean]
+        lo, hi = np.percentile(gmv, 25), np.percentile(gmv, 75)
+        kept = sorted(m for m, g in zip(mean, gmv) if lo - (hi - lo) <= g <= hi + (hi - lo))
+        bands = [np.mean(kept[i : i + 5], axis=0) for i in range(0, len(kept), 5)]
+        want[sku] = np.polyfit(*np.array(bands).T, 2)
+    df = spark.createDataFrame(rows, "sku string, cat2 string, dt date, x double, w_price double")
+    curves = elasticity.price_curves(df, SPEC)
+    got = {c.sku: c for c in curves.collect()}
+    assert set(got) == set(want)
+    for sku, (c2, c1, _) in want.items():
+        g = got[sku]
+        assert g.c2 / g.scale**2 == pytest.approx(c2, rel=1e-6) and (g.c1 - 2 * g.c2 * g.mid / g.scale) / g.scale == pytest.approx(c1, rel=1e-6)
+    out = elasticity.curve_elasticity(df, curves, SPEC).collect()
+    raw = {(s, d): -(2 * want[s][0] * p + want[s][1]) if s in want else 0.0 for s, _, d, _, p in rows}
+    a, b = np.percentile(list(raw.values()), 25), np.percentile(list(raw.values()), 75)
+    cut = {k: min(max(v, a - 1.5 * (b - a)), b + 1.5 * (b - a)) for k, v in raw.items()}
+    mean = np.mean([v for v in cut.values() if v > 0])
+    assert all(o.sec_ed == pytest.approx(cut[o.sku, o.dt] if cut[o.sku, o.dt] > 0 else mean, rel=1e-5) for o in out) and len(out) == len(rows)
