@@ -11,6 +11,9 @@ Texts of one set are one node. First each node is paired with the least node of
 most often, and the pair is confirmed by counting the common shingles; that already ties large groups together. Then only
 nodes of a bucket that are in different components are compared: in each bucket all nodes outside its largest component
 with all others. So a large group of near copies costs no pairs of its own, and every link between two components is found.
+A crowd of texts whose similarities lie about the threshold would still give its square in pairs to confirm: nodes that
+meet often make clusters, and in clusters over `CROWD` nodes the signatures and sets are compared block by block, in
+tasks that hold two blocks and return spanning links alone.
 """
 
 from __future__ import annotations
@@ -31,6 +34,10 @@ MOST = 2 * CHUNKS - 1
 SYMBOLS = CHUNKS * WIDTH
 #: Nodes of a bucket, outside its largest component, that a task holds at once.
 BLOCK = 2048
+#: Nodes that share so many buckets with their pivot are of one cluster; clusters over CROWD nodes are compared in blocks.
+MEETINGS, CROWD = 6, 64
+#: Nodes and shingles of a block of a cluster.
+CLUSTER_NODES, CLUSTER_SHINGLES = 512, 1 << 20
 #: Shingles that are hashed at once by all functions.
 STRIP = 4096
 
@@ -121,8 +128,9 @@ def _symbols(sigs) -> np.ndarray:
 
 
 def _pairs_across(rows: DataFrame, most: int, percent: int, block: int) -> DataFrame:
-    """(a, b): of (key, node, comp, n, sig) rows, the pairs of a bucket whose components differ, whose signatures differ in
-    at most `most` symbols and whose sizes don't rule the link out. Each pair once, from the first key that both share."""
+    """(a, b): of (key, node, comp, n, sig, cluster) rows, the pairs of a bucket whose components and clusters differ, whose
+    signatures differ in at most `most` symbols and whose sizes don't rule the link out. Each pair once, from the first key
+    that both share."""
     dealt = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     per = rows.groupBy("key", "comp").agg(F.count("*").alias("k"))
     per = per.groupBy("key").agg(F.max(F.struct("k", "comp")).alias("m"), F.sum("k").alias("k"), F.count("*").alias("comps")).where("comps > 1")
@@ -130,7 +138,7 @@ def _pairs_across(rows: DataFrame, most: int, percent: int, block: int) -> DataF
     rows = rows.join(buckets, "key")
     rows = rows.withColumn("own", F.expr("if(comp = main, -1, pmod(xxhash64(node), parts))").cast("int"))
     rows = rows.withColumn("part", F.explode(F.expr("sequence(greatest(own, 0), parts - 1)"))).withColumn("role", F.expr("if(part = own, 0, 1)"))
-    rows = rows.select("key", "part", "role", "node", "comp", "n", "sig").repartition(dealt * 2, "key", "part").sortWithinPartitions("key", "part", "role")
+    rows = rows.select("key", "part", "role", "node", "comp", "n", "cluster", "sig").repartition(dealt * 2, "key", "part").sortWithinPartitions("key", "part", "role")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compared(key, res, vis, same):
@@ -138,12 +146,12 @@ def _pairs_across(rows: DataFrame, most: int, percent: int, block: int) -> DataF
         v, out = int(key) >> 8 * WIDTH, []
         for i in range(len(res[0])):
             rest = slice(i + 1, None) if same else slice(None)
-            node, comp, n, sig = (x[rest] for x in vis)
-            ok = (comp != res[1][i]) & (100 * np.minimum(n, res[2][i]) >= percent * np.maximum(n, res[2][i]))
+            node, comp, n, cluster, sig = (x[rest] for x in vis)
+            ok = (comp != res[1][i]) & (cluster != res[3][i]) & (100 * np.minimum(n, res[2][i]) >= percent * np.maximum(n, res[2][i]))
             at = np.flatnonzero(ok)
             if not len(at):
                 continue
-            differ = sig[at] != res[3][i]
+            differ = sig[at] != res[4][i]
             good = differ.sum(axis=1) <= most
             at, differ = at[good], differ[good]
             if len(at):
@@ -158,7 +166,7 @@ def _pairs_across(rows: DataFrame, most: int, percent: int, block: int) -> DataF
         at, held, residents = None, [], None
 
         def settled():
-            return tuple(np.concatenate([h[i] for h in held]) for i in range(4))
+            return tuple(np.concatenate([h[i] for h in held]) for i in range(5))
 
         def batch(found):
             for i in range(0, len(found), 50_000):
@@ -167,7 +175,7 @@ def _pairs_across(rows: DataFrame, most: int, percent: int, block: int) -> DataF
 
         for b in it:
             key, part, role = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            cols = (*(b.column(i).to_numpy(zero_copy_only=False) for i in (3, 4, 5)), _symbols(b.column(6)))
+            cols = (*(b.column(i).to_numpy(zero_copy_only=False) for i in (3, 4, 5, 6)), _symbols(b.column(7)))
             edges = np.flatnonzero((np.diff(key) != 0) | (np.diff(part) != 0) | (np.diff(role) != 0)) + 1
             for lo, hi in itertools.pairwise([0, *edges.tolist(), b.num_rows]):
                 if lo == hi:
@@ -192,6 +200,48 @@ def _pairs_across(rows: DataFrame, most: int, percent: int, block: int) -> DataF
     return rows.mapInArrow(scan, "a long, b long")
 
 
+def _crowds(rows: DataFrame, most: int, percent: int) -> DataFrame:
+    """(a, b): of (cluster, node, comp, n, sig, shingles) rows confirmed links that tie the components of each cluster as
+    all links between its nodes of at most `most` differing symbols would. Blocks of a cluster meet two by two."""
+    per = rows.groupBy("cluster").agg(F.expr(f"cast(ceil(greatest(count(*) / {CLUSTER_NODES}, sum(n) / {CLUSTER_SHINGLES})) as int)").alias("blocks"))
+    rows = rows.join(per, "cluster").withColumn("own", F.expr("pmod(xxhash64(node), blocks)").cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    rows = rows.select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp", "n", "sig", "shingles")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        one = {c: table.column(c).to_numpy() for c in ("own", "node", "comp", "n")}
+        lists = table.column("shingles").combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        starts, flat = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
+        sigs = _symbols(table.column("sig").combine_chunks().chunk(0) if isinstance(table.column("sig").combine_chunks(), pa.ChunkedArray) else table.column("sig").combine_chunks())
+        label = np.unique(one["comp"], return_inverse=True)[1]
+        own, n, out = one["own"], one["n"], []
+        alone = own.min() == own.max()
+        right = np.arange(len(own)) if alone else np.flatnonzero(own == own.max())
+        for x in range(len(own)) if alone else np.flatnonzero(own == own.min()).tolist():
+            at = right[right > x] if alone else right
+            at = at[(label[at] != label[x]) & (100 * np.minimum(n[at], n[x]) >= percent * np.maximum(n[at], n[x]))]
+            at = at[(sigs[at] != sigs[x]).sum(axis=1) <= most]
+            mine = flat[starts[x] : starts[x + 1]]
+            while len(at):
+                some = at[: max(1, int(np.searchsorted(np.cumsum(n[at]), 1 << 20)))]
+                sizes = n[some]
+                edges = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+                theirs = np.concatenate([flat[starts[y] : starts[y + 1]] for y in some])
+                place = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+                common = np.add.reduceat((mine[place] == theirs).astype(np.int64), edges)
+                for y in some[100 * common >= percent * (n[x] + sizes - common)].tolist():
+                    if label[y] != label[x]:
+                        out.append((one["node"][x], one["node"][y]))
+                        label[label == label[y]] = label[x]
+                at = at[len(some) :]
+                at = at[label[at] != label[x]]
+        return pa.table([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], schema=schema)
+
+    return rows.groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long")
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     """(node, n, shingles) of the wanted (node, hash, id) rows: one text a node, found by its hash and its document's id."""
     schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("shingles", pa.list_(pa.int64()))])
@@ -237,13 +287,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = staged(_sets(docs, nodes.join(shared.select("node").distinct(), "node", "left_semi"), id_col, text_col, size), "sets")
 
     first = shared.where("node <> pivot").groupBy("node", "pivot").agg(F.count("*").alias("k"))
-    first = first.groupBy("node").agg(F.max(F.struct("k", "pivot")).alias("m")).select(F.col("node").alias("a"), F.col("m.pivot").alias("b"))
-    links = staged(_confirmed(first, sets, percent), "links")
+    first = staged(first.groupBy("node").agg(F.max(F.struct("k", "pivot")).alias("m")).select(F.col("node").alias("a"), F.col("m.pivot").alias("b"), "m.k"), "first")
+    links = staged(_confirmed(first.select("a", "b"), sets, percent), "links")
     tied = staged(connected_components(links), "components")
 
+    clusters = staged(connected_components(first.where(f"k >= {MEETINGS}").select("a", "b")), "clusters")
+    large = clusters.groupBy("root").agg(F.count("*").alias("k")).where(f"k > {CROWD}").select("root")
+    crowd = staged(clusters.join(large, "root").select("node", F.col("root").alias("cluster")), "crowd")
+    if not crowd.isEmpty():
+        comp = tied.select("node", F.col("root").alias("comp"))
+        inside = crowd.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")).join(nodes.select("node", "sig"), "node").join(sets, "node")
+        links = staged(links.union(_crowds(inside.select("cluster", "node", "comp", "n", "sig", "shingles"), most, percent)), "links")
+        tied = staged(connected_components(links), "components")
+
     more = shared.select("key", "node").join(tied, "node", "left").select("key", "node", F.coalesce("root", "node").alias("comp"))
     apart = more.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-    more = staged(more.join(apart, "key", "left_semi").join(nodes.select("node", "n", "sig"), "node"), "apart")
+    more = more.join(apart, "key", "left_semi").join(nodes.select("node", "n", "sig"), "node").join(crowd, "node", "left")
+    more = staged(more.withColumn("cluster", F.coalesce("cluster", "node")), "apart")
     drop_staged(shared)
     pairs = staged(_pairs_across(more, most, percent, block), "pairs")
     drop_staged(more)

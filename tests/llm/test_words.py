@@ -204,7 +204,10 @@ def edited(text, changes, seed):
 
 
 @pytest.mark.parametrize("block", [3, minhash.BLOCK])
-def test_near_duplicates(spark, block):
+def test_near_duplicates(spark, block, monkeypatch):
+    if block == 3:  # all clusters are compared in blocks of a few nodes
+        monkeypatch.setattr(minhash, "CROWD", 2)
+        monkeypatch.setattr(minhash, "CLUSTER_NODES", 4)
     base = [" ".join(f"w{random.Random(s).randrange(5)}{k}" for k in range(150)) for s in range(6)]
     rows = [(10 * s + 1000 + k, edited(base[s], k % 12, 100 * s + k)) for s in range(6) for k in range(25)]
     rows += [(1, base[0].upper()), (2, None), (3, ""), (4, " \n"), (5, "One"), (6, "one"), (6, "one"), (7, "two"), (8, "a b"), (9, "A  b"), (None, base[1]), (None, "alone here"), (12, "b a " * 40_000), (11, "a b " * 40_000 + "a b")]
