@@ -5,19 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.operators.rolling import last_rows
 from panelwright.operators.intervals import interval_join
+from panelwright.operators.rolling import last_rows
 from panelwright.operators.spec import SERIES, PanelSpec
+from panelwright.sources import files
 
 
 def seasonal_index(df: DataFrame, dims: list[str], cols: list[str], spec: PanelSpec = SERIES, train: Column | None = None) -> DataFrame:
     """Adds idx_<dim>_<col>: mean of the target by (dim, col) over its mean by dim, both over training rows.
 
-    One aggregate by all dims and cols feeds every index; the indices, a few rows each, are joined back, so no row moves by
-    a dimension. Dims must include the group that a statistic is confined to. Null dims or cols get no index.
+    One aggregate by all dims and cols, written out once, feeds every index; the indices, a few rows each and of a known
+    size, are joined back, so that Spark broadcasts them and no row moves by a dimension. Dims must include the group that a
+    statistic is confined to. Null dims or cols get no index.
     """
     x = F.when(train, F.col(spec.target)) if train is not None else F.col(spec.target)
-    base = df.groupBy(*dims, *cols).agg(F.sum(x).alias("__s"), F.count(x).alias("__n"))
+    base = files.write_and_read(df.groupBy(*dims, *cols).agg(F.sum(x).alias("__s"), F.count(x).alias("__n")), "parquet", [])
     out = df
     for d in dims:
         whole = base.groupBy(d).agg((F.sum("__s") / F.sum("__n")).alias("__w"))
@@ -223,6 +225,18 @@ def poisson_quantile(df: DataFrame, rate: str, share: float = 0.85, most: int =
     return df.withColumn("__lam", lam).withColumn(name, F.aggregate(F.sequence(F.lit(1), F.lit(most)), start, step, lambda a: a["k"])).drop("__lam")
 
 
+def poisson_demand(rates: DataFrame, ratios: DataFrame, dim: str = "cat2", rate: str = "rate", days: str = "days", share: float = 0.85) -> DataFrame:
+    """rates with a row a weekday: weekday and demand, a week's demand dealt out by the category's weekday ratios.
+
+    A week's demand is the Poisson quantile of the rate (at most 7), or the rate if that is more, over the days that it
+    was sold, times seven. Categories without ratios get a seventh a day; no days give a null.
+    """
+    week = F.greatest(F.col("__k").cast("double"), F.least(F.col(rate), F.lit(7.0))) / F.when(F.col(days) > 0, F.col(days)) * 7
+    rows = poisson_quantile(rates, rate, share, name="__k").withColumn("__week", week).withColumn("weekday", F.explode(F.sequence(F.lit(0), F.lit(6))))
+    rows = rows.join(ratios.select(dim, "weekday", F.col("ratio").alias("__ratio")), [dim, "weekday"], "left")
+    return rows.withColumn("demand", F.col("__week") * F.coalesce("__ratio", F.lit(1 / 7))).drop("__k", "__week", "__ratio")
+
+
 def long_tail(df: DataFrame, spec: PanelSpec = SERIES, width: int = 7) -> DataFrame:
     """(keys, is_long_tail): the mean of the trailing sums is under 7; shorter series: fewer sales than rows."""
     s = F.when(F.count(spec.target).over(spec.trailing(width)) >= width, F.sum(spec.target).over(spec.trailing(width)))

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions import scalars as S
-from panelwright.operators.forecast import _tails
+from panelwright.operators.cleaning import quantile_capped
+from panelwright.operators.forecast import _tails, ses
 from panelwright.operators.recent import bound, mean_of
 from panelwright.operators.spec import SERIES, PanelSpec
 
@@ -62,6 +63,33 @@ def ses_optimised(df: DataFrame, spec: PanelSpec = SERIES, last: int = 31, origi
     return rows.select(*spec.keys, F.when(n > 1, F.col("best.alpha")).alias("alpha"), F.when(n > 1, F.col("best.sse")).alias("sse"), pred.alias("pred"))
 
 
+def ses_with_rules(df: DataFrame, spec: PanelSpec = SERIES, sellable: Column | None = None, alpha: float = 0.71, last: int = 31, steps: int = 20) -> DataFrame:
+    """(keys, step, value): smoothing with a fixed rate, with the rules for short, silent and jumping series.
+
+    Values over the 0.99 quantile count as the 0.9 quantile. Series of at most two rows repeat their mean; those whose last
+    five values are 0 the mean of the last three; all others the smoothed last rows that could be sold (sellable, or with
+    sales). If such a series has at most 15 rows, sold at least 1 on the day before last and five times that (whole
+    times) on the last, the first step is the mean of the forecast and the last value. What is missing or under a small
+    number that depends on the keys and the step becomes that number. Null targets aren't rows.
+    """
+    k, x = list(spec.keys), F.col(spec.target)
+    rows = df.where(x.isNotNull()).select(*k, spec.date, x.cast("double").alias(spec.target), x.cast("double").alias("__x"), (F.coalesce(sellable, F.lit(False)) if sellable is not None else F.lit(True)).alias("__able"))
+    rows = quantile_capped(rows, spec, 0.99, 0.9)
+    place = Window.partitionBy(*k).orderBy(F.desc(spec.date))
+    ranked = rows.withColumn("__rn", F.row_number().over(place))
+    at = lambda c, i: F.max(F.when(F.col("__rn") == i, F.col(c)))
+    y = F.col(spec.target)
+    facts = ranked.groupBy(*k).agg(F.count("*").alias("n"), F.avg(y).alias("mean"), F.avg(F.when(F.col("__rn") <= 3, y)).alias("mean_3"), F.max(F.when(F.col("__rn") <= 5, F.abs(y))).alias("top_5"), at("__x", 1).alias("l1"), at("__x", 2).alias("l2"))
+    tails = _tails(rows.where(F.col("__able") | (F.col("__x") > 0)), last, spec)
+    both = facts.join(tails, k, "left").withColumn("smooth", F.when(F.size("tail") > 0, ses(F.col("tail"), alpha)))
+    silent = (F.col("n") >= 5) & (F.col("top_5") == 0)
+    value = F.when(F.col("n") <= 2, F.col("mean")).when(silent, F.col("mean_3")).otherwise(F.col("smooth"))
+    jump = (F.col("n") > 2) & ~silent & (F.col("n") <= 15) & (F.col("l2") >= 1) & (F.floor(F.col("l1") / F.col("l2")) >= 5)
+    first = F.when(jump, (F.col("smooth") + F.col("l1")) / 2).otherwise(value)
+    out = both.select(*k, F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step"), value.alias("v"), first.alias("f"))
+    return out.select(*k, "step", F.greatest(F.coalesce(F.when(F.col("step") == 1, F.col("f")).otherwise(F.col("v")), F.lit(0.0)), S.jitter(*k, "step")).alias("value"))
+
+
 def _hw_errors(values: Column, rates: Column, period: int) -> Column:
     """struct(sse, a, b, g, level, trend, season) of additive smoothing with trend and season, from the second period on.
 

@@ -12,6 +12,7 @@ from panelwright.operators import recent as Q
 from panelwright.operators import rolling as R
 from panelwright.operators import smoothing as M
 from panelwright.operators.elasticity import curve_elasticity, price_curves
+from panelwright.operators.features import poisson_demand, weekday_ratio
 from panelwright.operators.intervals import interval_join
 from panelwright.operators.quantiles import exact_quantiles
 from panelwright.operators.spec import SERIES
@@ -156,3 +157,22 @@ def _(spark, d):
     around = df.where("seq_num > 0").select("wh_id", "sku_id", F.date_sub("dt", 3).alias("first"), F.date_add("dt", 3).alias("last"))
     near = interval_join(df.where("seq_num = 0").select("wh_id", "sku_id", "dt"), around, ["wh_id", "sku_id"], "dt", "first", "last", bin_days=7)
     return near.groupBy("wh_id", "sku_id", "dt").agg(F.count("*").alias("near"))
+
+
+@add("g2_ses_with_rules", f"""WITH q AS (SELECT *, quantile_cont({X},0.99) OVER ({_P}) a, quantile_cont({X},0.9) OVER ({_P}) b, row_number() OVER ({W} DESC) rn, count(*) OVER ({_P}) n FROM {{pb}}),
+ y AS (SELECT *, CASE WHEN {X}>a THEN b ELSE {X} END y FROM q),
+ g AS (SELECT {KEYS}, max(n) n, avg(y) m, avg(y) FILTER (rn<=3) m3, max(abs(y)) FILTER (rn<=5) z, max({X}) FILTER (rn=1) l1, max({X}) FILTER (rn=2) l2, list_reduce(list(y ORDER BY dt) FILTER (rn<=31), lambda l, v: 0.71*v+0.29*l) s FROM y GROUP BY ALL),
+ r AS (SELECT *, CASE WHEN n<=2 THEN m WHEN z=0 AND n>=5 THEN m3 ELSE s END p, n>2 AND NOT (z=0 AND n>=5) AND n<=15 AND l2>=1 AND floor(l1/l2)>=5 jump FROM g)
+ SELECT {KEYS}, L(step) step, R(CASE WHEN jump AND step=1 THEN (s+l1)/2 ELSE p END) AS value FROM r, range(1,21) t(step)""")
+def _(spark, d):
+    return M.ses_with_rules(sparse(spark, d))
+
+
+@add("f7_poisson_weekday_demand", f"""WITH a AS (SELECT {KEYS}, cat2, avg({X})/6 rate, count(*) n_days FROM {{pb}} WHERE is_train=1 AND dt>=DATE '2001-01-01' GROUP BY ALL),
+ k AS (SELECT {KEYS}, k, sum(exp(-least(rate,7))*pow(least(rate,7),k)/gamma(k+1)) OVER ({_P} ORDER BY k) c FROM a, range(0,41) t(k)), m AS (SELECT {KEYS}, min(k) FILTER (c>0.85) k FROM k GROUP BY ALL),
+ w AS (SELECT cat2, isodow(dt)-1 weekday, avg({X})+0.01 m FROM {{pb}} WHERE dt IN (SELECT DISTINCT dt FROM {{pb}} ORDER BY dt DESC LIMIT 45) GROUP BY ALL), s AS (SELECT *, m/sum(m) OVER (PARTITION BY cat2) ratio FROM w)
+ SELECT {KEYS}, L(a.weekday) weekday, R(greatest(k, least(rate,7))/n_days*7*coalesce(ratio, 1/7.0::DOUBLE)) demand FROM (SELECT * FROM a, range(7) t(weekday)) a JOIN m USING ({KEYS}) LEFT JOIN s ON s.cat2=a.cat2 AND s.weekday=a.weekday""")
+def _(spark, d):
+    pb = sparse(spark, d)
+    rates = pb.where("is_train = 1 and dt >= '2001-01-01'").groupBy(*K, "cat2").agg((F.avg(X) / 6).alias("rate"), F.count("*").alias("days"))
+    return poisson_demand(rates, weekday_ratio(pb)).select(*K, "weekday", "demand")

@@ -205,3 +205,38 @@ def test_price_curves_against_polyfit(spark):
     cut = {k: min(max(v, a - 1.5 * (b - a)), b + 1.5 * (b - a)) for k, v in raw.items()}
     mean = np.mean([v for v in cut.values() if v > 0])
     assert all(o.sec_ed == pytest.approx(cut[o.sku, o.dt] if cut[o.sku, o.dt] > 0 else mean, rel=1e-5) for o in out) and len(out) == len(rows)
+
+
+def test_smoothing_rules(spark):
+    all_ = {"two": [4.0, 8.0], "silent": [9.0, 7.0, 6.0, 0.0, 0.0, 0.0, 0.0, 0.0], "four": [9.0, 3.0, 0.0, 0.0, 0.0, 0.0], "jump": [2.0, 1.0, 3.0, 2.0, 11.0], "long": [3.0] * 15 + [1.0, 9.0], "null": [None]}
+    got = {}
+    for r in smoothing.ses_with_rules(panel(spark, all_), SPEC, sellable=F.lit(True), steps=3).orderBy("step").collect():
+        got.setdefault(r.sku, []).append(r.value)
+
+    def smooth(x):
+        cap, back = np.quantile(x, 0.99), np.quantile(x, 0.9)
+        x = [back if v > cap else v for v in x]
+        level = x[0]
+        for v in x[1:]:
+            level = 0.71 * v + 0.29 * level
+        return level, x
+
+    assert got["two"] == pytest.approx([np.mean(smooth([4.0, 8.0])[1])] * 3)
+    assert all(0.001 <= v <= 0.01 for v in got["silent"])  # the mean of the last three is 0
+    assert got["four"] == pytest.approx([smooth(all_["four"])[0]] * 3)
+    level = smooth(all_["jump"])[0]
+    assert got["jump"] == pytest.approx([(level + 11) / 2, level, level])
+    assert got["long"] == pytest.approx([smooth(all_["long"])[0]] * 3) and set(got) == set(all_) - {"null"}
+    able = {r.step: r.value for r in smoothing.ses_with_rules(panel(spark, {"a": [5.0, 0.0, 6.0, 0.0]}), SPEC, sellable=F.lit(False), steps=1).collect()}
+    assert able[1] == pytest.approx(smooth([5.0, 0.0, 6.0, 0.0])[1][2] * 0.71 + 5 * 0.29)  # days without sales don't count
+
+
+def test_seasonal_indices_read_their_input_twice_at_most(spark):
+    from panelwright.plans import registry
+
+    for name in ("n1_seasonal_index", "n4_index_fallback"):
+        plan = registry.queries()[name](spark, "/root/testdata/sf0.001")
+        text = plan._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("l_shipdate") > 0 or name == "n4_index_fallback"
+        scans = [f for f in plan._jdf.queryExecution().optimizedPlan().collectLeaves().mkString("\n").split("\n") if "l_shipdate" in f]
+        assert len(scans) <= 1, name
