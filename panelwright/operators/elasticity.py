@@ -55,3 +55,27 @@ def curve_elasticity(df: DataFrame, curves: DataFrame, spec: PanelSpec = SERIES,
     means = rows.groupBy(category).agg(F.avg(F.when(F.col(name) > 0, F.col(name))).alias("__m"))
     rows = rows.join(means, category, "left")
     return rows.withColumn(name, F.when(F.col(name) > 0, F.col(name)).when(F.col(name).isNotNull(), F.coalesce("__m", F.lit(1.0)))).drop("__m")
+
+
+def positive_or_category(values: DataFrame, col: str, categories: DataFrame, spec: PanelSpec = SERIES, category: str = "cat2") -> DataFrame:
+    """(keys, category, col): values of 0 or less, and missing ones, become the mean of their category's positive ones (1 if
+    there are none). values and categories have a row a series; series of categories alone count as missing.
+    """
+    rows = categories.join(values.select(*spec.keys, col), list(spec.keys), "left")
+    means = rows.groupBy(category).agg(F.avg(F.when(F.col(col) > 0, F.col(col))).alias("__m"))
+    rows = rows.join(means, category, "left")
+    return rows.select(*spec.keys, category, F.when(F.col(col) > 0, F.col(col)).otherwise(F.coalesce("__m", F.lit(1.0))).alias(col))
+
+
+def elastic_predictions(df: DataFrame, elasticities: dict[str, str], spec: PanelSpec = SERIES, price: str = "w_price", train: str = "is_train") -> DataFrame:
+    """Adds a volume for each name: the last volume less its share of the relative price change times an elasticity column.
+
+    Last is the row before, for rows that aren't training rows the last training row; the first row of a series stands for
+    itself. Volumes under 0 are 0; a null price or elasticity gives a null.
+    """
+    s, known = spec.series(), F.col(train) == 1
+    last = lambda c: F.max_by(F.when(known, F.col(c)), F.when(known, F.col(spec.date))).over(spec.whole())
+    before = lambda c: F.when(~known, last(c)).otherwise(F.lag(c).over(s))
+    rows = df.withColumns({"__p": F.coalesce(before(price), F.col(price)), "__q": F.coalesce(before(spec.target), F.col(spec.target)).cast("double")})
+    change = (F.col(price) - F.col("__p")) / F.when(F.col("__p") != 0, F.col("__p"))
+    return rows.withColumns({n: F.when(F.col(e).isNotNull() & change.isNotNull(), F.greatest(F.lit(0.0), F.col("__q") * (1 - change * F.col(e)))) for n, e in elasticities.items()}).drop("__p", "__q")

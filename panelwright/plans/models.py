@@ -11,11 +11,12 @@ from panelwright.operators import forecast as G
 from panelwright.operators import recent as Q
 from panelwright.operators import rolling as R
 from panelwright.operators import smoothing as M
-from panelwright.operators.elasticity import curve_elasticity, price_curves
-from panelwright.operators.features import poisson_demand, weekday_ratio
+from panelwright.operators.elasticity import curve_elasticity, elastic_predictions, positive_or_category, price_curves
+from panelwright.operators.features import elasticity, poisson_demand, ratio_elasticity, weekday_ratio, winsorised_elasticity
 from panelwright.operators.intervals import interval_join
 from panelwright.operators.quantiles import exact_quantiles
 from panelwright.operators.spec import SERIES
+from panelwright.plans.features import _ED
 from panelwright.plans.registry import add
 from panelwright.sources import files
 from panelwright.sources.panels import FORECAST_DATE, HORIZON, dense, sparse
@@ -127,7 +128,8 @@ def _(spark, d):
 _P = "PARTITION BY bu_id, wh_id, sku_id"
 
 
-@add("e4_curve_elasticity", f"""WITH t AS (SELECT *, w_price/1000 wp FROM {{pa}}),
+#: The curve's elasticity of each row (CTE x: y is cut off, not yet replaced).
+_E4 = f"""WITH t AS (SELECT *, w_price/1000 wp FROM {{pa}}),
  a AS (SELECT {KEYS}, dt, count(*) OVER ({_P}) n, count(*) OVER w c, avg(wp) OVER w p, avg({X}) OVER w q FROM t WHERE is_train=1 AND csu_redu_num=0 WINDOW w AS ({W} ROWS 29 PRECEDING)),
  b AS (SELECT *, p*p*q gmv FROM a WHERE n>=15 AND c>=7), c AS (SELECT *, max(p) OVER ({_P}) top, min(p) OVER ({_P}) low, quantile_cont(gmv,0.25) OVER ({_P}) g1, quantile_cont(gmv,0.75) OVER ({_P}) g3 FROM b),
  e AS (SELECT *, (row_number() OVER ({_P} ORDER BY round(p,9), dt)-1)//5 g FROM c WHERE round(top,3)<>round(low,3) AND gmv BETWEEN g1-(g3-g1)-g3*1e-12 AND g3+(g3-g1)+g3*1e-12),
@@ -136,8 +138,11 @@ _P = "PARTITION BY bu_id, wh_id, sku_id"
  d AS (SELECT *, s4*(s2*s0-s1*s1)-s3*(s3*s0-s1*s2)+s2*(s3*s1-s2*s2) det FROM z),
  k AS (SELECT {KEYS}, m, s, (t2*(s2*s0-s1*s1)-s3*(t1*s0-s1*t0)+s2*(t1*s1-s2*t0))/det c2, (s4*(t1*s0-t0*s1)-t2*(s3*s0-s1*s2)+s2*(s3*t0-t1*s2))/det c1 FROM d WHERE det>1e-6*s0*s0*s0),
  r AS (SELECT {KEYS}, dt, cat2, coalesce(-(2*c2*(wp-m)/s+c1)/s, 0) ed FROM t LEFT JOIN k USING ({KEYS})),
- v AS (SELECT *, quantile_cont(ed,0.25) OVER (PARTITION BY cat2) a, quantile_cont(ed,0.75) OVER (PARTITION BY cat2) b FROM r), x AS (SELECT *, least(greatest(ed, a-1.5*(b-a)), b+1.5*(b-a)) y FROM v)
- SELECT {KEYS}, dt, R(CASE WHEN y>0 THEN y ELSE coalesce(avg(y) FILTER (y>0) OVER (PARTITION BY cat2), 1) END) sec_ed FROM x""")
+ v AS (SELECT *, quantile_cont(ed,0.25) OVER (PARTITION BY cat2) a, quantile_cont(ed,0.75) OVER (PARTITION BY cat2) b FROM r), x AS (SELECT *, least(greatest(ed, a-1.5*(b-a)), b+1.5*(b-a)) y FROM v)"""
+_SEC = "CASE WHEN y>0 THEN y ELSE coalesce(avg(y) FILTER (y>0) OVER (PARTITION BY cat2), 1) END"
+
+
+@add("e4_curve_elasticity", f"{_E4} SELECT {KEYS}, dt, R({_SEC}) sec_ed FROM x")
 def _(spark, d):
     df = files.write_and_read(dense(spark, d).withColumn("w_price", F.col("w_price") / 1000), "parquet", [])
     curves = price_curves(df.where("is_train = 1 and csu_redu_num = 0"))
@@ -176,3 +181,31 @@ def _(spark, d):
     pb = sparse(spark, d)
     rates = pb.where("is_train = 1 and dt >= '2001-01-01'").groupBy(*K, "cat2").agg((F.avg(X) / 6).alias("rate"), F.count("*").alias("days"))
     return poisson_demand(rates, weekday_ratio(pb)).select(*K, "weekday", "demand")
+
+
+_RATIO = f"""(WITH d AS (SELECT {KEYS}, dt, lead(price) OVER ({W})/price-1 rp, lead({X}) OVER ({W})/{X}-1 rq FROM {{pa}}), f AS (SELECT {KEYS}, quantile_cont(rp,0.25) a, quantile_cont(rp,0.75) b FROM d GROUP BY ALL),
+ g AS (SELECT d.*, (row_number() OVER ({_P} ORDER BY rp, dt)-1)//5 g FROM d JOIN f USING ({KEYS}) WHERE rp BETWEEN a-1.5*(b-a)-1e-9 AND b+1.5*(b-a)+1e-9), h AS (SELECT {KEYS}, g, avg(rp) x, avg(rq) y FROM g GROUP BY ALL),
+ r AS (SELECT {KEYS}, -regr_slope(y, x) e FROM h GROUP BY ALL), c AS (SELECT * FROM (SELECT DISTINCT {KEYS}, cat2 FROM {{pa}}) LEFT JOIN r USING ({KEYS}))
+ SELECT {KEYS}, CASE WHEN e>0 THEN e ELSE coalesce(avg(e) FILTER (e>0) OVER (PARTITION BY cat2), 1) END e FROM c)"""
+
+
+@add("e3_ratio_elasticity_replaced", f"SELECT {KEYS}, R(e) ratio_ed FROM {_RATIO}")
+def _(spark, d):
+    df = dense(spark, d)
+    return positive_or_category(ratio_elasticity(df), "ratio_ed", df.select(*K, "cat2").distinct()).select(*K, "ratio_ed")
+
+
+@add("e5_four_elastic_volumes", f"""WITH w AS (SELECT * FROM ({_ED}, i AS (SELECT quantile_cont(ed,0.25) a, quantile_cont(ed,0.75) b FROM h), j AS (SELECT h.*, least(greatest(ed, a-1.5*(b-a)), b+1.5*(b-a)) e2 FROM h, i) SELECT {KEYS}, CASE WHEN e2>0 THEN e2 ELSE coalesce(avg(CASE WHEN e2>0 THEN e2 END) OVER (PARTITION BY cat2),1) END ed FROM j)),
+ sec AS (SELECT {KEYS}, dt, s, avg(s) OVER ({_P}) ms FROM ({_E4} SELECT {KEYS}, dt, {_SEC} s FROM x)),
+ t AS (SELECT *, w_price/1000 wp, arg_max({X}, dt) FILTER (is_train=1) OVER ({_P}) lq, arg_max(w_price/1000, dt) FILTER (is_train=1) OVER ({_P}) lp FROM {{pa}}),
+ v AS (SELECT *, coalesce(CASE WHEN is_train=1 THEN lag(wp) OVER ({W}) ELSE lp END, wp) p0, coalesce(CASE WHEN is_train=1 THEN lag({X}) OVER ({W}) ELSE lq END, {X}) q0 FROM t)
+ SELECT {KEYS}, dt, R(greatest(0, q0*(1-(wp-p0)/p0*ed))) v_ed, R(greatest(0, q0*(1-(wp-p0)/p0*e))) v_ratio, R(greatest(0, q0*(1-(wp-p0)/p0*s))) v_sec, R(greatest(0, q0*(1-(wp-p0)/p0*ms))) v_mean_sec FROM v JOIN w USING ({KEYS}) JOIN {_RATIO} USING ({KEYS}) JOIN sec USING ({KEYS}, dt)""")
+def _(spark, d):
+    df = files.write_and_read(dense(spark, d).withColumn("w_price", F.col("w_price") / 1000), "parquet", [])
+    cats = df.select(*K, "cat2").distinct()
+    ed = winsorised_elasticity(elasticity(df), cats).select(*K, "ed")
+    ratio = positive_or_category(ratio_elasticity(df), "ratio_ed", cats).select(*K, "ratio_ed")
+    rows = curve_elasticity(df, price_curves(df.where("is_train = 1 and csu_redu_num = 0")))
+    rows = files.write_and_read(rows.withColumn("mean_sec_ed", F.avg("sec_ed").over(SERIES.whole())).join(ed, K).join(ratio, K), "parquet", [])
+    names = {"v_ed": "ed", "v_ratio": "ratio_ed", "v_sec": "sec_ed", "v_mean_sec": "mean_sec_ed"}
+    return elastic_predictions(rows, names).select(*K, "dt", *names)
