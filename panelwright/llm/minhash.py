@@ -5,7 +5,7 @@ functions the least hash of the set, cut to a byte. Two sets of similarity s dif
 less one in 256. Signatures that differ in at most `MOST` = 2 * CHUNKS - 1 symbols have, by the pigeonhole principle, a
 chunk with at most one differing symbol. So every chunk is indexed once for each of its symbols as a wildcard: equal keys
 are exactly the chunks with at most one error, and no pair within the signature distance is lost. At a similarity of 0.8
-a pair is beyond that distance with probability 6e-6, above it far less often.
+a pair is beyond that distance with probability 1e-5, above it far less often.
 
 Texts of one set are one node. First each node is paired with the least node of the buckets that it is in, the one it meets
 most often, and the pair is confirmed by counting the common shingles; that already ties large groups together. Then only
