@@ -8,8 +8,9 @@ keep a state for each place, and formats of any length come down to loops. Withi
 their own shares, so that fixed prefixes are learnt.
 
 A second automaton is inferred from ordinary tokens. Every token of the fixed patterns' characters, six or more of them,
-is a candidate; it is a secret if its likelihood ratio beats the odds of ordinary tokens to credentials, and if it fits the
-credentials' automaton as well as credentials that weren't used for it. Unlabelled credentials among the ordinary tokens
+is a candidate; it is a secret if it ends where credentials of its format end, if its likelihood ratio beats the odds of
+ordinary tokens to credentials, and if it fits the credentials' automaton as well as credentials that weren't used for it.
+A beginning of a credential is thus no credential, however well its characters fit. Unlabelled credentials among the ordinary tokens
 leave them, and their automaton is inferred anew until none is left. Training takes bounded samples, the same ones each
 time; scanning covers all texts where they lie.
 """
@@ -36,8 +37,8 @@ ALPHA, LEAST_COUNT, AHEAD = 0.01, 12, 3
 LEAST_CHARS = 6
 #: Characters of a candidate that are scored: all; of a training string: so many, which also bounds the automaton.
 LONGEST = 128
-#: Tokens whose verdict a task remembers, and as many older ones.
-REMEMBERED = 200_000
+#: Tokens whose verdict a task remembers, and the characters of the longest that it remembers.
+REMEMBERED, LONGEST_REMEMBERED = 200_000, 128
 #: How far below the first percentile of unseen credentials' likelihoods a character a candidate may lie.
 MARGIN = 0.15
 _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -156,6 +157,15 @@ class Automaton:
             self.total[at] += 1
             self.end[at] += 1
 
+    def ends(self, s: str) -> bool | None:
+        """Whether a training string ended in the state that s leads to; None where s takes a class that wasn't seen."""
+        at = 0
+        for k in s.translate(_CLASS):
+            at = self.next[at].get(k)
+            if at is None:
+                return None
+        return self.end[at] > 0
+
     def logp(self, s: str) -> float:
         """Log-likelihood, the end included. A class that wasn't seen there has a share of a hundredth and leads nowhere, from
         where all classes are alike."""
@@ -181,6 +191,7 @@ class Formats:
             # a fifth isn't shown to the automaton: it tells how well unseen credentials fit
             unseen = credentials[::5] if len(credentials) >= 25 else credentials
             self.secret = Automaton([s for i, s in enumerate(credentials) if i % 5] if len(credentials) >= 25 else credentials)
+            self.lengths = {len(s) for s in credentials}
             fit = sorted(self.secret.logp(s) / (len(s) + 1) for s in unseen)
             self.least_fit = fit[len(fit) // 100] - MARGIN
             self.least = math.log(max(odds, 1.0))
@@ -192,7 +203,15 @@ class Formats:
     def __getstate__(self):
         return self.__dict__ | {"known": {}}
 
+    def _ends(self, s: str) -> bool:
+        """Whether credentials end where s does; off the automaton's paths, whether any is as long. Strings over LONGEST, of
+        which the automaton knows the beginnings only, are judged by length alone."""
+        found = self.secret.ends(s) if len(s) < LONGEST else None
+        return len(s) in self.lengths if found is None else found
+
     def _judged(self, s: str) -> bool:
+        if not self._ends(s):
+            return False
         p = self.secret.logp(s)
         return p / (len(s) + 1) >= self.least_fit and p - self.ordinary.logp(s) > self.least
 
@@ -201,12 +220,20 @@ class Formats:
             return False
         found = self.known.get(s)
         if found is None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[s] = found = self._judged(s)
+            found = self._judged(s)
+            if len(s) <= LONGEST_REMEMBERED:
+                if len(self.known) >= REMEMBERED:
+                    self.known.clear()
+                self.known[s] = found
         return found
 
 
+def distinct_values(hashes: list[int], sample: int) -> float:
+    """How many distinct values there are, of which `hashes` (63 bits, ascending) are the least `sample`: their number where
+    these are all, else what their density tells."""
+    return len(hashes) * 2.0**63 / (hashes[-1] + 1) if len(hashes) >= sample else float(len(hashes))
+
+
 def candidates(text: str, base: list[tuple[int, int, str]]):
     """(start, end) of each run of the patterns' characters, or of what fixed spans leave of it, of LEAST_CHARS or more."""
     starts = iter(sorted(base))
@@ -230,7 +257,8 @@ def learn(docs: DataFrame, text_col: str = "text", credentials: DataFrame | None
 
     All texts are read. Of distinct credentials and of distinct ordinary tokens those with the least hashes go to the
     driver, at most `sample` of each; every batch of rows passes on no more. The odds between the two are those of their
-    numbers of distinct values, as the hashes' density tells it. A value that is a credential anywhere is no ordinary
+    numbers of distinct values; where the sample does not hold all of either, the density of its hashes tells its number, so
+    the odds do not depend on `sample`. A value that is a credential anywhere is no ordinary
     token. Null and empty texts have neither; an empty table gives formats that find nothing.
     """
 
@@ -252,15 +280,15 @@ def learn(docs: DataFrame, text_col: str = "text", credentials: DataFrame | None
     own, ordinary = least(found.where("secret")), least(found.where("not secret"))
     if credentials is not None:
         given = credentials.select(F.col(credentials.columns[0]).cast("string").alias("value")).where("value is not null and value != ''").distinct()
-        own = given.select(F.xxhash64("value").alias("h"), "value").orderBy("h", "value").limit(sample).collect()
+        own = given.select(F.shiftrightunsigned(F.xxhash64("value"), 1).alias("h"), "value").orderBy("h", "value").limit(sample).collect()
     names = {r.value for r in own}
     tokens = [r.value for r in ordinary if r.value not in names]
-    many = len(ordinary) * 2.0**63 / (ordinary[-1].h + 1) if len(ordinary) == sample else len(ordinary)
-    return Formats([r.value for r in own], tokens, many / max(1, len(own)))
+    many, few = (distinct_values([r.h for r in rows], sample) for rows in (ordinary, own))
+    return Formats([r.value for r in own], tokens, many / max(1.0, few))
 
 
 def spans_of(text: str, formats: Formats | None) -> list[tuple[int, int, str]]:
-    """The fixed patterns' spans and, of kind 'format', candidates outside them that have a learnt format."""
+    """The fixed patterns' spans and, of kind 'format', candidates outside them that have a learnt format; of an empty text none."""
     base = base_spans(text)
     if formats is None or not formats.usable:
         return base

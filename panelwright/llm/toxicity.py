@@ -23,8 +23,8 @@ LEAST_DOCS = 6
 SETTINGS = [(ridge, weight) for ridge in (1e-3, 1e-4) for weight in (1.0, 3.0, 9.0)]
 FOLDS, TRIAL_ROUNDS = 3, 60
 PREFIXES = (4, 5, 6, 7, 8)
-#: Words whose weight a task remembers, at most.
-REMEMBERED = 400_000
+#: Words whose weight a task remembers, at most, and the bytes of the longest that it remembers.
+REMEMBERED, LONGEST_REMEMBERED = 400_000, 64
 #: A-Z lowered; the ends of sentences become line ends, other signs blanks.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else 10 if c in b".!?\n\r" else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 or c == 39 else 32 for c in range(256))
 
@@ -41,26 +41,30 @@ def features(word: bytes) -> list[bytes]:
 
 
 class Weights(dict):
-    """A word's weight: the sum of its features'. Remembers up to REMEMBERED words."""
+    """A word's weight: the sum of its features'. Remembers up to REMEMBERED words, none of them long."""
 
     def __init__(self, of: dict[bytes, float]):
         super().__init__()
         self.of = of
 
     def __missing__(self, word: bytes) -> float:
-        if len(self) >= REMEMBERED:
-            self.clear()
         get = self.of.get
-        self[word] = found = sum(get(f, 0.0) for f in features(word))
+        found = sum(get(f, 0.0) for f in features(word))
+        if len(word) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = found
         return found
 
 
 class NoisyOr:
-    def __init__(self, weights: dict[bytes, float], bias: float):
-        self.weights, self.bias, self._words = weights, bias, None
+    """Word weights and a bias; with `constant`, a model that gives every text that score, however many sentences it has."""
+
+    def __init__(self, weights: dict[bytes, float], bias: float, constant: float | None = None):
+        self.weights, self.bias, self.constant, self._words = weights, bias, constant, None
 
     def __getstate__(self):
-        return {"weights": self.weights, "bias": self.bias, "_words": None}
+        return self.__dict__ | {"_words": None}
 
     def logits(self, text: str | None) -> np.ndarray:
         """Of each sentence, by its distinct words."""
@@ -70,6 +74,8 @@ class NoisyOr:
 
     def score(self, text: str | None) -> float:
         """One minus the chance that no sentence is toxic; that of the bare bias counts for a text without words."""
+        if self.constant is not None:
+            return self.constant
         z = self.logits(text)
         z = z if len(z) else np.array([self.bias])
         return float(-np.expm1(-np.logaddexp(0, z).sum()))
@@ -84,8 +90,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """The model from at most `sample` labelled rows of at most `sample_bytes` in all, none of them held out.
 
     The rows are the same ones each time, by a hash of the id. Ids labelled both ways count as toxic; null labels and ids
-    teach nothing; of documents with equal ids the least text counts. Settings are chosen by `choose` among these rows.
-    Without labels of both kinds the model is a constant.
+    teach nothing; of documents with equal ids the least text counts. A text that would take the rows over sample_bytes is
+    passed over, and shorter ones behind it still count. Settings are chosen by `choose` among these rows. Without labels of
+    both kinds the model is a constant, the share of toxic rows (0 without any).
     """
     y = labels.where(F.col(label).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(label).alias("y"))
     y = staged(y.orderBy(F.xxhash64("id"), "id").limit(sample), "labelled")
@@ -93,10 +100,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sized = texts.join(F.broadcast(y), "id").groupBy("id").agg(F.max(F.octet_length("text")).alias("size"), F.xxhash64("id").alias("h"))
     ids, total = [], 0
     for r in sorted(sized.collect(), key=lambda r: (r.h, r.id)):  # at most `sample` pairs of numbers
-        total += r.size or 0
-        if total > sample_bytes:
-            break
-        ids.append((r.id,))
+        if total + (r.size or 0) <= sample_bytes:
+            total += r.size or 0
+            ids.append((r.id,))
     if not ids:
         return learn([])
     chosen = docs.sparkSession.createDataFrame(ids, "id long")
@@ -178,10 +184,10 @@ def choose(spark: SparkSession, rows: list[tuple[str | None, int]]) -> tuple[flo
 
 def learn(rows: list[tuple[str | None, int]], ridge: float = SETTINGS[0][0], weight: float = SETTINGS[0][1], rounds: int = ROUNDS) -> NoisyOr:
     """The model of (text, label) rows. Null and empty texts are sentences without words; labels of one kind, or no rows,
-    give a constant."""
+    give a constant, the share of toxic rows (0 without any)."""
     if len({y for _, y in rows}) < 2:
-        share = sum(y for _, y in rows) / len(rows) if rows else 0.0
-        return NoisyOr({}, 6.0 if share > 0.5 else -6.0)
+        share = float(bool(rows) and rows[0][1] == 1)
+        return NoisyOr({}, 30.0 if share else -30.0, share)
     design = Design(rows)
     w, b = design.fitted(np.ones(len(rows)), ridge, weight, rounds)
     return NoisyOr({k: float(w[i]) for k, i in design.number.items() if abs(w[i]) > 1e-3}, float(b))
@@ -204,7 +210,10 @@ def score(docs: DataFrame, model: NoisyOr, id_col: str = "doc_id", text_col: str
 
 
 def offending(docs: DataFrame, model: NoisyOr, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """(id_col, sentence, score, words): the sentences (counted from 0) that are toxic by themselves."""
+    """(id_col, sentence, score, words): the sentences (counted from 0) that are toxic by themselves.
+
+    Null and empty texts have none; repeated rows give repeated sentences; an empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(it):
