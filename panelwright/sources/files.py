@@ -37,7 +37,7 @@ def write_control_a(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("sep", "\u0001").option("quote", "").option("emptyValue", "").csv(path)
 
 
-def _new_path(spark) -> str:
+def new_path(spark) -> str:
     """A fresh path in the folder that all executors share; a local session may use the machine's own temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
@@ -56,7 +56,7 @@ def _new_path(spark) -> str:
 def write_and_read(df: DataFrame, fmt: str, by: list[str], n_files: int | None = None) -> DataFrame:
     """df by way of a table in the shared folder, partitioned by columns, or in n_files files whose names are then in `file`."""
     spark = df.sparkSession
-    path = _new_path(spark)
+    path = new_path(spark)
     if n_files:
         df.repartition(n_files).write.format(fmt).save(path)
     else:
@@ -81,6 +81,6 @@ def write_text(lines: DataFrame, path: str) -> None:
 
 def text_round_trip(lines: DataFrame) -> DataFrame:
     """(value) by way of text files in the shared folder."""
-    path = _new_path(lines.sparkSession)
+    path = new_path(lines.sparkSession)
     write_text(lines, path)
     return lines.sparkSession.read.text(path)
