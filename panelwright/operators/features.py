@@ -316,3 +316,38 @@ def sales_drop_cases(df: DataFrame, spec: PanelSpec = SERIES, pred: str = "pred_
     df = df.withColumn("__rn", F.row_number().over(Window.partitionBy(*spec.keys).orderBy(F.desc(spec.date))))
     hit = (F.col("ape_3") >= 0.5) & (0.5 * (F.col("mean_4_10") + 1) > F.col("mean_3") + 1) & (F.col("n_rows") > 10)
     return df.where((F.col("__rn") == 1) & hit).drop("__rn", "__ape")
+
+
+def sized_and_recent(df: DataFrame, least: int, first: str, last: str, spec: PanelSpec = SERIES, counted: Column | None = None) -> DataFrame:
+    """Rows of the series that have at least `least` rows (of the counted ones) and whose target from the first to the last
+    day does not sum to 0 (or to nothing). One aggregate decides on both; null keys are in no series."""
+    day = F.col(spec.date).between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    found = df.groupBy(*spec.keys).agg(
+        F.count(F.when(counted if counted is not None else F.lit(True), 1)).alias("__n"),
+        F.coalesce(F.sum(F.when(day, F.col(spec.target))), F.lit(0)).alias("__s"),
+    )
+    return df.join(found.where((F.col("__n") >= least) & (F.col("__s") != 0)).select(*spec.keys), list(spec.keys), "left_semi")
+
+
+def festival_scaled_mean(df: DataFrame, index: str, spec: PanelSpec = SERIES, festival: str = "festival_name", none: str = "无", width: int = 3, name: str = "festival_scaled_mean") -> DataFrame:
+    """Adds the mean of the last `width` plain rows (fewer at the start) before each row; festivals' rows take it times their index.
+
+    Rows of festivals are in no mean. Rows with no plain row before them take their own value in its place; a null index
+    counts as 1.
+    """
+    plain = F.col(festival) == none
+    df = df.withColumn("__plain", F.coalesce(plain, F.lit(False)))
+    mean = F.when(F.col("__plain"), F.avg(spec.target).over(spec.trailing(width, "__plain")))
+    df = df.withColumn("__m", mean)
+    before = F.last("__m", ignorenulls=True).over(spec.rows(Window.unboundedPreceding, -1))
+    value = F.coalesce(before, F.col(spec.target).cast("double"))
+    return df.withColumn(name, F.when(F.col("__plain"), value).otherwise(value * F.coalesce(F.col(index), F.lit(1.0)))).drop("__plain", "__m")
+
+
+def recent_band(df: DataFrame, origin: str, spec: PanelSpec = SERIES, days: int = 30, last: int = 7, step: float = 5.0, name: str = "recent_band") -> DataFrame:
+    """(keys, name): the mean of a series' last rows within `days` days before origin, in steps; series without any have no row."""
+    end = F.to_date(F.lit(origin))
+    recent = df.where((F.col(spec.date) < end) & (F.col(spec.date) >= F.date_sub(end, days)))
+    back = Window.partitionBy(*spec.keys).orderBy(F.desc(spec.date))
+    rows = recent.withColumn("__rn", F.row_number().over(back)).where(F.col("__rn") <= last)
+    return rows.groupBy(*spec.keys).agg(F.floor(F.avg(spec.target) / step).alias(name))

@@ -26,6 +26,11 @@ SPEC = PanelSpec()
 LAST = f"(SELECT *, row_number() OVER ({W} DESC) rn FROM {{pb}})"
 
 
+#: Days in which a series must have sold something, rows that it needs in all or in the days to forecast, codes of festivals.
+RECENT, ALL_ROWS, TEST_ROWS = ("2001-05-02", "2001-05-31"), 60, 3
+FESTIVALS = {"newyear": 1, "xmas": 2, "mid,may": 3}
+
+
 def trained():
     return F.col("is_train") == 1
 
@@ -50,6 +55,12 @@ def banded(df: DataFrame, within: list[str]) -> DataFrame:
     return cut(df.join(N.volume_band(df, within), [*within, "sku_id", "dt"], "left"))
 
 
+def buyers_by(df: DataFrame, by: str) -> DataFrame:
+    """(wh_id, by, new_idx, old_idx): buyer counts against their warehouse's mean."""
+    idx = N.buyer_indices(df, ["new_byrs", "old_byrs"], by, ["wh_id"]).groupBy("wh_id", by).pivot("buyer", ["new_byrs", "old_byrs"]).agg(F.first("idx"))
+    return idx.withColumnsRenamed({"new_byrs": "new_idx", "old_byrs": "old_idx"})
+
+
 def indexed(df: DataFrame, table: DataFrame, on: list[str], name: str) -> DataFrame:
     return N.index_with_fallback(df, [(table, on)], name=name)
 
@@ -82,15 +93,20 @@ def _(spark, d):
 
 @add("z3_drinks_features")
 def _(spark, d):
-    df = cleaned(dense(spark, d))
-    df = C.window_outliers(df, kind="promo").where("outlier = 0").drop("outlier")
-    df = N.promotion_history_mean(banded(cut(df), ["cat1"]), "promo")
+    known = N.sized_and_recent(dense(spark, d), TEST_ROWS, *RECENT, counted=~trained())
+    df = R.filled(cleaned(known), ["seq_price"], constant=0.0)
+    df = df.join(N.long_tail(df.where(trained())).where("is_long_tail = 1").select(*K), K, "left_anti")
+    df = cut(C.window_outliers(df, kind="promo").where("outlier = 0").drop("outlier"))
+    df = N.promotion_history_mean(banded(df, ["cat1"]), "promo")
+    df = R.history_mean(df, (7,), (1.0,), col="w_price", name="price_mean")
+    df = df.withColumns({"price_off_mean": F.col("price") - F.col("price_mean"), "w_price_off_mean": F.col("w_price") - F.col("price_mean")})
     df = cut(N.horizon_statistics(df, 20))
     df = cut(N.seasonal_index(df, ["cat1", "cat2"], ["day_abbr", "month"], train=trained()))
     df = indexed(df, N.weekday_ratio(df).select("cat2", F.col("weekday").alias("day_abbr"), F.col("ratio").alias("idx")), ["cat2", "day_abbr"], "weekday_ratio")
     df = cut(N.predicted_volume(df.join(N.elasticity(df), K)))
+    df = df.join(buyers_by(df, "day_abbr"), ["wh_id", "day_abbr"], "left")
     df = N.label_encoded(C.validation_marked(df), "cat2", "cat2_code")
-    return df.select(*K, "dt", "is_train", X, "band", "history_mean", "known_mean_7", "idx_cat1_month", "idx_cat2_day_abbr", "weekday_ratio", "ed_volume", "cat2_code")
+    return df.select(*K, "dt", "is_train", X, "band", "history_mean", "price_mean", "price_off_mean", "w_price_off_mean", "known_mean_7", "idx_cat1_month", "idx_cat2_day_abbr", "weekday_ratio", "ed_volume", "new_idx", "old_idx", "cat2_code")
 
 
 @add("z4_pricing_strategy_features")
@@ -113,15 +129,28 @@ def _(spark, d):
     return files.write_and_read(days, "orc", ["dt"])
 
 
-@add("z5_augmentation_features")
+_Q = "PARTITION BY bu_id, wh_id, sku_id, promo ORDER BY dt"
+_Z5 = f"""WITH a AS (SELECT *, count(*) OVER p n_rows, sum({X}) FILTER (dt BETWEEN DATE '{RECENT[0]}' AND DATE '{RECENT[1]}') OVER p sold FROM {{pa}} WINDOW p AS (PARTITION BY {KEYS})),
+ b AS (SELECT * EXCLUDE (seq_price), CASE WHEN seq_num>0 THEN 1 ELSE 0 END promo, coalesce(seq_price, first_value(seq_price IGNORE NULLS) OVER ({W} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), last_value(seq_price IGNORE NULLS) OVER ({W} ROWS UNBOUNDED PRECEDING), 0) seq_price FROM a WHERE n_rows>={ALL_ROWS} AND coalesce(sold,0)<>0),
+ m AS (SELECT *, CASE WHEN row_number() OVER ({_Q})>=7 THEN avg({X}) OVER ({_Q} ROWS 6 PRECEDING) END m7, (avg({X}) OVER ({W} ROWS 6 PRECEDING)+avg({X}) OVER ({W} ROWS 14 PRECEDING)+avg({X}) OVER ({W} ROWS 29 PRECEDING))/3 h FROM b),
+ o AS (SELECT *, CASE WHEN coalesce({X}>2.5*min(m7) OVER q, false) OR coalesce({X}<0.2*max(m7) OVER q, false) THEN 1 ELSE 0 END outlier FROM m WINDOW q AS ({_Q} ROWS BETWEEN CURRENT ROW AND 6 FOLLOWING)),
+ d AS (SELECT cat1, dt, festival_name f, sum({X}) t FROM o GROUP BY ALL), r AS (SELECT cat1, f, year(dt) y, min(dt) a, max(dt) b FROM d WHERE f<>'无' GROUP BY ALL), g AS (SELECT r.cat1, r.f, y, avg(t) m FROM r JOIN d ON d.cat1=r.cat1 AND d.f='无' AND d.dt BETWEEN a-15 AND b+15 GROUP BY ALL),
+ s AS (SELECT cat1, f, sum(m) base FROM g GROUP BY ALL), i AS (SELECT cat1, f festival_name, avg(t)/max(base) idx FROM d JOIN s USING (cat1, f) GROUP BY ALL)
+ SELECT {KEYS}, dt, R({X}) {X}, L(outlier) outlier, R(coalesce(lag(h) OVER ({W}), h)) history_mean, R(seq_price) seq_price,
+ {", ".join(f"R(avg(CASE WHEN is_train=1 THEN {X} END) OVER (PARTITION BY cat2, {c})/avg(CASE WHEN is_train=1 THEN {X} END) OVER (PARTITION BY cat2)) idx_cat2_{c}" for c in ("day_abbr", "month"))},
+ R(avg(new_byrs) OVER v/avg(new_byrs) OVER (PARTITION BY wh_id)) new_idx, R(avg(old_byrs) OVER v/avg(old_byrs) OVER (PARTITION BY wh_id)) old_idx, R(coalesce(idx,1)) festival_index,
+ L(CASE festival_name {" ".join(f"WHEN '{k}' THEN {n}" for k, n in FESTIVALS.items())} END) festival_code, L(dense_rank() OVER (ORDER BY cat1)-1) cat1_code FROM o LEFT JOIN i USING (cat1, festival_name) WINDOW v AS (PARTITION BY wh_id, day_abbr)"""
+
+
+@add("z5_augmentation_features", _Z5)
 def _(spark, d):
-    df = R.filled(promoted(dense(spark, d)), ["seq_price"])
-    df = C.window_outliers(df, kind="promo")
-    df = N.seasonal_index(R.history_mean(df), ["cat2"], ["month"], train=trained())
-    buyers = N.buyer_indices(df, ["new_byrs", "old_byrs"], "day_abbr", ["wh_id"]).groupBy("wh_id", "day_abbr").pivot("buyer", ["new_byrs", "old_byrs"]).agg(F.first("idx"))
-    df = df.join(buyers.withColumnsRenamed({"new_byrs": "new_idx", "old_byrs": "old_idx"}), ["wh_id", "day_abbr"], "left")
-    df = N.label_encoded(df.withColumn("festival", F.when(F.col("festival_name") != S.NONE_NAME, 1).otherwise(0)), "cat1", "cat1_code")
-    return df.select(*K, "dt", X, "outlier", "history_mean", "idx_cat2_month", "new_idx", "old_idx", "festival", "cat1_code")
+    df = N.sized_and_recent(dense(spark, d), ALL_ROWS, *RECENT)
+    df = cut(C.window_outliers(R.filled(promoted(df), ["seq_price"], constant=0.0), kind="promo"))
+    df = N.seasonal_index(R.history_mean(df), ["cat2"], ["day_abbr", "month"], train=trained())
+    df = cut(df.join(buyers_by(df, "day_abbr"), ["wh_id", "day_abbr"], "left"))
+    df = indexed(df, N.festival_index(df, ["cat1"]), ["cat1", "festival_name"], "festival_index")
+    df = N.label_encoded(df.withColumn("festival_code", S.recode("festival_name", FESTIVALS)), "cat1", "cat1_code")
+    return df.select(*K, "dt", X, "outlier", "history_mean", "seq_price", "idx_cat2_day_abbr", "idx_cat2_month", "new_idx", "old_idx", "festival_index", "festival_code", "cat1_code")
 
 
 @add("z6_reference_price_recipe", f"WITH g AS (SELECT {KEYS}, dt, sum({X}) c, sum(arranged_amt) m FROM {{pa}} GROUP BY ALL), a AS (SELECT *, m/c p FROM g), b AS (SELECT *, avg(p) OVER ({W} ROWS 29 PRECEDING) mm, (row_number() OVER ({W})-1)//3 b FROM a), e AS (SELECT *, CASE WHEN abs(p-mm)/mm>0.05 THEN mm ELSE p END net FROM b) SELECT {KEYS}, dt, R(p) price, R(min(net) OVER (PARTITION BY {KEYS}, b)) ref_price FROM e")
@@ -155,13 +184,46 @@ def _(spark, d):
     return G.with_fallback(main, G.long_tail_rule(pb, F.col("cat2") < "Brand#3"), K)
 
 
+BLOCK = [f"{stat}_{n}_shift_{i}" for i in (1, 7) for n in (3, 7, 14) for stat in ("mean", "std")]
+
+
+def tree_rows(pb: DataFrame) -> DataFrame:
+    """Rows of the series that are no long tail, with lags, the block of shifted rolling statistics, festival-scaled and
+    weighted history means, and the series' recent band."""
+    tail = N.long_tail(pb.withColumn(X, F.col(X) / 20)).where("is_long_tail = 1").select(*K)
+    rows = cut(pb.join(tail, K, "left_anti"))
+    rows = indexed(rows, N.festival_index(rows, ["cat1"]), ["cat1", "festival_name"], "festival_index")
+    rows = N.festival_scaled_mean(R.lags(rows, [1, 7]), "festival_index")
+    rows = R.history_mean(rows, (7, 14, 21), name="history_mean_21")
+    for i in (1, 7):
+        rows = R.rolling(rows, [3, 7, 14], ["mean", "std"], least=2, shift=i)
+    return rows.join(N.recent_band(rows, FORECAST_DATE), K, "left").withColumn("recent_band", F.coalesce("recent_band", F.lit(0)))
+
+
+_SHIFTED = ", ".join(f"CASE WHEN count({X}) OVER w{n}_{i}>=2 THEN {f} OVER w{n}_{i} END {s}_{n}_shift_{i}" for i in (1, 7) for n in (3, 7, 14) for s, f in (("mean", f"avg({X})"), ("std", f"stddev_samp({X})")))
+_FRAMES = ", ".join(f"w{n}_{i} AS ({W} ROWS BETWEEN {i + n - 1} PRECEDING AND {i} PRECEDING)" for i in (1, 7) for n in (3, 7, 14))
+_Z10 = f"""WITH w AS (SELECT {KEYS}, count(*) OVER (PARTITION BY {KEYS}) n, sum({X}/20) OVER ({W} ROWS 6 PRECEDING) s7, row_number() OVER ({W}) rn, {X}/20 x FROM {{pb}} WHERE dt>=DATE '1999-01-01'),
+ k AS (SELECT {KEYS} FROM w GROUP BY ALL HAVING NOT (CASE WHEN max(n)>=7 THEN avg(s7) FILTER (rn>=7)<7 ELSE sum(x)<max(n) END)), p AS (SELECT * FROM {{pb}} SEMI JOIN k USING ({KEYS}) WHERE dt>=DATE '1999-01-01'),
+ d AS (SELECT cat1, dt, festival_name f, sum({X}) t FROM p GROUP BY ALL), r AS (SELECT cat1, f, year(dt) y, min(dt) a, max(dt) b FROM d WHERE f<>'无' GROUP BY ALL), g AS (SELECT r.cat1, r.f, y, avg(t) m FROM r JOIN d ON d.cat1=r.cat1 AND d.f='无' AND d.dt BETWEEN a-15 AND b+15 GROUP BY ALL),
+ s AS (SELECT cat1, f, sum(m) base FROM g GROUP BY ALL), i AS (SELECT cat1, f festival_name, avg(t)/max(base) idx FROM d JOIN s USING (cat1, f) GROUP BY ALL),
+ m AS (SELECT *, CASE WHEN festival_name='无' THEN avg({X}) OVER (PARTITION BY {KEYS}, festival_name='无' ORDER BY dt ROWS 2 PRECEDING) END m3, (avg({X}) OVER ({W} ROWS 6 PRECEDING)+avg({X}) OVER ({W} ROWS 13 PRECEDING)+avg({X}) OVER ({W} ROWS 20 PRECEDING))/3 h FROM p LEFT JOIN i USING (cat1, festival_name)),
+ q AS (SELECT *, lag({X}, 1) OVER ({W}) lag_1, lag({X}, 7) OVER ({W}) lag_7, coalesce(lag(h) OVER ({W}), h) history_mean_21, coalesce(last_value(m3 IGNORE NULLS) OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), {X})*CASE WHEN festival_name='无' THEN 1 ELSE coalesce(idx,1) END festival_scaled_mean, {_SHIFTED} FROM m WINDOW {_FRAMES}),
+ t AS (SELECT {KEYS}, floor(avg({X}) FILTER (rn<=7)/5) b FROM (SELECT *, row_number() OVER ({W} DESC) rn FROM p WHERE dt>=DATE '{FORECAST_DATE}'-30 AND dt<DATE '{FORECAST_DATE}') GROUP BY ALL)
+ SELECT {KEYS}, dt, R(lag_1) lag_1, R(lag_7) lag_7, R(history_mean_21) history_mean_21, R(festival_scaled_mean) festival_scaled_mean, {", ".join(f"R({c}) {c}" for c in BLOCK)}, L(coalesce(b,0)) recent_band FROM q LEFT JOIN t USING ({KEYS})"""
+
+
+@add("z10_tree_features", _Z10)
+def _(spark, d):
+    rows = tree_rows(sparse(spark, d).where("dt >= '1999-01-01'"))
+    return rows.select(*K, "dt", "lag_1", "lag_7", "history_mean_21", "festival_scaled_mean", *BLOCK, "recent_band")
+
+
 @add("z10_trees_with_fallback")
 def _(spark, d):
-    pb = C.threshold_damped(sparse(spark, d).where("dt >= '1999-01-01'").withColumn("day_no", S.day_number("dt")))
-    tail = N.long_tail(pb.withColumn(X, F.col(X) / 20)).where("is_long_tail = 1").select(*K)
-    rows = R.rolling(R.lags(pb.join(tail, K, "left_anti"), [1, 7]), [7], ["mean"], shift=1)
-    rows = rows.withColumn("cohort", F.lit(0))
-    main = boosted(rows, ["price", "day_abbr", "month", "day_no", "lag_1", "lag_7", "mean_7_shift_1"], X, "cohort", trained(), [*K, "dt"])
+    pb = sparse(spark, d).where("dt >= '1999-01-01'").withColumn("day_no", S.day_number("dt"))
+    rows = C.threshold_damped(tree_rows(pb)).withColumn("cohort", F.lit(0))
+    names = ["price", "day_abbr", "month", "day_no", "lag_1", "lag_7", "history_mean_21", "festival_scaled_mean", *BLOCK, "recent_band"]
+    main = boosted(rows, names, X, "cohort", trained(), [*K, "dt"])
     main = main.groupBy(*K).agg(F.avg("pred").alias("pred"))
     return G.with_fallback(main, G.long_tail_rule(pb, F.col("cat2") < "Brand#3"), K)
 
@@ -243,12 +305,20 @@ def _(spark, d):
     return rows.groupBy("wh_id", "sku", "cut_hour").agg(F.count("*").alias("n_days"), F.avg("y").alias("mean_y"))
 
 
+REGIONS = ["AMERICA", "ASIA", "EUROPE"]
+
+
 @add("z18_regional_models")
 def _(spark, d):
-    df = dense(spark, d)
+    df = cut(dense(spark, d).where(S.in_lists(cat1=REGIONS, cat2=None)))
     known = df.groupBy(*K).agg(F.avg(F.when(trained(), F.col(X))).alias("m"))
-    mean = G.two_means(df.where(trained())).withColumn("model", F.lit("two_means"))
-    smooth = G.ses_fitted(df.where(trained())).select(*K, "pred").withColumn("model", F.lit("ses"))
-    linear = G.recursive_linear(df, FORECAST_DATE, ("bu_id", "wh_id")).where(F.col("dt") == F.to_date(F.lit(FORECAST_DATE))).select(*K, "pred").withColumn("model", F.lit("linear"))
-    all_ = mean.unionByName(smooth).unionByName(linear).join(known, K)
-    return all_.select(*K, "model", S.clamp_to_mean("pred", "m").alias("pred"))
+    rows = N.horizon_statistics(df, 20).withColumn("region", F.col("cat1"))
+    trees = boosted(rows, ["price", "day_abbr", "month", "known_mean", "known_mean_7", "known_max_7", "known_min_14"], X, "region", trained(), [*K, "dt"], depth=3, rounds=3)
+    linear = G.recursive_linear(df, FORECAST_DATE, ("bu_id", "wh_id")).where(F.col("dt") == F.to_date(F.lit(FORECAST_DATE)))
+    models = {
+        "two_means": G.two_means(df.where(trained())),
+        "ses": G.ses_fitted(df.where(trained())).select(*K, "pred"),
+        "linear": linear.select(*K, "pred"),
+        "trees": trees.groupBy(*K).agg(F.avg("pred").alias("pred")),
+    }
+    return G.union_tagged(models, "model").join(known, K).select(*K, "model", S.clamp_to_mean("pred", "m").alias("pred"))
