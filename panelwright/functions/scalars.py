@@ -65,6 +65,12 @@ def jitter(*keys, low: float = 0.001, high: float = 0.01) -> Column:
     return F.lit(low) + (high - low) * (F.pmod(F.xxhash64(*keys), F.lit(1_000_000)) / 1_000_000)
 
 
+def text_jitter(*keys, low: float = 0.001, high: float = 0.01) -> Column:
+    """As jitter, from the MD5 of the keys' text, which other engines can work out too."""
+    digits = F.conv(F.substring(F.md5(F.concat_ws(":", *[c(k).cast("string") for k in keys]).cast("binary")), 1, 7), 16, 10)
+    return F.lit(low) + (high - low) * (digits.cast("double") / float(16**7))
+
+
 def year_week(dt) -> Column:
     return F.year(dt) * 100 + F.weekofyear(dt)
 

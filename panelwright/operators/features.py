@@ -294,6 +294,15 @@ def nearest_price(df: DataFrame, spec: PanelSpec = SERIES, ref: str = "ref_price
     return rows.groupBy(*spec.keys, ref, "chunk").agg(best.alias("__b")).select(*spec.keys, ref, "chunk", f"__b.{spec.date}", F.col(f"__b.{price}").alias("nearest"))
 
 
+def perceived_price(df: DataFrame, spec: PanelSpec = SERIES, ref: str = "ref_price", price: str = "price", interval: int = 3, name: str = "perceived") -> DataFrame:
+    """df with name: of the row's chunk, as `nearest_price` cuts them, the price nearest to the reference, first one of equals."""
+    from panelwright.operators.rolling import near_equal_chunks
+
+    rows = near_equal_chunks(df, interval, PanelSpec((*spec.keys, ref), spec.date, spec.target), "__chunk")
+    w = Window.partitionBy(*spec.keys, ref, "__chunk").orderBy(F.round(F.abs(F.col(price) - F.col(ref)), 6), spec.date)
+    return rows.withColumn(name, F.first(price).over(w)).drop("__chunk")
+
+
 def promotion_history_mean(df: DataFrame, promo: str, spec: PanelSpec = SERIES, train: str = "is_train") -> DataFrame:
     """Adds history_mean: of the series' rows of the same promotion state up to the row before, weights .7, .2 and .1; where
     the state has no training row, the mean over all rows with equal weights."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelwright.operators.rolling import last_rows
 from panelwright.operators.spec import SERIES, PanelSpec
+from panelwright.sources import files
 
 
 def _tails(df: DataFrame, n: int, spec: PanelSpec) -> DataFrame:
@@ -161,11 +162,11 @@ def recursive_linear(df: DataFrame, origin: str, pool: tuple[str, ...], spec: Pa
 
     keys, day = list(spec.keys), F.to_date(F.lit(origin))
     past = df.where((F.col(spec.date) < day) & (F.col(spec.date) >= F.date_sub(day, history)))
-    grid = daily(past, spec)
+    grid = files.write_and_read(daily(past, spec), "parquet", [])
     names = [f"lag_{i}" for i in range(1, lags + 1)]
     models = ridge(lagged(grid, list(range(1, lags + 1)), spec), names, PanelSpec(pool, spec.date, spec.target), lam=1e-6)
     tails = _tails(grid, lags, spec).join(past.groupBy(*keys).agg(F.datediff(day, F.max(spec.date)).alias("missing")), keys)
-    rows = df.select(*keys).distinct().join(tails, keys, "left").join(F.broadcast(models), list(pool), "left").join(ses_fitted(grid, spec).select(*keys, F.col("pred").alias("ses")), keys, "left")
+    rows = df.select(*keys).distinct().join(tails, keys, "left").join(files.written_small(models), list(pool), "left").join(ses_fitted(grid, spec).select(*keys, F.col("pred").alias("ses")), keys, "left")
 
     def step(tail, _):
         y = F.aggregate(F.zip_with(F.reverse(tail), "coef", lambda x, c: x * c), F.col("intercept"), lambda s, v: s + v)

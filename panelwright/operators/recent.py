@@ -11,8 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelwright.functions.scalars import text_jitter
 from panelwright.operators.forecast import _tails, ses
+from panelwright.operators.rolling import last_rows
 from panelwright.operators.spec import SERIES, PanelSpec
+from panelwright.sources import files
 
 
 def rolling_apply(df: DataFrame, width: int, function: Callable[[Column], Column], name: str, spec: PanelSpec = SERIES, col: str | None = None) -> DataFrame:
@@ -79,10 +82,8 @@ def carried_on(values: Column, weights: tuple[float, ...], steps: int) -> Column
 
 def capped_recent_mean(df: DataFrame, n: int = 4, least: int = 7, spec: PanelSpec = SERIES) -> DataFrame:
     """(keys, pred): the mean of the last n rows; of all rows where a series has under `least` of them."""
-    values = F.collect_list(F.struct(F.col(spec.date), F.col(spec.target).cast("double").alias("x")))
     tail = df.groupBy(*spec.keys).agg(F.count("*").alias("n"), F.avg(spec.target).alias("mean"))
     last = last_apply(df, n, mean_of, "last", spec)
-    del values
     return tail.join(last, list(spec.keys)).select(*spec.keys, F.when(F.col("n") < least, F.col("mean")).otherwise(F.col("last")).alias("pred"))
 
 
@@ -103,21 +104,58 @@ def recursive_first_order(df: DataFrame, origin: str, pool: str, spec: PanelSpec
     return rows.select(*keys, F.explode(F.sequence(day, F.date_add(day, steps - 1))).alias(spec.date), "model", F.greatest(value, value * 0).alias("pred"))
 
 
-def pooled_arma(df: DataFrame, pool: str, spec: PanelSpec = SERIES) -> DataFrame:
-    """(keys, pool, phi1 … phi3, theta, pred): first differences of a pool share an AR(3), whose residuals share a first-order
-    term; pred is the last value plus the next difference that both foretell, at least 0.
+def _pooled(df: DataFrame, pool: str, spec: PanelSpec) -> tuple[DataFrame, DataFrame]:
+    """Rows with y, d and its lags l1 to l3, the pool's phi1 to phi3, the residual e and the one before it, e1; and (pool, theta).
 
-    Null where a pool's equations have no solution or a series has under five rows.
+    The input is written once and read by all three passes; models are broadcast only where a count shows them to be few, so
+    that rows don't move by pool.
     """
     from panelwright.operators.forecast import pooled_ar
 
     s = spec.series()
-    models = pooled_ar(df, pool, spec).select(pool, "phi1", "phi2", "phi3")
-    d = df.select(*spec.keys, pool, spec.date, F.col(spec.target).cast("double").alias("y"))
-    d = d.withColumn("d", F.col("y") - F.lag("y").over(s))
+    df = files.write_and_read(df.select(*spec.keys, pool, spec.date, F.col(spec.target).cast("double").alias(spec.target)), "parquet", [])
+    models = files.written_small(pooled_ar(df, pool, spec).select(pool, "phi1", "phi2", "phi3"))
+    d = df.withColumnRenamed(spec.target, "y").withColumn("d", F.col("y") - F.lag("y").over(s))
     d = d.withColumns({f"l{i}": F.lag("d", i).over(s) for i in (1, 2, 3)}).join(models, pool)
     d = d.withColumn("e", F.expr("d - phi1 * l1 - phi2 * l2 - phi3 * l3")).withColumn("e1", F.lag("e").over(s))
     theta = d.where("e1 is not null").groupBy(pool).agg((F.sum(F.col("e") * F.col("e1")) / F.sum(F.col("e1") * F.col("e1"))).alias("theta"))
+    return d, files.written_small(theta)
+
+
+def pooled_arma(df: DataFrame, pool: str, spec: PanelSpec = SERIES) -> DataFrame:
+    """(keys, pool, phi1 … phi3, theta, pred): first differences of a pool share an AR(3), whose residuals share a first-order
+    term; pred is the last value plus the next difference that both foretell, at least 0.
+
+    Null where a pool's equations have no solution or a series has under five rows.
+    """
+    d, theta = _pooled(df, pool, spec)
     last = d.groupBy(*spec.keys, pool).agg(F.max_by(F.struct("y", "d", "l1", "l2", "e", "phi1", "phi2", "phi3"), spec.date).alias("z")).select(*spec.keys, pool, "z.*")
     pred = F.expr("y + phi1 * d + phi2 * l1 + phi3 * l2 + theta * e")
     return last.join(theta, pool, "left").select(*spec.keys, pool, "phi1", "phi2", "phi3", "theta", F.greatest(pred, pred * 0).alias("pred"))
+
+
+def pooled_arma_forecast(df: DataFrame, pool: str, spec: PanelSpec = SERIES, steps: int = 7, places: tuple[int, ...] = (1, 2, 3, 7)) -> DataFrame:
+    """(keys, pool, step, pred): `steps` values ahead by the models of `pooled_arma`, which stay as fitted.
+
+    A model's outputs are its one-step forecasts of every row and the one after the last. Each step's forecast is the mean of
+    the outputs at `places` from the end (1: the new one), without those that a short series lacks; 0 or less becomes a small
+    number that depends on key and step. It then counts as the series' next value. Series without any output at the places
+    (under six rows), or in a pool without a solution, have nulls.
+    """
+    d, theta = _pooled(df, pool, spec)
+    deep = max(*places, 4)
+    kept = F.array_sort(F.collect_list(F.struct(spec.date, "y", "e", "e1")))
+    tails = last_rows(d, deep, spec).groupBy(*spec.keys, pool).agg(kept.alias("t"), *[F.first(f"phi{i}").alias(f"phi{i}") for i in (1, 2, 3)])
+    tails = tails.join(theta, pool, "left").withColumns({"ys": F.transform("t", lambda r: r["y"]), "outs": F.transform("t", lambda r: r["y"] - r["e"] + F.col("theta") * r["e1"]), "e": F.element_at("t", -1)["e"]})
+
+    def step(s, i):
+        back = lambda n: F.try_element_at(s["ys"], F.lit(-n))
+        foretold = back(1) + sum((F.col(f"phi{k}") * (back(k) - back(k + 1)) for k in (1, 2, 3)), F.lit(0.0))
+        outs = F.concat(s["outs"], F.array(foretold + F.col("theta") * s["e"]))
+        there = F.filter(F.array(*[F.try_element_at(outs, F.lit(-n)) for n in places]), lambda x: x.isNotNull())
+        mean = F.when(F.size(there) > 0, mean_of(there))
+        value = F.when(mean <= 0, text_jitter(*spec.keys, i)).otherwise(mean)
+        return bound(F.struct(s["ys"].alias("ys"), foretold.alias("f"), outs.alias("outs"), value.alias("v")), lambda r: F.struct(F.concat(r["ys"], F.array(r["v"])).alias("ys"), (r["v"] - r["f"]).alias("e"), r["outs"].alias("outs")))
+
+    done = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.struct("ys", "e", "outs"), step, lambda s: F.slice(s["ys"], -steps, steps))
+    return tails.select(*spec.keys, pool, F.posexplode(done).alias("step", "pred")).withColumn("step", F.col("step") + 1)

@@ -159,6 +159,16 @@ def _(spark, d):
     return N.reference_price(sums).select(*K, "dt", (F.col("arranged_amt") / F.col(X)).alias("price"), "ref_price")
 
 
+@add("z6_perceived_price", f"""WITH g AS (SELECT {KEYS}, dt, sum({X}) c, sum(arranged_amt) m FROM {{pa}} GROUP BY ALL), a AS (SELECT *, m/c p FROM g), b AS (SELECT *, avg(p) OVER ({W} ROWS 29 PRECEDING) mm, (row_number() OVER ({W})-1)//3 b FROM a), e AS (SELECT *, CASE WHEN abs(p-mm)/mm>0.05 THEN mm ELSE p END net FROM b),
+ f AS (SELECT {KEYS}, dt, p, R(min(net) OVER (PARTITION BY {KEYS}, b)) ref FROM e), n AS (SELECT *, count(*) OVER (PARTITION BY {KEYS}, ref) n, row_number() OVER (PARTITION BY {KEYS}, ref ORDER BY dt)-1 i FROM f), k AS (SELECT *, CAST(ceil(n/3.0) AS BIGINT) k FROM n),
+ h AS (SELECT *, CASE WHEN i<(n%k)*(n//k+1) THEN i//(n//k+1) ELSE n%k+(i-(n%k)*(n//k+1))//(n//k) END chunk FROM k)
+ SELECT {KEYS}, dt, R(p) price, ref ref_price, R(first_value(p) OVER (PARTITION BY {KEYS}, ref, chunk ORDER BY round(abs(p-ref),6), dt)) perceived FROM h""")
+def _(spark, d):
+    sums = dense(spark, d).groupBy(*K, "dt").agg(F.sum(X).alias(X), F.sum("arranged_amt").alias("arranged_amt"))
+    df = N.reference_price(sums).withColumns({"ref_price": F.floor(F.col("ref_price") * 10000 + 0.5000001) / 10000.0, "price": F.col("arranged_amt") / F.col(X)})
+    return N.perceived_price(df).select(*K, "dt", "price", "ref_price", "perceived")
+
+
 @add("z7_long_tail_holt_winters")
 def _(spark, d):
     pb = sparse(spark, d)
@@ -277,6 +287,38 @@ def _(spark, d):
     return Q.pooled_arma(C.quantile_capped(pb.join(bucket, K)), "bucket").select(*K, "bucket", "pred")
 
 
+_ARMA = f"""WITH RECURSIVE w AS (SELECT *, avg({X}) OVER ({W} ROWS 20 PRECEDING) m21, row_number() OVER ({W} DESC) rn FROM {{pb}}), k AS (SELECT {KEYS}, (row_number() OVER (ORDER BY m21, {KEYS})-1)//500+1 bucket FROM w WHERE rn=1 AND m21 BETWEEN 15 AND 30),
+ q AS (SELECT p.bu_id, p.wh_id, p.sku_id, dt, bucket, CASE WHEN {X}>quantile_cont({X},0.96) OVER s THEN quantile_cont({X},0.8) OVER s ELSE {X} END y FROM {{pb}} p JOIN k USING ({KEYS}) WINDOW s AS (PARTITION BY p.sku_id)),
+ d AS (SELECT *, y-lag(y) OVER ({W}) d FROM q), l AS (SELECT *, lag(d,1) OVER ({W}) l1, lag(d,2) OVER ({W}) l2, lag(d,3) OVER ({W}) l3 FROM d), r AS (SELECT bucket, sum(d*d) r0, sum(d*l1) r1, sum(d*l2) r2, sum(d*l3) r3 FROM l GROUP BY bucket),
+ f AS (SELECT bucket, (r1*(r0*r0-r1*r1)-r1*(r2*r0-r1*r3)+r2*(r2*r1-r0*r3))/{_D} phi1, (r0*(r2*r0-r3*r1)-r1*(r1*r0-r1*r2)+r2*(r1*r3-r2*r2))/{_D} phi2, (r0*(r0*r3-r1*r2)-r1*(r1*r3-r2*r2)+r1*(r1*r1-r0*r2))/{_D} phi3 FROM r),
+ h AS (SELECT *, lag(e) OVER ({W}) e1 FROM (SELECT *, d-phi1*l1-phi2*l2-phi3*l3 e FROM l JOIN f USING (bucket))), t AS (SELECT bucket, sum(e*e1)/sum(e1*e1) theta FROM h WHERE e1 IS NOT NULL GROUP BY bucket),
+ u AS (SELECT *, y-e+theta*e1 o, row_number() OVER ({W} DESC) rn FROM h JOIN t USING (bucket)),
+ z AS (SELECT {KEYS}, bucket, any_value(phi1) phi1, any_value(phi2) phi2, any_value(phi3) phi3, any_value(theta) theta, arg_max(e, dt) e, list(y ORDER BY dt) ys, list(o ORDER BY dt) outs FROM u WHERE rn<=7 GROUP BY ALL),
+ n AS (SELECT {KEYS}, bucket, phi1, phi2, phi3, theta, 0 step, ys, e, outs, 0.0::DOUBLE v FROM z UNION ALL
+  SELECT {KEYS}, bucket, phi1, phi2, phi3, theta, step, list_append(ys, v), v-g, outs, v FROM (SELECT * EXCLUDE (m), CASE WHEN m<=0 THEN 0.001+0.009*(('0x'||md5(concat_ws(':', {KEYS}, step))[1:7])::BIGINT/268435456.0::DOUBLE) ELSE m END v FROM (SELECT *, list_avg([outs[-1], outs[-2], outs[-3], outs[-7]]) m FROM
+   (SELECT {KEYS}, bucket, phi1, phi2, phi3, theta, step, ys, g, list_append(outs, g+theta*e) outs FROM (SELECT * EXCLUDE (step, v), step+1 step, ys[-1]+phi1*(ys[-1]-ys[-2])+phi2*(ys[-2]-ys[-3])+phi3*(ys[-3]-ys[-4]) g FROM n WHERE step<7)))))"""
+
+
+def arma_ahead(spark, d) -> DataFrame:
+    """(keys, bucket, step, pred): seven days of the long-tail series, in buckets of 500 by recent volume, values capped."""
+    pb = sparse(spark, d)
+    eligible = R.last_rows(R.rolling(pb, [21], ["mean"], least=1), 1).where("mean_21 between 15 and 30").select(*K, "mean_21")
+    bucket = N.equal_buckets(eligible, "mean_21", 500, K).select(*K, "bucket")
+    return Q.pooled_arma_forecast(C.quantile_capped(pb.join(bucket, K)), "bucket")
+
+
+@add("g9_pooled_arma_seven_days", f"{_ARMA} SELECT {KEYS}, L(bucket) bucket, L(step) step, R(v) pred FROM n WHERE step>0")
+def _(spark, d):
+    return arma_ahead(spark, d)
+
+
+@add("z14_long_tail_arma_series", f"{_ARMA} SELECT bu_id||'_'||wh_id||'_'||sku_id unique_id, '{{' || string_agg('\"' || strftime(DATE '{FORECAST_DATE}' + CAST(step-1 AS INT), '%Y%m%d') || '\":' || CAST(CAST(floor(v*100+0.5000001) AS BIGINT) AS VARCHAR), ',' ORDER BY step) || '}}' daily_fc FROM n WHERE step>0 AND v IS NOT NULL GROUP BY ALL")
+def _(spark, d):
+    day = F.date_add(F.lit(FORECAST_DATE).cast("date"), (F.col("step") - 1).cast("int"))
+    rows = arma_ahead(spark, d).where("pred is not null").select(S.key_text(*K).alias("unique_id"), day.alias("dt"), F.floor(F.col("pred") * 100 + 0.5000001).alias("n"))
+    return rows.groupBy("unique_id").agg(S.to_json_series("dt", "n").alias("daily_fc"))
+
+
 def hourly_forecasts(rows: DataFrame) -> DataFrame:
     """Trees a cut-off hour on intraday rows; the last tenth of days is forecast."""
     names = ["current_sum", "y_lag1", "y_lag7", "y_mean", "y_max", "price_growth", "dow"]

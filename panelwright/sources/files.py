@@ -66,6 +66,12 @@ def write_and_read(df: DataFrame, fmt: str, by: list[str], n_files: int | None =
     return back.select(*df.columns, *[F.col("_metadata.file_name").alias("file")] * bool(n_files))
 
 
+def written_small(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """df by way of a table, marked for broadcast if a count finds at most `most` rows in it; larger ones are left to the optimiser."""
+    back = write_and_read(df, "parquet", [])
+    return F.broadcast(back) if back.count() <= most else back
+
+
 def drop_written(df: DataFrame) -> None:
     """Deletes the files of a table of write_and_read that no later step reads."""
     spark = df.sparkSession
