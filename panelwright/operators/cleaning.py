@@ -48,16 +48,20 @@ def future_price_from_train(df: DataFrame, spec: PanelSpec = SERIES, col: str =
     return df.withColumn(col, F.when(F.col(flag) == 0, F.coalesce(last, F.col(col))).otherwise(F.col(col)))
 
 
-def window_outliers(df: DataFrame, spec: PanelSpec = SERIES, kind: str | None = None, top: float = 2.5, bottom: float = 0.2, width: int = 7, name: str = "outlier") -> DataFrame:
+def window_outliers(df: DataFrame, spec: PanelSpec = SERIES, kind: str | None = None, top: float = 2.5, bottom: float = 0.2, width: int = 7, name: str = "outlier", short_mean: bool = False) -> DataFrame:
     """Adds <name>, <name>_high, <name>_low: rows far from the mean of any full window of their kind that holds them.
 
     high and low are the values to clip to (null if not violated): the least top × mean and the greatest bottom × mean.
-    Written as a window over a window, so no row is copied. A series with fewer than `width` rows of the kind is left alone.
+    Written as a window over a window, so no row is copied. A series with fewer than `width` rows of the kind is left alone, or
+    with short_mean compared with the mean of all of them.
     """
     x, more = F.col(spec.target), ([kind] if kind else [])
     df = df.withColumn("__m", F.when(F.row_number().over(spec.series(*more)) >= width, F.avg(x).over(spec.trailing(width, *more))))
     ahead = spec.rows(0, width - 1, *more)
     lo, hi = F.min("__m").over(ahead), F.max("__m").over(ahead)
+    if short_mean:
+        short = F.when(F.count("*").over(spec.whole(*more)) < width, F.avg(x).over(spec.whole(*more)))
+        lo, hi = F.coalesce(short, lo), F.coalesce(short, hi)
     df = df.withColumns({f"{name}_high": F.when(x > top * lo, top * lo), f"{name}_low": F.when(x < bottom * hi, bottom * hi)})
     flag = F.col(f"{name}_high").isNotNull() | F.col(f"{name}_low").isNotNull()
     return df.withColumn(name, flag.cast("int")).drop("__m")

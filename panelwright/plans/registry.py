@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from panelwright.sources import panels
 
-MODULES = ("basics", "cleaning", "features", "forecasts", "complete", "models", "daily", "recipes")
+MODULES = ("basics", "cleaning", "features", "forecasts", "complete", "models", "daily", "recipes", "pricing")
 _QUERIES: dict[str, Callable] = {}
 _SQL: dict[str, str] = {}
 
