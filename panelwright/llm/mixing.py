@@ -8,7 +8,8 @@ together again after A slots, so one cycle of A slots is worked out and later sl
 has no block left, the others share the slots by their weights from there on; no document is dropped or repeated.
 
 The plan is made from one row a source in one task, which writes a row a block of one cycle (never more than there are
-blocks); from these Spark derives all blocks' slots and joins them to the documents by source and block.
+blocks); from these Spark derives all blocks' slots, in runs of a bounded length over all tasks, and joins them to the
+documents by source and block.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 
 from panelwright.llm.common import staged
 
-#: Documents in a block, documents that a part of a source's order has on average.
-BLOCK, PART_ROWS = 16, 1_000
+#: Documents in a block, documents that a part of a source's order has on average, blocks that one row of the plan is spread by.
+BLOCK, PART_ROWS, RUN = 16, 1_000, 4_096
 _PLAN = pa.schema([("source", pa.string()), ("first_block", pa.int64()), ("end_block", pa.int64()), ("step", pa.int64()), ("first_slot", pa.int64()), ("cycle", pa.int64())])
 
 
@@ -106,8 +107,11 @@ def _slots(counts: DataFrame, weights: dict, block: int) -> DataFrame:
 
     kind = "source string, first_block long, end_block long, step long, first_slot long, cycle long"
     made = staged(counts.coalesce(1).mapInArrow(run, kind), "plan")
-    every = made.select("source", "first_slot", "cycle", F.posexplode(F.expr("sequence(first_block, end_block - 1, step)")).alias("i", "block"))
-    return every.select("source", "block", (F.col("first_slot") + F.col("i") * F.col("cycle")).alias("slot"))
+    # a source's blocks of one place in the cycle are dealt out in runs, so that no row holds all of them and no task makes them
+    last = "(end_block - 1 - first_block) div step"
+    runs = made.select("*", F.explode(F.expr(f"sequence(0L, {last}, {RUN}L)")).alias("run")).repartition("source", "first_block", "run")
+    every = runs.select("*", F.explode(F.expr(f"sequence(run, least(run + {RUN - 1}L, {last}))")).alias("i"))
+    return every.select("source", (F.col("first_block") + F.col("i") * F.col("step")).alias("block"), (F.col("first_slot") + F.col("i") * F.col("cycle")).alias("slot"))
 
 
 def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = BLOCK, seed: int = 1) -> DataFrame:

@@ -613,3 +613,11 @@ def test_pipeline(spark, tmp_path):
     order = [r.doc_id for r in mixing.schedule(spark.read.parquet(f"{tmp_path}/stage2"), queries.WEIGHTS).orderBy("position").collect()]
     assert [r.doc_id for r in last] == order
     assert sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect())) == sorted(map(tuple, last))
+
+
+def test_runs_of_blocks_do_not_change_the_order(spark, monkeypatch):
+    docs = spark.range(900).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 7 == 0, None).otherwise("b").alias("source"))
+    order = lambda: sorted(map(tuple, mixing.schedule(docs, {"a": 2.5, "b": 1}, block=2).collect()))
+    whole = order()
+    monkeypatch.setattr(mixing, "RUN", 3)
+    assert order() == whole and len({r[4] for r in whole}) == 900
