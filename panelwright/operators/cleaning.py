@@ -155,11 +155,17 @@ def mean_cut(df: DataFrame, spec: PanelSpec = SERIES, factor: float = 3.0) -> Da
 
 
 def daily(df: DataFrame, spec: PanelSpec = SERIES) -> DataFrame:
-    """(keys, date, target) with a row for every day between a series' first and last; gaps take the next value."""
-    span = df.groupBy(*spec.keys).agg(F.min(spec.date).alias("a"), F.max(spec.date).alias("b"))
-    grid = span.select(*spec.keys, F.explode(F.sequence("a", "b")).alias(spec.date))
-    out = grid.join(df.select(*spec.keys, spec.date, spec.target), [*spec.keys, spec.date], "left")
-    return filled(out, [spec.target], spec)
+    """(keys, date, target) with a row for every day between a series' first and last; gaps take the next value.
+
+    Each row stands for itself and for the days since the row before it, so the grid is made from the rows: it is neither
+    joined with them nor sorted. Rows without a date are left out; rows of repeated dates stay repeated.
+    """
+    s = spec.series()
+    rows = filled(df.where(F.col(spec.date).isNotNull()).select(*spec.keys, spec.date, spec.target), [spec.target], spec)
+    before = F.lag(spec.date).over(s)
+    # the first row of a series and rows of a repeated date stand for their own day alone
+    first = F.least(F.coalesce(F.date_add(before, 1), F.col(spec.date)), F.col(spec.date))
+    return rows.withColumn("__first", first).select(*spec.keys, F.explode(F.sequence("__first", spec.date)).alias(spec.date), spec.target)
 
 
 def every_hour(df: DataFrame, keys: list[str], ts: str, cols: list[str]) -> DataFrame:
