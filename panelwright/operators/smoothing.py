@@ -1,29 +1,33 @@
 """Exponential smoothing with fitted rates: searched from coarse to fine inside each series' row, with no shuffle of its own.
 
 A series is one row with its last values as an array; a set of rates is a fold over it that gives the sum of squared
-one-step errors. The first round tries a whole grid, each further round a finer grid around the best few of the round
+one-step errors, worked out for a batch of series and all their rates at once. The first round tries a whole grid, each further round a finer grid around the best few of the round
 before, so that of several valleys the deepest is kept. Null targets aren't among the values.
 """
 
 from __future__ import annotations
 
 import itertools
+from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions import scalars as S
 from panelwright.operators.cleaning import quantile_capped
 from panelwright.operators.forecast import _tails, ses
-from panelwright.operators.recent import bound, mean_of
+from panelwright.operators.recent import bound
+from panelwright.operators.rolling import last_rows
 from panelwright.operators.spec import SERIES, PanelSpec
 
 
 def _values(df: DataFrame, last: int, spec: PanelSpec) -> DataFrame:
     """(keys, tail, last_day): each series' last values; a series without values has an empty array."""
-    tails = _tails(df, last, spec)
-    ends = df.groupBy(*spec.keys).agg(F.max(spec.date).alias("last_day"))
-    return tails.withColumn("tail", F.filter("tail", lambda x: x.isNotNull())).join(ends, list(spec.keys))
+    pairs = F.array_sort(F.collect_list(F.struct(F.col(spec.date).alias("d"), F.col(spec.target).cast("double").alias("x"))))
+    tails = last_rows(df, last, spec).groupBy(*spec.keys).agg(F.transform(pairs, lambda s: s["x"]).alias("tail"), F.max(spec.date).alias("last_day"))
+    return tails.withColumn("tail", F.filter("tail", lambda x: x.isNotNull()))
 
 
 def _best(tried: Column, keep: int) -> Column:
@@ -31,15 +35,62 @@ def _best(tried: Column, keep: int) -> Column:
     return F.slice(F.array_sort(tried), 1, keep)
 
 
-def _ses_errors(values: Column, alpha: Column) -> Column:
-    """struct(sse, alpha, level) of smoothing from the first value on."""
-    start = F.struct(F.try_element_at(values, F.lit(1)).alias("level"), F.lit(0.0).alias("sse"))
+def _padded(tails: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, lengths) of arrays: a row each, as wide as the longest, NaN behind the shorter ones."""
+    sizes = np.diff(tails.offsets.to_numpy()).astype(int)
+    values = np.full((len(sizes), max(int(sizes.max(initial=0)), 1)), np.nan)
+    values[np.arange(values.shape[1]) < sizes[:, None]] = tails.flatten().to_numpy(zero_copy_only=False)
+    return values, sizes
+
+
+def _in_batches(rows: DataFrame, fitted: Callable[[np.ndarray, np.ndarray], dict], schema: str, size: int = 2048) -> DataFrame:
+    """rows with what fitted(values, lengths) finds for the series of a part of a batch at once; rates are tried side by side,
+    so a part holds `size` series. rows end with `tail`, which goes."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, size):
+                part = batch.slice(at, size)
+                keys = part.drop_columns(["tail"])
+                out = fitted(*_padded(pa.concat_arrays([part.column("tail")])))
+                yield pa.RecordBatch.from_arrays([*keys.columns, *[x if isinstance(x, pa.Array) else pa.array(x[0], mask=x[1]) for x in out.values()]], [*keys.schema.names, *out])
+
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "tail")
+    return rows.mapInArrow(run, f"{kept}, {schema}")
+
+
+def _least(found: dict[str, np.ndarray], barred: np.ndarray, order: tuple[str, ...], keep: int) -> dict[str, np.ndarray]:
+    """Of the trials of each series (columns) the `keep` that come first by `order`, barred ones last."""
+    places = np.lexsort([*[found[k] for k in reversed(order)], barred], axis=-1)[:, :keep]
+    return {k: np.take_along_axis(v, places, 1) if v.ndim == 2 else np.take_along_axis(v, places[:, :, None], 1) for k, v in found.items()}
 
-    def step(s, x):
-        error = x - s["level"]
-        return F.struct((s["level"] + alpha * error).alias("level"), (s["sse"] + error * error).alias("sse"))
 
-    return F.aggregate(F.slice(values, F.lit(2), F.size(values)), start, step, lambda s: F.struct(s["sse"].alias("sse"), alpha.alias("alpha"), s["level"].alias("level")))
+def _ses_tried(values: np.ndarray, sizes: np.ndarray, alpha: np.ndarray) -> dict[str, np.ndarray]:
+    """sse, alpha and level of smoothing each series with each of its rates (columns)."""
+    level, sse = np.repeat(values[:, :1], alpha.shape[1], 1), np.zeros(alpha.shape)
+    for i in range(1, values.shape[1]):
+        there = (sizes > i)[:, None]
+        error = np.where(there, values[:, i : i + 1] - level, 0.0)
+        level, sse = level + alpha * error, sse + error * error
+    return {"sse": sse, "alpha": alpha, "level": level}
+
+
+def _ses_best(values: np.ndarray, sizes: np.ndarray, coarse: int, keep: int, rounds: int) -> dict:
+    order, step = ("sse", "alpha", "level"), 1.0 / coarse
+    found = _ses_tried(values, sizes, np.tile(np.arange(1, coarse + 1) * step, (len(sizes), 1)))
+    barred = np.zeros(found["sse"].shape, bool)
+    for _ in range(rounds):
+        step /= 10
+        best = _least(found, barred, order, keep)
+        rates = np.clip(best["alpha"][:, :, None] + np.arange(-10, 11) * step, step, 1.0).reshape(len(sizes), -1)
+        rates = np.sort(rates, axis=1)
+        again = np.concatenate([np.zeros((len(sizes), 1), bool), rates[:, 1:] == rates[:, :-1]], 1)
+        tried = _ses_tried(values, sizes, rates)
+        found = {k: np.concatenate([best[k], tried[k]], 1) for k in order}
+        barred = np.concatenate([np.zeros(best["sse"].shape, bool), again], 1)
+    best = _least(found, barred, order, 1)
+    few, none = sizes < 2, sizes < 1
+    return {"alpha": (best["alpha"][:, 0], few), "sse": (best["sse"][:, 0], few), "level": (best["level"][:, 0], none)}
 
 
 def ses_optimised(df: DataFrame, spec: PanelSpec = SERIES, last: int = 31, origin: str | None = None, gap: int = 31, coarse: int = 40, keep: int = 3, rounds: int = 3) -> DataFrame:
@@ -48,19 +99,9 @@ def ses_optimised(df: DataFrame, spec: PanelSpec = SERIES, last: int = 31, origi
     The rate is exact to 1 / (coarse * 10 ** rounds). Series of one value repeat it (alpha null); with an origin, series
     silent for over `gap` days before it have no forecast. Series without values have none either.
     """
-    step = 1.0 / coarse
-    rows = _values(df, last, spec).withColumn("found", F.transform(F.sequence(F.lit(1), F.lit(coarse)), lambda g: _ses_errors(F.col("tail"), g * F.lit(step))))
-    for _ in range(rounds):
-        step /= 10
-        size = step
-        near = lambda b, size=size: F.transform(F.sequence(F.lit(-10), F.lit(10)), lambda k: F.least(F.greatest(b["alpha"] + k * F.lit(size), F.lit(size)), F.lit(1.0)))
-        around = F.array_distinct(F.flatten(F.transform(_best(F.col("found"), keep), lambda b: near(b))))  # noqa: B023
-        rows = rows.withColumn("rates", around).withColumn("found", F.concat(_best(F.col("found"), keep), F.transform("rates", lambda a: _ses_errors(F.col("tail"), a))))
-    rows = rows.withColumn("best", F.element_at(_best(F.col("found"), 1), 1))
-    n = F.size("tail")
+    rows = _in_batches(_values(df, last, spec).select(*spec.keys, "last_day", "tail"), lambda v, n: _ses_best(v, n, coarse, keep, rounds), "alpha double, sse double, level double")
     alive = F.lit(True) if origin is None else F.datediff(F.to_date(F.lit(origin)), "last_day") <= gap
-    pred = F.when(alive & (n > 0), F.greatest(F.when(n > 1, F.col("best.level")).otherwise(mean_of(F.col("tail"))), F.lit(0.0)))
-    return rows.select(*spec.keys, F.when(n > 1, F.col("best.alpha")).alias("alpha"), F.when(n > 1, F.col("best.sse")).alias("sse"), pred.alias("pred"))
+    return rows.select(*spec.keys, "alpha", "sse", F.when(alive & F.col("level").isNotNull(), F.greatest("level", F.lit(0.0))).alias("pred"))
 
 
 def ses_with_rules(df: DataFrame, spec: PanelSpec = SERIES, sellable: Column | None = None, alpha: float = 0.71, last: int = 31, steps: int = 20) -> DataFrame:

@@ -4,6 +4,7 @@ import datetime
 
 
 from panelwright.operators import cleaning as C
+from panelwright.operators import smoothing as M
 from panelwright.operators.spec import PanelSpec
 
 SPEC = PanelSpec(("sku",), "dt", "x")
@@ -25,3 +26,15 @@ def test_daily_grid_is_made_from_the_rows_without_a_join(spark):
     assert "Join" not in plan(grid)
     got = sorted(((r.sku, (r.dt - DAY).days, r.x) for r in grid.collect()), key=str)
     assert got == sorted([("a", 0, 1.0), ("a", 1, 5.0), ("a", 2, 5.0), ("a", 3, 5.0), ("a", 4, 5.0), ("a", 4, 5.0), ("a", 5, 5.0), ("a", 6, 5.0), ("b", 2, 7.0), ("c", 0, None), ("c", 1, None), ("c", 2, None)], key=str)
+
+
+def test_smoothing_rates_are_tried_for_batches_of_series(spark):
+    many = {f"s{k}": [float((k * 7 + i * i) % 11) for i in range(k % 35)] for k in range(1, 60)}
+    df = dated(spark, [(k, i, x) for k, xs in many.items() for i, x in enumerate(xs)] + [("null", 0, None)])
+    fitted = M.ses_optimised(df, SPEC)
+    assert "MapInArrow" in plan(fitted)
+    got = {r.sku: (r.alpha, r.sse, r.pred) for r in fitted.collect()}
+    assert got["null"] == (None, None, None) and len(got) == sum(1 for v in many.values() if v) + 1
+    for k in ("s1", "s36", "s2", "s40", "s34"):  # lengths 1, 1, 2, 5 and 34, each alone
+        one = M.ses_optimised(df.where(f"sku = '{k}'"), SPEC).first()
+        assert got[k] == (one.alpha, one.sse, one.pred)
