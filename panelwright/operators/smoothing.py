@@ -30,11 +30,6 @@ def _values(df: DataFrame, last: int, spec: PanelSpec) -> DataFrame:
     return tails.withColumn("tail", F.filter("tail", lambda x: x.isNotNull()))
 
 
-def _best(tried: Column, keep: int) -> Column:
-    """Of an array of structs that begin with sse the least `keep`."""
-    return F.slice(F.array_sort(tried), 1, keep)
-
-
 def _padded(tails: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     """(values, lengths) of arrays: a row each, as wide as the longest, NaN behind the shorter ones."""
     sizes = np.diff(tails.offsets.to_numpy()).astype(int)
@@ -131,24 +126,49 @@ def ses_with_rules(df: DataFrame, spec: PanelSpec = SERIES, sellable: Column | N
     return out.select(*k, "step", F.greatest(F.coalesce(F.when(F.col("step") == 1, F.col("f")).otherwise(F.col("v")), F.lit(0.0)), S.jitter(*k, "step")).alias("value"))
 
 
-def _hw_errors(values: Column, rates: Column, period: int) -> Column:
-    """struct(sse, a, b, g, level, trend, season) of additive smoothing with trend and season, from the second period on.
+def _hw_tried(values: np.ndarray, sizes: np.ndarray, rates: dict[str, np.ndarray], period: int) -> dict[str, np.ndarray]:
+    """sse, a, b, g, level, trend and season of additive smoothing with trend and season, from the second period on, of each
+    series with each of its rates (columns). The season of place i is at i % period.
 
     Level and season start from the first period, the trend from the first two.
     """
-    mean = lambda x: F.aggregate(x, F.lit(0.0), lambda s, v: s + v) / period
-    first, second = F.slice(values, 1, period), F.slice(values, period + 1, period)
-    start = bound(mean(first), lambda m: F.struct(m.alias("level"), ((mean(second) - m) / period).alias("trend"), F.transform(first, lambda v: v - m).alias("season"), F.lit(0.0).alias("sse")))
-
-    def step(s, x):
-        old = F.element_at(s["season"], 1)
-        level = rates["a"] * (x - old) + (1 - rates["a"]) * (s["level"] + s["trend"])
-        error = x - (s["level"] + s["trend"] + old)
-        new = lambda v: F.struct(v.alias("level"), (rates["b"] * (v - s["level"]) + (1 - rates["b"]) * s["trend"]).alias("trend"), F.concat(F.slice(s["season"], 2, period - 1), F.array(rates["g"] * (x - v) + (1 - rates["g"]) * old)).alias("season"), (s["sse"] + error * error).alias("sse"))
-        return bound(level, new)
-
-    done = lambda s: F.struct(s["sse"].alias("sse"), rates["a"].alias("a"), rates["b"].alias("b"), rates["g"].alias("g"), s["level"].alias("level"), s["trend"].alias("trend"), s["season"].alias("season"))
-    return F.aggregate(F.slice(values, F.lit(period + 1), F.size(values)), start, step, done)
+    mean = lambda x: sum((x[:, i : i + 1] for i in range(period)), 0.0) / period
+    a, b, g = (rates[k] for k in "abg")
+    first, start = values[:, :period], mean(values[:, :period])
+    level, sse = np.broadcast_to(start, a.shape), np.zeros(a.shape)
+    trend = np.broadcast_to((mean(values[:, period : 2 * period]) - start) / period, a.shape)
+    season = np.repeat((first - start)[:, None, :], a.shape[1], 1)
+    for i in range(period, values.shape[1]):
+        there, x, old = (sizes > i)[:, None], values[:, i : i + 1], season[:, :, i % period]
+        new = a * (x - old) + (1 - a) * (level + trend)
+        error = np.where(there, x - (level + trend + old), 0.0)
+        season[:, :, i % period] = np.where(there, g * (x - new) + (1 - g) * old, old)
+        trend = np.where(there, b * (new - level) + (1 - b) * trend, trend)
+        level, sse = np.where(there, new, level), sse + error * error
+    return {"sse": sse, "a": a, "b": b, "g": g, "level": level, "trend": trend, "season": season}
+
+
+def _hw_best(values: np.ndarray, sizes: np.ndarray, period: int, steps: int, keep: int, rounds: int) -> dict:
+    n, order = len(sizes), ("sse", "a", "b", "g")
+    if values.shape[1] < 2 * period:
+        values = np.pad(values, ((0, 0), (0, 2 * period - values.shape[1])), constant_values=np.nan)
+    grid = np.array(list(itertools.product((0.1, 0.35, 0.6, 0.85), (0.01, 0.1, 0.4), (0.01, 0.2, 0.6))))
+    moves = np.array([m for m in itertools.product((-1, 0, 1), repeat=3) if any(m)])
+    found, size = _hw_tried(values, sizes, {k: np.tile(grid[:, i], (n, 1)) for i, k in enumerate("abg")}, period), 0.25
+    for _ in range(rounds):
+        size /= 3
+        best = _least(found, np.zeros(found["sse"].shape, bool), order, keep)
+        rates = {k: np.clip(best[k][:, :, None] + moves[:, i] * size, 0.01, 0.99).reshape(n, -1) for i, k in enumerate("abg")}
+        tried = _hw_tried(values, sizes, rates, period)
+        found = {k: np.concatenate([best[k], tried[k]], 1) for k in found}
+    best = {k: v[:, 0] for k, v in _least(found, np.zeros(found["sse"].shape, bool), order, 1).items()}
+    few, h = sizes < 2 * period, np.arange(1, steps + 1)
+    turned = np.take_along_axis(best["season"], (sizes[:, None] + h - 1) % period, 1)
+    ahead = np.maximum(0.0, best["level"][:, None] + h * best["trend"][:, None] + turned)
+    final = values[np.arange(n), np.maximum(sizes - 1, 0)]
+    ahead[few] = final[few][:, None]
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * steps, pa.int32()), pa.array(ahead.ravel()), mask=pa.array(sizes < 1))
+    return {k: (best[k], few) for k in ("a", "b", "g", "sse")} | {"ahead": lists}
 
 
 def holt_winters_fitted(df: DataFrame, spec: PanelSpec = SERIES, period: int = 4, steps: int = 20, last: int = 60, keep: int = 2, rounds: int = 3) -> DataFrame:
@@ -158,21 +178,8 @@ def holt_winters_fitted(df: DataFrame, spec: PanelSpec = SERIES, period: int = 4
     Rates are in [0.01, 0.99], found on a grid of 36 and then around the best ones at a third, a ninth, … of its width.
     Series under two periods repeat their last value (rates null); series without values have no forecast.
     """
-    grid = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(g).alias("g")) for a, b, g in itertools.product((0.1, 0.35, 0.6, 0.85), (0.01, 0.1, 0.4), (0.01, 0.2, 0.6))])
-    rows = _values(df, last, spec).withColumn("found", F.when(F.size("tail") >= 2 * period, F.transform(grid, lambda r: _hw_errors(F.col("tail"), r, period))))
-    size = 0.25
-    for _ in range(rounds):
-        size /= 3
-        moves = F.array(*[F.struct(F.lit(a * size).alias("a"), F.lit(b * size).alias("b"), F.lit(g * size).alias("g")) for a, b, g in itertools.product((-1, 0, 1), repeat=3) if (a, b, g) != (0, 0, 0)])
-        inside = lambda x: F.least(F.greatest(x, F.lit(0.01)), F.lit(0.99))
-        near = lambda r, moves=moves: F.transform(moves, lambda m: F.struct(*[inside(r[k] + m[k]).alias(k) for k in "abg"]))
-        around = F.flatten(F.transform(_best(F.col("found"), keep), lambda r: near(r)))
-        rows = rows.withColumn("rates", around).withColumn("found", F.concat(_best(F.col("found"), keep), F.transform("rates", lambda r: _hw_errors(F.col("tail"), r, period))))
-    rows = rows.withColumn("f", F.element_at(_best(F.col("found"), 1), 1))
-    value = lambda h: F.col("f.level") + h * F.col("f.trend") + F.try_element_at(F.col("f.season"), ((h - 1) % period + 1).cast("int"))
-    ahead = F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda h: F.greatest(F.lit(0.0), value(h)))
-    flat = F.when(F.size("tail") > 0, F.array_repeat(F.element_at(F.concat(F.array(F.lit(0.0)), "tail"), -1), steps))
-    return rows.select(*spec.keys, *[F.col(f"f.{k}").alias(k) for k in "abg"], F.col("f.sse").alias("sse"), F.when(F.col("f").isNotNull(), ahead).otherwise(flat).alias("ahead"))
+    rows = _values(df, last, spec).select(*spec.keys, "tail")
+    return _in_batches(rows, lambda v, n: _hw_best(v, n, period, steps, keep, rounds), "a double, b double, g double, sse double, ahead array<double>")
 
 
 def rescaled(ahead: Column, mean: Column, *jitter_keys) -> Column:

@@ -38,3 +38,14 @@ def test_smoothing_rates_are_tried_for_batches_of_series(spark):
     for k in ("s1", "s36", "s2", "s40", "s34"):  # lengths 1, 1, 2, 5 and 34, each alone
         one = M.ses_optimised(df.where(f"sku = '{k}'"), SPEC).first()
         assert got[k] == (one.alpha, one.sse, one.pred)
+
+
+def test_seasonal_rates_are_tried_for_batches_of_series(spark):
+    many = {f"s{k}": [float((k * 5 + i * i) % 13) for i in range(k)] for k in range(1, 30)}
+    df = dated(spark, [(k, i, x) for k, xs in many.items() for i, x in enumerate(xs)] + [("null", 0, None)])
+    fitted = M.holt_winters_fitted(df, SPEC, steps=6)
+    assert "MapInArrow" in plan(fitted)
+    got = {r.sku: r for r in fitted.collect()}
+    assert got["null"].ahead is None and got["s7"].ahead == [many["s7"][-1]] * 6 and got["s7"].a is None
+    for k in ("s8", "s11", "s29"):
+        assert got[k] == M.holt_winters_fitted(df.where(f"sku = '{k}'"), SPEC, steps=6).first()
