@@ -72,21 +72,44 @@ def buyer_indices(df: DataFrame, buyers: list[str], by: str, group: list[str]) -
     return part.select(*group, by, "buyer", (F.col("s") / F.col("n") / (F.sum("s").over(w) / F.sum("n").over(w))).alias("idx"))
 
 
-def volume_band(df: DataFrame, within: list[str], sku: str = "sku_id", spec: PanelSpec = SERIES, days: int = 7) -> DataFrame:
-    """(within, sku, date, band): of the means of the last `days` calendar days, four bins of equal width, lowest 3 to
-    highest 0; 2 where all are equal. A date has a band if it has rows and a whole window behind it.
+def _band(mean: Column, lo: Column, hi: Column) -> Column:
+    i = F.least(F.greatest(F.ceil((mean - lo) / ((hi - lo) / 4)), F.lit(1)), F.lit(4))
+    return F.when(hi == lo, 2).otherwise(4 - i).cast("int")
+
 
-    A row counts for the dates up to `days` - 1 after it: seven rows for one, then one aggregate.
+def _day_means(df: DataFrame, within: list[str], sku: str, spec: PanelSpec, days: int) -> tuple[DataFrame, DataFrame]:
+    """(means, limits): (within, sku, d, m), the means of the last `days` calendar days on each date with rows and a whole
+    window behind it, and (within, d, lo, hi), the least and greatest of them.
+
+    A row counts for the dates up to `days` - 1 after it. Rows are dealt by sku first: the copies are made, and summed
+    again, where they are, and no copy moves. Limits are a row a day and group, whatever the skus.
     """
-    day = df.groupBy(*within, sku, spec.date).agg(F.sum(spec.target).alias("s"), F.count(spec.target).alias("n"))
+    dealt = df.select(*within, sku, spec.date, spec.target).repartition(*within, sku)
+    day = dealt.groupBy(*within, sku, spec.date).agg(F.sum(spec.target).alias("s"), F.count(spec.target).alias("n"))
     dates = df.groupBy(*within, F.col(spec.date).alias("d")).agg(F.lit(1).alias("__one")).withColumn("first", F.min("d").over(Window.partitionBy(*within)))
-    dates = dates.where(F.col("d") >= F.date_add("first", days - 1)).drop("__one", "first")
+    dates = files.written_small(dates.where(F.col("d") >= F.date_add("first", days - 1)).drop("__one", "first"))
     hop = day.select(*within, sku, "s", "n", F.explode(F.sequence(F.col(spec.date), F.date_add(spec.date, days - 1))).alias("d"))
     mean = hop.join(dates, [*within, "d"], "left_semi").groupBy(*within, sku, "d").agg((F.sum("s") / F.sum("n")).alias("m"))
-    w = Window.partitionBy(*within, "d")
-    lo, hi = F.min("m").over(w), F.max("m").over(w)
-    i = F.least(F.greatest(F.ceil((F.col("m") - lo) / ((hi - lo) / 4)), F.lit(1)), F.lit(4))
-    return mean.withColumn("band", F.when(hi == lo, 2).otherwise(4 - i).cast("int")).select(*within, sku, F.col("d").alias(spec.date), "band")
+    return mean, files.written_small(mean.groupBy(*within, "d").agg(F.min("m").alias("lo"), F.max("m").alias("hi")))
+
+
+def volume_band(df: DataFrame, within: list[str], sku: str = "sku_id", spec: PanelSpec = SERIES, days: int = 7) -> DataFrame:
+    """(within, sku, date, band): of the means of the last `days` calendar days, four bins of equal width, lowest 3 to
+    highest 0; 2 where all are equal. A date has a band if it has rows and a whole window behind it."""
+    mean, limits = _day_means(df, within, sku, spec, days)
+    return mean.join(limits, [*within, "d"]).select(*within, sku, F.col("d").alias(spec.date), _band(F.col("m"), F.col("lo"), F.col("hi")).alias("band"))
+
+
+def with_volume_band(df: DataFrame, within: list[str], sku: str = "sku_id", spec: PanelSpec = SERIES, days: int = 7, rows: DataFrame | None = None) -> DataFrame:
+    """df with the band of its own dates, as `volume_band` of df (or of `rows`, some of df's) gives it; null where it has none.
+
+    Means come from a window over each sku's days, so that of the days between nothing but the limits is kept.
+    """
+    limits = _day_means(df if rows is None else rows, within, sku, spec, days)[1].withColumnRenamed("d", spec.date)
+    x = F.col(spec.target)
+    w = Window.partitionBy(*within, sku).orderBy(F.datediff(spec.date, F.lit("1970-01-01"))).rangeBetween(1 - days, 0)
+    out = df.withColumn("__m", F.sum(x).over(w) / F.count(x).over(w)).join(limits.withColumn("__has", F.lit(True)), [*within, spec.date], "left")
+    return out.withColumn("band", F.when(F.col("__has"), _band(F.col("__m"), F.col("lo"), F.col("hi")))).select(*df.columns, "band")
 
 
 def discount_statistics(df: DataFrame, by: list[str], rebates: list[str]) -> DataFrame:

@@ -108,7 +108,8 @@ def pooled_ar(df: DataFrame, bucket: str, spec: PanelSpec = SERIES) -> DataFrame
 def ridge(df: DataFrame, features: list[str], spec: PanelSpec = SERIES, lam: float = 1.0, least: int = 1) -> DataFrame:
     """(keys, intercept, coef): a standardised ridge regression a series, of series with `least` rows or more.
 
-    All sums come from one distributed aggregate, and the system of each series is solved in its row: no Python worker.
+    All sums come from one distributed aggregate, and the system of each series is solved in its row: no Python worker. A
+    series may be a whole pool: its rows never meet in one task.
     Rows with a null feature or target are left out; constant features have the coefficient 0.
     """
     from panelwright.operators.smoothing import solved
@@ -116,7 +117,8 @@ def ridge(df: DataFrame, features: list[str], spec: PanelSpec = SERIES, lam: flo
     z, d = [*features, spec.target], len(features)
     ok = df.dropna(subset=z).select(*spec.keys, *[F.col(a).cast("double").alias(f"z{i}") for i, a in enumerate(z)])
     # sums of differences from a value of the series, not of the values: squares of large values would leave few digits
-    ok = ok.withColumns({f"o{i}": F.first(f"z{i}").over(spec.whole()) for i in range(d + 1)}).withColumns({f"z{i}": F.col(f"z{i}") - F.col(f"o{i}") for i in range(d + 1)})
+    offsets = files.written_small(ok.groupBy(*spec.keys).agg(*[F.min(f"z{i}").alias(f"o{i}") for i in range(d + 1)]))
+    ok = ok.join(offsets, list(spec.keys)).withColumns({f"z{i}": F.col(f"z{i}") - F.col(f"o{i}") for i in range(d + 1)})
     sums = [F.count("*").cast("double").alias("n")] + [F.first(f"o{i}").alias(f"o{i}") for i in range(d + 1)] + [F.sum(f"z{i}").alias(f"s{i}") for i in range(d + 1)]
     sums += [F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"q{i}_{j}") for i in range(d + 1) for j in range(i + 1)]
     rows = ok.groupBy(*spec.keys).agg(*sums).where(F.col("n") >= least)

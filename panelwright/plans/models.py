@@ -56,7 +56,8 @@ def _(spark, d):
 @add("v5_best_model_by_backtest")
 def _(spark, d):
     models = _MODELS | {"fitted": lambda df, spec: M.ses_optimised(df, spec).select(*spec.keys, "pred")}
-    return B.best_model(B.backtest(sparse(spark, d), ORIGINS, models, horizon=20, days=365))
+    df = files.write_and_read(sparse(spark, d).select(*K, "dt", X), "parquet", [])  # one panel for all models
+    return B.best_model(B.backtest(df, ORIGINS, models, horizon=20, days=365))
 
 
 @add("g3_ses_optimised")

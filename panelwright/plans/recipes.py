@@ -52,7 +52,7 @@ def cleaned(df: DataFrame) -> DataFrame:
 
 
 def banded(df: DataFrame, within: list[str]) -> DataFrame:
-    return cut(df.join(N.volume_band(df, within), [*within, "sku_id", "dt"], "left"))
+    return cut(N.with_volume_band(df, within))
 
 
 def buyers_by(df: DataFrame, by: str) -> DataFrame:

@@ -2,8 +2,12 @@
 
 import datetime
 
+import pytest
+
 
 from panelwright.operators import cleaning as C
+from panelwright.operators import features as N
+from panelwright.operators import forecast as G
 from panelwright.operators import smoothing as M
 from panelwright.operators.spec import PanelSpec
 
@@ -49,3 +53,21 @@ def test_seasonal_rates_are_tried_for_batches_of_series(spark):
     assert got["null"].ahead is None and got["s7"].ahead == [many["s7"][-1]] * 6 and got["s7"].a is None
     for k in ("s8", "s11", "s29"):
         assert got[k] == M.holt_winters_fitted(df.where(f"sku = '{k}'"), SPEC, steps=6).first()
+
+
+def test_band_of_own_rows_is_that_of_all_days(spark):
+    rows = [(f"c{k % 2}", k, DAY + datetime.timedelta(i), float((k * 3 + i * i) % 17)) for k in range(8) for i in range(0, 40, 1 + k % 4)]
+    df = spark.createDataFrame(rows, "cat1 string, sku_id int, dt date, x double")
+    spec = PanelSpec(("sku_id",), "dt", "x")
+    joined = df.join(N.volume_band(df, ["cat1"], spec=spec), ["cat1", "sku_id", "dt"], "left").select(*df.columns, "band")
+    own = N.with_volume_band(df, ["cat1"], spec=spec)
+    assert {tuple(r) for r in own.collect()} == {tuple(r) for r in joined.collect()}
+    bands = plan(N.volume_band(df, ["cat1"], spec=spec))
+    assert "Window" not in bands and bands.count("Exchange hashpartitioning") == 1
+
+
+def test_ridge_of_a_pool_has_no_window_over_it(spark):
+    rows = [("p", float(i % 7) + 1e6, float(i % 5), 3.0 * (i % 7) - 2.0 * (i % 5)) for i in range(200)]
+    fitted = G.ridge(spark.createDataFrame(rows, "pool string, a double, b double, x double"), ["a", "b"], PanelSpec(("pool",), "dt", "x"), lam=1e-6)
+    assert "Window" not in plan(fitted)
+    assert fitted.first().coef == [pytest.approx(3.0, rel=1e-6), pytest.approx(-2.0, rel=1e-6)]
