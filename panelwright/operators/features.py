@@ -100,12 +100,12 @@ def volume_band(df: DataFrame, within: list[str], sku: str = "sku_id", spec: Pan
     return mean.join(limits, [*within, "d"]).select(*within, sku, F.col("d").alias(spec.date), _band(F.col("m"), F.col("lo"), F.col("hi")).alias("band"))
 
 
-def with_volume_band(df: DataFrame, within: list[str], sku: str = "sku_id", spec: PanelSpec = SERIES, days: int = 7, rows: DataFrame | None = None) -> DataFrame:
-    """df with the band of its own dates, as `volume_band` of df (or of `rows`, some of df's) gives it; null where it has none.
+def with_volume_band(df: DataFrame, within: list[str], sku: str = "sku_id", spec: PanelSpec = SERIES, days: int = 7) -> DataFrame:
+    """df with the band of its own dates, as `volume_band` gives it; null where it has none.
 
     Means come from a window over each sku's days, so that of the days between nothing but the limits is kept.
     """
-    limits = _day_means(df if rows is None else rows, within, sku, spec, days)[1].withColumnRenamed("d", spec.date)
+    limits = _day_means(df, within, sku, spec, days)[1].withColumnRenamed("d", spec.date)
     x = F.col(spec.target)
     w = Window.partitionBy(*within, sku).orderBy(F.datediff(spec.date, F.lit("1970-01-01"))).rangeBetween(1 - days, 0)
     out = df.withColumn("__m", F.sum(x).over(w) / F.count(x).over(w)).join(limits.withColumn("__has", F.lit(True)), [*within, spec.date], "left")

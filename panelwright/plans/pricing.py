@@ -47,7 +47,7 @@ def with_indices(df: DataFrame, known: DataFrame) -> DataFrame:
     """Weekday shares, daily-total indices and festival indices of the category, of the wider one where it has none, else 1;
     buyers by weekday and month against their warehouse's mean."""
     shares = N.weekday_ratio(known).select("cat2", F.col("weekday").alias("day_abbr"), F.col("ratio").alias("idx"))
-    df = indexed(df, shares, ["cat2", "day_abbr"], "weekday_ratio")
+    rows, df = df, indexed(df, shares, ["cat2", "day_abbr"], "weekday_ratio")
     days = cut(known.groupBy("cat1", "cat2", "dt", "day_abbr", "month", "festival_name").agg(F.sum(X).alias(X)))
     for c in ("day_abbr", "month"):
         df = N.index_with_fallback(df, [(N.daily_total_index(days, [g], c), [g, c]) for g in ("cat2", "cat1")], name=f"idx_{c}")
@@ -55,28 +55,29 @@ def with_indices(df: DataFrame, known: DataFrame) -> DataFrame:
     for c in ("day_abbr", "month"):
         idx = N.buyer_indices(known, ["new_byrs", "old_byrs"], c, ["wh_id"]).groupBy("wh_id", c).pivot("buyer", ["new_byrs", "old_byrs"]).agg(F.first("idx"))
         df = df.join(idx.withColumnsRenamed({"new_byrs": f"new_idx_{c}", "old_byrs": f"old_idx_{c}"}), ["wh_id", c], "left")
-    return cut(df)
+    return cut(df, known, rows, days)
 
 
 def with_means(df: DataFrame) -> DataFrame:
     """Bands of the training rows, carried on; history means, extrapolated over the days ahead; rebates of the category's day."""
-    train = df.where(trained())
-    df = R.filled(df.join(N.volume_band(train, ["cat1"]), ["cat1", "sku_id", "dt"], "left"), ["band"], constant=3)
+    table, train = df, df.where(trained())
+    both = N.with_volume_band(train, ["cat1"]).unionByName(df.where(~trained()).withColumn("band", F.lit(None).cast("int")))
+    df = R.filled(both, ["band"], constant=3)
     ahead = R.extrapolated(train, AHEAD).select(*K, F.col("step").cast("long").alias("step"), F.col("value").alias("__ahead"))
     df = R.history_mean(df).join(ahead, [*K, "step"], "left")
     df = df.withColumn("history_mean", F.when(trained(), F.col("history_mean")).otherwise(F.col("__ahead"))).drop("__ahead")
     df = df.withColumns({"seq_rebate": S.rebate("price", "seq_price"), "real_rebate": S.rebate("price", F.col("w_price") * 1000)})
-    df = cut(df)
+    df = cut(df, table)
     return df.join(N.discount_statistics(df, ["dt", "cat2"], ["seq_rebate"]), ["dt", "cat2"], "left")
 
 
 def with_elasticities(df: DataFrame) -> DataFrame:
     """Three elasticities of the training rows, four volumes from the last known one, five from statistics of two rows ago."""
-    train, cats = df.where(trained()), df.select(*K, "cat2").distinct()
+    table, train, cats = df, df.where(trained()), df.select(*K, "cat2").distinct()
     ed = N.winsorised_elasticity(N.elasticity(train), cats).select(*K, "ed")
     ratio = positive_or_category(N.ratio_elasticity(train), "ratio_ed", cats).select(*K, "ratio_ed")
     df = curve_elasticity(df, price_curves(train.where("csu_redu_num = 0"))).join(ed, K).join(ratio, K)
-    df = cut(df.withColumn("mean_sec_ed", F.avg("sec_ed").over(SERIES.whole())))
+    df = cut(df.withColumn("mean_sec_ed", F.avg("sec_ed").over(SERIES.whole())), table)
     df = elastic_predictions(df, {"v_ed": "ed", "v_ratio": "ratio_ed", "v_sec": "sec_ed", "v_mean_sec": "mean_sec_ed"})
     for c, tag in ((X, "q"), ("w_price", "p")):
         s, old = SERIES.series(), F.col(c).cast("double")

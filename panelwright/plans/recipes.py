@@ -35,10 +35,14 @@ def trained():
     return F.col("is_train") == 1
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, *done: DataFrame) -> DataFrame:
     """df by way of a table in the shared folder: a frame that is joined with statistics of itself again and again would
-    otherwise double its lineage each time, and a lost executor would cost all earlier work."""
-    return files.write_and_read(df, "parquet", [])
+    otherwise double its lineage each time, and a lost executor would cost all earlier work. Then the tables of earlier cuts
+    that no later step reads are deleted, so that a recipe of any length holds two or three."""
+    out = files.write_and_read(df, "parquet", [])
+    for old in done:
+        files.drop_written(old)
+    return out
 
 
 def promoted(df: DataFrame) -> DataFrame:
@@ -52,7 +56,7 @@ def cleaned(df: DataFrame) -> DataFrame:
 
 
 def banded(df: DataFrame, within: list[str]) -> DataFrame:
-    return cut(N.with_volume_band(df, within))
+    return cut(N.with_volume_band(df, within), df)
 
 
 def buyers_by(df: DataFrame, by: str) -> DataFrame:
@@ -94,16 +98,19 @@ def _(spark, d):
 @add("z3_drinks_features")
 def _(spark, d):
     known = N.sized_and_recent(dense(spark, d), TEST_ROWS, *RECENT, counted=~trained())
-    df = R.filled(cleaned(known), ["seq_price"], constant=0.0)
+    table = cleaned(known)
+    df = R.filled(table, ["seq_price"], constant=0.0)
     df = df.join(N.long_tail(df.where(trained())).where("is_long_tail = 1").select(*K), K, "left_anti")
-    df = cut(C.window_outliers(df, kind="promo").where("outlier = 0").drop("outlier"))
-    df = N.promotion_history_mean(banded(df, ["cat1"]), "promo")
+    df = cut(C.window_outliers(df, kind="promo").where("outlier = 0").drop("outlier"), table)
+    table = banded(df, ["cat1"])
+    df = N.promotion_history_mean(table, "promo")
     df = R.history_mean(df, (7,), (1.0,), col="w_price", name="price_mean")
     df = df.withColumns({"price_off_mean": F.col("price") - F.col("price_mean"), "w_price_off_mean": F.col("w_price") - F.col("price_mean")})
-    df = cut(N.horizon_statistics(df, 20))
-    df = cut(N.seasonal_index(df, ["cat1", "cat2"], ["day_abbr", "month"], train=trained()))
+    table = df = cut(N.horizon_statistics(df, 20), table)
+    df = cut(N.seasonal_index(df, ["cat1", "cat2"], ["day_abbr", "month"], train=trained()), table)
+    table = df
     df = indexed(df, N.weekday_ratio(df).select("cat2", F.col("weekday").alias("day_abbr"), F.col("ratio").alias("idx")), ["cat2", "day_abbr"], "weekday_ratio")
-    df = cut(N.predicted_volume(df.join(N.elasticity(df), K)))
+    df = cut(N.predicted_volume(df.join(N.elasticity(df), K)), table)
     df = df.join(buyers_by(df, "day_abbr"), ["wh_id", "day_abbr"], "left")
     df = N.label_encoded(C.validation_marked(df), "cat2", "cat2_code")
     return df.select(*K, "dt", "is_train", X, "band", "history_mean", "price_mean", "price_off_mean", "w_price_off_mean", "known_mean_7", "idx_cat1_month", "idx_cat2_day_abbr", "weekday_ratio", "ed_volume", "new_idx", "old_idx", "cat2_code")
@@ -112,16 +119,17 @@ def _(spark, d):
 @add("z4_pricing_strategy_features")
 def _(spark, d):
     df = cut(promoted(C.temperature_repaired(C.price_repaired(dense(spark, d).where("price <> 0")))))
-    df = cut(C.window_outliers(df, kind="promo").where("outlier = 0").drop("outlier"))
-    df = banded(df, ["cat1"])
+    df = cut(C.window_outliers(df, kind="promo").where("outlier = 0").drop("outlier"), df)
+    table = df = banded(df, ["cat1"])
     df = indexed(df, N.daily_total_index(df, ["cat2"], "day_abbr"), ["cat2", "day_abbr"], "weekday_index")
-    df = cut(df)
-    df = cut(N.index_with_fallback(df, [(N.festival_index(df, [c]), [c, "festival_name"]) for c in ("cat2", "cat1")], name="festival_index"))
+    df = cut(df, table)
+    table = df = cut(N.index_with_fallback(df, [(N.festival_index(df, [c]), [c, "festival_name"]) for c in ("cat2", "cat1")], name="festival_index"), df)
     df = df.withColumns({"seq_rebate": S.rebate("price", "seq_price"), "real_rebate": S.rebate("price", "w_price")})
-    df = cut(df.join(N.discount_statistics(df, ["dt", "cat2"], ["seq_rebate"]), ["dt", "cat2"], "left"))
+    df = cut(df.join(N.discount_statistics(df, ["dt", "cat2"], ["seq_rebate"]), ["dt", "cat2"], "left"), table)
+    table = df
     df = R.history_mean(df, (7,), (1.0,), col="w_price", name="price_mean")
     ed = N.elasticity(df).join(N.ratio_elasticity(df), K, "left")
-    df = cut(N.horizon_statistics(N.predicted_volume(df.join(ed, K)), 2))
+    df = cut(N.horizon_statistics(N.predicted_volume(df.join(ed, K)), 2), table)
     df = N.elastic_volumes(df, {"v_known": ("price_mean", "known_mean_7")})
     df = N.first_seen_encoded(df, "cat1", "cat2", "cat2_code")
     out = df.select(*K, "dt", X, "band", "weekday_index", "festival_index", "seq_rebate_max", "price_mean", "ratio_ed", "ed_volume", "v_known", "cat2_code", *[F.round(c, 5).alias(c) for c in ("real_rebate", "ed")])
@@ -145,9 +153,9 @@ _Z5 = f"""WITH a AS (SELECT *, count(*) OVER p n_rows, sum({X}) FILTER (dt BETWE
 @add("z5_augmentation_features", _Z5)
 def _(spark, d):
     df = N.sized_and_recent(dense(spark, d), ALL_ROWS, *RECENT)
-    df = cut(C.window_outliers(R.filled(promoted(df), ["seq_price"], constant=0.0), kind="promo"))
+    table = df = cut(C.window_outliers(R.filled(promoted(df), ["seq_price"], constant=0.0), kind="promo"))
     df = N.seasonal_index(R.history_mean(df), ["cat2"], ["day_abbr", "month"], train=trained())
-    df = cut(df.join(buyers_by(df, "day_abbr"), ["wh_id", "day_abbr"], "left"))
+    df = cut(df.join(buyers_by(df, "day_abbr"), ["wh_id", "day_abbr"], "left"), table)
     df = indexed(df, N.festival_index(df, ["cat1"]), ["cat1", "festival_name"], "festival_index")
     df = N.label_encoded(df.withColumn("festival_code", S.recode("festival_name", FESTIVALS)), "cat1", "cat1_code")
     return df.select(*K, "dt", X, "outlier", "history_mean", "seq_price", "idx_cat2_day_abbr", "idx_cat2_month", "new_idx", "old_idx", "festival_index", "festival_code", "cat1_code")
@@ -241,11 +249,11 @@ def _(spark, d):
 @add("z11_hourly_static_features")
 def _(spark, d):
     df = cut(C.window_clipped(promoted(C.temperature_repaired(C.price_repaired(dense(spark, d)))), kind="promo"))
-    df = banded(df, ["cat1"])
+    table = df = banded(df, ["cat1"])
     df = indexed(df, N.daily_total_index(df, ["cat2"], "day_abbr"), ["cat2", "day_abbr"], "weekday_index")
-    df = cut(df)
-    df = cut(N.index_with_fallback(df, [(N.festival_index(df, [c]), [c, "festival_name"]) for c in ("cat2", "cat1")], name="festival_index"))
-    df = cut(N.horizon_statistics(R.rolling(df, [3, 7, 14], ["mean"], least=1), 1))
+    df = cut(df, table)
+    df = cut(N.index_with_fallback(df, [(N.festival_index(df, [c]), [c, "festival_name"]) for c in ("cat2", "cat1")], name="festival_index"), df)
+    df = cut(N.horizon_statistics(R.rolling(df, [3, 7, 14], ["mean"], least=1), 1), df)
     df = df.join(df.groupBy("dt", "cat1").agg(F.sum("seq_num").alias("seq_num_cat1")), ["dt", "cat1"])
     df = N.frequency_encoded(C.validation_marked(df), "cat2", "cat2_code")
     return df.select(*K, "dt", "is_train", X, "band", "weekday_index", "festival_index", "mean_3", "mean_7", "mean_14", "known_mean_7", "seq_num_cat1", "cat2_code")
