@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +20,12 @@ from panelwright.operators.spec import SERIES, PanelSpec
 from panelwright.sources import files
 
 
-def rolling_apply(df: DataFrame, width: int, function: Callable[[Column], Column], name: str, spec: PanelSpec = SERIES, col: str | None = None) -> DataFrame:
-    """Adds name: a function of the array of the last `width` values, the latest one last."""
-    return df.withColumn("__values", F.collect_list(F.col(col or spec.target).cast("double")).over(spec.trailing(width))).withColumn(name, function(F.col("__values"))).drop("__values")
+def rolling_apply(df: DataFrame, width: int, function: Callable[[Column], Column] | dict[str, Callable], name: str = "", spec: PanelSpec = SERIES, col: str | None = None) -> DataFrame:
+    """Adds name: a function of the array of the last `width` values, the latest one last; or a column for each name of a
+    dict of functions, which then share the arrays."""
+    functions = function if isinstance(function, dict) else {name: function}
+    rows = df.withColumn("__values", F.collect_list(F.col(col or spec.target).cast("double")).over(spec.trailing(width)))
+    return rows.withColumns({n: f(F.col("__values")) for n, f in functions.items()}).drop("__values")
 
 
 def last_apply(df: DataFrame, width: int, function: Callable[[Column], Column], name: str, spec: PanelSpec = SERIES) -> DataFrame:
@@ -50,10 +55,12 @@ def without_first(values: Column, value: Column) -> Column:
     return bound(F.array_position(values, value).cast("int"), lambda i: F.when(i > 0, F.concat(F.slice(values, F.lit(1), i - 1), F.slice(values, i + 1, F.size(values)))).otherwise(values))
 
 
+TRIMMED = ((0.3, 3, 0), (0.3, 7, 0), (0.2, 14, 7), (0.1, 21, 14), (0.1, 28, 21))
+
+
 def trimmed_recent(values: Column) -> Column:
     """Weighted means of the last 3 and 7 values and the three weeks before, after one greatest and one least are dropped."""
-    parts = ((0.3, 3, 0), (0.3, 7, 0), (0.2, 14, 7), (0.1, 21, 14), (0.1, 28, 21))
-    weighted = lambda t: sum((w * bound(between_ago(t, a, b), mean_of) for w, a, b in parts), F.lit(0.0))
+    weighted = lambda t: sum((w * bound(between_ago(t, a, b), mean_of) for w, a, b in TRIMMED), F.lit(0.0))
     return bound(values, lambda v: bound(without_first(v, F.array_max(v)), lambda o: bound(without_first(o, F.array_min(o)), weighted)))
 
 
@@ -68,6 +75,67 @@ def latest_recent(values: Column) -> Column:
     return F.when(F.size(rest) > 0, 0.5 * near_value + 0.5 * mean_of(rest)).otherwise(0.0)
 
 
+def padded(tails: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, lengths) of arrays: a row each, as wide as the longest, NaN behind the shorter ones."""
+    sizes = np.diff(tails.offsets.to_numpy()).astype(int)
+    values = np.full((len(sizes), max(int(sizes.max(initial=0)), 1)), np.nan)
+    values[np.arange(values.shape[1]) < sizes[:, None]] = tails.flatten().to_numpy(zero_copy_only=False)
+    return values, sizes
+
+
+def _in_turn(values: np.ndarray, first: np.ndarray, last: np.ndarray, left_out: np.ndarray | None = None) -> np.ndarray:
+    """The mean of each row's places from first up to last, added one by one from the left; 0 where there are none."""
+    total, n = np.zeros(len(values)), np.zeros(len(values))
+    for i in range(values.shape[1]):
+        there = (i >= first) & (i < last)
+        if left_out is not None:
+            there &= left_out != i
+        total += np.where(there, values[:, i], 0.0)
+        n += there
+    return np.where(n > 0, total / np.maximum(n, 1), 0.0)
+
+
+def _without(values: np.ndarray, sizes: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows less one place each; rows without values stay as they are."""
+    at = np.arange(max(values.shape[1] - 1, 1))
+    shifted = np.minimum(at + (at >= place[:, None]), values.shape[1] - 1)
+    return np.take_along_axis(values, shifted, 1), np.maximum(sizes - 1, 0)
+
+
+def _first_top(values: np.ndarray, there: np.ndarray) -> np.ndarray:
+    return np.argmax(np.where(there, values, -np.inf), 1)
+
+
+def _trimmed_rows(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    there = lambda v, n: np.arange(v.shape[1]) < n[:, None]
+    values, sizes = _without(values, sizes, _first_top(values, there(values, sizes)))
+    least = np.argmin(np.where(there(values, sizes) & ~np.isnan(values), values, np.inf), 1)
+    values, sizes = _without(values, sizes, least)
+    return sum((w * _in_turn(values, np.maximum(sizes - a, 0), sizes - b) for w, a, b in TRIMMED), np.zeros(len(values)))
+
+
+def _latest_rows(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    first, last, at = np.maximum(sizes - 10, 0), sizes - 4, np.arange(values.shape[1])
+    top = _first_top(values, (at >= first[:, None]) & (at < last[:, None]))
+    near = sum((w * values[np.arange(len(values)), np.maximum(sizes - i, 0)] for w, i in ((0.2, 3), (0.3, 2), (0.5, 1))), np.zeros(len(values)))
+    return np.where(last - first > 1, 0.5 * near + 0.5 * _in_turn(values, first, last, top), 0.0)
+
+
+def by_batch(function: Callable[[np.ndarray, np.ndarray], np.ndarray], size: int = 4096) -> Callable[[Column], Column]:
+    """A function of an array column that works on a batch of rows at once, as (values, lengths); arrays hold no nulls."""
+
+    def run(arrays: pa.Array) -> pa.Array:
+        parts = [function(*padded(pa.concat_arrays([arrays.slice(at, size)]))) for at in range(0, len(arrays), size)]
+        return pa.array(np.concatenate([np.zeros(0), *parts]))
+
+    return lambda values: F.arrow_udf(run, "double")(values)
+
+
+#: `trimmed_recent` and `latest_recent` for many arrays, such as one a row of a panel; sums are added in the same order.
+trimmed_of_rows = by_batch(_trimmed_rows)
+latest_of_rows = by_batch(_latest_rows)
+
+
 def carried_on(values: Column, weights: tuple[float, ...], steps: int) -> Column:
     """The next `steps` values, each the weighted sum of the last ones, the latest under the last weight."""
     k = len(weights)

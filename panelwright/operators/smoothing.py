@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from panelwright.functions import scalars as S
 from panelwright.operators.cleaning import quantile_capped
 from panelwright.operators.forecast import _tails, ses
-from panelwright.operators.recent import bound
+from panelwright.operators.recent import bound, padded
 from panelwright.operators.rolling import last_rows
 from panelwright.operators.spec import SERIES, PanelSpec
 
@@ -30,14 +30,6 @@ def _values(df: DataFrame, last: int, spec: PanelSpec) -> DataFrame:
     return tails.withColumn("tail", F.filter("tail", lambda x: x.isNotNull()))
 
 
-def _padded(tails: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    """(values, lengths) of arrays: a row each, as wide as the longest, NaN behind the shorter ones."""
-    sizes = np.diff(tails.offsets.to_numpy()).astype(int)
-    values = np.full((len(sizes), max(int(sizes.max(initial=0)), 1)), np.nan)
-    values[np.arange(values.shape[1]) < sizes[:, None]] = tails.flatten().to_numpy(zero_copy_only=False)
-    return values, sizes
-
-
 def _in_batches(rows: DataFrame, fitted: Callable[[np.ndarray, np.ndarray], dict], schema: str, size: int = 2048) -> DataFrame:
     """rows with what fitted(values, lengths) finds for the series of a part of a batch at once; rates are tried side by side,
     so a part holds `size` series. rows end with `tail`, which goes."""
@@ -47,7 +39,7 @@ def _in_batches(rows: DataFrame, fitted: Callable[[np.ndarray, np.ndarray], dict
             for at in range(0, batch.num_rows, size):
                 part = batch.slice(at, size)
                 keys = part.drop_columns(["tail"])
-                out = fitted(*_padded(pa.concat_arrays([part.column("tail")])))
+                out = fitted(*padded(pa.concat_arrays([part.column("tail")])))
                 yield pa.RecordBatch.from_arrays([*keys.columns, *[x if isinstance(x, pa.Array) else pa.array(x[0], mask=x[1]) for x in out.values()]], [*keys.schema.names, *out])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "tail")

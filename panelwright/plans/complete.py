@@ -91,8 +91,8 @@ def _ago(first: int, last: int) -> str:
 
 @add("w23_t8_trimmed_weighted_mean", _TRIM + f" SELECT {KEYS}, dt, R(.3*{_ago(3, 0)}+.3*{_ago(7, 0)}+.2*{_ago(14, 7)}+.1*{_ago(21, 14)}+.1*{_ago(28, 21)}) trimmed, R(CASE WHEN len(far)>1 THEN .5*(.2*near[1]+.3*near[2]+.5*near[3])+.5*list_avg(list_concat(far[1:k-1], far[k+1:len(far)])) ELSE 0 END) latest FROM t")
 def _(spark, d):
-    df = Q.rolling_apply(dense(spark, d), 30, Q.trimmed_recent, "trimmed")
-    return Q.rolling_apply(df, 30, Q.latest_recent, "latest").select(*K, "dt", "trimmed", "latest")
+    df = dense(spark, d).select(*K, "dt", X)
+    return Q.rolling_apply(df, 30, {"trimmed": Q.trimmed_of_rows, "latest": Q.latest_of_rows}).select(*K, "dt", "trimmed", "latest")
 
 
 @add("t8_carried_on", f"WITH RECURSIVE t AS (SELECT {KEYS}, list({X} ORDER BY dt) l FROM {LAST} WHERE rn<=3 GROUP BY ALL HAVING count(*)=3), r AS (SELECT {KEYS}, 0 step, l, 0.0::DOUBLE v FROM t UNION ALL SELECT {KEYS}, step+1, list_append(l, .2*l[-3]+.3*l[-2]+.5*l[-1]), .2*l[-3]+.3*l[-2]+.5*l[-1] FROM r WHERE step<6) SELECT {KEYS}, L(step) step, R(v) AS value FROM r WHERE step>0")

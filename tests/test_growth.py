@@ -8,6 +8,7 @@ import pytest
 from panelwright.operators import cleaning as C
 from panelwright.operators import features as N
 from panelwright.operators import forecast as G
+from panelwright.operators import recent as Q
 from panelwright.operators import smoothing as M
 from panelwright.operators.spec import PanelSpec
 
@@ -71,3 +72,21 @@ def test_ridge_of_a_pool_has_no_window_over_it(spark):
     fitted = G.ridge(spark.createDataFrame(rows, "pool string, a double, b double, x double"), ["a", "b"], PanelSpec(("pool",), "dt", "x"), lam=1e-6)
     assert "Window" not in plan(fitted)
     assert fitted.first().coef == [pytest.approx(3.0, rel=1e-6), pytest.approx(-2.0, rel=1e-6)]
+
+
+def test_recent_means_of_all_rows_are_worked_out_in_batches(spark):
+    values = {k: [float((k * 7 + i * i * 3) % 23) / 7 for i in range(k * 6)] for k in range(1, 9)} | {9: [None, 4.0, None], 10: [2.0] * 40}
+    df = dated(spark, [(f"s{k}", i, x) for k, xs in values.items() for i, x in enumerate(xs)])
+    both = Q.rolling_apply(df, 30, {"t": Q.trimmed_of_rows, "l": Q.latest_of_rows, "t1": Q.trimmed_recent, "l1": Q.latest_recent}, spec=SPEC)
+    assert "ArrowEvalPython" in plan(both) and plan(both).count("collect_list") == 1
+    rows = both.collect()
+    assert len(rows) == sum(map(len, values.values())) and [(r.t, r.l) for r in rows] == [(r.t1, r.l1) for r in rows]
+
+
+def test_panel_is_dealt_once_for_its_sums_and_its_windows(spark):
+    from panelwright.operators import rolling as R
+    from panelwright.sources import panels
+
+    for name in ("dense", "sparse"):
+        text = plan(R.lags(getattr(panels, name)(spark, "/root/testdata/sf0.001"), [1]))
+        assert text.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in text
