@@ -72,6 +72,12 @@ def written_small(df: DataFrame, most: int = 100_000) -> DataFrame:
     return F.broadcast(back) if back.count() <= most else back
 
 
+def size_of(spark, path: str) -> int:
+    """Bytes of a file or folder, in any store that Spark reads."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+
+
 def drop_written(df: DataFrame) -> None:
     """Deletes the files of a table of write_and_read that no later step reads."""
     spark = df.sparkSession
