@@ -124,7 +124,8 @@ def coverage_capped(df: DataFrame, spec: PanelSpec = SERIES, levels: tuple[int,
     step = 100.0 / F.greatest(F.col("n") - 1, F.lit(1))
     first, last = F.greatest(F.lit(levels[0]), F.floor((F.col("i") - 1) * step).cast("int")), F.least(F.lit(levels[1]), F.ceil((F.col("i") + 1) * step).cast("int"))
     want = ranked.where(first <= last).select("*", F.explode(F.sequence(first, last)).alias("q"))
-    picked = want.where(F.col("i") == F.bround((F.col("n") - 1) * F.col("q") / 100.0).cast("int")).select(*spec.keys, "q", F.col("x").alias("b"))
+    # levels of one value cover the same rows: the first of them stands for all
+    picked = want.where(F.col("i") == F.bround((F.col("n") - 1) * F.col("q") / 100.0).cast("int")).groupBy(*spec.keys, F.col("x").alias("b")).agg(F.min("q").alias("q"))
     values = df.groupBy(*spec.keys, x.alias("x")).agg(F.count("*").alias("m"))
     near = (F.abs(F.col("x") - F.col("b")) <= 2) | F.col("x").between(F.col("b") * 0.5, F.col("b") * 1.4)
     cover = picked.join(values, list(spec.keys)).groupBy(*spec.keys, "q", "b").agg(F.sum(F.when(near, F.col("m")).otherwise(0)).alias("cover"))
