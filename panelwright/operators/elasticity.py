@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelwright.operators.quantiles import exact_quantiles
 from panelwright.operators.spec import SERIES, PanelSpec, guarded
+from panelwright.sources import files
 
 
 def price_curves(df: DataFrame, spec: PanelSpec = SERIES, price: str = "w_price", width: int = 30, filled: int = 7, least: int = 15, band: int = 5, fence: float = 1.0) -> DataFrame:
@@ -23,10 +24,10 @@ def price_curves(df: DataFrame, spec: PanelSpec = SERIES, price: str = "w_price"
     rows = df.select(*k, spec.date, F.count("*").over(spec.whole()).alias("rows"), guarded(F.avg(price).over(w), F.count(price).over(w), filled).alias("p"), guarded(F.avg(x).over(w), F.count(x).over(w), filled).alias("q"))
     rows = rows.where(f"rows >= {least} and p is not null and q is not null").withColumn("gmv", F.col("p") * F.col("p") * F.col("q"))
     rows = rows.withColumns({"top": F.max("p").over(spec.whole()), "low": F.min("p").over(spec.whole())}).where("round(top, 3) <> round(low, 3)")
-    limits = rows.groupBy(*k).agg(F.percentile("gmv", F.lit(0.25)).alias("a"), F.percentile("gmv", F.lit(0.75)).alias("b"))
+    rows = rows.withColumns({n: F.percentile("gmv", F.lit(q)).over(spec.whole()) for n, q in (("a", 0.25), ("b", 0.75))})
     # a hair wider, so that a value on the fence is in it whatever the last bits of its sums
     slack = F.abs(F.col("b")) * 1e-12
-    inside = rows.join(limits, k).where(F.col("gmv").between(F.col("a") - fence * (F.col("b") - F.col("a")) - slack, F.col("b") + fence * (F.col("b") - F.col("a")) + slack))
+    inside = rows.where(F.col("gmv").between(F.col("a") - fence * (F.col("b") - F.col("a")) - slack, F.col("b") + fence * (F.col("b") - F.col("a")) + slack))
     order = Window.partitionBy(*k).orderBy(F.round("p", 9), spec.date)
     bands = inside.withColumn("g", F.floor((F.row_number().over(order) - 1) / band)).groupBy(*k, "g").agg(F.avg("p").alias("p"), F.avg("q").alias("q"))
     w = Window.partitionBy(*k)
@@ -43,16 +44,19 @@ def price_curves(df: DataFrame, spec: PanelSpec = SERIES, price: str = "w_price"
 def curve_elasticity(df: DataFrame, curves: DataFrame, spec: PanelSpec = SERIES, price: str = "w_price", category: str = "cat2", name: str = "sec_ed") -> DataFrame:
     """df with name: minus the curve's slope at the row's price, 0 for series without a curve; cut off at 1.5 quartile
     distances beyond the quartiles of its category, and where it is then 0 or less the category's mean of the positive
-    ones (1 if there are none). A null price gives null.
+    ones (1 if there are none). A null price gives null. Curves and slopes are written once: fences and means read their
+    columns of those, and are a row a category.
     """
     slope = (2 * F.col("c2") * (F.col(price) - F.col("mid")) / F.col("scale") + F.col("c1")) / F.col("scale")
     raw = F.when(F.col(price).isNotNull(), F.coalesce(-slope, F.lit(0.0)))
+    curves = files.write_and_read(curves, "parquet", [])
     rows = df.join(curves, list(spec.keys), "left").withColumn(name, raw).drop("mid", "scale", "c2", "c1")
-    fence = exact_quantiles(rows, [category], name, {"__a": 0.25, "__b": 0.75})
+    rows = files.write_and_read(rows, "parquet", [])
+    fence = files.written_small(exact_quantiles(rows, [category], name, {"__a": 0.25, "__b": 0.75}))
     step = 1.5 * (F.col("__b") - F.col("__a"))
     rows = rows.join(fence, category, "left").withColumn(name, F.least(F.greatest(name, F.col("__a") - step), F.col("__b") + step)).drop("__a", "__b")
     rows = rows.withColumn(name, F.when(F.col(price).isNotNull(), F.col(name)))
-    means = rows.groupBy(category).agg(F.avg(F.when(F.col(name) > 0, F.col(name))).alias("__m"))
+    means = files.written_small(rows.groupBy(category).agg(F.avg(F.when(F.col(name) > 0, F.col(name))).alias("__m")))
     rows = rows.join(means, category, "left")
     return rows.withColumn(name, F.when(F.col(name) > 0, F.col(name)).when(F.col(name).isNotNull(), F.coalesce("__m", F.lit(1.0)))).drop("__m")
 
@@ -61,7 +65,7 @@ def positive_or_category(values: DataFrame, col: str, categories: DataFrame, spe
     """(keys, category, col): values of 0 or less, and missing ones, become the mean of their category's positive ones (1 if
     there are none). values and categories have a row a series; series of categories alone count as missing.
     """
-    rows = categories.join(values.select(*spec.keys, col), list(spec.keys), "left")
+    rows = files.write_and_read(categories.join(values.select(*spec.keys, col), list(spec.keys), "left"), "parquet", [])
     means = rows.groupBy(category).agg(F.avg(F.when(F.col(col) > 0, F.col(col))).alias("__m"))
     rows = rows.join(means, category, "left")
     return rows.select(*spec.keys, category, F.when(F.col(col) > 0, F.col(col)).otherwise(F.coalesce("__m", F.lit(1.0))).alias(col))

@@ -140,14 +140,15 @@ def elasticity(df: DataFrame, spec: PanelSpec = SERIES, price: str = "price", wi
     s = df.select(*k, spec.date, F.when(full, F.avg(price).over(w)).alias("p"), F.when(full, F.avg(spec.target).over(w)).alias("q")).where("p is not null")
     d = s.select(*k, "p", "q", (F.lead("p").over(spec.series()) - F.col("p")).alias("dp"), (F.lead("q").over(spec.series()) - F.col("q")).alias("dq"))
     e = d.where("dp is not null and abs(dp) > 1e-9").select(*k, (-(F.col("dq") / F.col("q")) / (F.col("dp") / F.col("p"))).alias("e"))
-    fence = e.groupBy(*k).agg(F.percentile("e", F.lit(0.25)).alias("q1"), F.percentile("e", F.lit(0.75)).alias("q3"))
-    inside = e.join(fence, k).where(F.col("e").between(F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")) - 1e-9, F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")) + 1e-9))
+    e = e.withColumns({n: F.percentile("e", F.lit(q)).over(spec.whole()) for n, q in (("q1", 0.25), ("q3", 0.75))})
+    inside = e.where(F.col("e").between(F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")) - 1e-9, F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")) + 1e-9))
     found = inside.groupBy(*k).agg(F.avg("e").alias("ed"))
     return df.select(*k).distinct().join(found, k, "left").withColumn("ed", F.coalesce("ed", F.lit(0.0)))
 
 
 def winsorised_elasticity(ed: DataFrame, cat: DataFrame, spec: PanelSpec = SERIES) -> DataFrame:
     """ed clipped to the fence over all series, then values of 0 or less replaced by their category's positive mean (else 1)."""
+    ed = files.write_and_read(ed, "parquet", [])  # a row a series, read twice
     fence = ed.agg(F.percentile("ed", F.lit(0.25)).alias("a"), F.percentile("ed", F.lit(0.75)).alias("b"))
     out = ed.crossJoin(fence)  # one row
     out = out.withColumn("ed", F.least(F.greatest("ed", F.col("a") - 1.5 * (F.col("b") - F.col("a"))), F.col("b") + 1.5 * (F.col("b") - F.col("a")))).drop("a", "b")
@@ -161,8 +162,8 @@ def ratio_elasticity(df: DataFrame, spec: PanelSpec = SERIES, price: str = "pric
     k = list(spec.keys)
     s = spec.series()
     d = df.select(*k, spec.date, (F.lead(price).over(s) / F.col(price) - 1).alias("rp"), (F.lead(spec.target).over(s) / F.col(spec.target) - 1).alias("rq")).where("rp is not null")
-    fence = d.groupBy(*k).agg(F.percentile("rp", F.lit(0.25)).alias("a"), F.percentile("rp", F.lit(0.75)).alias("b"))
-    d = d.join(fence, k).where(F.col("rp").between(F.col("a") - 1.5 * (F.col("b") - F.col("a")) - 1e-9, F.col("b") + 1.5 * (F.col("b") - F.col("a")) + 1e-9))
+    d = d.withColumns({n: F.percentile("rp", F.lit(q)).over(spec.whole()) for n, q in (("a", 0.25), ("b", 0.75))})
+    d = d.where(F.col("rp").between(F.col("a") - 1.5 * (F.col("b") - F.col("a")) - 1e-9, F.col("b") + 1.5 * (F.col("b") - F.col("a")) + 1e-9))
     order = Window.partitionBy(*k).orderBy("rp", spec.date)
     bands = d.withColumn("g", F.floor((F.row_number().over(order) - 1) / band)).groupBy(*k, "g").agg(F.avg("rp").alias("x"), F.avg("rq").alias("y"))
     return bands.groupBy(*k).agg((-F.regr_slope("y", "x")).alias("ratio_ed"))

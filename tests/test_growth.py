@@ -6,6 +6,7 @@ import pytest
 
 
 from panelwright.operators import cleaning as C
+from panelwright.operators import elasticity as E
 from panelwright.operators import features as N
 from panelwright.operators import forecast as G
 from panelwright.operators import recent as Q
@@ -90,3 +91,17 @@ def test_panel_is_dealt_once_for_its_sums_and_its_windows(spark):
     for name in ("dense", "sparse"):
         text = plan(R.lags(getattr(panels, name)(spark, "/root/testdata/sf0.001"), [1]))
         assert text.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in text
+
+
+def test_price_curves_and_elasticities_join_no_rows_with_themselves(spark):
+    rows = [(k, DAY + datetime.timedelta(i), 2.0 + (i * 7 + k) % 5, 9.0 - (i * 7 + k) % 5) for k in range(3) for i in range(30)]
+    df = spark.createDataFrame(rows, "sku int, dt date, price double, x double").repartition(3)
+    for found in (E.price_curves(df, SPEC, price="price"), N.ratio_elasticity(df, SPEC)):
+        assert "Join" not in plan(found) and plan(found).count("Exchange hashpartitioning") == 1
+
+
+def test_curve_elasticity_reads_its_slopes_from_one_table(spark):
+    rows = [(k, f"c{k % 2}", DAY + datetime.timedelta(i), 2.0 + (i * 7 + k) % 5, 9.0 - (i * 7 + k) % 5) for k in range(4) for i in range(30)]
+    df = spark.createDataFrame(rows, "sku int, cat2 string, dt date, w_price double, x double").repartition(3)
+    found = E.curve_elasticity(df, E.price_curves(df, SPEC), SPEC)
+    assert found.count() == 120 and "Window" not in plan(found) and plan(found).count("SortMergeJoin") == 0
