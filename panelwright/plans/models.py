@@ -145,7 +145,7 @@ _SEC = "CASE WHEN y>0 THEN y ELSE coalesce(avg(y) FILTER (y>0) OVER (PARTITION B
 
 @add("e4_curve_elasticity", f"{_E4} SELECT {KEYS}, dt, R({_SEC}) sec_ed FROM x")
 def _(spark, d):
-    df = files.write_and_read(dense(spark, d).withColumn("w_price", F.col("w_price") / 1000), "parquet", [])
+    df = dense(spark, d).select(*K, "dt", "cat2", "is_train", "csu_redu_num", X, (F.col("w_price") / 1000).alias("w_price"))
     curves = price_curves(df.where("is_train = 1 and csu_redu_num = 0"))
     return curve_elasticity(df, curves).select(*K, "dt", "sec_ed")
 
@@ -202,11 +202,11 @@ def _(spark, d):
  v AS (SELECT *, coalesce(CASE WHEN is_train=1 THEN lag(wp) OVER ({W}) ELSE lp END, wp) p0, coalesce(CASE WHEN is_train=1 THEN lag({X}) OVER ({W}) ELSE lq END, {X}) q0 FROM t)
  SELECT {KEYS}, dt, R(greatest(0, q0*(1-(wp-p0)/p0*ed))) v_ed, R(greatest(0, q0*(1-(wp-p0)/p0*e))) v_ratio, R(greatest(0, q0*(1-(wp-p0)/p0*s))) v_sec, R(greatest(0, q0*(1-(wp-p0)/p0*ms))) v_mean_sec FROM v JOIN w USING ({KEYS}) JOIN {_RATIO} USING ({KEYS}) JOIN sec USING ({KEYS}, dt)""")
 def _(spark, d):
-    df = files.write_and_read(dense(spark, d).withColumn("w_price", F.col("w_price") / 1000), "parquet", [])
+    df = dense(spark, d).select(*K, "dt", "cat2", "is_train", "csu_redu_num", "price", X, (F.col("w_price") / 1000).alias("w_price"))
     cats = df.select(*K, "cat2").distinct()
     ed = winsorised_elasticity(elasticity(df), cats).select(*K, "ed")
     ratio = positive_or_category(ratio_elasticity(df), "ratio_ed", cats).select(*K, "ratio_ed")
-    rows = curve_elasticity(df, price_curves(df.where("is_train = 1 and csu_redu_num = 0")))
-    rows = files.write_and_read(rows.withColumn("mean_sec_ed", F.avg("sec_ed").over(SERIES.whole())).join(ed, K).join(ratio, K), "parquet", [])
+    rows = curve_elasticity(df.drop("price"), price_curves(df.where("is_train = 1 and csu_redu_num = 0")))
+    rows = rows.withColumn("mean_sec_ed", F.avg("sec_ed").over(SERIES.whole())).join(ed, K).join(ratio, K)
     names = {"v_ed": "ed", "v_ratio": "ratio_ed", "v_sec": "sec_ed", "v_mean_sec": "mean_sec_ed"}
     return elastic_predictions(rows, names).select(*K, "dt", *names)
