@@ -192,10 +192,11 @@ def _(spark, d):
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
 
-    pb = sparse(spark, d)
+    pb = sparse(spark, d).select(*K, "dt", "cat2", "is_train", X)
     tail = N.long_tail(pb.withColumn(X, F.col(X) / 20)).where("is_long_tail = 1").select(*K)
     lags = [f"lag_{i}" for i in range(1, 15)]
-    rows = R.lags(pb.join(tail, K, "left_anti"), list(range(1, 15))).dropna(subset=lags)
+    # written once: the fit passes over the training rows twice, the forecasts over the others
+    rows = cut(R.lags(pb.join(tail, K, "left_anti"), list(range(1, 15))).dropna(subset=lags).select(*K, "is_train", X, *lags))
     rows = VectorAssembler(inputCols=lags, outputCol="f").transform(rows)
     model = LinearRegression(featuresCol="f", labelCol=X, solver="normal").fit(rows.where(trained()))
     main = model.transform(rows.where(~trained())).groupBy(*K).agg(F.avg(F.greatest("prediction", F.lit(0.0))).alias("pred"))
