@@ -281,6 +281,14 @@ def _(spark, d):
 
 _A, _D = "{pb}", "(r0*(r0*r0-r1*r1)-r1*(r1*r0-r1*r2)+r2*(r1*r1-r0*r2))"
 
+def arma_pools(spark, d) -> tuple[DataFrame, DataFrame]:
+    """(panel, pools): what pooled ARMA needs of the panel, and (keys, bucket) of the long-tail series, 500 a bucket by recent
+    volume. Eligible series, a row each, are written once, as ranking reads them three times."""
+    pb = sparse(spark, d).select(*K, "dt", X)
+    eligible = R.last_rows(R.rolling(pb, [21], ["mean"], least=1), 1).where("mean_21 between 15 and 30").select(*K, "mean_21")
+    return pb, N.equal_buckets(cut(eligible), "mean_21", 500, K).select(*K, "bucket")
+
+
 
 @add("z14_long_tail_pooled_arma", f"""WITH e AS (SELECT *, avg({X}) OVER ({W} ROWS 20 PRECEDING) m21, row_number() OVER ({W} DESC) rn FROM {{pb}}), k AS (SELECT {KEYS}, m21, (row_number() OVER (ORDER BY m21, {KEYS})-1)//500+1 bucket FROM e WHERE rn=1 AND m21 BETWEEN 15 AND 30),
  q AS (SELECT p.bu_id, p.wh_id, p.sku_id, dt, bucket, CASE WHEN {X}>quantile_cont({X},0.96) OVER s THEN quantile_cont({X},0.8) OVER s ELSE {X} END y FROM {{pb}} p JOIN k USING ({KEYS}) WINDOW s AS (PARTITION BY p.sku_id)),
@@ -289,10 +297,7 @@ _A, _D = "{pb}", "(r0*(r0*r0-r1*r1)-r1*(r1*r0-r1*r2)+r2*(r1*r1-r0*r2))"
  g AS (SELECT *, d-phi1*l1-phi2*l2-phi3*l3 e FROM l JOIN f USING (bucket)), h AS (SELECT *, lag(e) OVER ({W}) e1 FROM g), t AS (SELECT bucket, sum(e*e1)/sum(e1*e1) theta FROM h WHERE e1 IS NOT NULL GROUP BY bucket)
  SELECT {KEYS}, L(bucket) bucket, R(greatest(y+phi1*d+phi2*l1+phi3*l2+theta*e, 0)) pred FROM (SELECT *, row_number() OVER ({W} DESC) rn FROM h) JOIN t USING (bucket) WHERE rn=1""")
 def _(spark, d):
-    pb = sparse(spark, d)
-    last = R.last_rows(R.rolling(pb, [21], ["mean"], least=1), 1)
-    eligible = last.where("mean_21 between 15 and 30").select(*K, "mean_21")
-    bucket = N.equal_buckets(eligible, "mean_21", 500, K).select(*K, "bucket")
+    pb, bucket = arma_pools(spark, d)
     return Q.pooled_arma(C.quantile_capped(pb.join(bucket, K)), "bucket").select(*K, "bucket", "pred")
 
 
@@ -310,9 +315,7 @@ _ARMA = f"""WITH RECURSIVE w AS (SELECT *, avg({X}) OVER ({W} ROWS 20 PRECEDING)
 
 def arma_ahead(spark, d) -> DataFrame:
     """(keys, bucket, step, pred): seven days of the long-tail series, in buckets of 500 by recent volume, values capped."""
-    pb = sparse(spark, d)
-    eligible = R.last_rows(R.rolling(pb, [21], ["mean"], least=1), 1).where("mean_21 between 15 and 30").select(*K, "mean_21")
-    bucket = N.equal_buckets(eligible, "mean_21", 500, K).select(*K, "bucket")
+    pb, bucket = arma_pools(spark, d)
     return Q.pooled_arma_forecast(C.quantile_capped(pb.join(bucket, K)), "bucket")
 
 
