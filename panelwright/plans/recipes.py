@@ -154,6 +154,7 @@ _Z5 = f"""WITH a AS (SELECT *, count(*) OVER p n_rows, sum({X}) FILTER (dt BETWE
 def _(spark, d):
     df = N.sized_and_recent(dense(spark, d), ALL_ROWS, *RECENT)
     table = df = cut(C.window_outliers(R.filled(promoted(df), ["seq_price"], constant=0.0), kind="promo"))
+    df = df.select(*K, "dt", X, "cat1", "cat2", "day_abbr", "month", "festival_name", "seq_num", "seq_price", "new_byrs", "old_byrs", "is_train")
     df = N.seasonal_index(R.history_mean(df), ["cat2"], ["day_abbr", "month"], train=trained())
     df = cut(df.join(buyers_by(df, "day_abbr"), ["wh_id", "day_abbr"], "left"), table)
     df = indexed(df, N.festival_index(df, ["cat1"]), ["cat1", "festival_name"], "festival_index")
