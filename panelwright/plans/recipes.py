@@ -118,7 +118,8 @@ def _(spark, d):
 
 @add("z4_pricing_strategy_features")
 def _(spark, d):
-    df = cut(promoted(C.temperature_repaired(C.price_repaired(dense(spark, d).where("price <> 0")))))
+    df = promoted(C.temperature_repaired(C.price_repaired(dense(spark, d).where("price <> 0"))))
+    df = cut(df.select(*K, "dt", X, "cat1", "cat2", "day_abbr", "festival_name", "price", "w_price", "seq_price", "promo"))
     df = cut(C.window_outliers(df, kind="promo").where("outlier = 0").drop("outlier"), df)
     table = df = banded(df, ["cat1"])
     df = indexed(df, N.daily_total_index(df, ["cat2"], "day_abbr"), ["cat2", "day_abbr"], "weekday_index")
