@@ -131,7 +131,8 @@ def _(spark, d):
 @add("z2_category_features")
 def _(spark, d):
     df = C.temperature_repaired(C.stockout_corrected(dense(spark, d)))
-    df = files.write_and_read(C.window_clipped(df.withColumn("promo", (F.col("seq_num") > 0).cast("int")), kind="promo"), "parquet", [])
+    df = C.window_clipped(df.withColumn("promo", (F.col("seq_num") > 0).cast("int")), kind="promo")
+    df = files.write_and_read(df.select(*K, "dt", X, "cat1", "cat2", "day_abbr", "month", "avg_t", "is_train"), "parquet", [])
     df = N.seasonal_index(df, ["cat1", "cat2"], ["day_abbr", "month"], train=F.col("is_train") == 1)
     df = files.write_and_read(C.validation_marked(N.horizon_statistics(R.history_mean(df), 20)), "parquet", [])
     return N.with_volume_band(df, ["cat1"]).select(*K, "dt", "is_train", X, "avg_t", "history_mean", "known_mean_7", "idx_cat2_month", "band")

@@ -121,3 +121,19 @@ def test_first_table_of_a_recipe_holds_only_what_later_steps_read(spark, monkeyp
     with pytest.raises(Seen) as seen:
         registry.queries()[name](spark, "/root/testdata/sf0.001")
     assert len(seen.value.args[0]) <= most
+
+
+def test_first_table_of_category_features_holds_only_what_later_steps_read(spark, monkeypatch):
+    from panelwright.plans import registry
+    from panelwright.sources import files
+
+    class Seen(Exception):
+        pass
+
+    def stop(df, *rest):
+        raise Seen(df.columns)
+
+    monkeypatch.setattr(files, "write_and_read", stop)
+    with pytest.raises(Seen) as seen:
+        registry.queries()["z2_category_features"](spark, "/root/testdata/sf0.001")
+    assert len(seen.value.args[0]) <= 11
