@@ -56,7 +56,8 @@ def _(spark, d):
 @add("v5_best_model_by_backtest")
 def _(spark, d):
     models = _MODELS | {"fitted": lambda df, spec: M.ses_optimised(df, spec).select(*spec.keys, "pred")}
-    df = files.write_and_read(sparse(spark, d).select(*K, "dt", X), "parquet", [])  # one panel for all models
+    # one panel for all models; each forecasts a series by itself, so histories that no outcome follows aren't needed
+    df = files.write_and_read(B.followed(sparse(spark, d).select(*K, "dt", X), ORIGINS, 20), "parquet", [])
     return B.best_model(B.backtest(df, ORIGINS, models, horizon=20, days=365))
 
 

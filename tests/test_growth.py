@@ -137,3 +137,30 @@ def test_first_table_of_category_features_holds_only_what_later_steps_read(spark
     with pytest.raises(Seen) as seen:
         registry.queries()["z2_category_features"](spark, "/root/testdata/sf0.001")
     assert len(seen.value.args[0]) <= 11
+
+
+def test_back_test_deals_histories_once_and_leaves_out_those_that_nothing_follows(spark):
+    from panelwright.operators import backtest as B
+
+    df = dated(spark, [(f"s{k}", i, float((k * 7 + i * i) % 11)) for k in range(6) for i in range(0, 60, 1 + k * 4)])
+    origins, seen = [str(DAY + datetime.timedelta(d)) for d in (20, 40, 50)], []
+
+    def mean(df, spec, n):
+        seen.append(df)
+        return G.recent_mean(df, n, spec)
+
+    models = {f"mean_{n}": lambda df, spec, n=n: mean(df, spec, n) for n in (1, 2, 3, 4)}
+    whole = B.backtest(df, origins, models, 3, 30, SPEC)
+    assert sum(plan(whole).count(f"{kind} [") for kind in ("SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin")) == 1
+    part = B.backtest(B.followed(df, origins, 3, SPEC), origins, models, 3, 30, SPEC)
+    pairs = {(r.sku, r.origin) for r in seen[-1].select("sku", "origin").distinct().collect()}
+    assert sorted(map(tuple, part.collect())) == sorted(map(tuple, whole.collect()))
+    assert pairs == {(r.sku, r.origin) for r in whole.collect()} and len(pairs) < seen[0].select("sku", "origin").distinct().count()
+
+
+def test_models_of_equal_measure_are_chosen_by_name(spark):
+    from panelwright.operators import backtest as B
+
+    rows = [("s", DAY, DAY + datetime.timedelta(i), m, 0.1 * i, 0.1 * i + e) for m, e in (("a", 1 + 1e-15), ("b", 1.0)) for i in range(4)]
+    tested = spark.createDataFrame(rows, "sku string, origin date, dt date, model string, actual double, pred double")
+    assert B.best_model(tested, SPEC).first().model == "a"
