@@ -125,3 +125,24 @@ def test_empty_and_unknown(spark):
         boosting.gradients(F.lit(1.0), F.lit(1.0), "other")
     g, h, loss = (spark.range(1).select(c).first()[0] for c in boosting.gradients(F.lit(5.0), F.lit(3.0), "asymmetric"))
     assert (g, h, loss) == (1.0, 0.5, 1.0) and math.isclose(loss, 0.5 * 2 * 2 / 2)
+
+
+def test_a_level_of_all_trees_is_one_table_and_adds_up_blocks_of_rows(spark, monkeypatch):
+    from panelwright.sources import files
+
+    rows = [(f"c{i % 40}" if i % 3 else "large", i, float(i * 7 % 101), i % 5, 7.0, float(i % 101 > 50) + i % 2, i % 11 == 0) for i in range(15_000)]
+    written, write = [], files.write_and_read
+    monkeypatch.setattr(files, "write_and_read", lambda df, *rest: written.append((df.columns, write(df, *rest))) or written[-1][1])
+    monkeypatch.setattr(files, "drop_written", lambda df: None)
+    model = boosting.fit(frame(spark, rows).coalesce(1), ["x", "z"], "y", "band", F.col("valid"), rounds=2, depth=2)
+    assert len(written) <= 3 + 1 + 2 * 2 + 1 + 2  # rows, known, blocks; state; levels; last losses; results
+    blocks = next(df for columns, df in written if "bins" in columns)
+    sizes = blocks.select("cohort", (F.length("y") / 8).alias("n"), F.length("bins").alias("b"))
+    assert sizes.agg(F.sum("n"), F.max("n"), F.sum("b")).first() == (15_000, 4096, 30_000)
+    assert sizes.where("cohort = 'large'").count() >= 2
+    losses = {(r.cohort, r.round): r for r in model.losses.collect()}
+    got = boosting.predict(frame(spark, rows), model).groupBy("band").agg(*[F.avg(F.when(F.col("valid") == v, (F.col("pred") - F.col("y")) ** 2 / 2)).alias(n) for v, n in ((False, "train"), (True, "valid"))])
+    kept = {c: max(k for d, k in losses if d == c and losses[d, k].kept) for c, _ in losses}
+    for r in got.collect():
+        own = losses[r.band, kept[r.band]]
+        assert r.train == pytest.approx(own.train_loss) and (r.valid == own.valid_loss if r.valid is None else r.valid == pytest.approx(own.valid_loss))
