@@ -77,7 +77,7 @@ def boosted(rows: DataFrame, features: list[str], label: str, cohort: str, train
     """
     rows = cut(rows.dropna(subset=features).select(*dict.fromkeys([*keep, cohort, *features, label]), F.coalesce(train, F.lit(False)).alias("__train")))
     marked = F.pmod(F.xxhash64(*keep), F.lit(20)) == 0
-    model = boosting.fit(rows.where("__train"), features, label, cohort, marked, rounds=rounds, depth=depth)
+    model = boosting.fit(rows.where("__train"), features, label, cohort, marked, rounds=rounds, depth=depth, written=True)
     out = boosting.predict(rows.where(~F.col("__train")), model)
     return out.select(*keep, cohort, F.greatest("pred", F.lit(0.0)).alias("pred"))
 
