@@ -366,7 +366,7 @@ REGIONS = ["AMERICA", "ASIA", "EUROPE"]
 
 @add("z18_regional_models")
 def _(spark, d):
-    df = cut(dense(spark, d).where(S.in_lists(cat1=REGIONS, cat2=None)))
+    df = cut(dense(spark, d).where(S.in_lists(cat1=REGIONS, cat2=None)).select(*K, "dt", X, "cat1", "price", "day_abbr", "month", "is_train"))
     known = df.groupBy(*K).agg(F.avg(F.when(trained(), F.col(X))).alias("m"))
     rows = N.horizon_statistics(df, 20).withColumn("region", F.col("cat1"))
     trees = boosted(rows, ["price", "day_abbr", "month", "known_mean", "known_mean_7", "known_max_7", "known_min_14"], X, "region", trained(), [*K, "dt"], depth=3, rounds=3)

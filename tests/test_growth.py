@@ -164,3 +164,18 @@ def test_models_of_equal_measure_are_chosen_by_name(spark):
     rows = [("s", DAY, DAY + datetime.timedelta(i), m, 0.1 * i, 0.1 * i + e) for m, e in (("a", 1 + 1e-15), ("b", 1.0)) for i in range(4)]
     tested = spark.createDataFrame(rows, "sku string, origin date, dt date, model string, actual double, pred double")
     assert B.best_model(tested, SPEC).first().model == "a"
+
+
+def test_first_table_of_regional_models_holds_only_what_later_steps_read(spark, monkeypatch):
+    from panelwright.plans import recipes, registry
+
+    class Seen(Exception):
+        pass
+
+    def stop(df, *done):
+        raise Seen(df.columns)
+
+    monkeypatch.setattr(recipes, "cut", stop)
+    with pytest.raises(Seen) as seen:
+        registry.queries()["z18_regional_models"](spark, "/root/testdata/sf0.001")
+    assert len(seen.value.args[0]) <= 9
