@@ -31,7 +31,8 @@ def _(spark, d):
 
 @add("p10_p11_price_repair", f"SELECT {KEYS}, dt, R(CASE WHEN p<s THEN p ELSE s END) seq_price, L(CASE WHEN p<s OR (p=s AND seq_num>0) THEN 0 ELSE seq_num END) seq_num FROM (SELECT *, w_price p, coalesce(seq_price, w_price) s FROM {{pa}})")
 def _(spark, d):
-    df = dense(spark, d).withColumn("price", F.col("w_price"))
+    # both prices are sums of the same lines, equal or not in their last bits
+    df = dense(spark, d, in_order=True).withColumn("price", F.col("w_price"))
     return C.price_repaired(df).select(*K, "dt", "seq_price", "seq_num")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelwright.sources import files
@@ -16,25 +16,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _lines(spark: SparkSession, sf_dir: str, sku: str) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str, sku: str, in_order: bool = False) -> DataFrame:
     """Order lines with sku_id and dt, dealt by sku_id: what follows, up to the windows of a series, needs no other exchange.
+    In order, with their place in the files.
 
     Lines of a key and day are few, so sums before the exchange would save no row. Tasks grow in number with the table and
     not in size; their number is given, as Spark would put together what is small only while it is compressed.
     """
-    lines = table(spark, sf_dir, "lineitem").withColumns({"sku_id": F.col(sku), "dt": F.to_date("l_shipdate")})
+    place = {"__place": F.struct("_metadata.file_path", "_metadata.row_index")} if in_order else {}
+    lines = table(spark, sf_dir, "lineitem").withColumns({"sku_id": F.col(sku), "dt": F.to_date("l_shipdate"), **place})
     parts = -(-files.size_of(spark, f"{sf_dir}/lineitem.parquet") // (TASK_MB * 1_000_000))
     return lines.repartition(max(parts, spark.sparkContext.defaultParallelism), "sku_id")
 
 
-def _daily(lines: DataFrame, *dims: str) -> DataFrame:
+def _daily(lines: DataFrame, *dims: str, in_order: bool = False) -> DataFrame:
     """One row per key and day of order lines (l_* columns, the key's columns and dt), with the usual measures."""
     q, p, d = F.col("l_quantity"), F.col("l_extendedprice"), F.col("l_discount")
+    if in_order:  # a window adds row by row; an aggregate adds as blocks come in, which a cluster leaves open
+        w = Window.partitionBy("bu_id", "wh_id", "sku_id", "dt").orderBy("__place").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        lines = lines.withColumns({"__q": F.sum(q).over(w), "__p": F.sum(p).over(w), "__net": F.sum(p * (1 - d)).over(w)})
+    cnt, amt, net = (F.max("__q"), F.max("__p"), F.max("__net")) if in_order else (F.sum(q), F.sum(p), F.sum(p * (1 - d)))
     by = lines.groupBy("bu_id", "wh_id", "sku_id", "dt", *dims).agg(
-        F.sum(q).alias("arranged_cnt"),
-        F.sum(p).alias("arranged_amt"),
-        (F.sum(p) / F.sum(q)).alias("price"),
-        (F.sum(p * (1 - d)) / F.sum(q)).alias("w_price"),
+        cnt.alias("arranged_cnt"),
+        amt.alias("arranged_amt"),
+        (amt / cnt).alias("price"),
+        (net / cnt).alias("w_price"),
         F.max(d).alias("max_discount"),
         F.min(d).alias("min_discount"),
         F.count(F.when(d >= 0.08, 1)).alias("seq_num"),
@@ -60,13 +66,16 @@ def _daily(lines: DataFrame, *dims: str) -> DataFrame:
     ).where(F.col("dt") < F.date_add(fc, HORIZON))
 
 
-def dense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PA: region × nation × supplier × day. The dimensions are fixed small tables of the schema."""
+def dense(spark: SparkSession, sf_dir: str, in_order: bool = False) -> DataFrame:
+    """PA: region × nation × supplier × day. The dimensions are fixed small tables of the schema.
+
+    In order, the lines of a day are added as they stand in the files, for steps that compare sums to the last bit.
+    """
     supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("sku_id"), F.col("s_nationkey").alias("wh_id"))
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("wh_id"), F.col("n_name").alias("cat2"), F.col("n_regionkey").alias("bu_id"))
     region = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("bu_id"), F.col("r_name").alias("cat1"))
-    lines = _lines(spark, sf_dir, "l_suppkey")
-    return _daily(lines.join(supplier, "sku_id").join(nation, "wh_id").join(region, "bu_id"), "cat1", "cat2")
+    lines = _lines(spark, sf_dir, "l_suppkey", in_order)
+    return _daily(lines.join(supplier, "sku_id").join(nation, "wh_id").join(region, "bu_id"), "cat1", "cat2", in_order=in_order)
 
 
 def sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
