@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelwright.operators.rolling import filled
 from panelwright.operators.spec import SERIES, PanelSpec
+from panelwright.sources import files
 
 
 def stockout_corrected(df: DataFrame, spec: PanelSpec = SERIES, flag: str = "is_outstock") -> DataFrame:
@@ -27,18 +28,18 @@ def temperature_repaired(df: DataFrame, spec: PanelSpec = SERIES, col: str = "av
     """Beyond ±100: null; nulls: the group's mean of the month, then the group's next value, its last one, 0.
 
     Within a day values are ordered by the rest of the key. Means and neighbours are worked out on one row a group and
-    month, and a group and day, and joined back: no task holds a group's rows.
+    month, and a group and day, written out and joined back: no task holds a group's rows, and df's rows don't move.
     """
     rest = F.struct(*[k for k in spec.keys if k not in group])
     x = F.when(F.abs(col) <= 100, F.col(col))
-    mean = df.groupBy(*group, month).agg(F.avg(x).alias("__m"))
+    mean = files.written_small(df.groupBy(*group, month).agg(F.avg(x).alias("__m")))
     rows = df.join(mean, [*group, month], "left").withColumn(col, F.coalesce(x, F.col("__m")))
     value = F.when(F.col(col).isNotNull(), rest)
     day = rows.groupBy(*group, spec.date).agg(F.min_by(col, value).alias("__a"), F.max_by(col, value).alias("__b"))
     w = Window.partitionBy(*group).orderBy(spec.date)
     ahead = F.first("__a", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
     back = F.last("__b", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    near = day.select(*group, spec.date, F.coalesce(ahead, back, F.lit(0.0)).alias("__n"))
+    near = files.written_small(day.select(*group, spec.date, F.coalesce(ahead, back, F.lit(0.0)).alias("__n")))
     return rows.join(near, [*group, spec.date], "left").withColumn(col, F.coalesce(col, "__n")).select(*df.columns)
 
 

@@ -100,15 +100,16 @@ def volume_band(df: DataFrame, within: list[str], sku: str = "sku_id", spec: Pan
     return mean.join(limits, [*within, "d"]).select(*within, sku, F.col("d").alias(spec.date), _band(F.col("m"), F.col("lo"), F.col("hi")).alias("band"))
 
 
-def with_volume_band(df: DataFrame, within: list[str], sku: str = "sku_id", spec: PanelSpec = SERIES, days: int = 7) -> DataFrame:
+def with_volume_band(df: DataFrame, within: list[str], sku: str = "sku_id", spec: PanelSpec = SERIES, days: int = 7, deal: bool = False) -> DataFrame:
     """df with the band of its own dates, as `volume_band` gives it; null where it has none.
 
-    Means come from a window over each sku's days, so that of the days between nothing but the limits is kept.
+    Means come from a window over each sku's days, so that of the days between nothing but the limits is kept. deal: rows
+    are dealt by sku alone, which serves the windows of series after it as well.
     """
     limits = _day_means(df, within, sku, spec, days)[1].withColumnRenamed("d", spec.date)
     x = F.col(spec.target)
     w = Window.partitionBy(*within, sku).orderBy(F.datediff(spec.date, F.lit("1970-01-01"))).rangeBetween(1 - days, 0)
-    out = df.withColumn("__m", F.sum(x).over(w) / F.count(x).over(w)).join(limits.withColumn("__has", F.lit(True)), [*within, spec.date], "left")
+    out = (df.repartition(sku) if deal else df).withColumn("__m", F.sum(x).over(w) / F.count(x).over(w)).join(limits.withColumn("__has", F.lit(True)), [*within, spec.date], "left")
     return out.withColumn("band", F.when(F.col("__has"), _band(F.col("__m"), F.col("lo"), F.col("hi")))).select(*df.columns, "band")
 
 
@@ -224,21 +225,22 @@ def label_encoded(df: DataFrame, col: str, name: str) -> DataFrame:
     """Adds the value's rank in alphabetical order, from 0; nulls have none. Ranks are given to the distinct values."""
     values = df.select(col).where(F.col(col).isNotNull()).distinct()
     ranks = ranked(values, [col], name).withColumn(name, F.col(name) - 1)
-    return df.join(ranks, col, "left")
+    return df.join(files.written_small(ranks), col, "left")
 
 
-def frequency_encoded(df: DataFrame, col: str, name: str) -> DataFrame:
-    """Adds the value's rank by how many rows it has, most first, from 0; of equal counts the first by name. Nulls have none."""
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg((-F.count("*")).alias("__c"))
+def frequency_encoded(df: DataFrame, col: str, name: str, table: DataFrame | None = None) -> DataFrame:
+    """Adds the value's rank by how many rows it has, most first, from 0; of equal counts the first by name. Nulls have none.
+    table: a written frame with the same values, to count them there."""
+    counts = (df if table is None else table).where(F.col(col).isNotNull()).groupBy(col).agg((-F.count("*")).alias("__c"))
     ranks = ranked(counts, ["__c", col], name).select(col, (F.col(name) - 1).alias(name))
-    return df.join(ranks, col, "left")
+    return df.join(files.written_small(ranks), col, "left")
 
 
 def first_seen_encoded(df: DataFrame, outer: str, inner: str, name: str, date: str = "dt") -> DataFrame:
     """Adds the rank of `inner` within `outer` by first date, then by name."""
     values = df.groupBy(outer, inner).agg(F.min(date).alias("__d"))
     ranks = values.withColumn(name, F.row_number().over(Window.partitionBy(outer).orderBy("__d", inner)) - 1).drop("__d")
-    return df.join(ranks, [outer, inner])
+    return df.join(files.written_small(ranks), [outer, inner])
 
 
 def poisson_quantile(df: DataFrame, rate: str, share: float = 0.85, most: int = 40, name: str = "k") -> DataFrame:

@@ -66,7 +66,7 @@ def buyers_by(df: DataFrame, by: str) -> DataFrame:
 
 
 def indexed(df: DataFrame, table: DataFrame, on: list[str], name: str) -> DataFrame:
-    return N.index_with_fallback(df, [(table, on)], name=name)
+    return N.index_with_fallback(df, [(files.written_small(table), on)], name=name)
 
 
 def boosted(rows: DataFrame, features: list[str], label: str, cohort: str, train, keep: list[str], depth: int = 4, rounds: int = 5) -> DataFrame:
@@ -251,14 +251,17 @@ def _(spark, d):
 
 @add("z11_hourly_static_features")
 def _(spark, d):
-    df = cut(C.window_clipped(promoted(C.temperature_repaired(C.price_repaired(dense(spark, d)))), kind="promo"))
-    table = df = banded(df, ["cat1"])
-    df = indexed(df, N.daily_total_index(df, ["cat2"], "day_abbr"), ["cat2", "day_abbr"], "weekday_index")
-    df = cut(df, table)
-    df = cut(N.index_with_fallback(df, [(N.festival_index(df, [c]), [c, "festival_name"]) for c in ("cat2", "cat1")], name="festival_index"), df)
-    df = cut(N.horizon_statistics(R.rolling(df, [3, 7, 14], ["mean"], least=1), 1), df)
-    df = df.join(df.groupBy("dt", "cat1").agg(F.sum("seq_num").alias("seq_num_cat1")), ["dt", "cat1"])
-    df = N.frequency_encoded(C.validation_marked(df), "cat2", "cat2_code")
+    # clipped where the lines' deal still serves; then every statistic is of one table, and its rows move once, for all windows
+    df = C.window_clipped(promoted(C.price_repaired(dense(spark, d))), kind="promo")
+    table = cut(df.select(*K, "dt", X, "cat1", "cat2", "day_abbr", "month", "festival_name", "avg_t", "seq_num", "is_train"))
+    days = cut(table.groupBy("cat1", "cat2", "dt", "day_abbr", "festival_name").agg(F.sum(X).alias(X), F.sum("seq_num").alias("seq_num")))
+    df = N.with_volume_band(C.temperature_repaired(table), ["cat1"], deal=True)
+    df = N.horizon_statistics(R.rolling(df, [3, 7, 14], ["mean"], least=1), 1)
+    df = indexed(df, N.daily_total_index(days, ["cat2"], "day_abbr"), ["cat2", "day_abbr"], "weekday_index")
+    festivals = [(files.written_small(N.festival_index(days, [c])), [c, "festival_name"]) for c in ("cat2", "cat1")]
+    df = N.index_with_fallback(df, festivals, name="festival_index")
+    df = df.join(files.written_small(days.groupBy("dt", "cat1").agg(F.sum("seq_num").alias("seq_num_cat1"))), ["dt", "cat1"])
+    df = N.frequency_encoded(C.validation_marked(df), "cat2", "cat2_code", table)
     return df.select(*K, "dt", "is_train", X, "band", "weekday_index", "festival_index", "mean_3", "mean_7", "mean_14", "known_mean_7", "seq_num_cat1", "cat2_code")
 
 

@@ -53,14 +53,25 @@ def new_path(spark) -> str:
     return path
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def write_and_read(df: DataFrame, fmt: str, by: list[str], n_files: int | None = None) -> DataFrame:
-    """df by way of a table in the shared folder, partitioned by columns, or in n_files files whose names are then in `file`."""
+    """df by way of a table in the shared folder, partitioned by columns, or in n_files files whose names are then in `file`.
+
+    The shuffle files of the write go as soon as it is done, as nothing else reads them; the driver's memory alone would
+    decide when they go.
+    """
     spark = df.sparkSession
-    path = new_path(spark)
-    if n_files:
-        df.repartition(n_files).write.format(fmt).save(path)
-    else:
-        write_partitions(df, path, fmt, by)
+    path, before = new_path(spark), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        if n_files:
+            df.repartition(n_files).write.format(fmt).save(path)
+        else:
+            write_partitions(df, path, fmt, by)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     reader = spark.read.schema(df.schema)
     back = (reader.option("header", True) if fmt == "csv" else reader).format(fmt).load(path)
     return back.select(*df.columns, *[F.col("_metadata.file_name").alias("file")] * bool(n_files))

@@ -1,13 +1,16 @@
-"""Panels whose lines lie in several files."""
+"""Panels whose lines lie in several files, and what recipes leave on disk."""
 
 import datetime
 import itertools
 import os
+import time
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 from panelwright.plans import registry
+from panelwright.sources import files
 
 DATA = "/root/testdata/sf0.1"
 DAY = datetime.datetime(1995, 12, 23)
@@ -34,3 +37,24 @@ def test_prices_are_compared_as_summed_in_the_order_of_the_files(spark, tmp_path
         os.symlink(f"{DATA}/{name}.parquet", tmp_path / f"{name}.parquet")
     got = {r.sku_id: r.seq_num for r in registry.queries()["p10_p11_price_repair"](spark, str(tmp_path)).collect()}
     assert set(want.values()) == {0, 3} and got == want | {7: 0}
+
+
+def shuffle_files(spark):
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for d in dirs for _, _, names in os.walk(d.getPath()) for f in names if f.startswith("shuffle_")}
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    table = files.write_and_read(spark.range(50_000).groupBy((F.col("id") % 977).alias("k")).agg(F.sum("id").alias("s")), "parquet", [])
+    for _ in range(50):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before and table.count() == 977
+
+
+def test_rows_of_a_recipe_move_once_after_its_table(spark):
+    df = registry.queries()["z11_hourly_static_features"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
