@@ -100,17 +100,19 @@ def volume_band(df: DataFrame, within: list[str], sku: str = "sku_id", spec: Pan
     return mean.join(limits, [*within, "d"]).select(*within, sku, F.col("d").alias(spec.date), _band(F.col("m"), F.col("lo"), F.col("hi")).alias("band"))
 
 
-def with_volume_band(df: DataFrame, within: list[str], sku: str = "sku_id", spec: PanelSpec = SERIES, days: int = 7, deal: bool = False) -> DataFrame:
-    """df with the band of its own dates, as `volume_band` gives it; null where it has none.
+def with_volume_band(df: DataFrame, within: list[str], sku: str = "sku_id", spec: PanelSpec = SERIES, days: int = 7, deal: bool = False, counted: Column | None = None) -> DataFrame:
+    """df with the band of its own dates, as `volume_band` gives it; null where it has none. counted: only such rows count
+    and have bands.
 
     Means come from a window over each sku's days, so that of the days between nothing but the limits is kept. deal: rows
     are dealt by sku alone, which serves the windows of series after it as well.
     """
-    limits = _day_means(df, within, sku, spec, days)[1].withColumnRenamed("d", spec.date)
-    x = F.col(spec.target)
+    limits = _day_means(df if counted is None else df.where(counted), within, sku, spec, days)[1].withColumnRenamed("d", spec.date)
+    counted = F.lit(True) if counted is None else counted
+    x = F.when(counted, F.col(spec.target))
     w = Window.partitionBy(*within, sku).orderBy(F.datediff(spec.date, F.lit("1970-01-01"))).rangeBetween(1 - days, 0)
     out = (df.repartition(sku) if deal else df).withColumn("__m", F.sum(x).over(w) / F.count(x).over(w)).join(limits.withColumn("__has", F.lit(True)), [*within, spec.date], "left")
-    return out.withColumn("band", F.when(F.col("__has"), _band(F.col("__m"), F.col("lo"), F.col("hi")))).select(*df.columns, "band")
+    return out.withColumn("band", F.when(F.col("__has") & counted, _band(F.col("__m"), F.col("lo"), F.col("hi")))).select(*df.columns, "band")
 
 
 def discount_statistics(df: DataFrame, by: list[str], rebates: list[str]) -> DataFrame:
@@ -236,9 +238,9 @@ def frequency_encoded(df: DataFrame, col: str, name: str, table: DataFrame | Non
     return df.join(files.written_small(ranks), col, "left")
 
 
-def first_seen_encoded(df: DataFrame, outer: str, inner: str, name: str, date: str = "dt") -> DataFrame:
-    """Adds the rank of `inner` within `outer` by first date, then by name."""
-    values = df.groupBy(outer, inner).agg(F.min(date).alias("__d"))
+def first_seen_encoded(df: DataFrame, outer: str, inner: str, name: str, date: str = "dt", table: DataFrame | None = None) -> DataFrame:
+    """Adds the rank of `inner` within `outer` by first date, then by name. table: a written frame with the same values."""
+    values = (df if table is None else table).groupBy(outer, inner).agg(F.min(date).alias("__d"))
     ranks = values.withColumn(name, F.row_number().over(Window.partitionBy(outer).orderBy("__d", inner)) - 1).drop("__d")
     return df.join(files.written_small(ranks), [outer, inner])
 
@@ -355,13 +357,14 @@ def sales_drop_cases(df: DataFrame, spec: PanelSpec = SERIES, pred: str = "pred_
 
 def sized_and_recent(df: DataFrame, least: int, first: str, last: str, spec: PanelSpec = SERIES, counted: Column | None = None) -> DataFrame:
     """Rows of the series that have at least `least` rows (of the counted ones) and whose target from the first to the last
-    day does not sum to 0 (or to nothing). One aggregate decides on both; null keys are in no series."""
+    day does not sum to 0 (or to nothing). Windows decide on both, so that rows that lie by series stay where they are; null
+    keys are in no series."""
     day = F.col(spec.date).between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-    found = df.groupBy(*spec.keys).agg(
-        F.count(F.when(counted if counted is not None else F.lit(True), 1)).alias("__n"),
-        F.coalesce(F.sum(F.when(day, F.col(spec.target))), F.lit(0)).alias("__s"),
-    )
-    return df.join(found.where((F.col("__n") >= least) & (F.col("__s") != 0)).select(*spec.keys), list(spec.keys), "left_semi")
+    rows = df.dropna(subset=list(spec.keys)).withColumns({
+        "__n": F.count(F.when(counted if counted is not None else F.lit(True), 1)).over(spec.whole()),
+        "__s": F.coalesce(F.sum(F.when(day, F.col(spec.target))).over(spec.whole()), F.lit(0)),
+    })
+    return rows.where((F.col("__n") >= least) & (F.col("__s") != 0)).drop("__n", "__s")
 
 
 def festival_scaled_mean(df: DataFrame, index: str, spec: PanelSpec = SERIES, festival: str = "festival_name", none: str = "无", width: int = 3, name: str = "festival_scaled_mean") -> DataFrame:

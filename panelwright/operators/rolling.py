@@ -70,8 +70,9 @@ def ewm_exact(df: DataFrame, span: int, spec: PanelSpec = SERIES, col: str | Non
     values there are.
 
     A series is cut into blocks of rows; inside a block the weighted sum is a running sum of values over powers of the
-    decay, and blocks are carried on from their totals, of which a series has one a block. Nulls aren't among the values:
-    they take the mean as it stands. Dates should not repeat in a series.
+    decay, and blocks are carried on from their totals, of which a series has one a block, in one array a series: rows that
+    lie by series stay there. Nulls aren't among the values: they take the mean as it stands. Dates should not repeat in a
+    series.
     """
     import math
 
@@ -88,8 +89,8 @@ def ewm_exact(df: DataFrame, span: int, spec: PanelSpec = SERIES, col: str | Non
     start = F.struct(F.lit(0.0).alias("carry"), F.array().cast("array<double>").alias("all"))
     fold = lambda a, e: F.struct((a["carry"] * (r**block) + e["t"]).alias("carry"), F.concat(a["all"], F.array(a["carry"])).alias("all"))
     carries = totals.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__block", "t"))).alias("e"))
-    carries = carries.select(*keys, F.posexplode(F.aggregate("e", start, fold, lambda a: a["all"])).alias("__block", "__carry"))
-    rows = rows.join(carries, [*keys, "__block"])
+    carries = carries.select(*keys, F.aggregate("e", start, fold, lambda a: a["all"]).alias("__carries"))
+    rows = rows.join(carries, keys).withColumn("__carry", F.get("__carries", F.col("__block").cast("int"))).drop("__carries")
     weights = (1 - F.pow(F.lit(r), F.col("__k") + 1)) / (1 - r)
     value = (F.col("__local") + F.pow(F.lit(r), F.col("__at") + 1) * F.col("__carry")) / weights
     return rows.withColumn(name, F.when(F.col("__k") >= 0, value)).select(*df.columns, name)

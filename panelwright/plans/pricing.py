@@ -13,7 +13,7 @@ from panelwright.operators.elasticity import curve_elasticity, elastic_predictio
 from panelwright.operators.spec import SERIES
 from panelwright.plans.features import _ED
 from panelwright.plans.models import _E4, _RATIO, _SEC
-from panelwright.plans.recipes import RECENT, TEST_ROWS, K, KEYS, W, X, cut, indexed, trained
+from panelwright.plans.recipes import RECENT, TEST_ROWS, K, KEYS, W, X, cut, trained
 from panelwright.plans.registry import add
 from panelwright.sources import files
 from panelwright.sources.panels import dense
@@ -29,55 +29,76 @@ COLUMNS = [
 ]
 
 
-def cleaned_rows(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(all training rows, rows to make features of). Series need rows to forecast, recent sales and training rows that are
-    no outliers; training rows far from their windows' means, by promotion state, only count for the indices."""
+#: What later steps read of the cleaned rows.
+READ = [*K, "dt", X, "is_train", "cat1", "cat2", "day_abbr", "month", "festival_name", "price", "w_price", "seq_price", "csu_redu_num", "new_byrs", "old_byrs"]
+
+
+def cleaned_rows(df: DataFrame) -> DataFrame:
+    """All rows that count for the indices, those to make features of marked as kept. Series need rows to forecast, recent
+    sales and training rows that are no outliers; training rows far from their windows' means, by promotion state, only count
+    for the indices. All of it is worked out where the panel's lines were dealt to."""
     df = N.sized_and_recent(df.where("price <> 0"), TEST_ROWS, *RECENT, counted=~trained())
     df = C.price_repaired(df).withColumn("w_price", F.col("w_price") / 1000)
     promo = (F.col("seq_num") != 0) | (F.col("pro_num") != 0) | (F.col("csu_redu_num") != 0)
-    df = df.withColumn("kind", F.concat("is_train", promo.cast("int")))
-    rows = cut(C.window_outliers(df, kind="kind", short_mean=True).drop("kind", "outlier_high", "outlier_low"))
-    good = rows.where("is_train = 0 or outlier = 0").drop("outlier")
-    both = good.groupBy(*K).agg(F.max("is_train").alias("a"), F.min("is_train").alias("b")).where("a = 1 and b = 0").select(*K)
+    rows = C.window_outliers(df.withColumn("kind", F.concat("is_train", promo.cast("int"))), kind="kind", short_mean=True)
+    good = (F.col("is_train") == 0) | (F.col("outlier") == 0)
+    both = (F.max(F.when(good, F.col("is_train"))).over(SERIES.whole()) == 1) & (F.min(F.when(good, F.col("is_train"))).over(SERIES.whole()) == 0)
     step = F.when(~trained(), F.sum(1 - F.col("is_train")).over(SERIES.series()))
-    return rows.where(trained()), cut(good.join(both, K, "left_semi").withColumn("step", step))
+    return cut(rows.withColumns({"kept": good & both, "step": step}).select(*READ, "kept", "step"))
 
 
-def with_indices(df: DataFrame, known: DataFrame) -> DataFrame:
-    """Weekday shares, daily-total indices and festival indices of the category, of the wider one where it has none, else 1;
-    buyers by weekday and month against their warehouse's mean."""
+def index_tables(known: DataFrame) -> tuple[dict, dict]:
+    """(indices, buyers), small tables all: by name the weekday shares, daily-total indices and festival indices of the
+    category, then of the wider one; by weekday and month the buyers against their warehouse's mean."""
+    small = files.written_small
     shares = N.weekday_ratio(known).select("cat2", F.col("weekday").alias("day_abbr"), F.col("ratio").alias("idx"))
-    rows, df = df, indexed(df, shares, ["cat2", "day_abbr"], "weekday_ratio")
     days = cut(known.groupBy("cat1", "cat2", "dt", "day_abbr", "month", "festival_name").agg(F.sum(X).alias(X)))
+    indices = {"weekday_ratio": [(small(shares), ["cat2", "day_abbr"])]}
     for c in ("day_abbr", "month"):
-        df = N.index_with_fallback(df, [(N.daily_total_index(days, [g], c), [g, c]) for g in ("cat2", "cat1")], name=f"idx_{c}")
-    df = N.index_with_fallback(df, [(N.festival_index(days, [g]), [g, "festival_name"]) for g in ("cat2", "cat1")], name="festival_index")
+        indices[f"idx_{c}"] = [(small(N.daily_total_index(days, [g], c)), [g, c]) for g in ("cat2", "cat1")]
+    indices["festival_index"] = [(small(N.festival_index(days, [g])), [g, "festival_name"]) for g in ("cat2", "cat1")]
+    buyers = {}
     for c in ("day_abbr", "month"):
         idx = N.buyer_indices(known, ["new_byrs", "old_byrs"], c, ["wh_id"]).groupBy("wh_id", c).pivot("buyer", ["new_byrs", "old_byrs"]).agg(F.first("idx"))
-        df = df.join(idx.withColumnsRenamed({"new_byrs": f"new_idx_{c}", "old_byrs": f"old_idx_{c}"}), ["wh_id", c], "left")
-    return cut(df, known, rows, days)
+        buyers[c] = small(idx.withColumnsRenamed({"new_byrs": f"new_idx_{c}", "old_byrs": f"old_idx_{c}"}))
+    files.drop_written(days)
+    return indices, buyers
+
+
+def with_indices(df: DataFrame, indices: dict, buyers: dict, rebates: DataFrame) -> DataFrame:
+    """Columns of small tables; where no category has an index it is 1."""
+    for name, tables in indices.items():
+        df = N.index_with_fallback(df, tables, name=name)
+    for c, idx in buyers.items():
+        df = df.join(idx, ["wh_id", c], "left")
+    return df.join(rebates, ["dt", "cat2"], "left")
 
 
 def with_means(df: DataFrame) -> DataFrame:
-    """Bands of the training rows, carried on; history means, extrapolated over the days ahead; rebates of the category's day."""
-    table, train = df, df.where(trained())
-    both = N.with_volume_band(train, ["cat1"]).unionByName(df.where(~trained()).withColumn("band", F.lit(None).cast("int")))
-    df = R.filled(both, ["band"], constant=3)
-    ahead = R.extrapolated(train, AHEAD).select(*K, F.col("step").cast("long").alias("step"), F.col("value").alias("__ahead"))
-    df = R.history_mean(df).join(ahead, [*K, "step"], "left")
-    df = df.withColumn("history_mean", F.when(trained(), F.col("history_mean")).otherwise(F.col("__ahead"))).drop("__ahead")
-    df = df.withColumns({"seq_rebate": S.rebate("price", "seq_price"), "real_rebate": S.rebate("price", F.col("w_price") * 1000)})
-    df = cut(df, table)
-    return df.join(N.discount_statistics(df, ["dt", "cat2"], ["seq_rebate"]), ["dt", "cat2"], "left")
+    """Bands of the training rows, carried on; history means; rebates."""
+    df = R.filled(N.with_volume_band(df, ["cat1"], deal=True, counted=trained()), ["band"], constant=3)
+    return R.history_mean(df).withColumn("real_rebate", S.rebate("price", F.col("w_price") * 1000))
 
 
-def with_elasticities(df: DataFrame) -> DataFrame:
-    """Three elasticities of the training rows, four volumes from the last known one, five from statistics of two rows ago."""
-    table, train, cats = df, df.where(trained()), df.select(*K, "cat2").distinct()
+def series_values(df: DataFrame) -> DataFrame:
+    """A row a series: two elasticities of the training rows, and the history means of the days ahead by step."""
+    train, cats = df.where(trained()), df.select(*K, "cat2").distinct()
     ed = N.winsorised_elasticity(N.elasticity(train), cats).select(*K, "ed")
     ratio = positive_or_category(N.ratio_elasticity(train), "ratio_ed", cats).select(*K, "ratio_ed")
-    df = curve_elasticity(df, price_curves(train.where("csu_redu_num = 0"))).join(ed, K).join(ratio, K)
-    df = cut(df.withColumn("mean_sec_ed", F.avg("sec_ed").over(SERIES.whole())), table)
+    steps = F.map_from_entries(F.collect_list(F.struct(F.col("step").cast("long").alias("step"), "value")))
+    ahead = R.extrapolated(train, AHEAD).groupBy(*K).agg(steps.alias("__ahead"))
+    return cut(ed.join(ratio, K).join(ahead, K, "left"))
+
+
+def with_elasticities(df: DataFrame) -> DataFrame:
+    """Three elasticities of the training rows, four volumes from the last known one, five from statistics of two rows ago;
+    history means extrapolated over the days ahead. Rows move once by series, for the joins and all windows."""
+    table, values = df, series_values(df)
+    curves = price_curves(df.where(trained() & (F.col("csu_redu_num") == 0)))
+    df = curve_elasticity(df.drop("price", "csu_redu_num"), curves)
+    files.drop_written(table)
+    df = df.join(values, K).withColumn("history_mean", F.when(trained(), F.col("history_mean")).otherwise(F.col("__ahead")[F.col("step")])).drop("__ahead")
+    df = df.withColumn("mean_sec_ed", F.avg("sec_ed").over(SERIES.whole()))
     df = elastic_predictions(df, {"v_ed": "ed", "v_ratio": "ratio_ed", "v_sec": "sec_ed", "v_mean_sec": "mean_sec_ed"})
     for c, tag in ((X, "q"), ("w_price", "p")):
         s, old = SERIES.series(), F.col(c).cast("double")
@@ -132,8 +153,12 @@ _SQL = f"""WITH RECURSIVE a AS (SELECT *, count(*) FILTER (is_train=0) OVER k n_
 
 @add("z4_pricing_features_whole", _SQL)
 def _(spark, d):
-    known, df = cleaned_rows(dense(spark, d))
-    df = with_elasticities(with_means(with_indices(df, known)))
-    df = N.first_seen_encoded(df, "cat1", "cat2", "cat2_code").where(f"step is null or step <= {AHEAD}")
+    rows = cleaned_rows(dense(spark, d))
+    indices, buyers = index_tables(rows.where(trained()))
+    kept = rows.where("kept")
+    rebates = files.written_small(N.discount_statistics(kept.withColumn("seq_rebate", S.rebate("price", "seq_price")), ["dt", "cat2"], ["seq_rebate"]))
+    codes = files.written_small(kept.groupBy("cat1", "cat2").agg(F.min("dt").alias("dt")))
+    df = with_elasticities(cut(with_means(kept).drop("seq_price", "new_byrs", "old_byrs", "kept"), rows))
+    df = N.first_seen_encoded(with_indices(df, indices, buyers, rebates), "cat1", "cat2", "cat2_code", table=codes).where(f"step is null or step <= {AHEAD}")
     part = F.when(F.col("step") == AHEAD, "t1").otherwise("t0")
-    return files.write_and_read(df.select(*K, "dt", *COLUMNS, part.alias("part")), "orc", ["part"])
+    return files.write_and_read(df.select(*K, "dt", *COLUMNS, part.alias("part")), "orc", ["part"], meet=False)

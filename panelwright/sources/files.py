@@ -17,9 +17,9 @@ def date_range(df: DataFrame, col: str, first: str, last: str, excluded: tuple[s
     return out.where(~F.col(col).between(to(excluded[0]), to(excluded[1]))) if excluded else out
 
 
-def write_partitions(df: DataFrame, path: str, fmt: str, by: list[str], mode: str = "overwrite") -> None:
-    """Overwrites only the partitions that df has rows of; rows of a partition meet in one task before."""
-    out = df.repartition(*by) if by else df
+def write_partitions(df: DataFrame, path: str, fmt: str, by: list[str], mode: str = "overwrite", meet: bool = True) -> None:
+    """Overwrites only the partitions that df has rows of; rows of a partition meet in one task before, or stay in theirs."""
+    out = df.repartition(*by) if by and meet else df
     w = out.write.mode(mode).partitionBy(*by).option("partitionOverwriteMode", "dynamic")
     (w.option("header", True) if fmt == "csv" else w).format(fmt).save(path)
 
@@ -56,7 +56,7 @@ def new_path(spark) -> str:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def write_and_read(df: DataFrame, fmt: str, by: list[str], n_files: int | None = None) -> DataFrame:
+def write_and_read(df: DataFrame, fmt: str, by: list[str], n_files: int | None = None, meet: bool = True) -> DataFrame:
     """df by way of a table in the shared folder, partitioned by columns, or in n_files files whose names are then in `file`.
 
     The shuffle files of the write go as soon as it is done, as nothing else reads them; the driver's memory alone would
@@ -69,7 +69,7 @@ def write_and_read(df: DataFrame, fmt: str, by: list[str], n_files: int | None =
         if n_files:
             df.repartition(n_files).write.format(fmt).save(path)
         else:
-            write_partitions(df, path, fmt, by)
+            write_partitions(df, path, fmt, by, meet=meet)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     reader = spark.read.schema(df.schema)

@@ -7,9 +7,12 @@ import time
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
-from panelwright.plans import registry
+from panelwright.operators import rolling
+from panelwright.operators.spec import PanelSpec
+from panelwright.plans import pricing, registry
 from panelwright.sources import files
 
 DATA = "/root/testdata/sf0.1"
@@ -58,3 +61,28 @@ def test_rows_of_a_recipe_move_once_after_its_table(spark):
     df = registry.queries()["z11_hourly_static_features"](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+
+
+def test_exact_weights_don_t_move_rows_that_lie_by_series(spark):
+    rows = [(k, DAY.date() + datetime.timedelta(i), float((k * 7 + i * i) % 11)) for k in range(4) for i in range(30)]
+    df = spark.createDataFrame(rows, "sku int, dt date, x double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = rolling.ewm_exact(df, 7, PanelSpec(("sku",), "dt", "x"), block=4)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "__block" in x]
+
+
+def test_first_table_of_pricing_features_holds_only_what_later_steps_read(spark, monkeypatch):
+    seen = []
+
+    def stop(df, *done):
+        seen.extend(df.columns)
+        raise InterruptedError
+
+    monkeypatch.setattr(pricing, "cut", stop)
+    with pytest.raises(InterruptedError):
+        registry.queries()["z4_pricing_features_whole"](spark, "/root/testdata/sf0.001")
+    assert 0 < len(seen) <= 19
