@@ -11,21 +11,21 @@ from panelwright.operators.spec import SERIES, PanelSpec
 from panelwright.sources import files
 
 
-def seasonal_index(df: DataFrame, dims: list[str], cols: list[str], spec: PanelSpec = SERIES, train: Column | None = None) -> DataFrame:
+def seasonal_index(df: DataFrame, dims: list[str], cols: list[str], spec: PanelSpec = SERIES, train: Column | None = None, table: DataFrame | None = None) -> DataFrame:
     """Adds idx_<dim>_<col>: mean of the target by (dim, col) over its mean by dim, both over training rows.
 
-    One aggregate by all dims and cols, written out once, feeds every index; the indices, a few rows each and of a known
-    size, are joined back, so that Spark broadcasts them and no row moves by a dimension. Dims must include the group that a
-    statistic is confined to. Null dims or cols get no index.
+    One aggregate by all dims and cols, written out once, feeds every index; the indices, a few rows each, are written and
+    joined back, so that Spark broadcasts them and no row moves by a dimension. Dims must include the group that a
+    statistic is confined to. Null dims or cols get no index. table: a written frame with the same values, to take means of.
     """
     x = F.when(train, F.col(spec.target)) if train is not None else F.col(spec.target)
-    base = files.write_and_read(df.groupBy(*dims, *cols).agg(F.sum(x).alias("__s"), F.count(x).alias("__n")), "parquet", [])
+    base = files.write_and_read((df if table is None else table).groupBy(*dims, *cols).agg(F.sum(x).alias("__s"), F.count(x).alias("__n")), "parquet", [])
     out = df
     for d in dims:
         whole = base.groupBy(d).agg((F.sum("__s") / F.sum("__n")).alias("__w"))
         for c in cols:
             part = base.groupBy(d, c).agg((F.sum("__s") / F.sum("__n")).alias("__m")).join(whole, d)
-            out = out.join(part.select(d, c, (F.col("__m") / F.col("__w")).alias(f"idx_{d}_{c}")), [d, c], "left")
+            out = out.join(files.written_small(part.select(d, c, (F.col("__m") / F.col("__w")).alias(f"idx_{d}_{c}"))), [d, c], "left")
     return out.select(*df.columns, *[f"idx_{d}_{c}" for d in dims for c in cols])
 
 
@@ -223,9 +223,10 @@ def ranked(df: DataFrame, order: list[str], name: str, within: tuple[str, ...] =
     return out.select(*df.columns, name)
 
 
-def label_encoded(df: DataFrame, col: str, name: str) -> DataFrame:
-    """Adds the value's rank in alphabetical order, from 0; nulls have none. Ranks are given to the distinct values."""
-    values = df.select(col).where(F.col(col).isNotNull()).distinct()
+def label_encoded(df: DataFrame, col: str, name: str, table: DataFrame | None = None) -> DataFrame:
+    """Adds the value's rank in alphabetical order, from 0; nulls have none. Ranks are given to the distinct values. table: a
+    written frame with the same values."""
+    values = (df if table is None else table).select(col).where(F.col(col).isNotNull()).distinct()
     ranks = ranked(values, [col], name).withColumn(name, F.col(name) - 1)
     return df.join(files.written_small(ranks), col, "left")
 
@@ -272,6 +273,17 @@ def long_tail(df: DataFrame, spec: PanelSpec = SERIES, width: int = 7) -> DataFr
     return g.select(*spec.keys, F.when(F.col("n") >= width, F.col("m") < width).otherwise(F.col("t") < F.col("n")).cast("int").alias("is_long_tail"))
 
 
+def without_long_tail(df: DataFrame, counted: Column, spec: PanelSpec = SERIES, width: int = 7) -> DataFrame:
+    """Rows of the series whose counted rows aren't a long tail, as `long_tail` says; series without such rows stay. Windows
+    decide, so that rows that lie by series stay where they are."""
+    x, w = F.when(F.col("__c"), F.col(spec.target)), spec.trailing(width, "__c")
+    df = df.withColumn("__c", F.coalesce(counted, F.lit(False)))
+    df = df.withColumn("__s", F.when(F.col("__c") & (F.count(x).over(w) >= width), F.sum(x).over(w)))
+    n, whole = F.count(F.when(F.col("__c"), 1)).over(spec.whole()), spec.whole()
+    tail = F.when(n >= width, F.avg("__s").over(whole) < width).otherwise(F.sum(x).over(whole) < n)
+    return df.withColumn("__t", tail).where("not coalesce(__t, false)").drop("__c", "__s", "__t")
+
+
 def routed(df: DataFrame, spec: PanelSpec = SERIES, checking: int = 14) -> DataFrame:
     """(keys, route) by the last rows' mean and count of positive days."""
     g = last_rows(df, checking, spec).groupBy(*spec.keys).agg(F.avg(spec.target).alias("m"), F.count(F.when(F.col(spec.target) > 0, 1)).alias("pos"), F.count("*").alias("n"))

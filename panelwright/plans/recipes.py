@@ -50,9 +50,9 @@ def promoted(df: DataFrame) -> DataFrame:
 
 
 def cleaned(df: DataFrame) -> DataFrame:
-    """Stock-outs, prices, temperatures and promotion outliers, as every feature job does them."""
+    """Stock-outs, prices, temperatures and promotions, as every feature job does them."""
     df = C.temperature_repaired(C.price_repaired(C.stockout_corrected(df)))
-    return cut(promoted(C.future_price_from_train(df)))
+    return promoted(C.future_price_from_train(df))
 
 
 def banded(df: DataFrame, within: list[str]) -> DataFrame:
@@ -62,7 +62,7 @@ def banded(df: DataFrame, within: list[str]) -> DataFrame:
 def buyers_by(df: DataFrame, by: str) -> DataFrame:
     """(wh_id, by, new_idx, old_idx): buyer counts against their warehouse's mean."""
     idx = N.buyer_indices(df, ["new_byrs", "old_byrs"], by, ["wh_id"]).groupBy("wh_id", by).pivot("buyer", ["new_byrs", "old_byrs"]).agg(F.first("idx"))
-    return idx.withColumnsRenamed({"new_byrs": "new_idx", "old_byrs": "old_idx"})
+    return files.written_small(idx.withColumnsRenamed({"new_byrs": "new_idx", "old_byrs": "old_idx"}))
 
 
 def indexed(df: DataFrame, table: DataFrame, on: list[str], name: str) -> DataFrame:
@@ -97,22 +97,23 @@ def _(spark, d):
 
 @add("z3_drinks_features")
 def _(spark, d):
+    # cleaned where the lines were dealt to
     known = N.sized_and_recent(dense(spark, d), TEST_ROWS, *RECENT, counted=~trained())
-    table = cleaned(known)
-    df = R.filled(table, ["seq_price"], constant=0.0)
-    df = df.join(N.long_tail(df.where(trained())).where("is_long_tail = 1").select(*K), K, "left_anti")
-    df = cut(C.window_outliers(df, kind="promo").where("outlier = 0").drop("outlier"), table)
-    table = banded(df, ["cat1"])
-    df = N.promotion_history_mean(table, "promo")
+    df = N.without_long_tail(R.filled(cleaned(known), ["seq_price"], constant=0.0), trained())
+    df = C.window_outliers(df, kind="promo").where("outlier = 0")
+    table = cut(df.select(*K, "dt", X, "is_train", "cat1", "cat2", "day_abbr", "month", "promo", "price", "w_price", "new_byrs", "old_byrs"))
+    buyers = buyers_by(table, "day_abbr")
+    table = cut(N.with_volume_band(table.drop("new_byrs", "old_byrs"), ["cat1"], deal=True), table)
+    # then rows move once by series, for the join with elasticities and all windows
+    df = table.join(cut(N.elasticity(table)), K)
+    df = N.promotion_history_mean(df, "promo")
     df = R.history_mean(df, (7,), (1.0,), col="w_price", name="price_mean")
     df = df.withColumns({"price_off_mean": F.col("price") - F.col("price_mean"), "w_price_off_mean": F.col("w_price") - F.col("price_mean")})
-    table = df = cut(N.horizon_statistics(df, 20), table)
-    df = cut(N.seasonal_index(df, ["cat1", "cat2"], ["day_abbr", "month"], train=trained()), table)
-    table = df
-    df = indexed(df, N.weekday_ratio(df).select("cat2", F.col("weekday").alias("day_abbr"), F.col("ratio").alias("idx")), ["cat2", "day_abbr"], "weekday_ratio")
-    df = cut(N.predicted_volume(df.join(N.elasticity(df), K)), table)
-    df = df.join(buyers_by(df, "day_abbr"), ["wh_id", "day_abbr"], "left")
-    df = N.label_encoded(C.validation_marked(df), "cat2", "cat2_code")
+    df = N.predicted_volume(N.horizon_statistics(df, 20))
+    df = N.seasonal_index(df, ["cat1", "cat2"], ["day_abbr", "month"], train=trained(), table=table)
+    df = indexed(df, N.weekday_ratio(table).select("cat2", F.col("weekday").alias("day_abbr"), F.col("ratio").alias("idx")), ["cat2", "day_abbr"], "weekday_ratio")
+    df = df.join(buyers, ["wh_id", "day_abbr"], "left")
+    df = N.label_encoded(C.validation_marked(df), "cat2", "cat2_code", table)
     return df.select(*K, "dt", "is_train", X, "band", "history_mean", "price_mean", "price_off_mean", "w_price_off_mean", "known_mean_7", "idx_cat1_month", "idx_cat2_day_abbr", "weekday_ratio", "ed_volume", "new_idx", "old_idx", "cat2_code")
 
 

@@ -10,7 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from panelwright.operators import rolling
+from panelwright.operators import features, rolling
 from panelwright.operators.spec import PanelSpec
 from panelwright.plans import pricing, registry
 from panelwright.sources import files
@@ -86,3 +86,23 @@ def test_first_table_of_pricing_features_holds_only_what_later_steps_read(spark,
     with pytest.raises(InterruptedError):
         registry.queries()["z4_pricing_features_whole"](spark, "/root/testdata/sf0.001")
     assert 0 < len(seen) <= 19
+
+
+def test_long_tails_are_left_out_where_the_rows_lie(spark):
+    spec = PanelSpec(("k",), "dt", "x")
+    values = {1: [0.0, 1.0] * 6, 2: [3.0] * 12, 3: [0.0, 0.5, 1.0], 4: [2.0, 3.0], 5: [None] * 9, 6: [9.0] * 3 + [0.0] * 9}
+    rows = [(k, DAY.date() + datetime.timedelta(i), x, int(i % 5 > 0 and k != 4)) for k, xs in values.items() for i, x in enumerate(xs)]
+    df = spark.createDataFrame(rows, "k int, dt date, x double, is_train int").repartition(3)
+    counted = F.col("is_train") == 1
+    tail = features.long_tail(df.where(counted), spec).where("is_long_tail = 1")
+    got = features.without_long_tail(df, counted, spec)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, df.join(tail, "k", "left_anti").select(df.columns).collect()), key=str)
+    assert {r.k for r in got.collect()} == {2, 4, 5} | ({3, 6} - {r.k for r in tail.collect()}) and 1 in {r.k for r in tail.collect()}
+    text = features.without_long_tail(df.repartition("k"), counted, spec)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and text.count("Exchange hashpartitioning") == 1
+
+
+def test_drinks_features_move_their_rows_once_after_their_tables(spark):
+    df = registry.queries()["z3_drinks_features"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2  # rows, and a row a series for the join
